@@ -8,11 +8,13 @@ words. Words are counted before anything else: the corpus is read once.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framelearn.functions.columns import let
 from framelearn.operators.text import collect_positions
 from framelearn.plans.scale import lookup_join, small_rows
 from framelearn.session import materialize
@@ -46,18 +48,34 @@ def word_symbols(words: DataFrame) -> DataFrame:
     return words.withColumn("symbols", symbol_string(F.col("word")))
 
 
+def _pairs(symbols: Column, freq: Column) -> Column:
+    def neighbours(s):
+        last = F.size(s) - 1
+        return F.zip_with(
+            F.slice(s, F.lit(1), last),
+            F.slice(s, F.lit(2), last),
+            lambda a, b: F.struct(a.alias("left"), b.alias("right"), freq.alias("n")),
+        )
+
+    return let(symbol_array(symbols), neighbours)
+
+
+def _sum_pairs(long: DataFrame) -> DataFrame:
+    return long.groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """How often each pair of neighbouring symbols occurs, weighted by word counts."""
-    split = words.select("freq", symbol_array(F.col("symbols")).alias("s")).filter(F.size("s") > 1)
-    pairs = F.zip_with(
-        F.slice(F.col("s"), F.lit(1), F.size("s") - 1),
-        F.slice(F.col("s"), F.lit(2), F.size("s") - 1),
-        lambda a, b: F.struct(a.alias("left"), b.alias("right")),
-    )
-    long = split.select("freq", F.explode(pairs).alias("p"))
-    return long.groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(
-        F.sum("freq").alias("n")
-    )
+    return _sum_pairs(words.select(F.explode(_pairs(F.col("symbols"), F.col("freq"))).alias("p")).select("p.*"))
+
+
+def _count_changes(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
+    """Gains and losses of pair counts in the words that the merges touch."""
+    old = F.col("symbols")
+    new = reduce(lambda s, m: merge_expr(s, *m), merges, old)
+    touched = words.select("freq", old.alias("old"), new.alias("new")).filter(F.col("old") != F.col("new"))
+    both = F.concat(_pairs(F.col("old"), -F.col("freq")), _pairs(F.col("new"), F.col("freq")))
+    return _sum_pairs(touched.select(F.explode(both).alias("p")).select("p.*"))
 
 
 def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tuple[str, str]]:
@@ -92,24 +110,32 @@ def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tupl
 def bpe_train(words: DataFrame, n_merges: int, fetch: int = 512, cut_every: int = 32) -> list[tuple[int, str, str]]:
     """Learn merges ``(rank, left, right)`` from ``(word, freq)``, most frequent pair first.
 
-    Ties go to the smaller pair in code-point order. A round counts pairs once
-    and may take several merges that cannot influence each other, so there are
-    fewer jobs than merges; the lineage is cut after ``cut_every`` of them.
+    Ties go to the smaller pair in code-point order. Pairs are counted once; after
+    that a round adds only the changes in the words it touched. A round may take
+    several merges that cannot influence each other, so there are fewer rounds
+    than merges. The counts are checkpointed each round, the words every
+    ``cut_every`` merges.
     """
-    current = materialize(word_symbols(words.groupBy("word").agg(F.sum("freq").alias("freq"))))
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    counted = words.groupBy("word").agg(F.sum("freq").alias("freq"))
+    current = materialize(word_symbols(counted).repartition(cores, "word"))
+    counts = materialize(pair_counts(current))
     merges: list[tuple[int, str, str]] = []
     pending = 0
     while len(merges) < n_merges:
-        top = pair_counts(current).orderBy(F.desc("n"), "left", "right").limit(fetch).collect()
-        if not top:
-            break
+        top = counts.orderBy(F.desc("n"), "left", "right").limit(fetch).collect()
         batch = safe_prefix([(r[0], r[1], r[2]) for r in top], min(n_merges - len(merges), cut_every))
-        for left, right in batch:
-            merges.append((len(merges), left, right))
-            current = current.withColumn("symbols", merge_expr(F.col("symbols"), left, right))
-        pending += len(batch)
-        if pending >= cut_every:
-            current, pending = materialize(current), 0
+        if not batch:
+            break
+        done = len(merges)
+        merges.extend((done + i, a, b) for i, (a, b) in enumerate(batch))
+        if len(merges) < n_merges:
+            changes = _count_changes(current, batch)
+            counts = materialize(_sum_pairs(counts.unionByName(changes)).filter("n > 0"))
+            current = current.withColumn("symbols", reduce(lambda s, m: merge_expr(s, *m), batch, F.col("symbols")))
+            pending += len(batch)
+            if pending >= cut_every:
+                current, pending = materialize(current), 0
     return merges
 
 

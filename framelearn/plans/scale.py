@@ -66,6 +66,12 @@ def small_rows(df: DataFrame, what: str, max_rows: int = BROADCAST_ROWS, max_byt
     return df.collect()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core when a scan gives fewer partitions than there are; else leave it alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, hot_parts: int = HOT_PARTS):
     """Keys holding ``hot_rows`` rows and 1/``hot_parts`` of all: at most ``hot_parts`` rows."""
     total = df.count()
@@ -203,6 +209,7 @@ def running_total(
     name: str = "idx",
     rows_per_bucket: int = ROWS_PER_BUCKET,
     rows: int | None = None,
+    kind: str = "long",
 ) -> DataFrame:
     """Add the sum of ``value`` over all earlier rows of the group (1 per row by default).
 
@@ -218,7 +225,7 @@ def running_total(
     before = (Window.unboundedPreceding, -1)
     if buckets <= 1:
         part = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(*before)
-        return df.withColumn(name, F.coalesce(F.sum(value).over(part), F.lit(0)).cast("long"))
+        return df.withColumn(name, F.coalesce(F.sum(value).over(part), F.lit(0)).cast(kind))
     points = split_points(df, order, buckets, rows)
     bucketed = df.withColumn("_b", range_bucket(points, df.schema, order)).withColumn("_v", value)
     totals = bucketed.groupBy(*by, "_b").agg(F.sum("_v").alias("_t"))
@@ -228,7 +235,7 @@ def running_total(
     inside = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(*before)
     ranked = bucketed.withColumn("_r", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
     joined = ranked.join(totals if by else F.broadcast(totals), [*by, "_b"])
-    return joined.select(*df.columns, (F.col("_r") + F.col("_o")).cast("long").alias(name))
+    return joined.select(*df.columns, (F.col("_r") + F.col("_o")).cast(kind).alias(name))
 
 
 def dense_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "idx", **kw) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framelearn.operators import bpe, text
-from framelearn.plans.registry import query, rnd, sql_rnd, table
-from framelearn.plans.scale import dense_index, lookup_join, order_hash
+from framelearn.plans.registry import query, table
+from framelearn.plans.scale import lookup_join, spread
 from framelearn.session import materialize
 
 # --- shared SQL -----------------------------------------------------------
@@ -50,7 +50,7 @@ wins AS (SELECT s.{key}, s.s // {stride} AS chunk_id,
 
 
 def docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
 
 
 def tokens(spark, d, bang=False):
@@ -66,7 +66,7 @@ def full_vocab(spark, d):
 
 
 def part_vocab(spark, d):
-    known = table(spark, d, "documents").filter("lang <> 'de'").select("doc_id", "text")
+    known = spread(table(spark, d, "documents").filter("lang <> 'de'").select("doc_id", "text"), "doc_id")
     return text.build_vocab(text.tokenize(known), specials=[text.END_OF_TEXT, text.UNKNOWN])
 
 
