@@ -236,7 +236,7 @@ def row_function(fn):
 
 def for_each(df: DataFrame, small: DataFrame, out: str) -> DataFrame:
     """Every row with every row of a small table, as a struct column: an explode, not a join."""
-    rows = small_rows(small, "the small table", max_rows=100_000)
+    rows = small_rows(small, "the small table", max_rows=10_000)
     name = f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in small.schema.fields)}>"
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, small.schema.fields)]) for r in rows]
     return df.withColumn(out, F.explode(F.array(*structs).cast(f"array<{name}>")))
