@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from framelearn.plans.scale import below, dense_index, key_at_rank, order_hash
 
 
-def _from(df: DataFrame, order: Sequence[str], rank: int) -> Column | None:
+def _from(df: DataFrame, order: Sequence[str], rank: int, hashed: bool = False) -> Column | None:
     """Condition for rows at position ``rank`` or later; None when there are none."""
-    key = key_at_rank(df, order, rank)
+    key = key_at_rank(df, order, rank, hashed=hashed)
     return None if key is None else ~below(order, key, df.schema)
 
 
@@ -50,10 +50,12 @@ def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return slice_rows(df, order, -n)
 
 
-def split_sequential(df: DataFrame, order: Sequence[str], share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def split_sequential(
+    df: DataFrame, order: Sequence[str], share: float = 0.8, hashed: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """The first ``int(share * n)`` rows in order, and the rest."""
     cut = int(share * df.count())
-    later = _from(df, order, cut)
+    later = _from(df, order, cut, hashed)
     if later is None:
         return df, df.limit(0)
     return df.filter(~later), df.filter(later)
@@ -66,7 +68,7 @@ def split_random(df: DataFrame, key: Sequence[str], share: float = 0.8, seed: in
     searched for, the rows themselves are not moved.
     """
     hashed = df.withColumn("_h", order_hash(*key, seed=seed))
-    first, rest = split_sequential(hashed, ["_h", *key], share)
+    first, rest = split_sequential(hashed, ["_h", *key], share, hashed=True)
     return first.drop("_h"), rest.drop("_h")
 
 
@@ -74,7 +76,7 @@ def with_split(df: DataFrame, key: Sequence[str], share: float = 0.8, seed: int
     """Both parts in one table, marked ``train`` or ``test`` in ``split``."""
     order = list(key) if seed is None else ["_h", *key]
     base = df if seed is None else df.withColumn("_h", order_hash(*key, seed=seed))
-    later = _from(base, order, int(share * base.count()))
+    later = _from(base, order, int(share * base.count()), hashed=seed is not None)
     mark = F.lit("train") if later is None else F.when(later, F.lit("test")).otherwise(F.lit("train"))
     return base.withColumn("split", mark).drop("_h")
 
@@ -88,7 +90,7 @@ def split_by_threshold(df: DataFrame, key: Sequence[str], share: float = 0.8, se
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 0, epoch: int = 0, name: str = "idx", **kw) -> DataFrame:
     """Add each row's place in the order of a seeded hash; another epoch gives another order."""
     hashed = df.withColumn("_h", order_hash(*key, seed=seed, epoch=epoch))
-    return dense_index(hashed, ["_h", *key], name=name, **kw).drop("_h")
+    return dense_index(hashed, ["_h", *key], name=name, hashed=True, **kw).drop("_h")
 
 
 def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:

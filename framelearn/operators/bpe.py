@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.text import collect_positions
-from framelearn.plans.scale import lookup_join, small_rows
+from framelearn.plans.scale import lookup_join, small_rows, unnest
 from framelearn.session import materialize
 
 #: Fixed value: the mark for the end of a word.
@@ -66,7 +66,7 @@ def _sum_pairs(long: DataFrame) -> DataFrame:
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """How often each pair of neighbouring symbols occurs, weighted by word counts."""
-    return _sum_pairs(words.select(F.explode(_pairs(F.col("symbols"), F.col("freq"))).alias("p")).select("p.*"))
+    return _sum_pairs(unnest(words, [], _pairs(F.col("symbols"), F.col("freq")), "p").select("p.*"))
 
 
 def _count_changes(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
@@ -75,7 +75,7 @@ def _count_changes(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataF
     new = reduce(lambda s, m: merge_expr(s, *m), merges, old)
     touched = words.select("freq", old.alias("old"), new.alias("new")).filter(F.col("old") != F.col("new"))
     both = F.concat(_pairs(F.col("old"), -F.col("freq")), _pairs(F.col("new"), F.col("freq")))
-    return _sum_pairs(touched.select(F.explode(both).alias("p")).select("p.*"))
+    return _sum_pairs(unnest(touched, [], both, "p").select("p.*"))
 
 
 def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tuple[str, str]]:
@@ -200,7 +200,7 @@ def bpe_encode_long(
     words = tokens_long.select(F.col("token").alias("word")).distinct()
     dictionary = materialize(split_words(words, merges, specials, **kw)).withColumnRenamed("word", "token")
     joined = lookup_join(tokens_long, dictionary, ["token"], "inner", **limits)
-    return joined.select(*keys, "pos", F.posexplode("parts").alias("sub", "symbol"))
+    return unnest(joined, [*keys, "pos"], "parts", "symbol", "sub")
 
 
 def symbol_vocab(merges: DataFrame, symbols_long: DataFrame, specials: Sequence[str] = ()) -> DataFrame:

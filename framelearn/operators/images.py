@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.models import param_arrays
-from framelearn.plans.scale import maybe_broadcast
+from framelearn.plans.scale import maybe_broadcast, unnest
 
 #: Weights of red, green and blue in a grey value (ITU-R 601).
 GREY = (0.299, 0.587, 0.114)
@@ -144,7 +144,7 @@ def compose(*steps: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], D
 def long_pixels(df: DataFrame, key: str = "img_id") -> DataFrame:
     """``(img_id, c, y, x, v)``."""
     plane, width = F.col("height") * F.col("width"), F.col("width")
-    long = df.select(key, plane.alias("_n"), width.alias("_w"), F.posexplode("pixels").alias("_i", "v"))
+    long = unnest(df, [key, plane.alias("_n"), width.alias("_w")], "pixels", "v", "_i")
     inside = F.col("_i") % F.col("_n")
     return long.select(
         key,

@@ -24,6 +24,7 @@ from framelearn.plans.scale import (
     lookup_join,
     order_hash,
     running_total,
+    unnest,
 )
 from framelearn.session import materialize
 
@@ -62,7 +63,7 @@ def isolate_specials(text: Column, specials: Sequence[str]) -> Column:
 
 
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens: str = "tokens", out: str = "token") -> DataFrame:
-    return df.select(*keys, F.posexplode(tokens).alias("pos", out))
+    return unnest(df, keys, tokens, out, "pos")
 
 
 def collect_positions(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -75,24 +76,24 @@ def collect_positions(df: DataFrame, keys: Sequence[str], value: str, out: str)
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    return unnest(df, [], tokens, "token").groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def build_vocab(df: DataFrame, tokens: str = "tokens", specials: Sequence[str] = (), **kw) -> DataFrame:
     """``(token, id)``: distinct tokens in code-point order from 0, specials after them.
 
-    The corpus is read once; the distinct tokens are kept as a checkpoint, which
-    numbering and every later look-up reuse. A special that also occurs in the
-    corpus keeps only its place at the end.
+    The corpus is read once: the distinct tokens are kept as a checkpoint, and so
+    is the numbered result, which later look-ups measure and read several times.
+    A special that also occurs in the corpus keeps only its place at the end.
     """
-    words = materialize(df.select(F.explode(tokens).alias("token")).distinct())
+    words = materialize(unnest(df, [], tokens, "token").distinct())
     size = words.count()
     vocab = dense_index(words, ["token"], name="id", rows=size, **kw)
     if specials:
         vocab = vocab.filter(~F.col("token").isin(list(specials)))
         extra = [(s, size + i) for i, s in enumerate(specials)]
         vocab = vocab.unionByName(df.sparkSession.createDataFrame(extra, "token string, id long"))
-    return vocab
+    return materialize(vocab)
 
 
 def vocab_preview(vocab: DataFrame, n: int = 11) -> DataFrame:
@@ -257,7 +258,7 @@ def token_stream(
     """
     placed = running_total(df.select(*by, *order, tokens), order, F.size(tokens) + 1, by, name="_o", **kw)
     with_sep = F.concat(F.array(F.lit(sep_token)), F.col(tokens))
-    long = placed.select(*by, "_o", F.posexplode(with_sep).alias("_p", "token"))
+    long = unnest(placed, [*by, "_o"], with_sep, "token", "_p")
     return long.select(*by, (F.col("_o") + F.col("_p") - 1).alias("pos"), "token").filter(F.col("pos") >= 0)
 
 
@@ -273,7 +274,7 @@ def next_token_pairs(df: DataFrame, offset: int, length: int, keys: Sequence[str
     """Contexts of 1..L+1 ids from the offset, each with the id that follows."""
     room = F.least(F.lit(length + 1), F.size(ids) - F.lit(offset) - 1)
     steps = F.when(room >= 1, F.sequence(F.lit(1), room))
-    grown = df.select(*keys, ids, F.explode(steps).alias("n"))
+    grown = unnest(df, [*keys, ids], steps, "n")
     return grown.select(
         *keys,
         "n",
@@ -291,7 +292,7 @@ def lm_windows(df: DataFrame, length: int, stride: int, keys: Sequence[str] = ("
     """Input ids [i, i+L) and target ids [i+1, i+L+1) for i in range(0, n-L, stride). No shuffle."""
     n = F.size(ids)
     starts = F.when(n > length, F.sequence(F.lit(0), n - length - 1, F.lit(stride)))
-    cut = df.select(*keys, ids, F.posexplode(starts).alias("chunk_id", "_s"))
+    cut = unnest(df, [*keys, ids], starts, "_s", "chunk_id")
     return cut.select(
         *keys,
         F.col("chunk_id").cast("long").alias("chunk_id"),
@@ -312,7 +313,7 @@ def lm_windows_long(
     first = F.greatest(F.lit(0), F.ceil((F.col(pos) - length) / F.lit(stride))).cast("long")
     last = F.floor(F.col(pos) / F.lit(stride)).cast("long")
     hit = F.when(first <= last, F.sequence(first, last))
-    sent = df.select(*keys, pos, value, F.explode(hit).alias("chunk_id"))
+    sent = unnest(df, [*keys, pos, value], hit, "chunk_id")
     full = sent.groupBy(*keys, "chunk_id").agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("w"))
     full = full.filter(F.size("w") == length + 1).withColumn("w", F.transform("w", lambda p: p[value]))
     return full.select(
@@ -349,7 +350,7 @@ def lm_dataset(
     windows = lm_windows(docs, length, stride, [key])
     if shuffle:
         hashed = windows.withColumn("_h", order_hash(key, "chunk_id", seed=seed, epoch=epoch))
-        placed = dense_index(hashed, ["_h", key, "chunk_id"], name="idx", rows=total).drop("_h")
+        placed = dense_index(hashed, ["_h", key, "chunk_id"], name="idx", rows=total, hashed=True).drop("_h")
     else:
         offsets = running_total(counts, [key], F.col("_n"), name="_o").select(key, "_o")
         placed = lookup_join(windows, offsets, [key], "inner")

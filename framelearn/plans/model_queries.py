@@ -17,7 +17,7 @@ from framelearn.plans.registry import query, rnd, sql_rnd, table
 from framelearn.plans.scale import dense_index, lookup_join, spread
 from framelearn.plans.tensor_queries import SQL_X, circles
 from framelearn.plans.text_queries import SQL_PART_VOCAB, _ID_DIGEST, _id_digest, part_vocab
-from framelearn.session import materialize, shared_dir
+from framelearn.session import shared_dir
 from framelearn.sources import readers, writers
 from framelearn.streaming import streams
 
@@ -804,7 +804,7 @@ def st_1(spark, d):
     where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "documents").schema
     docs = streams.file_stream(spark, d, schema, "documents.parquet")
-    streams.run_available(streams.encode_stream(docs, materialize(part_vocab(spark, d))), where, where + "-state")
+    streams.run_available(streams.encode_stream(docs, part_vocab(spark, d)), where, where + "-state")
     return _id_digest(spark.read.parquet(where))
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelearn.functions.columns import let
+
 #: Largest side that is broadcast or brought to the driver.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -72,6 +74,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
+def unnest(df: DataFrame, keep: Sequence, array, value: str, pos: str | None = None) -> DataFrame:
+    """One row per array element, computing the array once.
+
+    A plain explode makes the optimiser add a filter on the array's size below
+    it, in which a computed array (a regular expression, a Python function) is
+    computed a second time. The outer form with a filter on top gives the same
+    rows without that.
+    """
+    at = pos or "_at"
+    out = df.select(*keep, F.posexplode_outer(array).alias(at, value)).filter(F.col(at).isNotNull())
+    return out if pos else out.drop(at)
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, hot_parts: int = HOT_PARTS):
     """Keys holding ``hot_rows`` rows and 1/``hot_parts`` of all: at most ``hot_parts`` rows."""
     total = df.count()
@@ -138,6 +153,13 @@ def _literal(values, schema: T.StructType, order: Sequence[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.struct(*parts)
 
 
+def _sql_literal(value, kind: T.DataType) -> str:
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"cast({value} as {kind.simpleString()})"
+    raw = str(value).encode().hex()
+    return f"cast(cast(X'{raw}' as string) as {kind.simpleString()})"
+
+
 def split_points(df: DataFrame, order: Sequence[str], buckets: int, rows: int, per_bucket: int = 16) -> list[tuple]:
     """At most ``buckets - 1`` keys that cut the order into near-equal ranges.
 
@@ -156,43 +178,80 @@ def split_points(df: DataFrame, order: Sequence[str], buckets: int, rows: int, p
 
 
 def range_bucket(points: list[tuple], schema: T.StructType, order: Sequence[str]) -> Column:
-    """How many of the sorted points are <= the row's key, looked up in two levels."""
+    """How many of the sorted points are <= the row's key, by binary search in one literal array.
+
+    When the leading columns already tell the points apart, only they are
+    compared; rows that tie on them share a range, which keeps the order right.
+    """
     if not points:
         return F.lit(0)
-    key = _key(order)
-    lits = [_literal(p, schema, order) for p in points]
-    group = max(1, int(len(lits) ** 0.5))
-    chunks = [lits[i : i + group] for i in range(0, len(lits), group)]
-    heads = [c[0] for c in chunks[1:]]
-    if not heads:
-        return F.size(F.filter(F.array(*lits), lambda p: p <= key))
-    level = F.size(F.filter(F.array(*heads), lambda p: p <= key))
-    inner = F.get(F.array(*[F.array(*c) for c in chunks]), level)
-    return level * F.lit(group) + F.size(F.filter(inner, lambda p: p <= key))
-
-
-def key_at_rank(df: DataFrame, order: Sequence[str], rank: int, small: int = 100_000, buckets: int = 256):
+    used = 1
+    while used < len(order) and len({p[:used] for p in points}) < 0.9 * len(points):
+        used += 1
+    order, points = list(order)[:used], sorted({p[:used] for p in points})
+    kinds = [schema[c].dataType for c in order]
+    if used == 1:
+        cells = [_sql_literal(p[0], kinds[0]) for p in points]
+    else:
+        cells = [
+            "named_struct(" + ", ".join(f"'{c}', {_sql_literal(v, k)}" for c, v, k in zip(order, p, kinds)) + ")" for p in points
+        ]
+    table, key = F.expr(f"array({', '.join(cells)})"), _key(order)
+    steps = [1 << k for k in reversed(range(len(points).bit_length()))]
+
+    def search(k: Column) -> Column:
+        def onward(at: Column, step: Column) -> Column:
+            return at + F.when(F.get(table, at + step - 1) <= k, step).otherwise(F.lit(0))
+
+        return F.aggregate(F.array(*[F.lit(n) for n in steps]), F.lit(0), onward)
+
+    return let(key, search)
+
+
+HASH_RANGE = 1 << 60
+
+
+def hash_bucket(col: str, buckets: int, lo: int = 0, hi: int = HASH_RANGE) -> Column:
+    """Equal ranges of an ``order_hash``, which is spread evenly: plain arithmetic, no sample."""
+    width = max(1, -(-(hi - lo) // buckets))
+    return F.expr(f"cast((`{col}` - {lo}L) div {width}L as int)")
+
+
+def key_at_rank(
+    df: DataFrame, order: Sequence[str], rank: int, small: int = 100_000, buckets: int = 256, hashed: bool = False
+):
     """The key at position ``rank`` (from 0) when ``df`` is sorted by ``order``.
 
     ``order`` must identify a row. Each round counts rows per key range and goes
     on with the one range that holds the position, so no row is shuffled and at
-    most ``small`` keys reach the driver. None when the position is past the end.
+    most ``small`` keys reach the driver. ``hashed`` says that the first column
+    is an ``order_hash``, whose ranges need no sample. None past the end.
     """
     current = df.select(*order)
     rows = current.count()
     if rank < 0 or rank >= rows:
         return None
+    lo, hi = 0, HASH_RANGE
     while rows > small:
-        points = split_points(current, order, buckets, rows)
-        bucket = range_bucket(points, df.schema, order)
+        even = hashed and hi - lo > buckets
+        if even:
+            bucket = hash_bucket(order[0], buckets, lo, hi)
+        else:
+            bucket = range_bucket(split_points(current, order, buckets, rows), df.schema, order)
         counts = {r[0]: r[1] for r in current.groupBy(bucket.alias("b")).count().collect()}
         for b in sorted(counts):
             if rank < counts[b]:
                 break
             rank -= counts[b]
-        if counts[b] == rows:
+        if even:
+            width = -(-(hi - lo) // buckets)
+            lo, hi = lo + b * width, min(hi, lo + (b + 1) * width)
+            current = current.filter(F.col(order[0]).between(lo, hi - 1))
+        elif counts[b] == rows:
             raise ValueError(f"{list(order)} does not identify a row")
-        current, rows = current.filter(bucket == b), counts[b]
+        else:
+            current = current.filter(bucket == b)
+        rows = counts[b]
     return sorted(tuple(r) for r in current.collect())[rank]
 
 
@@ -210,6 +269,7 @@ def running_total(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     rows: int | None = None,
     kind: str = "long",
+    hashed: bool = False,
 ) -> DataFrame:
     """Add the sum of ``value`` over all earlier rows of the group (1 per row by default).
 
@@ -226,8 +286,11 @@ def running_total(
     if buckets <= 1:
         part = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(*before)
         return df.withColumn(name, F.coalesce(F.sum(value).over(part), F.lit(0)).cast(kind))
-    points = split_points(df, order, buckets, rows)
-    bucketed = df.withColumn("_b", range_bucket(points, df.schema, order)).withColumn("_v", value)
+    if hashed:
+        bucket = hash_bucket(order[0], buckets)
+    else:
+        bucket = range_bucket(split_points(df, order, buckets, rows), df.schema, order)
+    bucketed = df.withColumn("_b", bucket).withColumn("_v", value)
     totals = bucketed.groupBy(*by, "_b").agg(F.sum("_v").alias("_t"))
     # one row per range (and group): the window below never sees more ranges than MAX_BUCKETS
     over = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_b").rowsBetween(*before)

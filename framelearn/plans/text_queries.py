@@ -50,7 +50,9 @@ wins AS (SELECT s.{key}, s.s // {stride} AS chunk_id,
 
 
 def docs(spark, d):
-    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    """Documents with at least one token."""
+    some = table(spark, d, "documents").select("doc_id", "text").filter(F.col("text").rlike(r"\S"))
+    return spread(some, "doc_id")
 
 
 def tokens(spark, d, bang=False):
@@ -75,7 +77,7 @@ def encoded(spark, d):
 
 
 def joined(col):
-    return F.array_join(F.transform(col, lambda i: i.cast("string")), ",")
+    return F.array_join(col.cast("array<string>"), ",")
 
 
 # --- sources over text ----------------------------------------------------
@@ -151,8 +153,7 @@ _ID_DIGEST = "SELECT doc_id, count(*)::INT AS n, md5(string_agg(id::VARCHAR, ','
 
 
 def _id_digest(df):
-    some = df.filter(F.size("ids") > 0)
-    return some.select("doc_id", F.size("ids").alias("n"), F.md5(joined(F.col("ids"))).alias("digest"))
+    return df.select("doc_id", F.size("ids").alias("n"), F.md5(joined(F.col("ids"))).alias("digest"))
 
 
 @query(
@@ -172,7 +173,7 @@ def tok_8(spark, d):
 @query("tok_8_encode_unk_joined", f"WITH {SQL_PART_VOCAB} " + _ID_DIGEST.format("ids"))
 def tok_8_joined(spark, d):
     """The path for a vocabulary beyond a broadcast."""
-    vocab = materialize(part_vocab(spark, d))
+    vocab = part_vocab(spark, d)
     return _id_digest(text.encode(tokens(spark, d), vocab, on_unknown="unk", max_rows=0))
 
 
@@ -192,8 +193,8 @@ plain AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM words GRO
 SELECT doc_id, regexp_replace(s, '\\s+([,.?!"()''])', '\\1', 'g') AS decoded FROM plain""",
 )
 def tok_10(spark, d):
-    vocab = materialize(part_vocab(spark, d))
-    ids = text.encode(tokens(spark, d), vocab, on_unknown="unk").filter(F.size("ids") > 0)
+    vocab = part_vocab(spark, d)
+    ids = text.encode(tokens(spark, d), vocab, on_unknown="unk")
     return text.decode(ids.select("doc_id", "ids"), vocab).select("doc_id", "decoded")
 
 
@@ -238,7 +239,7 @@ SELECT s.doc_id, coalesce(string_agg(id::VARCHAR, ',' ORDER BY pos) FILTER (WHER
 FROM sizes s JOIN ids USING (doc_id) GROUP BY 1""",
 )
 def tok_15(spark, d):
-    pair = text.shift_pair(encoded(spark, d).filter(F.size("ids") > 0), 50, 10)
+    pair = text.shift_pair(encoded(spark, d), 50, 10)
     return pair.select("doc_id", joined(F.col("x")).alias("x"), joined(F.col("y")).alias("y"))
 
 
@@ -309,7 +310,7 @@ FROM placed WHERE idx < total // {batch} * {batch}"""
 
 
 def _dataset(spark, d, **kw):
-    out = text.lm_dataset(docs(spark, d), materialize(part_vocab(spark, d)), **kw)
+    out = text.lm_dataset(docs(spark, d), part_vocab(spark, d), **kw)
     return _win_digest(out.withColumn("chunk_id", F.col("chunk_id")), "doc_id", "idx", "batch_id")
 
 
@@ -342,7 +343,7 @@ def j_1(spark, d):
 
 @query("j_2_id_to_token", f"WITH {SQL_PART_VOCAB} SELECT v.token, count(*) AS n FROM ids JOIN vocab v USING (id) GROUP BY 1")
 def j_2(spark, d):
-    vocab = materialize(part_vocab(spark, d))
+    vocab = part_vocab(spark, d)
     ids = text.encode(tokens(spark, d), vocab, on_unknown="unk").select("doc_id", F.posexplode("ids").alias("pos", "id"))
     return text.decode_long(ids, vocab).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
