@@ -283,13 +283,100 @@ def vector_rows(spark, d):
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("features"), "label")
 
 
-def _history(fit):
-    return fit.history.filter("metric <> 'seconds'")
+def _history(fit, *wanted):
+    """Chosen metrics per epoch, and the sum of every learned array under epoch -1."""
+    kept = fit.history.filter(F.col("metric").isin(list(wanted)))
+    sums = fit.params.select(
+        F.lit("").alias("run"),
+        F.lit(-1).alias("epoch"),
+        F.col("name").alias("metric"),
+        C.vec_sum("values").alias("value"),
+    )
+    return kept.unionByName(sums).select("epoch", "metric", rnd(F.col("value")).alias("value"))
+
 
+def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False):
+    """The same training in SQL: relations for weights, activations and slopes per step.
 
-@query("ml_4_fit_binary")
+    ``data`` defines dx(r, j, v) and dy(r, y). Biases are weights at j = -1. With
+    ``batches`` (number of batches, key text) each epoch deals rows by seeded hash.
+    """
+    n_layers, parts, rows, step = len(sizes) - 1, [data], [], 0
+    for k, (n_in, n_out) in enumerate(zip(sizes, sizes[1:])):
+        grid = f"(SELECT unnest(range({n_out})) AS i) a, (SELECT unnest(range(-1, {n_in})) AS j) b"
+        rule = f"CASE WHEN j = -1 THEN ((i*3 + {k}) % 5 - 2) / 10.0::DOUBLE ELSE {sql_weight(k, 'i', 'j')} END"
+        parts.append(f"w0_{k} AS (SELECT i, j, {rule} AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS q FROM {grid})")
+    for epoch in range(epochs):
+        if batches:
+            count, size = batches, f"((SELECT count(*) FROM dy) + {batches - 1}) // {batches}"
+            place = f"row_number() OVER (ORDER BY ('0x'||substr(md5(r||':0:{epoch}'),1,15))::BIGINT, r) - 1"
+            parts.append(f"deal{epoch} AS MATERIALIZED (SELECT r, y, ({place}) // ({size}) AS b FROM dy)")
+        else:
+            count = 1
+        for b in range(count):
+            s = step
+            parts.append(f"y{s} AS (SELECT r, y FROM deal{epoch} WHERE b = {b})" if batches else f"y{s} AS (SELECT r, y FROM dy)")
+            parts.append(f"a{s}_0 AS (SELECT r, j, v FROM dx JOIN y{s} USING (r) UNION ALL SELECT r, -1, 1 FROM y{s})")
+            for k in range(n_layers):
+                parts.append(
+                    f"z{s}_{k} AS MATERIALIZED (SELECT r, i, sum(v * w) AS v FROM a{s}_{k} JOIN w{s}_{k} USING (j) GROUP BY 1, 2)"
+                )
+                if k + 1 < n_layers:
+                    parts.append(f"a{s}_{k + 1} AS (SELECT r, i AS j, greatest(v, 0) AS v FROM z{s}_{k} UNION ALL SELECT r, -1, 1 FROM y{s})")
+            last = n_layers - 1
+            z = f"z{s}_{last}"
+            if loss == "ce":
+                parts.append(f"x{s} AS (SELECT r, max(v) AS top FROM {z} GROUP BY 1)")
+                parts.append(f"t{s} AS (SELECT r, any_value(top) AS top, sum(exp(v - top)) AS t, min(i) FILTER (WHERE v = top) AS pred FROM {z} JOIN x{s} USING (r) GROUP BY 1)")
+                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, exp(v - top) / t - (i = y)::INT AS v FROM {z} JOIN t{s} USING (r) JOIN y{s} USING (r))")
+                parts.append(f"l{s} AS MATERIALIZED (SELECT r, ln(t) + top - v AS loss, (pred = y)::INT AS hit FROM {z} JOIN t{s} USING (r) JOIN y{s} USING (r) WHERE i = y)")
+            elif loss == "bce":
+                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, 1 / (1 + exp(-v)) - y AS v FROM {z} JOIN y{s} USING (r))")
+                parts.append(
+                    f"l{s} AS MATERIALIZED (SELECT r, greatest(v, 0) - v * y + ln(1 + exp(-abs(v))) AS loss, (round_even(1 / (1 + exp(-v)), 0) = y)::INT AS hit FROM {z} JOIN y{s} USING (r))"
+                )
+            else:
+                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, sign(v - y) AS v FROM {z} JOIN y{s} USING (r))")
+                parts.append(f"l{s} AS MATERIALIZED (SELECT r, abs(v - y) AS loss, (abs(v - y) < 0.5)::INT AS hit FROM {z} JOIN y{s} USING (r))")
+            for k in range(last, 0, -1):
+                parts.append(
+                    f"d{s}_{k - 1} AS MATERIALIZED (SELECT d.r, w.j AS i, sum(d.v * w.w) * (any_value(p.v) > 0)::INT AS v FROM d{s}_{k} d JOIN w{s}_{k} w USING (i) "
+                    f"JOIN z{s}_{k - 1} p ON p.r = d.r AND p.i = w.j GROUP BY 1, 2)"
+                )
+            for k in range(n_layers):
+                parts.append(f"g{s}_{k} AS MATERIALIZED (SELECT i, j, sum(d.v * a.v) / (SELECT count(*) FROM y{s}) AS g FROM d{s}_{k} d JOIN a{s}_{k} a USING (r) GROUP BY 1, 2)")
+                if adam:
+                    m, q = "(0.9::DOUBLE * m + 0.1::DOUBLE * g)", "(0.999::DOUBLE * q + 0.001::DOUBLE * g * g)"
+                    move = f"{m} / (1 - power(0.9::DOUBLE, {s + 1})) / (sqrt({q} / (1 - power(0.999::DOUBLE, {s + 1}))) + 1e-8::DOUBLE)"
+                    new = f"w - {lr}::DOUBLE * {move} AS w, {m} AS m, {q} AS q"
+                else:
+                    new = f"w - {lr}::DOUBLE * g AS w, m, q"
+                parts.append(f"w{s + 1}_{k} AS MATERIALIZED (SELECT i, j, {new} FROM w{s}_{k} JOIN g{s}_{k} USING (i, j))")
+            step += 1
+        mine = " UNION ALL ".join(f"SELECT loss, hit FROM l{t}" for t in range(step - count, step))
+        parts.append(f"h{epoch} AS (SELECT avg(loss) AS loss, 100 * avg(hit) AS acc FROM ({mine}))")
+        rows += [f"SELECT {epoch} AS epoch, '{n}' AS metric, {sql_rnd(c)} AS value FROM h{epoch}" for n, c in (("train_loss", "loss"), ("train_acc", "acc"))]
+    for k in range(n_layers):
+        for n, cond in (("weight", "j >= 0"), ("bias", "j = -1")):
+            rows.append(f"SELECT -1, 'layers.{k}.{n}', {sql_rnd('sum(w)')} FROM w{step}_{k} WHERE {cond}")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(rows)
+
+
+_LOSS = ("train_loss", "train_acc")
+_FIT_DOCS = """f AS (SELECT doc_id AS r, n_chars / 10000.0::DOUBLE AS x0, length(regexp_replace(text, '[^ ]', '', 'g')) / 1000.0::DOUBLE AS x1, quality AS y FROM documents JOIN labels USING (doc_id)),
+dx AS (SELECT r, 0 AS j, x0 AS v FROM f UNION ALL SELECT r, 1, x1 FROM f), dy AS (SELECT r, y FROM f)"""
+_FIT_ORDERS = """dx AS (SELECT o_orderkey AS r, 0 AS j, (o_custkey + 0.37::DOUBLE) / 997.0::DOUBLE AS v FROM orders), dy AS (SELECT o_orderkey AS r, o_totalprice / 100000 AS y FROM orders)"""
+_FIT_VECTORS = """dx AS (SELECT vec_id AS r, unnest(range(64)) AS j, unnest(embedding)::DOUBLE AS v FROM embeddings), dy AS (SELECT vec_id AS r, label AS y FROM embeddings)"""
+
+
+def _start(sizes):
+    return mlp_params(None, sizes)
+
+
+@query("ml_4_fit_binary", sql_fit(_FIT_DOCS, [2, 10, 10, 1], "bce", 0.1, 3))
 def ml_4(spark, d):
-    return _history(training.fit_mlp(doc_features(spark, d), [2, 10, 10, 1], "bce", lr=0.1, epochs=4, run="binary"))
+    sizes = [2, 10, 10, 1]
+    return _history(training.fit_mlp(doc_features(spark, d), sizes, "bce", lr=0.1, epochs=3, init=_start(sizes)), *_LOSS)
 
 
 @query("ml_4_fit_circles")
@@ -299,38 +386,47 @@ def ml_4_circles(spark, d):
 
     points = circles(spark, d, 0.03).select("row_id", models.features("x1", "x2").alias("features"), "label")
     train, test = split_random(points, ["row_id"], 0.8, seed=42)
-    return _history(training.fit_mlp(train, [2, 10, 10, 1], "bce", lr=0.1, epochs=3, test=test, run="circles"))
+    return _history(training.fit_mlp(train, [2, 10, 10, 1], "bce", lr=0.1, epochs=3, test=test), *_LOSS, "test_loss", "test_acc")
 
 
-@query("ml_5_fit_regression")
+@query("ml_5_fit_regression", sql_fit(_FIT_ORDERS, [1, 10, 10, 1], "l1", 0.01, 2))
 def ml_5(spark, d):
     src = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("row_id"),
-        F.array(F.col("o_custkey") / 1000).alias("features"),
+        F.array((F.col("o_custkey") + 0.37) / 997).alias("features"),
         (F.col("o_totalprice") / 100000).alias("label"),
     )
-    return _history(training.fit_mlp(src, [1, 10, 10, 1], "l1", lr=0.01, epochs=3, run="regression"))
+    sizes = [1, 10, 10, 1]
+    return _history(training.fit_mlp(src, sizes, "l1", lr=0.01, epochs=2, init=_start(sizes)), *_LOSS)
 
 
-@query("ml_6_fit_classes")
+@query("ml_6_fit_classes", sql_fit(_FIT_VECTORS, [64, 10, 10, 10], "ce", 0.1, 3))
 def ml_6(spark, d):
-    return _history(training.fit_mlp(vector_rows(spark, d), [64, 10, 10], "ce", lr=0.1, epochs=4, run="classes"))
+    sizes = [64, 10, 10, 10]
+    return _history(training.fit_mlp(vector_rows(spark, d), sizes, "ce", lr=0.1, epochs=3, init=_start(sizes)), *_LOSS)
 
 
-@query("ml_7_fit_mini_batches")
+@query("ml_7_fit_mini_batches", sql_fit(_FIT_VECTORS, [64, 10, 10], "ce", 0.1, 2, batches=4))
 def ml_7(spark, d):
-    rows = vector_rows(spark, d)
+    rows, sizes = vector_rows(spark, d), [64, 10, 10]
     size = -(-rows.count() // 4)
-    return _history(training.fit_mlp(rows, [64, 10, 10], "ce", lr=0.1, epochs=2, batch_size=size, run="mini_batches"))
+    return _history(training.fit_mlp(rows, sizes, "ce", lr=0.1, epochs=2, batch_size=size, init=_start(sizes)), *_LOSS)
+
+
+@query("ml_8_fit_adam", sql_fit(_FIT_VECTORS, [64, 10, 10], "ce", 0.001, 3, adam=True))
+def ml_8_adam(spark, d):
+    sizes = [64, 10, 10]
+    return _history(training.fit_mlp(vector_rows(spark, d), sizes, "ce", lr=0.001, epochs=3, optimizer="adam", init=_start(sizes)), *_LOSS)
 
 
 @query("ml_8_fit_options")
 def ml_8(spark, d):
+    """Adam, dropout and a learning rate that halves on a plateau."""
     plateau = training.Plateau(factor=0.5, patience=0, threshold=0.5)
     fit = training.fit_mlp(
-        vector_rows(spark, d), [64, 10, 10], "ce", lr=0.001, epochs=4, optimizer="adam", dropout=0.2, plateau=plateau, seed=42, run="adam"
+        vector_rows(spark, d), [64, 10, 10], "ce", lr=0.001, epochs=4, optimizer="adam", dropout=0.2, plateau=plateau, seed=42
     )
-    return _history(fit)
+    return _history(fit, *_LOSS, "lr", "train_f1")
 
 
 @query("ml_19_history")
@@ -725,14 +821,28 @@ def ml_17(spark, d):
     return out.select("graph_id", rnd(F.col("pred"), 5).alias("pred"))
 
 
-@query("ml_18_fit_graph_head")
+_SQL_HEAD = f"""{SQL_GRAPH}, emb AS (SELECT g, j, sum(v) AS v FROM nx GROUP BY 1, 2 UNION ALL SELECT g, j + 4, max(v) FROM nx GROUP BY 1, 2),
+gy AS (SELECT g, avg(size) AS y, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t GROUP BY g),
+st AS (SELECT avg(y) AS mu, stddev_samp(y) AS sd FROM gy WHERE pos < floor(0.8 * n)),
+dy AS (SELECT g AS r, (y - mu) / sd AS y FROM gy, st WHERE pos < floor(0.8 * n)),
+dx AS (SELECT g AS r, j, v FROM emb)"""
+
+
+@query("ml_18_fit_graph_head", sql_fit(_SQL_HEAD, [8, 4, 2, 1], "l1", 0.01, 3, adam=True))
 def ml_18(spark, d):
-    """R2 on the original scale and the loss before and after a few epochs of the head."""
     graphs, nodes, edges = conversation_graphs(spark, d)
-    embedded = GR.pool_graphs(nodes, 4, graphs)
-    fit, preds = GR.fit_graph_head(embedded, graphs, [8, 4], lr=0.01, epochs=4, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau())
-    r2 = preds.agg(C.r2_score("pred", "y").alias("value")).select(F.lit("graph_head").alias("run"), F.lit(3).alias("epoch"), F.lit("test_r2").alias("metric"), "value")
-    return _history(fit).unionByName(r2)
+    fit, _ = GR.fit_graph_head(GR.pool_graphs(nodes, 4, graphs), graphs, [4, 2], lr=0.01, epochs=3, init=_start([8, 4, 2, 1]))
+    return _history(fit, *_LOSS)
+
+
+@query("ml_18_graph_head_r2")
+def ml_18_r2(spark, d):
+    """R2 on the original scale, with dropout after the first layer and the plateau rule."""
+    graphs, nodes, edges = conversation_graphs(spark, d)
+    fit, preds = GR.fit_graph_head(
+        GR.pool_graphs(nodes, 4, graphs), graphs, [8, 4], lr=0.01, epochs=4, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau()
+    )
+    return preds.agg(C.r2_score("pred", "y").alias("r2"), F.count(F.lit(1)).alias("n_graphs"))
 
 
 # --- sources and sinks ----------------------------------------------------
