@@ -7,6 +7,8 @@ words. Words are counted before anything else: the corpus is read once.
 
 from __future__ import annotations
 
+import heapq
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
-from framelearn.operators.text import collect_positions
+from framelearn.operators.text import collect_positions, decode_arrays, encode_by_dictionary
 from framelearn.plans.scale import lookup_join, small_rows, unnest
 from framelearn.session import materialize
 
@@ -143,22 +145,36 @@ def merges_frame(spark, merges: Iterable[tuple[int, str, str]]) -> DataFrame:
     return spark.createDataFrame(list(merges), "rank int, left string, right string")
 
 
-def _merge_word(symbols: list[str], rank: dict[tuple[str, str], int]) -> list[str]:
-    """Join the neighbouring pair of lowest rank, everywhere, until none is left."""
-    while len(symbols) > 1:
-        best = min(zip(symbols, symbols[1:]), key=lambda p: rank.get(p, 1 << 60))
-        if best not in rank:
-            break
-        out, i = [], 0
-        while i < len(symbols):
-            if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best:
-                out.append(symbols[i] + symbols[i + 1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
-    return symbols
+def merge_symbols(symbols: list, rank_of) -> list:
+    """Join the neighbouring pair of lowest rank, leftmost first, until none has a rank.
+
+    Pairs wait in a heap and are dropped when one of their ends has changed, so a
+    very long word costs n log n, not n squared.
+    """
+    parts, after = list(symbols), list(range(1, len(symbols) + 1))
+    before = list(range(-1, len(symbols) - 1))
+    heap: list = []
+
+    def offer(i):
+        j = after[i] if i >= 0 else len(parts)
+        if j < len(parts):
+            rank = rank_of(parts[i], parts[j])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, parts[i], parts[j]))
+
+    for i in range(len(parts) - 1):
+        offer(i)
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i] if parts[i] is not None else len(parts)
+        if j >= len(parts) or parts[i] != left or parts[j] != right:
+            continue
+        parts[i], parts[j], after[i] = left + right, None, after[j]
+        if after[j] < len(parts):
+            before[after[j]] = i
+        offer(before[i])
+        offer(i)
+    return [p for p in parts if p is not None]
 
 
 def split_words(words: DataFrame, merges: DataFrame, specials: Sequence[str] = (), chain: int = 64) -> DataFrame:
@@ -181,9 +197,12 @@ def split_words(words: DataFrame, merges: DataFrame, specials: Sequence[str] = (
         @F.arrow_udf("array<string>")
         def merged(column: pa.Array) -> pa.Array:
             rank = shared.value
-            return pa.array(
-                [None if s is None else _merge_word(s, rank) for s in column.to_pylist()], pa.list_(pa.string())
-            )
+
+            def rank_of(left, right):
+                return rank.get((left, right))
+
+            split = [None if s is None else merge_symbols(s, rank_of) for s in column.to_pylist()]
+            return pa.array(split, pa.list_(pa.string()))
 
         parts = merged(symbol_array(symbol_string(F.col("word"))))
     return words.select("word", F.when(special, F.array("word")).otherwise(parts).alias("parts"))
@@ -217,19 +236,27 @@ def symbol_vocab(merges: DataFrame, symbols_long: DataFrame, specials: Sequence[
 
 
 def bpe_encode(
-    tokens_long: DataFrame,
+    df: DataFrame,
     merges: DataFrame,
     vocab: DataFrame,
     keys: Sequence[str] = ("doc_id",),
+    tokens: str = "tokens",
     specials: Sequence[str] = (),
-    **kw,
+    chain: int = 64,
+    **limits,
 ) -> DataFrame:
-    """One array of symbol ids per document; a symbol outside the vocabulary is an error."""
-    parts = bpe_encode_long(tokens_long, merges, keys, specials, **kw)
-    found = lookup_join(parts.withColumnRenamed("symbol", "token"), vocab, ["token"], "left")
+    """Add ``ids``, the symbol ids of each document; a symbol outside the vocabulary is an error.
+
+    Distinct words are split and numbered once; documents then take their ids
+    from that dictionary.
+    """
+    words = unnest(df, [], tokens, "word").distinct()
+    parts = unnest(split_words(words, merges, specials, chain), ["word"], "parts", "token", "pos")
+    numbered = lookup_join(parts, vocab, ["token"], "left")
     missing = F.raise_error(F.concat(F.lit("symbol not in vocabulary: "), "token")).cast("long")
-    found = found.withColumn("id", F.coalesce("id", missing)).withColumn("pos", F.struct("pos", "sub"))
-    return collect_positions(found, keys, "id", "ids")
+    numbered = numbered.withColumn("id", F.coalesce("id", missing))
+    dictionary = materialize(collect_positions(numbered, ["word"], "id", "ids").withColumnRenamed("word", "token"))
+    return encode_by_dictionary(df, dictionary, keys, tokens, **limits)
 
 
 def bpe_decode(ids_long: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",), specials=()) -> DataFrame:
@@ -241,3 +268,94 @@ def bpe_decode(ids_long: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("do
         text = F.when(F.col("token").isin(list(specials)), F.concat("token", F.lit(" "))).otherwise(text)
     arrays = collect_positions(joined.withColumn("_s", text), keys, "_s", "_p")
     return arrays.select(*keys, F.rtrim(F.replace(F.array_join("_p", ""), F.lit(END_OF_WORD), F.lit(" "))).alias("text"))
+
+
+# --- rank files -----------------------------------------------------------
+
+# Fixed value: the pattern that cuts text into pieces before byte merges of the
+# widely used 50k-entry vocabulary.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def read_ranks(spark, path: str) -> DataFrame:
+    """``(token, rank)`` from a text file with one base64 token and its rank per line."""
+    parts = F.split("value", " ")
+    lines = spark.read.text(path).filter(F.length("value") > 0)
+    return lines.select(F.unbase64(parts[0]).alias("token"), parts[1].cast("long").alias("rank"))
+
+
+def piece_array(text: Column, specials: Sequence[str] = (), pattern: str = PIECES) -> Column:
+    """Text cut by the pattern; the given special tokens are cut out whole first."""
+    find = F.lit("(?U)" + pattern)
+    if not specials:
+        return F.regexp_extract_all(text, find, F.lit(0))
+    either = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+    segments = F.split(text, f"(?<={either})|(?={either})")
+    return F.flatten(
+        F.transform(
+            segments,
+            lambda s: F.when(s.isin(list(specials)), F.array(s)).otherwise(F.regexp_extract_all(s, find, F.lit(0))),
+        )
+    )
+
+
+def encode_ranks(
+    df: DataFrame,
+    ranks: DataFrame,
+    keys: Sequence[str] = ("doc_id",),
+    col: str = "text",
+    out: str = "ids",
+    specials: dict[str, int] | None = None,
+    pattern: str = PIECES,
+    **limits,
+) -> DataFrame:
+    """Text to ids of a byte-level rank table; ``specials`` maps allowed special tokens to ids.
+
+    Pieces are cut in the JVM, each distinct piece is merged once by Arrow tasks
+    that hold the rank table (after a size check), and documents take their ids
+    from the resulting dictionary.
+    """
+    specials = specials or {}
+    shared = df.sparkSession.sparkContext.broadcast(
+        {bytes(r["token"]): r["rank"] for r in small_rows(ranks.select("token", "rank"), "the rank table")}
+    )
+
+    @F.arrow_udf("array<long>")
+    def merged(column: pa.Array) -> pa.Array:
+        rank = shared.value
+
+        def rank_of(left, right):
+            return rank.get(left + right)
+
+        found = []
+        for piece in column.to_pylist():
+            raw = piece.encode("utf-8")
+            whole = rank.get(raw)
+            parts = [raw] if whole is not None else merge_symbols([raw[i : i + 1] for i in range(len(raw))], rank_of)
+            found.append([rank[p] for p in parts])
+        return pa.array(found, pa.list_(pa.int64()))
+
+    pieces = df.withColumn("_pieces", piece_array(F.col(col), list(specials), pattern))
+    distinct = unnest(pieces, [], "_pieces", "token").filter(~F.col("token").isin(list(specials))).distinct()
+    dictionary = distinct.select("token", merged("token").alias("ids"))
+    if specials:
+        extra = df.sparkSession.createDataFrame([(t, [i]) for t, i in specials.items()], "token string, ids array<long>")
+        dictionary = dictionary.unionByName(extra)
+    return encode_by_dictionary(pieces, materialize(dictionary), keys, "_pieces", out, **limits).drop("_pieces")
+
+
+def decode_ranks(
+    df: DataFrame,
+    ranks: DataFrame,
+    keys: Sequence[str] = ("doc_id",),
+    ids: str = "ids",
+    out: str = "text",
+    specials: dict[str, int] | None = None,
+) -> DataFrame:
+    """Ids back to text: token bytes strung together, bad UTF-8 replaced."""
+    table = ranks.select(F.col("rank").alias("id"), F.hex("token").alias("token"))
+    if specials:
+        rows = [(i, t.encode().hex().upper()) for t, i in specials.items()]
+        table = table.unionByName(df.sparkSession.createDataFrame(rows, "id long, token string"))
+    found = decode_arrays(df, table, keys, ids, "_t")
+    return found.withColumn(out, F.make_valid_utf8(F.unhex(F.array_join("_t", "")).cast("string"))).drop("_t")

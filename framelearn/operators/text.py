@@ -8,13 +8,12 @@ vocabularies beyond a broadcast and for streams of tokens longer than one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from framelearn.plans.scale import (
     BROADCAST_BYTES,
@@ -184,31 +183,64 @@ def encode(
     return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
 
 
+def encode_by_dictionary(
+    df: DataFrame,
+    dictionary: DataFrame,
+    keys: Sequence[str],
+    tokens: str = "tokens",
+    out: str = "ids",
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Replace every token by its list of ids from ``(token, ids)``; lists are strung together.
+
+    A dictionary within the limits is looked up in place; a larger one is joined
+    in long form, hot tokens by broadcast. Every token must be in it.
+    """
+    if fits(dictionary, max_rows, max_bytes):
+        words, lists = _arrow_pair(dictionary, "token", "ids")
+        found = _lookup_udf(df.sparkSession, words, lists, "array<array<long>>")(F.col(tokens))
+        known = df.withColumn("_f", found).withColumn("_f", _strict(F.col("_f"), "token not in dictionary"))
+        return known.withColumn(out, F.flatten("_f")).drop("_f")
+    long = lookup_join(explode_tokens(df, keys, tokens), dictionary, ["token"], "left", max_rows=0)
+    missing = F.raise_error(F.concat(F.lit("token not in dictionary: "), "token")).cast("array<long>")
+    long = long.withColumn("ids", F.coalesce("ids", missing))
+    arrays = collect_positions(long, keys, "ids", "_f").select(*keys, F.flatten("_f").alias(out))
+    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<long>"))
+    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
+
+
 def tidy_text(text: Column) -> Column:
     """Remove the space before , . ? ! " ( ) ' that joining with spaces left."""
     return F.regexp_replace(text, NO_SPACE_BEFORE, "$1")
 
 
-def decode(
+def decode_arrays(
     df: DataFrame,
     vocab: DataFrame,
-    keys: Sequence[str] = ("doc_id",),
+    keys: Sequence[str],
     ids: str = "ids",
-    out: str = "decoded",
+    out: str = "tokens",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Id arrays back to text; an id outside the vocabulary is an error."""
+    """Id arrays to token arrays; an id outside the vocabulary is an error."""
     if fits(vocab, max_rows, max_bytes):
         numbers, words = _arrow_pair(vocab, "id", "token")
         found = _lookup_udf(df.sparkSession, numbers, words, "array<string>")(F.col(ids))
-        known = df.withColumn("_f", found).withColumn("_f", _strict(F.col("_f"), "id not in vocabulary"))
-        return known.withColumn(out, tidy_text(F.array_join("_f", " "))).drop("_f")
+        return df.withColumn("_f", found).withColumn(out, _strict(F.col("_f"), "id not in vocabulary")).drop("_f")
     long = decode_long(explode_tokens(df, keys, ids, "id"), vocab, max_rows=max_rows, max_bytes=max_bytes)
-    arrays = collect_positions(long, keys, "token", "_t")
-    joined = df.join(arrays, list(keys), "left")
-    text = tidy_text(F.array_join(F.coalesce("_t", F.array().cast("array<string>")), " "))
-    return joined.withColumn(out, F.when(F.col(ids).isNotNull(), text)).drop("_t")
+    arrays = collect_positions(long, keys, "token", out)
+    empty = F.when(F.col(ids).isNotNull(), F.array().cast("array<string>"))
+    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
+
+
+def decode(
+    df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",), ids: str = "ids", out: str = "decoded", **limits
+) -> DataFrame:
+    """Id arrays back to text, joined with spaces and tidied."""
+    words = decode_arrays(df, vocab, keys, ids, "_t", **limits)
+    return words.withColumn(out, tidy_text(F.array_join("_t", " "))).drop("_t")
 
 
 def decode_long(ids_long: DataFrame, vocab: DataFrame, **limits) -> DataFrame:
@@ -323,7 +355,7 @@ def lm_windows_long(
 
 def lm_dataset(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | None = None,
     key: str = "doc_id",
     col: str = "text",
     batch_size: int = 4,
@@ -335,14 +367,22 @@ def lm_dataset(
     epoch: int = 0,
     bang: bool = False,
     on_unknown: str = "unk",
+    encoder: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Text to batches of windows: ``(key, chunk_id, input_ids, target_ids, idx, batch_id)``.
 
+    Ids come from ``vocab`` or from any ``encoder`` that adds an ``ids`` array.
+
     Without a shuffle the number of a window is its document's offset plus its
     place, so only one number per document is ranked; with one, windows are
     ranked by a seeded hash of their key.
     """
-    docs = encode(tokenize(df.select(key, col), col, bang=bang), vocab, [key], on_unknown=on_unknown)
+    if encoder is None:
+        if vocab is None:
+            raise ValueError("give a vocabulary or an encoder")
+        docs = encode(tokenize(df.select(key, col), col, bang=bang), vocab, [key], on_unknown=on_unknown)
+    else:
+        docs = encoder(df.select(key, col))
     docs = docs.select(key, "ids")
     counts = docs.select(key, window_count(F.size("ids"), length, stride).alias("_n")).filter("_n > 0")
     counts = materialize(counts)
@@ -370,6 +410,3 @@ def token_statistics(df: DataFrame, tokens: str = "tokens", col: str = "text") -
         F.sum(F.length(col)).alias("n_chars"),
         F.sum(F.size(tokens)).alias("n_tokens"),
     )
-
-
-VOCAB_SCHEMA = T.StructType([T.StructField("token", T.StringType()), T.StructField("id", T.LongType())])

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from framelearn.operators import bpe, text
 from framelearn.plans.registry import query, table
-from framelearn.plans.scale import lookup_join, spread
-from framelearn.session import materialize
+from framelearn.plans.scale import lookup_join, spread, unnest
 
 # --- shared SQL -----------------------------------------------------------
 
@@ -427,9 +426,8 @@ def tok_13(spark, d):
 def tok_14(spark, d):
     """Text encoded to symbol ids and decoded again gives its tokens back."""
     merges = bpe.merges_frame(spark, bpe.bpe_train(word_counts(spark, d), N_MERGES))
-    long = tokens_long(spark, d)
-    parts = materialize(bpe.bpe_encode_long(long, merges))
-    vocab = bpe.symbol_vocab(merges, parts)
-    ids = bpe.bpe_encode(long, merges, vocab)
+    words = word_counts(spark, d).select("word")
+    vocab = bpe.symbol_vocab(merges, unnest(bpe.split_words(words, merges), [], "parts", "symbol"))
+    ids = bpe.bpe_encode(tokens(spark, d), merges, vocab)
     back = bpe.bpe_decode(ids.select("doc_id", F.posexplode("ids").alias("pos", "id")), vocab)
     return back.select("doc_id", F.md5("text").alias("digest"))
