@@ -18,7 +18,11 @@ def as_col(c) -> Column:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value once, so that it is not computed again for every array element."""
+    """Bind a value once, so that it is not computed again for every array element.
+
+    A value that comes from a Python function must be bound this way before a
+    lambda uses it, since Spark cannot run such a function inside a lambda.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -67,7 +71,8 @@ def cosine(a, b) -> Column:
 
 
 def scale_vec(v, factor: Column) -> Column:
-    return let(factor, lambda f: F.transform(as_col(v), lambda x: x * f))
+    bound = F.struct(as_col(v).alias("v"), factor.alias("f"))
+    return let(bound, lambda s: F.transform(s["v"], lambda x: x.cast("double") * s["f"]))
 
 
 def softmax(z) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.text import collect_positions, decode_arrays, encode_by_dictionary
-from framelearn.plans.scale import lookup_join, small_rows, unnest
+from framelearn.plans.scale import lookup_join, settle, small_rows, unnest
 from framelearn.session import materialize
 
 #: Fixed value: the mark for the end of a word.
@@ -335,7 +335,7 @@ def encode_ranks(
             found.append([rank[p] for p in parts])
         return pa.array(found, pa.list_(pa.int64()))
 
-    pieces = df.withColumn("_pieces", piece_array(F.col(col), list(specials), pattern))
+    pieces = settle(df, "_pieces", piece_array(F.col(col), list(specials), pattern))
     distinct = unnest(pieces, [], "_pieces", "token").filter(~F.col("token").isin(list(specials))).distinct()
     dictionary = distinct.select("token", merged("token").alias("ids"))
     if specials:

@@ -20,7 +20,7 @@ from framelearn.operators.batches import with_split
 from framelearn.operators.models import forward, layer_list, param_arrays
 from framelearn.operators.tensors import fit_stats, row_function, standardize, vector_sum
 from framelearn.operators.training import Fit, fit_mlp
-from framelearn.plans.scale import lookup_join
+from framelearn.plans.scale import lookup_join, settle
 from framelearn.session import materialize
 
 NODE = ["graph_id", "node_id"]
@@ -98,9 +98,8 @@ def mp_layer(nodes: DataFrame, edges: DataFrame, params: Mapping[str, np.ndarray
     message = row_function(lambda x: norm_block(x, shared.value, f"{prefix}.msg"))
     update = row_function(lambda x: norm_block(x, shared.value, f"{prefix}.upd"))
     ends = endpoints(edges, nodes, ["x"], **limits)
-    sent = ends.select(
-        "graph_id", "dst", message(C.concat_vec("x_i", "x_j", F.col("attr").cast("array<double>"), F.array("dist"))).alias("m")
-    )
+    ends = settle(ends, "_in", C.concat_vec("x_i", "x_j", F.col("attr").cast("array<double>"), F.array("dist")))
+    sent = ends.select("graph_id", "dst", message("_in").alias("m"))
     dim = len(own[f"{prefix}.msg.1.bias"])
     summed = neighbour_sum(sent, nodes.select("graph_id", "node_id", "x"), "m", dim)
     return summed.select("graph_id", "node_id", update(C.concat_vec("x", "agg")).alias("x"))

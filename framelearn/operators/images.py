@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.models import param_arrays
-from framelearn.plans.scale import maybe_broadcast, unnest
+from framelearn.plans.scale import maybe_broadcast, settle, unnest
 
 #: Weights of red, green and blue in a grey value (ITU-R 601).
 GREY = (0.299, 0.587, 0.114)
@@ -55,43 +55,40 @@ def image_function(fn: Callable[[np.ndarray], np.ndarray]):
 
 def map_images(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """Replace every image by ``fn`` of it (C, H, W in and out)."""
-    made = image_function(fn)("pixels", "channels", "height", "width")
-    kept = [c for c in df.columns if c not in ("channels", "height", "width", "pixels")]
-    return df.withColumn("_m", made).select(*kept, "_m.channels", "_m.height", "_m.width", "_m.pixels")
+    parts = ("pixels", "channels", "height", "width")
+    kept = [c for c in df.columns if c not in parts]
+    ready = settle(df, "_p", F.struct(*parts)).select(*kept, "_p")
+    made = image_function(fn)(*[F.col(f"_p.{c}") for c in parts])
+    return ready.withColumn("_m", made).select(*kept, "_m.channels", "_m.height", "_m.width", "_m.pixels")
 
 
 def to_tensor(df: DataFrame, raw: str = "data") -> DataFrame:
     """Row-major H, W, C values 0..255 in ``raw`` (array) -> C, H, W values 0..1 in ``pixels``."""
     plane = F.col("height") * F.col("width")
 
-    def moved(plane_size: Column) -> Column:
+    def moved(s: Column) -> Column:
         return F.transform(
-            F.sequence(F.lit(0), F.size(raw) - 1),
-            lambda i: F.get(F.col(raw), (i % plane_size) * F.col("channels") + F.floor(i / plane_size).cast("int")) / 255.0,
+            F.sequence(F.lit(0), F.size(s["v"]) - 1),
+            lambda i: F.get(s["v"], (i % s["n"]) * s["c"] + F.floor(i / s["n"]).cast("int")) / 255.0,
         )
 
-    return df.withColumn("pixels", F.when(F.size(raw) > 0, let(plane, moved)).otherwise(F.array().cast("array<double>")))
+    bound = F.struct(F.col(raw).alias("v"), F.col("channels").alias("c"), plane.alias("n"))
+    return df.withColumn("pixels", F.when(F.size(raw) > 0, let(bound, moved)).otherwise(F.array().cast("array<double>")))
 
 
 def to_uint8(df: DataFrame) -> DataFrame:
     """C, H, W values 0..1 back to 0..255 integers in H, W, C order, as ``data``."""
-    area = F.col("height") * F.col("width")
+    plane = F.col("height") * F.col("width")
 
-    def moved(plane: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size("pixels") - 1),
-            lambda i: F.floor(
-                F.least(
-                    F.lit(255.0),
-                    F.greatest(
-                        F.lit(0.0),
-                        F.get(F.col("pixels"), (i % F.col("channels")) * plane + F.floor(i / F.col("channels")).cast("int")) * 255.0,
-                    ),
-                )
-            ).cast("int"),
-        )
+    def moved(s: Column) -> Column:
+        def byte(i: Column) -> Column:
+            v = F.get(s["v"], (i % s["c"]) * s["n"] + F.floor(i / s["c"]).cast("int")) * 255.0
+            return F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v))).cast("int")
+
+        return F.transform(F.sequence(F.lit(0), F.size(s["v"]) - 1), byte)
 
-    return df.withColumn("data", F.when(F.size("pixels") > 0, let(area, moved)).otherwise(F.array().cast("array<int>")))
+    bound = F.struct(F.col("pixels").alias("v"), F.col("channels").alias("c"), plane.alias("n"))
+    return df.withColumn("data", F.when(F.size("pixels") > 0, let(bound, moved)).otherwise(F.array().cast("array<int>")))
 
 
 def grayscale(df: DataFrame) -> DataFrame:
@@ -234,7 +231,9 @@ def predict_cnn(df: DataFrame, params: DataFrame, out: str = "logits", chunk: in
         offsets = np.arange(len(z) + 1, dtype=np.int32) * z.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.reshape(-1)))
 
-    return df.withColumn(out, score("pixels", "channels", "height", "width"))
+    parts = ("pixels", "channels", "height", "width")
+    ready = settle(df, "_p", F.struct(*parts))
+    return ready.withColumn(out, score(*[F.col(f"_p.{c}") for c in parts])).drop("_p")
 
 
 def as_images(df: DataFrame, key: str, col: str, channels: int, height: int, width: int, keep: Sequence[str] = ()) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from framelearn.functions import columns as C
 from framelearn.operators.metrics import is_multiclass
 from framelearn.operators.tensors import row_function
-from framelearn.plans.scale import maybe_broadcast, small_rows
+from framelearn.plans.scale import maybe_broadcast, settle, small_rows
 from framelearn.sources.generators import grid
 
 PARAM_SCHEMA = "name string, storage_id string, shape array<int>, values array<double>"
@@ -95,7 +95,8 @@ def predict_mlp(
     """Add the last layer's outputs; ``relu=False`` chains the linear layers only."""
     layers = layer_list(param_arrays(params), prefix)
     shared = df.sparkSession.sparkContext.broadcast(layers)
-    return df.withColumn(out, row_function(lambda x: forward(x, shared.value, relu))(F.col(col)))
+    score = row_function(lambda x: forward(x, shared.value, relu))
+    return settle(df, "_x", F.col(col)).withColumn(out, score("_x")).drop("_x")
 
 
 def binary_label(logits: str = "logits") -> Column:

@@ -87,6 +87,15 @@ def unnest(df: DataFrame, keep: Sequence, array, value: str, pos: str | None = N
     return out if pos else out.drop(at)
 
 
+def settle(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later steps see as a plain one, never as its expression.
+
+    For arguments of Python functions that contain lambdas: merged into the call,
+    they are at times left unplanned. The one-element explode keeps them apart.
+    """
+    return df.withColumn(name, F.explode_outer(F.array(value)))
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, hot_parts: int = HOT_PARTS):
     """Keys holding ``hot_rows`` rows and 1/``hot_parts`` of all: at most ``hot_parts`` rows."""
     total = df.count()
