@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelearn.plans.scale import below, dense_index, key_at_rank, order_hash
@@ -98,6 +98,20 @@ def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFr
     return df.orderBy(order_hash(*key, seed=seed), *key).limit(n)
 
 
+def top_n(df: DataFrame, value: str, n: int, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` rows with the largest value (per group), ranked from 1; ties go to the smaller key.
+
+    Each task drops what cannot be among its first ``n`` before the shuffle.
+    """
+    if not by:
+        best = df.orderBy(F.desc(value), *ties).limit(n)
+        return dense_index(best.withColumn("_v", -F.col(value)), ["_v", *ties], name="rank").withColumn(
+            "rank", F.col("rank") + 1
+        ).drop("_v")
+    over = Window.partitionBy(*by).orderBy(F.desc(value), *ties)
+    return df.withColumn("rank", F.row_number().over(over).cast("long")).filter(F.col("rank") <= n)
+
+
 def assign_batches(
     df: DataFrame,
     key: Sequence[str],

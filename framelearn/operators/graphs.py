@@ -10,6 +10,7 @@ shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,11 +29,14 @@ NODE = ["graph_id", "node_id"]
 
 def graph_sizes(graphs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: graphs, nodes, edges, and the widths of node and edge features."""
-    one = F.lit(1).alias("k")
-    n = nodes.agg(F.count(F.lit(1)).alias("n_nodes"), F.max(F.size("x")).alias("n_node_features")).select("*", one)
-    e = edges.agg(F.count(F.lit(1)).alias("n_edges"), F.max(F.size("attr")).alias("n_edge_features")).select("*", one)
-    g = graphs.agg(F.count(F.lit(1)).alias("n_graphs")).select("*", one)
-    return g.join(n, "k").join(e, "k").drop("k")
+    names = ("n_graphs", "n_nodes", "n_node_features", "n_edges", "n_edge_features")
+    parts = [
+        graphs.agg(F.count(F.lit(1)).alias("n_graphs")),
+        nodes.agg(F.count(F.lit(1)).alias("n_nodes"), F.max(F.size("x")).alias("n_node_features")),
+        edges.agg(F.count(F.lit(1)).alias("n_edges"), F.max(F.size("attr")).alias("n_edge_features")),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(n).alias(n) for n in names])
 
 
 def endpoints(edges: DataFrame, nodes: DataFrame, cols: Sequence[str] = ("x", "pos"), **limits) -> DataFrame:

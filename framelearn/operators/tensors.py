@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelearn.plans.scale import BROADCAST_BYTES, lookup_join, maybe_broadcast, small_rows
+from framelearn.plans.scale import BROADCAST_BYTES, dense_index, fits, lookup_join, maybe_broadcast, small_rows
 
 
 def axes(df: DataFrame) -> list[str]:
@@ -177,11 +177,17 @@ def matmul(a: DataFrame, b: DataFrame, block: int = 128) -> DataFrame:
     """Matrix product of two coordinate matrices, absent cells being zero.
 
     Cells are packed into blocks, blocks meet on the shared block index, and the
-    partial products are summed per cell. Only cells with a stored contribution
-    come out.
+    partial products are summed per cell. When one side fits a broadcast it is
+    sent to the other's tasks: a tall matrix times a small one has few shared
+    indexes, and a shuffle on them would end in few tasks. Only cells with a
+    stored contribution come out.
     """
     left = _blocks(a, "i0", "i1", block).select(F.col("_r").alias("I"), F.col("_c").alias("K"), F.col("p").alias("ap"), F.col("x").alias("ax"))
     right = _blocks(b, "i0", "i1", block).select(F.col("_r").alias("K"), F.col("_c").alias("J"), F.col("p").alias("bp"), F.col("x").alias("bx"))
+    if fits(b):
+        right = F.broadcast(right)
+    elif fits(a):
+        left = F.broadcast(left)
     pairs = left.join(right, "K").select("I", "J", "ap", "ax", "bp", "bx")
 
     def multiply(batches):
@@ -313,8 +319,6 @@ def frame_from(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFrame
 
 def class_ids(df: DataFrame, col: str) -> DataFrame:
     """``(class_name, label)``: distinct names in order from 0."""
-    from framelearn.plans.scale import dense_index
-
     names = df.select(F.col(col).alias("class_name")).distinct()
     return dense_index(names, ["class_name"], name="label").withColumn("label", F.col("label").cast("int"))
 

@@ -376,6 +376,16 @@ def ord_1(spark, d):
     return dense_index(table(spark, d, "part").select("p_type").distinct(), ["p_type"])
 
 
+@query(
+    "ord_2_top_n",
+    """WITH r AS (SELECT o_orderpriority, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)
+SELECT * FROM r WHERE rank <= 5""",
+)
+def ord_2(spark, d):
+    rows = table(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return batches.top_n(rows, "o_totalprice", 5, ["o_orderkey"], ["o_orderpriority"])
+
+
 _SPLIT_OUT = "count(*) AS n, sum(o_orderkey)::BIGINT AS keys, max(o_orderkey) AS last_key"
 
 

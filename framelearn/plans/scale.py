@@ -26,7 +26,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
 HOT_PARTS = 1024
 
-ROWS_PER_BUCKET = 1_000_000
+#: Rows that one key range aims at when positions are counted, and the most ranges there are.
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 16_384
 
 
