@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from framelearn.functions import columns as C
 from framelearn.operators import graphs as GR
 from framelearn.operators import images as IM
-from framelearn.operators import metrics, models, tensors, text, training
+from framelearn.operators import metrics, models, tensors, training
+from framelearn.operators.batches import split_random
 from framelearn.plans.metric_queries import SQL_VECTORS, predicted, scored_docs, scored_vectors, SQL_DOCS
 from framelearn.plans.registry import query, rnd, sql_rnd, table
 from framelearn.plans.scale import dense_index, lookup_join, spread
-from framelearn.plans.tensor_queries import SQL_X, circles
+from framelearn.plans.tensor_queries import _CIRCLE, SQL_X, circles, sql_gauss
 from framelearn.plans.text_queries import SQL_PART_VOCAB, _ID_DIGEST, _id_digest, part_vocab
 from framelearn.session import shared_dir
 from framelearn.sources import readers, writers
@@ -295,49 +296,61 @@ def _history(fit, *wanted):
     return kept.unionByName(sums).select("epoch", "metric", rnd(F.col("value")).alias("value"))
 
 
-def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False):
+def _forward_sql(tag, step, n_layers, x, y):
+    """Activations a<tag>_k and outputs z<tag>_k of rows (x, y) with the weights of a step."""
+    parts = [f"a{tag}_0 AS (SELECT r, j, v FROM {x} JOIN {y} USING (r) UNION ALL SELECT r, -1, 1 FROM {y})"]
+    for k in range(n_layers):
+        parts.append(f"z{tag}_{k} AS MATERIALIZED (SELECT r, i, sum(v * w) AS v FROM a{tag}_{k} JOIN w{step}_{k} USING (j) GROUP BY 1, 2)")
+        if k + 1 < n_layers:
+            parts.append(f"a{tag}_{k + 1} AS (SELECT r, i AS j, greatest(v, 0) AS v FROM z{tag}_{k} UNION ALL SELECT r, -1, 1 FROM {y})")
+    return parts
+
+
+def _loss_sql(tag, loss, z, y):
+    """l<tag>(r, loss, hit) and the slope of the loss at the outputs, d<tag>(r, i, v)."""
+    if loss == "ce":
+        return [
+            f"x{tag} AS (SELECT r, max(v) AS top FROM {z} GROUP BY 1)",
+            f"t{tag} AS (SELECT r, any_value(top) AS top, sum(exp(v - top)) AS t, min(i) FILTER (WHERE v = top) AS pred FROM {z} JOIN x{tag} USING (r) GROUP BY 1)",
+            f"d{tag} AS MATERIALIZED (SELECT r, i, exp(v - top) / t - (i = y)::INT AS v FROM {z} JOIN t{tag} USING (r) JOIN {y} USING (r))",
+            f"l{tag} AS MATERIALIZED (SELECT r, ln(t) + top - v AS loss, (pred = y)::INT AS hit FROM {z} JOIN t{tag} USING (r) JOIN {y} USING (r) WHERE i = y)",
+        ]
+    if loss == "bce":
+        slope, value = "1 / (1 + exp(-v)) - y", "greatest(v, 0) - v * y + ln(1 + exp(-abs(v)))"
+        hit = "(round_even(1 / (1 + exp(-v)), 0) = y)"
+    else:
+        slope, value, hit = "sign(v - y)", "abs(v - y)", "(abs(v - y) < 0.5)"
+    return [
+        f"d{tag} AS MATERIALIZED (SELECT r, i, {slope} AS v FROM {z} JOIN {y} USING (r))",
+        f"l{tag} AS MATERIALIZED (SELECT r, {value} AS loss, {hit}::INT AS hit FROM {z} JOIN {y} USING (r))",
+    ]
+
+
+def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False, test=False, final=None):
     """The same training in SQL: relations for weights, activations and slopes per step.
 
-    ``data`` defines dx(r, j, v) and dy(r, y). Biases are weights at j = -1. With
-    ``batches`` (number of batches, key text) each epoch deals rows by seeded hash.
+    ``data`` defines dx(r, j, v) and dy(r, y), with ``test`` also tx and ty. Biases
+    are weights at j = -1. With ``batches`` each epoch deals rows by seeded hash.
+    ``final`` is a query over the last test outputs, zt(r, i, v), instead of the history.
     """
     n_layers, parts, rows, step = len(sizes) - 1, [data], [], 0
+    last = n_layers - 1
     for k, (n_in, n_out) in enumerate(zip(sizes, sizes[1:])):
         grid = f"(SELECT unnest(range({n_out})) AS i) a, (SELECT unnest(range(-1, {n_in})) AS j) b"
         rule = f"CASE WHEN j = -1 THEN ((i*3 + {k}) % 5 - 2) / 10.0::DOUBLE ELSE {sql_weight(k, 'i', 'j')} END"
         parts.append(f"w0_{k} AS (SELECT i, j, {rule} AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS q FROM {grid})")
     for epoch in range(epochs):
+        count = batches or 1
         if batches:
-            count, size = batches, f"((SELECT count(*) FROM dy) + {batches - 1}) // {batches}"
+            size = f"((SELECT count(*) FROM dy) + {batches - 1}) // {batches}"
             place = f"row_number() OVER (ORDER BY ('0x'||substr(md5(r||':0:{epoch}'),1,15))::BIGINT, r) - 1"
             parts.append(f"deal{epoch} AS MATERIALIZED (SELECT r, y, ({place}) // ({size}) AS b FROM dy)")
-        else:
-            count = 1
         for b in range(count):
             s = step
             parts.append(f"y{s} AS (SELECT r, y FROM deal{epoch} WHERE b = {b})" if batches else f"y{s} AS (SELECT r, y FROM dy)")
-            parts.append(f"a{s}_0 AS (SELECT r, j, v FROM dx JOIN y{s} USING (r) UNION ALL SELECT r, -1, 1 FROM y{s})")
-            for k in range(n_layers):
-                parts.append(
-                    f"z{s}_{k} AS MATERIALIZED (SELECT r, i, sum(v * w) AS v FROM a{s}_{k} JOIN w{s}_{k} USING (j) GROUP BY 1, 2)"
-                )
-                if k + 1 < n_layers:
-                    parts.append(f"a{s}_{k + 1} AS (SELECT r, i AS j, greatest(v, 0) AS v FROM z{s}_{k} UNION ALL SELECT r, -1, 1 FROM y{s})")
-            last = n_layers - 1
-            z = f"z{s}_{last}"
-            if loss == "ce":
-                parts.append(f"x{s} AS (SELECT r, max(v) AS top FROM {z} GROUP BY 1)")
-                parts.append(f"t{s} AS (SELECT r, any_value(top) AS top, sum(exp(v - top)) AS t, min(i) FILTER (WHERE v = top) AS pred FROM {z} JOIN x{s} USING (r) GROUP BY 1)")
-                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, exp(v - top) / t - (i = y)::INT AS v FROM {z} JOIN t{s} USING (r) JOIN y{s} USING (r))")
-                parts.append(f"l{s} AS MATERIALIZED (SELECT r, ln(t) + top - v AS loss, (pred = y)::INT AS hit FROM {z} JOIN t{s} USING (r) JOIN y{s} USING (r) WHERE i = y)")
-            elif loss == "bce":
-                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, 1 / (1 + exp(-v)) - y AS v FROM {z} JOIN y{s} USING (r))")
-                parts.append(
-                    f"l{s} AS MATERIALIZED (SELECT r, greatest(v, 0) - v * y + ln(1 + exp(-abs(v))) AS loss, (round_even(1 / (1 + exp(-v)), 0) = y)::INT AS hit FROM {z} JOIN y{s} USING (r))"
-                )
-            else:
-                parts.append(f"d{s}_{last} AS MATERIALIZED (SELECT r, i, sign(v - y) AS v FROM {z} JOIN y{s} USING (r))")
-                parts.append(f"l{s} AS MATERIALIZED (SELECT r, abs(v - y) AS loss, (abs(v - y) < 0.5)::INT AS hit FROM {z} JOIN y{s} USING (r))")
+            parts += _forward_sql(s, s, n_layers, "dx", f"y{s}")
+            parts += _loss_sql(s, loss, f"z{s}_{last}", f"y{s}")
+            parts.append(f"d{s}_{last} AS (SELECT * FROM d{s})")
             for k in range(last, 0, -1):
                 parts.append(
                     f"d{s}_{k - 1} AS MATERIALIZED (SELECT d.r, w.j AS i, sum(d.v * w.w) * (any_value(p.v) > 0)::INT AS v FROM d{s}_{k} d JOIN w{s}_{k} w USING (i) "
@@ -354,8 +367,17 @@ def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False):
                 parts.append(f"w{s + 1}_{k} AS MATERIALIZED (SELECT i, j, {new} FROM w{s}_{k} JOIN g{s}_{k} USING (i, j))")
             step += 1
         mine = " UNION ALL ".join(f"SELECT loss, hit FROM l{t}" for t in range(step - count, step))
-        parts.append(f"h{epoch} AS (SELECT avg(loss) AS loss, 100 * avg(hit) AS acc FROM ({mine}))")
-        rows += [f"SELECT {epoch} AS epoch, '{n}' AS metric, {sql_rnd(c)} AS value FROM h{epoch}" for n, c in (("train_loss", "loss"), ("train_acc", "acc"))]
+        kinds = [("train", mine)]
+        if test:
+            parts += _forward_sql(f"t{epoch}", step, n_layers, "tx", "ty")
+            parts += _loss_sql(f"t{epoch}", loss, f"zt{epoch}_{last}", "ty")
+            kinds.append(("test", f"SELECT loss, hit FROM lt{epoch}"))
+        for kind, source in kinds:
+            parts.append(f"h{kind}{epoch} AS (SELECT avg(loss) AS loss, 100 * avg(hit) AS acc FROM ({source}))")
+            rows += [f"SELECT {epoch} AS epoch, '{kind}_{n}' AS metric, {sql_rnd(n)} AS value FROM h{kind}{epoch}" for n in ("loss", "acc")]
+    if final:
+        parts.append(f"zt AS (SELECT * FROM zt{epochs - 1}_{last})")
+        return "WITH " + ",\n".join(parts) + "\n" + final
     for k in range(n_layers):
         for n, cond in (("weight", "j >= 0"), ("bias", "j = -1")):
             rows.append(f"SELECT -1, 'layers.{k}.{n}', {sql_rnd('sum(w)')} FROM w{step}_{k} WHERE {cond}")
@@ -379,14 +401,21 @@ def ml_4(spark, d):
     return _history(training.fit_mlp(doc_features(spark, d), sizes, "bce", lr=0.1, epochs=3, init=_start(sizes)), *_LOSS)
 
 
-@query("ml_4_fit_circles")
+_FIT_CIRCLES = f"""{_CIRCLE},
+pt AS (SELECT row_id AS r, label AS y, r * cos(t) + 0.03::DOUBLE * {sql_gauss('row_id', 42, 0)} AS x0, r * sin(t) + 0.03::DOUBLE * {sql_gauss('row_id', 42, 1)} AS x1,
+  row_number() OVER (ORDER BY ('0x'||substr(md5(row_id||':42:0'),1,15))::BIGINT, row_id) - 1 AS pos, count(*) OVER () AS n FROM a),
+dy AS (SELECT r, y FROM pt WHERE pos < floor(0.8 * n)), ty AS (SELECT r, y FROM pt WHERE pos >= floor(0.8 * n)),
+dx AS (SELECT r, 0 AS j, x0 AS v FROM pt UNION ALL SELECT r, 1, x1 FROM pt), tx AS (SELECT * FROM dx)"""
+
+
+@query("ml_4_fit_circles", sql_fit(_FIT_CIRCLES, [2, 10, 10, 1], "bce", 0.1, 3, test=True))
 def ml_4_circles(spark, d):
     """Circles with one point per customer, split at random, with test metrics."""
-    from framelearn.operators.batches import split_random
-
     points = circles(spark, d, 0.03).select("row_id", models.features("x1", "x2").alias("features"), "label")
     train, test = split_random(points, ["row_id"], 0.8, seed=42)
-    return _history(training.fit_mlp(train, [2, 10, 10, 1], "bce", lr=0.1, epochs=3, test=test), *_LOSS, "test_loss", "test_acc")
+    sizes = [2, 10, 10, 1]
+    fit = training.fit_mlp(train, sizes, "bce", lr=0.1, epochs=3, test=test, init=_start(sizes))
+    return _history(fit, *_LOSS, "test_loss", "test_acc")
 
 
 @query("ml_5_fit_regression", sql_fit(_FIT_ORDERS, [1, 10, 10, 1], "l1", 0.01, 2))
@@ -825,24 +854,36 @@ _SQL_HEAD = f"""{SQL_GRAPH}, emb AS (SELECT g, j, sum(v) AS v FROM nx GROUP BY 1
 gy AS (SELECT g, avg(size) AS y, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t GROUP BY g),
 st AS (SELECT avg(y) AS mu, stddev_samp(y) AS sd FROM gy WHERE pos < floor(0.8 * n)),
 dy AS (SELECT g AS r, (y - mu) / sd AS y FROM gy, st WHERE pos < floor(0.8 * n)),
-dx AS (SELECT g AS r, j, v FROM emb)"""
+ty AS (SELECT g AS r, (y - mu) / sd AS y FROM gy, st WHERE pos >= floor(0.8 * n)),
+dx AS (SELECT g AS r, j, v FROM emb), tx AS (SELECT * FROM dx)"""
+_SQL_R2 = f"""SELECT {sql_rnd('1 - sum((y - p) * (y - p)) / nullif(sum((y - m) * (y - m)), 0)')} AS r2, count(*) AS n_graphs
+FROM (SELECT gy.y, zt.v * sd + mu AS p, avg(gy.y) OVER () AS m FROM zt JOIN gy ON gy.g = zt.r, st)"""
 
 
-@query("ml_18_fit_graph_head", sql_fit(_SQL_HEAD, [8, 4, 2, 1], "l1", 0.01, 3, adam=True))
+@query("ml_18_fit_graph_head", sql_fit(_SQL_HEAD, [8, 4, 2, 1], "l1", 0.01, 3, adam=True, test=True))
 def ml_18(spark, d):
     graphs, nodes, edges = conversation_graphs(spark, d)
     fit, _ = GR.fit_graph_head(GR.pool_graphs(nodes, 4, graphs), graphs, [4, 2], lr=0.01, epochs=3, init=_start([8, 4, 2, 1]))
-    return _history(fit, *_LOSS)
+    return _history(fit, *_LOSS, "test_loss", "test_acc")
 
 
-@query("ml_18_graph_head_r2")
+@query("ml_18_graph_head_r2", sql_fit(_SQL_HEAD, [8, 4, 2, 1], "l1", 0.01, 3, adam=True, test=True, final=_SQL_R2))
 def ml_18_r2(spark, d):
-    """R2 on the original scale, with dropout after the first layer and the plateau rule."""
+    """R2 of the trained head on the original scale."""
+    graphs, nodes, edges = conversation_graphs(spark, d)
+    _, preds = GR.fit_graph_head(GR.pool_graphs(nodes, 4, graphs), graphs, [4, 2], lr=0.01, epochs=3, init=_start([8, 4, 2, 1]))
+    return preds.agg(rnd(C.r2_score("pred", "y")).alias("r2"), F.count(F.lit(1)).alias("n_graphs"))
+
+
+@query("ml_18_graph_head_options")
+def ml_18_options(spark, d):
+    """The head with dropout after its first layer and the plateau rule."""
     graphs, nodes, edges = conversation_graphs(spark, d)
     fit, preds = GR.fit_graph_head(
         GR.pool_graphs(nodes, 4, graphs), graphs, [8, 4], lr=0.01, epochs=4, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau()
     )
-    return preds.agg(C.r2_score("pred", "y").alias("r2"), F.count(F.lit(1)).alias("n_graphs"))
+    r2 = preds.agg(C.r2_score("pred", "y").alias("value")).select(F.lit(-1).alias("epoch"), F.lit("test_r2").alias("metric"), "value")
+    return _history(fit, *_LOSS, "lr", "test_loss").unionByName(r2)
 
 
 # --- sources and sinks ----------------------------------------------------
