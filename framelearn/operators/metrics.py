@@ -64,8 +64,11 @@ def metric_table(df: DataFrame, metrics: Mapping[str, Column], by: Sequence[str]
 
 
 def confusion_long(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    kept = df.filter(F.col(truth).isNotNull() & F.col(pred).isNotNull())
-    return kept.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per (truth, prediction) pair; NULL on either side does not count."""
+    both = F.when(F.col(truth).isNotNull() & F.col(pred).isNotNull(), F.lit(1))
+    # a filter on the counts cannot sink below them, where it would compute the prediction again
+    pairs = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count(both).alias("n"))
+    return pairs.filter("n > 0")
 
 
 def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:

@@ -320,17 +320,23 @@ def window_count(n: Column, length: int, stride: int) -> Column:
     return F.greatest(F.lit(0), F.ceil((n - length) / F.lit(stride))).cast("long")
 
 
-def lm_windows(df: DataFrame, length: int, stride: int, keys: Sequence[str] = ("doc_id",), ids: str = "ids") -> DataFrame:
-    """Input ids [i, i+L) and target ids [i+1, i+L+1) for i in range(0, n-L, stride). No shuffle."""
+def _windows(df: DataFrame, length: int, stride: int, keys: Sequence[str], ids: str) -> DataFrame:
+    """``(keys, chunk_id, w)`` with the L+1 ids of each window."""
     n = F.size(ids)
     starts = F.when(n > length, F.sequence(F.lit(0), n - length - 1, F.lit(stride)))
     cut = unnest(df, [*keys, ids], starts, "_s", "chunk_id")
-    return cut.select(
-        *keys,
-        F.col("chunk_id").cast("long").alias("chunk_id"),
-        F.slice(F.col(ids), F.col("_s") + 1, length).alias("input_ids"),
-        F.slice(F.col(ids), F.col("_s") + 2, length).alias("target_ids"),
-    )
+    window = F.slice(F.col(ids), F.col("_s") + 1, length + 1)
+    return cut.select(*keys, F.col("chunk_id").cast("long").alias("chunk_id"), window.alias("w"))
+
+
+def _pair(length: int, kind: str | None = None) -> list[Column]:
+    w = F.col("w") if kind is None else F.col("w").cast(kind)
+    return [F.slice(w, 1, length).alias("input_ids"), F.slice(w, 2, length).alias("target_ids")]
+
+
+def lm_windows(df: DataFrame, length: int, stride: int, keys: Sequence[str] = ("doc_id",), ids: str = "ids") -> DataFrame:
+    """Input ids [i, i+L) and target ids [i+1, i+L+1) for i in range(0, n-L, stride). No shuffle."""
+    return _windows(df, length, stride, keys, ids).select(*keys, "chunk_id", *_pair(length))
 
 
 def lm_windows_long(
@@ -348,9 +354,7 @@ def lm_windows_long(
     sent = unnest(df, [*keys, pos, value], hit, "chunk_id")
     full = sent.groupBy(*keys, "chunk_id").agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("w"))
     full = full.filter(F.size("w") == length + 1).withColumn("w", F.transform("w", lambda p: p[value]))
-    return full.select(
-        *keys, "chunk_id", F.slice("w", 1, length).alias("input_ids"), F.slice("w", 2, length).alias("target_ids")
-    )
+    return full.select(*keys, "chunk_id", *_pair(length))
 
 
 def lm_dataset(
@@ -375,29 +379,36 @@ def lm_dataset(
 
     Without a shuffle the number of a window is its document's offset plus its
     place, so only one number per document is ranked; with one, windows are
-    ranked by a seeded hash of their key.
+    ranked by a seeded hash of their key and shuffled once, as L+1 integers each.
     """
     if encoder is None:
         if vocab is None:
             raise ValueError("give a vocabulary or an encoder")
-        docs = encode(tokenize(df.select(key, col), col, bang=bang), vocab, [key], on_unknown=on_unknown)
+        tokens = tokenize(df.select(key, col), col, bang=bang).select(key, "tokens")
+        docs, n_ids = encode(tokens, vocab, [key], on_unknown=on_unknown), tokens.select(key, F.size("tokens").alias("_n"))
     else:
         docs = encoder(df.select(key, col))
-    docs = docs.select(key, "ids")
-    counts = docs.select(key, window_count(F.size("ids"), length, stride).alias("_n")).filter("_n > 0")
-    counts = materialize(counts)
+        n_ids = docs.select(key, F.size("ids").alias("_n"))
+    counts = materialize(n_ids.select(key, window_count(F.col("_n"), length, stride).alias("_n"))).filter("_n > 0")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    windows = lm_windows(docs, length, stride, [key])
+    windows = _windows(docs.select(key, "ids"), length, stride, [key], "ids")
     if shuffle:
-        hashed = windows.withColumn("_h", order_hash(key, "chunk_id", seed=seed, epoch=epoch))
-        placed = dense_index(hashed, ["_h", key, "chunk_id"], name="idx", rows=total, hashed=True).drop("_h")
+
+        def hashed(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("_h", order_hash(key, "chunk_id", seed=seed, epoch=epoch))
+
+        keys = unnest(counts, [key], F.sequence(F.lit(0), F.col("_n") - 1), "chunk_id")
+        windows = hashed(windows.withColumn("w", F.col("w").cast("array<int>")))
+        order = ["_h", key, "chunk_id"]
+        placed = dense_index(windows, order, name="idx", rows=total, hashed=True, keys_from=hashed(keys)).drop("_h")
     else:
         offsets = running_total(counts, [key], F.col("_n"), name="_o").select(key, "_o")
         placed = lookup_join(windows, offsets, [key], "inner")
         placed = placed.withColumn("idx", F.col("_o") + F.col("chunk_id")).drop("_o")
     if drop_last:
         placed = placed.filter(F.col("idx") < total // batch_size * batch_size)
-    return placed.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("long"))
+    batch_id = F.floor(F.col("idx") / batch_size).cast("long").alias("batch_id")
+    return placed.select(key, "chunk_id", *_pair(length, "array<long>"), "idx", batch_id)
 
 
 # --- vocabulary checks on long tables -------------------------------------

@@ -15,7 +15,7 @@ from framelearn.operators import metrics, models, tensors, training
 from framelearn.operators.batches import split_random
 from framelearn.plans.metric_queries import SQL_VECTORS, predicted, scored_docs, scored_vectors, SQL_DOCS
 from framelearn.plans.registry import query, rnd, sql_rnd, table
-from framelearn.plans.scale import dense_index, lookup_join, spread
+from framelearn.plans.scale import dense_index, lookup_join, spread, unnest
 from framelearn.plans.tensor_queries import _CIRCLE, SQL_X, circles, sql_gauss
 from framelearn.plans.text_queries import SQL_PART_VOCAB, _ID_DIGEST, _id_digest, part_vocab
 from framelearn.session import shared_dir
@@ -174,7 +174,7 @@ sc AS (SELECT vec_id, label, pred, prob, m + ln(t) - v AS loss FROM am JOIN embe
 
 @query("ml_3_predict_mlp", f"WITH {_SQL_DEEP} SELECT vec_id, j::INT AS k, {sql_rnd('v')} AS z FROM z")
 def ml_3(spark, d):
-    out = deep_logits(spark, d).select("vec_id", F.posexplode("logits").alias("k", "z"))
+    out = unnest(deep_logits(spark, d), ["vec_id"], "logits", "z", "k")
     return out.withColumn("z", rnd(F.col("z")))
 
 
@@ -658,7 +658,7 @@ def cnn_params(spark):
 @query("ml_15_predict_cnn", f"WITH {_CNN_SQL} SELECT img_id, j::INT AS k, {sql_rnd('v', 5)} AS z FROM z")
 def ml_15(spark, d):
     src = spread(pictures(spark, d), "img_id")
-    out = IM.predict_cnn(src, cnn_params(spark)).select("img_id", F.posexplode("logits").alias("k", "z"))
+    out = unnest(IM.predict_cnn(src, cnn_params(spark)), ["img_id"], "logits", "z", "k")
     return out.withColumn("z", rnd(F.col("z"), 5))
 
 
@@ -830,7 +830,7 @@ def _layer_sql(src, out, k, post="{z}"):
 def ml_16(spark, d):
     _, nodes, edges = conversation_graphs(spark, d)
     out = GR.mp_layer(nodes, GR.with_lengths(edges, nodes), graph_arrays(1), "conv1")
-    return out.select("graph_id", "node_id", F.posexplode("x").alias("j", "v")).withColumn("v", rnd(F.col("v")))
+    return unnest(out, ["graph_id", "node_id"], "x", "v", "j").withColumn("v", rnd(F.col("v")))
 
 
 _SQL_MODEL = ",\n".join(

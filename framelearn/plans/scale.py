@@ -280,34 +280,41 @@ def running_total(
     rows: int | None = None,
     kind: str = "long",
     hashed: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over all earlier rows of the group (1 per row by default).
 
     ``order`` must identify a row within its group. Rows are put into key ranges
     of about ``rows_per_bucket``; a window runs inside a range only, and each
     range gets the total of the ranges before it. A table or group of any size
-    is therefore spread over many tasks.
+    is therefore spread over many tasks. ``hashed`` says that the first column is
+    an ``order_hash``. ``keys_from`` may give the same ordering columns (and what
+    ``value`` reads) from a cheaper table, which then serves the counting pass.
     """
     order, by = list(order), list(by)
     value = F.lit(1) if value is None else value
     rows = df.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
+    if hashed:  # ranges cost nothing here, so use the cores
+        buckets = max(buckets, min(df.sparkSession.sparkContext.defaultParallelism, rows // 1000))
     before = (Window.unboundedPreceding, -1)
     if buckets <= 1:
         part = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(*before)
         return df.withColumn(name, F.coalesce(F.sum(value).over(part), F.lit(0)).cast(kind))
+    counted = df if keys_from is None else keys_from
     if hashed:
         bucket = hash_bucket(order[0], buckets)
     else:
-        bucket = range_bucket(split_points(df, order, buckets, rows), df.schema, order)
+        bucket = range_bucket(split_points(counted, order, buckets, rows), df.schema, order)
     bucketed = df.withColumn("_b", bucket).withColumn("_v", value)
-    totals = bucketed.groupBy(*by, "_b").agg(F.sum("_v").alias("_t"))
+    totals = counted.withColumn("_b", bucket).withColumn("_v", value).groupBy(*by, "_b").agg(F.sum("_v").alias("_t"))
     # one row per range (and group): the window below never sees more ranges than MAX_BUCKETS
     over = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_b").rowsBetween(*before)
     totals = totals.withColumn("_o", F.coalesce(F.sum("_t").over(over), F.lit(0))).drop("_t")
     inside = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(*before)
     ranked = bucketed.withColumn("_r", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
-    joined = ranked.join(totals if by else F.broadcast(totals), [*by, "_b"])
+    # every range has a total; the outer join only spares a NULL test that would search the range again
+    joined = ranked.join(totals if by else F.broadcast(totals), [*by, "_b"], "left")
     return joined.select(*df.columns, (F.col("_r") + F.col("_o")).cast(kind).alias(name))
 
 

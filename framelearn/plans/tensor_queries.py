@@ -8,7 +8,7 @@ from framelearn.functions import columns as C
 from framelearn.operators import tensors as T
 from framelearn.operators import text, vectors
 from framelearn.plans.registry import query, rnd, sql_rnd, table
-from framelearn.plans.scale import spread
+from framelearn.plans.scale import spread, unnest
 from framelearn.sources import generators as G
 
 SQL_X = "x AS (SELECT vec_id AS i0, unnest(range(64))::BIGINT AS i1, unnest(embedding)::DOUBLE AS v FROM embeddings)"
@@ -148,7 +148,7 @@ def j_6_rows(spark, d):
     long = src.select("label", F.posexplode("embedding").alias("k", "v"))
     means = long.groupBy(F.col("k").alias("i0"), F.col("label").alias("i1")).agg(F.avg("v").alias("v"))
     out = T.rows_times_matrix(src.select("vec_id", "embedding"), "embedding", means, "scores")
-    return out.select("vec_id", F.posexplode("scores").alias("label", "score")).withColumn("score", rnd(F.col("score")))
+    return unnest(out, ["vec_id"], "scores", "score", "label").withColumn("score", rnd(F.col("score")))
 
 
 @query(
