@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelearn.llm import line_dedup
+from framelearn.llm import chat, decontam, fingerprints, license_scan, line_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,54 @@ FROM marked GROUP BY r""",
 )
 def op6_line_dedup(spark, d):
     return line_dedup.line_dedup(table(spark, d, "documents"))
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+_START, _END = chat.START, chat.END
+_NAME_SQL = "regexp_replace(speaker, '[\\s<>|=]', '_', 'g')"
+
+
+@query(
+    "op2_chat_perspectives",
+    f"""WITH raw AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+turns AS (SELECT *, speaker = 'system' AS narrates, regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS body,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, sha256(text)) - 1 AS position FROM raw),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE NOT narrates),
+seen AS (SELECT t.*, perspective, speaker = perspective AS own,
+  CASE WHEN speaker = perspective THEN 'assistant' WHEN narrates THEN 'system' ELSE 'user' END AS role
+  FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+headed AS (SELECT *, '{_START}' || role || CASE WHEN role = 'user' THEN ' name=' || {_NAME_SQL} ELSE '' END || chr(10) AS head FROM seen),
+done AS (SELECT *, head || body || '{_END}' || chr(10) AS segment FROM headed),
+placed AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY position
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS st FROM done)
+SELECT conv_id, perspective, position::BIGINT AS position, role, CASE WHEN role = 'user' THEN speaker END AS name, segment,
+  st AS start, (st + length(segment))::BIGINT AS "end", CASE WHEN own THEN st + length(head) END::BIGINT AS mask_start,
+  CASE WHEN own THEN st + length(segment) - 1 END::BIGINT AS mask_end FROM placed""",
+)
+def op2_chat_perspectives(spark, d):
+    return chat.perspectives(table(spark, d, "conversations"))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"), tokenizer_file())
+
+
+@query("op7_document_fingerprints")
+def op7_document_fingerprints(spark, d):
+    return fingerprints.document_fingerprints(table(spark, d, "documents"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark, d):
+    return license_scan.license_scan(table(spark, d, "documents"))
+
+
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark, d):
+    return decontam.benchmark_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
