@@ -33,10 +33,6 @@ CAPACITY = 1024
 END_ID = 2
 #: Exchanges tried by the local search; it only stops the search for better plans.
 MAX_MOVES = 2000
-#: Words whose ids a Python worker remembers at a time.
-REMEMBERED = 500_000
-#: Characters of text encoded together.
-AT_A_TIME = 2_000_000
 
 PIECES = T.StructType(
     [
@@ -60,19 +56,19 @@ def _little(ids: list[int]) -> bytes:
     return cells.tobytes()
 
 
-#: White space other than the blank and the line feed; with it, a text is encoded whole.
-_ODD_SPACE = [chr(c) for c in (*range(0x09, 0x0A), *range(0x0B, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: White space other than the blank and the line feed.
+_ODD_SPACE = [chr(c) for c in (0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_NEIGHBOURS = ["  ", " \n", "\n ", "\n\n"]
 
 
 class TextEncoder:
     """Ids of a tokenizer file's text as little-endian 32-bit bytes.
 
-    The tokenizer cuts text at blanks before it merges anything, so where every
-    blank stands between other characters, words can be encoded one by one and
-    remembered. For a byte-level file whose merges are in the order of their ids
-    the merging is done by the rank encoder, which gives the same ids faster.
-    Texts with other white space runs, or with the string of a special token,
-    are encoded whole.
+    For a byte-level file whose merges are in the order of their ids the work is
+    done by the rank encoder, which gives the same ids in a fraction of the time.
+    The piece pattern looks ahead only to cut runs of white space, so texts
+    without such runs are cut by a pattern that need not look ahead. Texts that
+    hold the string of a special token go through the tokenizer itself.
     """
 
     def __init__(self, file: bytes):
@@ -81,13 +77,7 @@ class TextEncoder:
         self.whole = Tokenizer.from_buffer(file)
         described = json.loads(file)
         self.special = [t["content"] for t in described.get("added_tokens") or []]
-        encode, opens = self._ranks(described)
-        self.by_word = encode is not None
-        self.encode = encode or (lambda text: self.whole.encode(text, add_special_tokens=False).ids)
-        #: by id, whether its bytes begin with a blank
-        self.opens = opens
-        #: word -> ids of the word behind a blank
-        self.words: dict[str, bytes] = {}
+        self.runs, self.single = self._ranks(described)
 
     @staticmethod
     def _ranks(described: dict):
@@ -108,52 +98,15 @@ class TextEncoder:
         byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(kept))}
         special = {t["content"] for t in described.get("added_tokens") or []}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
-        opens = np.zeros(max(ranks.values()) + 1, dtype=bool)
-        opens[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
-        return tiktoken.Encoding("words", pat_str=PIECE_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, opens
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; words not seen before are encoded together, one blank before each."""
-        parts: list = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                parts.append(_little(self.whole.encode(text, add_special_tokens=False).ids))
-            elif not self.by_word or "  " in text or " \n" in text or "\n " in text or any(c in text for c in _ODD_SPACE):
-                parts.append(_little(self.encode(text)))
-            else:
-                parts.append(text.split(" "))
-        lists = [p for p in parts if isinstance(p, list)]
-        new = set().union(*(p[1:] for p in lists)) - self.words.keys()
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = set().union(*(p[1:] for p in lists))
-        self._learn(new)
-        return [p if isinstance(p, bytes) else _little(self.encode(p[0])) + b"".join(map(self.words.__getitem__, p[1:])) for p in parts]
-
-    def _learn(self, new: set[str]) -> None:
-        self.words[""] = _little(self.encode(" "))
-        words = [w for w in new if w]
-        if not words:
-            return
-        ids = np.array(self.encode(" " + " ".join(words)), dtype="<u4")
-        at = np.flatnonzero(self.opens[ids])
-        if len(at) != len(words):
-            raise ValueError("the tokenizer file does not cut its text at blanks")
-        raw, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-        self.words.update(zip(words, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
-
-
-def _encoded(batch: pa.RecordBatch, encode: TextEncoder):
-    """(doc_id, ids) of a batch, a few megabytes of text at a time."""
-    docs, texts, size = [], [], 0
-    for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        docs.append(d)
-        texts.append(text.as_py() or "")
-        size += len(texts[-1])
-        if size > AT_A_TIME:
-            yield from zip(docs, encode(texts))
-            docs, texts, size = [], [], 0
-    yield from zip(docs, encode(texts))
+        looking, plain = PIECE_PATTERN, PIECE_PATTERN.replace(r"\s+(?!\S)|\s+", r"\s")
+        return tuple(tiktoken.Encoding("text", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (looking, plain))
+
+    def __call__(self, text: str) -> bytes:
+        if self.runs is None or any(s in text for s in self.special):
+            return _little(self.whole.encode(text, add_special_tokens=False).ids)
+        if any(s in text for s in _NEIGHBOURS) or any(c in text for c in _ODD_SPACE):
+            return _little(self.runs(text))
+        return _little(self.single(text))
 
 
 def _pieces(file: bytes, capacity: int, end_id: int, with_ids: bool):
@@ -166,8 +119,8 @@ def _pieces(file: bytes, capacity: int, end_id: int, with_ids: bool):
             cache[name] = TextEncoder(file)
         encode = cache[name]
         doc, piece, start, length, crc, ids = [], [], [], [], [], []
-        for d, raw in _encoded(batch, encode):
-            raw += end
+        for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = encode(text.as_py() or "") + end
             n = len(raw) // 4
             first = n if n <= capacity else n % capacity or capacity
             cuts = [0, *range(first, n + 1, capacity)]
@@ -336,8 +289,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, max_moves: int = MAX_MOVE
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     lengths, ranks, sequences, offsets = _places(packing_plan(counts, capacity, max_moves))
     starts = (lengths << _RANK_BITS) + ranks
-    keyed = pieces.withColumn("_o", order_hash("doc_id", "piece", "ids_crc32"))
-    ranked = running_total(keyed, ["_o"], F.lit(1), ["length"], "_rank", rows=sum(counts.values()), hashed=True).drop("_o")
+    keyed = pieces.withColumn("_hash", order_hash("doc_id", "piece", "ids_crc32"))
+    ranked = running_total(keyed, ["_hash"], F.lit(1), ["length"], "_rank", rows=sum(counts.values()), hashed=True).drop("_hash")
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelearn.llm import chat, decontam, fingerprints, license_scan, line_dedup, packing
+from framelearn.llm import chat, decontam, fingerprints, license_scan, line_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op8_license_scan(spark, d):
 @query("op10_benchmark_decontamination")
 def op10_benchmark_decontamination(spark, d):
     return decontam.benchmark_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, d):
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
