@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelearn.llm import chat, decontam, fingerprints, license_scan, line_dedup, packing, toxicity
+from framelearn.llm import chat, decontam, fingerprints, html_extract, license_scan, line_dedup, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +99,13 @@ def op10_benchmark_decontamination(spark, d):
 @query("op9_toxicity")
 def op9_toxicity(spark, d):
     return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark, d):
+    return html_extract.extract(table(spark, d, "pages"))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, d):
+    return suffix_dedup.repeats_digest(table(spark, d, "documents"))
