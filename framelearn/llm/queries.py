@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelearn.llm import chat, decontam, fingerprints, html_extract, license_scan, line_dedup, packing, suffix_dedup, toxicity
+from framelearn.llm import chat, decontam, fingerprints, html_extract, jaccard_join, license_scan, line_dedup, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,3 +109,8 @@ def op3_html_extraction(spark, d):
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark, d):
     return suffix_dedup.repeats_digest(table(spark, d, "documents"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1_ngram_jaccard_join(spark, d):
+    return jaccard_join.jaccard_components(table(spark, d, "documents"), words=3, percent=90)

@@ -373,3 +373,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int
     logit = F.lit(float(w[0])) + sum(float(w[k + 1]) * z[k] for k in range(3)) + float(w[4]) * z[1] * z[2]
     score = 1 / (1 + F.exp(-logit))
     return found.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = CELLS, window: int = WINDOW, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``docs`` without the rows predicted as toxic; all columns and repeated rows stay, unread labels as in ``toxicity``.
+
+    A row is kept or not by its own text, in place: nothing is joined back.
+    """
+    rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    trained = train(rows, labels, order, cells, window, fit_rows)
+    if trained is None:
+        return docs
+    model, (mean, scale, w) = trained
+    score = _features(model, window)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
+            for found in score(iter([text])):
+                x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
+                yield batch.filter(pa.array(_design(x, mean, scale) @ w < 0))
+
+    return docs.mapInArrow(run, docs.schema)
