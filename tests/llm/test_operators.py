@@ -390,7 +390,7 @@ def brute_repeats(rows, width):
 def test_suffix_dedup(spark):
     r = random.Random(6)
     base = prose(400, 1)
-    rows = [(k, (v := r.randrange(2000), prose(r.randrange(40), k) + base[v : v + r.randrange(600)] + prose(r.randrange(30), -k))[1]) for k in range(40)]
+    rows = [(100 + k, (v := r.randrange(2000), prose(r.randrange(40), k) + base[v : v + r.randrange(600)] + prose(r.randrange(30), -k))[1]) for k in range(40)]
     rows += EDGE[:7] + [(50, "ab" * 300), (51, "é" * 200), (52, base), (53, base)]
     want = brute_repeats(rows, 100)
     assert rows_of(suffix_dedup.repeats_digest(frame(spark, rows), width=100)) == want
