@@ -342,8 +342,9 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = C
     tables = hashed(ratios, cells), hashed(defaults, cells)
     name = f"{hash((tables[0][0].tobytes(), tables[0][1].tobytes(), tables[1][1].tobytes()))}"
     model = (*tables, cells, order, name)
-    # the rows with the smallest hash: the same ones at every run, at most fit_rows
-    some = rows.filter("part = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("toxic", "text")
+    # the ids with the smallest hash, the same ones at every run; their texts are read where they lie
+    chosen = known.filter("part = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    some = docs.join(maybe_broadcast(materialize(chosen)), "doc_id").select("toxic", "text")
     found = some.mapInArrow(_features(model, window), "toxic int, f0 double, f1 double, f2 double").toArrow()
     y = found["toxic"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
