@@ -25,21 +25,32 @@ from framelearn.session import materialize
 END_OF_WORD = "</w>"
 
 _OPEN, _CLOSE = "\x02", "\x03"
+#: The three control characters inside a symbol are written as the first one and a letter.
+_ESCAPED = {"\x01": "\x01a", _OPEN: "\x01b", _CLOSE: "\x01c"}
+
+
+def _escape(symbol: str) -> str:
+    return "".join(_ESCAPED.get(c, c) for c in symbol)
 
 
 def symbol_string(word: Column) -> Column:
     """Characters of a word as marked symbols, with the end mark last."""
-    plain = F.translate(word, _OPEN + _CLOSE, "")
+    plain = reduce(lambda w, e: F.replace(w, F.lit(e[0]), F.lit(e[1])), _ESCAPED.items(), word)
     return F.concat(
-        F.regexp_replace(plain, "(?s)(.)", f"{_OPEN}$1{_CLOSE}"), F.lit(f"{_OPEN}{END_OF_WORD}{_CLOSE}")
+        F.regexp_replace(plain, "(?s)(\x01.|.)", f"{_OPEN}$1{_CLOSE}"), F.lit(f"{_OPEN}{END_OF_WORD}{_CLOSE}")
     )
 
 
 def symbol_array(symbols: Column) -> Column:
-    return F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), _CLOSE + _OPEN)
+    def unescape(parts: Column) -> Column:
+        return F.transform(parts, lambda p: reduce(lambda w, e: F.replace(w, F.lit(e[1]), F.lit(e[0])), [*_ESCAPED.items()][::-1], p))
+
+    parts = F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), _CLOSE + _OPEN)
+    return F.when(F.contains(symbols, F.lit("\x01")), unescape(parts)).otherwise(parts)
 
 
 def merge_expr(symbols: Column, left: str, right: str) -> Column:
+    left, right = _escape(left), _escape(right)
     return F.replace(
         symbols, F.lit(f"{_OPEN}{left}{_CLOSE}{_OPEN}{right}{_CLOSE}"), F.lit(f"{_OPEN}{left}{right}{_CLOSE}")
     )
@@ -177,35 +188,28 @@ def merge_symbols(symbols: list, rank_of) -> list:
     return [p for p in parts if p is not None]
 
 
-def split_words(words: DataFrame, merges: DataFrame, specials: Sequence[str] = (), chain: int = 64) -> DataFrame:
+def split_words(words: DataFrame, merges: DataFrame, specials: Sequence[str] = ()) -> DataFrame:
     """``(word)`` -> ``(word, parts)``: every distinct word split once; specials stay whole.
 
-    Up to ``chain`` merges run as a chain of JVM replacements (applying merges in
-    rank order is the same as always joining the lowest rank). Longer lists are
-    broadcast, after a size check, to an Arrow function over the distinct words.
+    The neighbouring pair of lowest rank is joined until none has a rank, by an
+    Arrow function that holds the list of merges (after a size check). A pair
+    listed twice has its lower rank.
     """
-    rows = sorted(small_rows(merges.select("rank", "left", "right"), "the list of merges"))
+    rows = small_rows(merges.groupBy("left", "right").agg(F.min("rank").alias("rank")), "the list of merges")
     special = F.col("word").isin(list(specials)) if specials else F.lit(False)
-    if len(rows) <= chain:
-        symbols = symbol_string(F.col("word"))
-        for _, left, right in rows:
-            symbols = merge_expr(symbols, left, right)
-        parts = symbol_array(symbols)
-    else:
-        shared = words.sparkSession.sparkContext.broadcast({(a, b): r for r, a, b in rows})
+    shared = words.sparkSession.sparkContext.broadcast({(r["left"], r["right"]): r["rank"] for r in rows})
 
-        @F.arrow_udf("array<string>")
-        def merged(column: pa.Array) -> pa.Array:
-            rank = shared.value
+    @F.arrow_udf("array<string>")
+    def merged(column: pa.Array) -> pa.Array:
+        rank = shared.value
 
-            def rank_of(left, right):
-                return rank.get((left, right))
+        def rank_of(left, right):
+            return rank.get((left, right))
 
-            split = [None if s is None else merge_symbols(s, rank_of) for s in column.to_pylist()]
-            return pa.array(split, pa.list_(pa.string()))
+        split = [None if w is None else merge_symbols([*w, END_OF_WORD], rank_of) for w in column.to_pylist()]
+        return pa.array(split, pa.list_(pa.string()))
 
-        parts = merged(symbol_array(symbol_string(F.col("word"))))
-    return words.select("word", F.when(special, F.array("word")).otherwise(parts).alias("parts"))
+    return words.select("word", F.when(special, F.array("word")).otherwise(merged("word")).alias("parts"))
 
 
 def bpe_encode_long(
@@ -242,7 +246,6 @@ def bpe_encode(
     keys: Sequence[str] = ("doc_id",),
     tokens: str = "tokens",
     specials: Sequence[str] = (),
-    chain: int = 64,
     **limits,
 ) -> DataFrame:
     """Add ``ids``, the symbol ids of each document; a symbol outside the vocabulary is an error.
@@ -251,7 +254,7 @@ def bpe_encode(
     from that dictionary.
     """
     words = unnest(df, [], tokens, "word").distinct()
-    parts = unnest(split_words(words, merges, specials, chain), ["word"], "parts", "token", "pos")
+    parts = unnest(split_words(words, merges, specials), ["word"], "parts", "token", "pos")
     numbered = lookup_join(parts, vocab, ["token"], "left")
     missing = F.raise_error(F.concat(F.lit("symbol not in vocabulary: "), "token")).cast("long")
     numbered = numbered.withColumn("id", F.coalesce("id", missing))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.models import param_arrays
-from framelearn.plans.scale import maybe_broadcast, settle, unnest
+from framelearn.operators.tensors import rows_matrix
+from framelearn.plans.scale import maybe_broadcast, settle, small_rows, unnest
 
 #: Weights of red, green and blue in a grey value (ITU-R 601).
 GREY = (0.299, 0.587, 0.114)
@@ -164,7 +165,9 @@ def conv2d(
 ) -> DataFrame:
     """Convolution of long pixels: an equi-join with the kernel on the channel and one sum.
 
-    Cells outside the image count as zero. All images have this height and width.
+    Cells outside the image count as zero, and so do pixels without a row. All
+    images have this height and width; an image has every output cell, with the
+    bias alone where only padding is met.
     """
     k = kernel.agg(F.max("ky"), F.max("kx")).first()
     out_h, out_w = ((n + 2 * padding - m - 1) // stride + 1 for n, m in ((height, k[0]), (width, k[1])))
@@ -172,11 +175,14 @@ def conv2d(
     top, left = F.col("y") + padding - F.col("ky"), F.col("x") + padding - F.col("kx")
     hit = hit.withColumn("oy", F.floor(top / stride).cast("int")).withColumn("ox", F.floor(left / stride).cast("int"))
     inside = (top % stride == 0) & (left % stride == 0) & F.col("oy").between(0, out_h - 1) & F.col("ox").between(0, out_w - 1)
-    return (
-        hit.filter(inside)
-        .groupBy(key, "co", "oy", "ox")
-        .agg((F.sum(F.col("v") * F.col("w")) + F.first("b")).alias("v"))
-        .select(key, F.col("co").alias("c"), F.col("oy").alias("y"), F.col("ox").alias("x"), "v")
+    met = hit.filter(inside).select(key, "co", "oy", "ox", (F.col("v") * F.col("w")).alias("v"))
+    # the output channels are a small part of a kernel that the driver measured above
+    biases = [F.struct(F.lit(r["co"]).alias("co"), F.lit(r["b"]).alias("b")) for r in small_rows(kernel.select("co", "b").distinct(), "the biases")]
+    cells = pixels.select(key).distinct().withColumn("_o", F.explode(F.array(*biases)))
+    cells = cells.withColumn("oy", F.explode(F.sequence(F.lit(0), F.lit(out_h - 1)))).withColumn("ox", F.explode(F.sequence(F.lit(0), F.lit(out_w - 1))))
+    every = met.unionByName(cells.select(key, F.col("_o.co").alias("co"), "oy", "ox", F.col("_o.b").alias("v")))
+    return every.groupBy(key, "co", "oy", "ox").agg(F.sum("v").alias("v")).select(
+        key, F.col("co").alias("c"), F.col("oy").alias("y"), F.col("ox").alias("x"), "v"
     )
 
 
@@ -218,18 +224,21 @@ def cnn_forward(img: np.ndarray, p: Mapping[str, np.ndarray]) -> np.ndarray:
 
 
 def predict_cnn(df: DataFrame, params: DataFrame, out: str = "logits", chunk: int = 256) -> DataFrame:
-    """Add the network's class logits for images of one size. No shuffle."""
+    """Add the network's class logits. Sizes may differ as far as the last layer allows; NULL images give NULL. No shuffle."""
     shared = df.sparkSession.sparkContext.broadcast(param_arrays(params))
 
     @F.arrow_udf("array<double>")
     def score(pixels: pa.Array, channels: pa.Array, height: pa.Array, width: pa.Array) -> pa.Array:
-        if len(pixels) == 0:
-            return pa.array([], pa.list_(pa.float64()))
-        shape = (channels[0].as_py(), height[0].as_py(), width[0].as_py())
-        img = pixels.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(pixels), *shape)
-        z = np.concatenate([cnn_forward(img[i : i + chunk], shared.value) for i in range(0, len(img), chunk)])
-        offsets = np.arange(len(z) + 1, dtype=np.int32) * z.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.reshape(-1)))
+        sizes = list(zip(*(c.to_pylist() for c in (channels, height, width))))
+        whole = [p.is_valid and None not in size for p, size in zip(pixels, sizes)]
+        found: list = [None] * len(pixels)
+        for size in {z for z, ok in zip(sizes, whole) if ok}:  # images of one size are scored together
+            at = [i for i, ok in enumerate(whole) if ok and sizes[i] == size]
+            img = rows_matrix(pixels.take(pa.array(at)), size[0] * size[1] * size[2]).reshape(-1, *size)
+            for k in range(0, len(at), chunk):
+                for i, z in zip(at[k : k + chunk], cnn_forward(img[k : k + chunk], shared.value)):
+                    found[i] = z
+        return pa.array(found, pa.list_(pa.float64()))
 
     parts = ("pixels", "channels", "height", "width")
     ready = settle(df, "_p", F.struct(*parts))

@@ -95,7 +95,7 @@ def predict_mlp(
     """Add the last layer's outputs; ``relu=False`` chains the linear layers only."""
     layers = layer_list(param_arrays(params), prefix)
     shared = df.sparkSession.sparkContext.broadcast(layers)
-    score = row_function(lambda x: forward(x, shared.value, relu))
+    score = row_function(lambda x: forward(x, shared.value, relu), layers[0][0].shape[1])
     return settle(df, "_x", F.col(col)).withColumn(out, score("_x")).drop("_x")
 
 

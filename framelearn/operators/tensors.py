@@ -12,6 +12,7 @@ from math import prod
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -216,18 +217,33 @@ def rows_times_matrix(df: DataFrame, col: str, matrix: DataFrame, out: str) -> D
     for r in cells:
         w[r["i0"], r["i1"]] = r["v"]
     shared = df.sparkSession.sparkContext.broadcast(w)
-    return df.withColumn(out, row_function(lambda x: x @ shared.value)(F.col(col)))
+    return df.withColumn(out, row_function(lambda x: x @ shared.value, len(w))(F.col(col)))
 
 
-def row_function(fn):
-    """A numpy function on a matrix of rows as an Arrow function on an array column."""
+def rows_matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
+    """An array column without NULL rows as a matrix; rows of another length than ``width`` (or the first row's) are an error."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    wanted = int(lengths[0]) if width is None else width
+    if (lengths != wanted).any():
+        raise ValueError(f"a row has {int(lengths[lengths != wanted][0])} values where {wanted} are needed")
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("a row holds a NULL value")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), wanted)
+
+
+def row_function(fn, width: int | None = None):
+    """A numpy function on a matrix of rows as an Arrow function on an array column.
+
+    NULL rows give NULL. All other rows of a batch must have ``width`` values, or as many as its first one.
+    """
 
     @F.arrow_udf("array<double>")
     def apply(column: pa.Array) -> pa.Array:
         keep = column.drop_null()
         if len(keep) == 0:
             return pa.nulls(len(column), pa.list_(pa.float64()))
-        x = keep.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(keep), -1)
+        x = rows_matrix(keep, width)
         y = np.ascontiguousarray(fn(x), dtype=np.float64)
         flat = pa.array(y.reshape(-1))
         if column.null_count == 0:

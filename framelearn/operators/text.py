@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -114,13 +115,17 @@ def _strict(found: Column, message: str) -> Column:
 
 def _lookup_udf(spark, keys: pa.Array, values: pa.Array, result: str):
     """Array column -> array column by a broadcast dictionary, in Arrow's hash look-up."""
-    shared = spark.sparkContext.broadcast((keys, values))
+    shared = spark.sparkContext.broadcast({"keys": keys, "values": values})
 
     @F.arrow_udf(result)
     def look_up(column: pa.Array) -> pa.Array:
-        known, mapped = shared.value
-        flat = column.flatten()
-        found = mapped.take(pc.index_in(flat, value_set=known))
+        held = shared.value
+        if "index" not in held:  # the worker keeps the broadcast value, and so the index, between batches and tasks
+            held["index"] = pd.Index(held["keys"].to_pandas())
+        kinds = column.flatten().dictionary_encode()
+        at = held["index"].get_indexer(kinds.dictionary.to_pandas())
+        mapped = held["values"].take(pa.array(at, mask=at < 0))
+        found = mapped.take(kinds.indices)
         lengths = pc.fill_null(pc.list_value_length(column), 0)
         ends = pc.cumulative_sum(lengths)
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
@@ -265,10 +270,11 @@ def concat_documents(
 
     Reading a group's pieces in order gives the joined string letter for letter
     (later pieces begin with the separator), while no task holds a whole group.
+    A NULL text is joined as an empty one.
     """
     placed = dense_index(df.select(*by, *order, col), order, by, name="_i", **kw)
     placed = placed.withColumn("piece", F.floor(F.col("_i") / max_docs))
-    body = F.concat(F.when(F.col("_i") > 0, F.lit(sep)).otherwise(F.lit("")), F.col(col))
+    body = F.concat(F.when(F.col("_i") > 0, F.lit(sep)).otherwise(F.lit("")), F.coalesce(F.col(col), F.lit("")))
     parts = F.array_sort(F.collect_list(F.struct("_i", body.alias("t"))))
     return placed.groupBy(*by, "piece").agg(
         F.count(F.lit(1)).alias("n_docs"),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from framelearn.operators.batches import assign_batches
 from framelearn.operators.models import layer_list, mlp_arrays, params_frame
+from framelearn.operators.tensors import rows_matrix
 
 HISTORY = "run string, epoch int, metric string, value double"
 
@@ -187,7 +188,7 @@ def summed_gradient(data: DataFrame, layers, loss: str, groups: int = 64, **kw)
         total = np.zeros(width)
         for batch in batches:
             if batch.num_rows:
-                x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_in)
+                x = rows_matrix(batch.column("features"), n_in)
                 y = batch.column("label").to_numpy(zero_copy_only=False)
                 rows = batch.column("row").to_numpy(zero_copy_only=False)
                 g, counts, value, right = gradient(x, y, rows, shared.value, loss, **kw)

@@ -158,12 +158,19 @@ def _key(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
 
 
+def _sorted_keys(keys) -> list[tuple]:
+    """Keys in Spark's ascending order, where NULL comes first."""
+    return sorted(keys, key=lambda k: tuple((v is not None, v) for v in k))
+
+
 def _literal(values, schema: T.StructType, order: Sequence[str]) -> Column:
     parts = [F.lit(v).cast(schema[c].dataType).alias(c) for c, v in zip(order, values)]
     return parts[0] if len(parts) == 1 else F.struct(*parts)
 
 
 def _sql_literal(value, kind: T.DataType) -> str:
+    if value is None:
+        return f"cast(NULL as {kind.simpleString()})"
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return f"cast({value} as {kind.simpleString()})"
     raw = str(value).encode().hex()
@@ -182,7 +189,7 @@ def split_points(df: DataFrame, order: Sequence[str], buckets: int, rows: int, p
     if rows > want:
         share = int(2**31 * min(1.0, want / rows))
         keys = keys.filter(F.xxhash64(*order).bitwiseAND(F.lit(2**31 - 1)) < share)
-    found = sorted({tuple(r) for r in keys.limit(4 * want).collect()})
+    found = _sorted_keys({tuple(r) for r in keys.limit(4 * want).collect()})
     step = max(1, len(found) // buckets)
     return found[step::step][: buckets - 1]
 
@@ -198,7 +205,11 @@ def range_bucket(points: list[tuple], schema: T.StructType, order: Sequence[str]
     used = 1
     while used < len(order) and len({p[:used] for p in points}) < 0.9 * len(points):
         used += 1
-    order, points = list(order)[:used], sorted({p[:used] for p in points})
+    order, points = list(order)[:used], _sorted_keys({p[:used] for p in points})
+    if used == 1:  # every key is at or above NULL, and a NULL key compares as below all others
+        points = [p for p in points if p[0] is not None]
+    if not points:
+        return F.lit(0)
     kinds = [schema[c].dataType for c in order]
     if used == 1:
         cells = [_sql_literal(p[0], kinds[0]) for p in points]
@@ -262,11 +273,13 @@ def key_at_rank(
         else:
             current = current.filter(bucket == b)
         rows = counts[b]
-    return sorted(tuple(r) for r in current.collect())[rank]
+    return _sorted_keys(tuple(r) for r in current.collect())[rank]
 
 
 def below(order: Sequence[str], key, schema: T.StructType) -> Column:
-    """Rows that sort before ``key``; a single column stays a filter the scan can use."""
+    """Rows that sort before ``key``, NULL first; a single column stays a filter the scan can use."""
+    if len(order) == 1:
+        return F.lit(False) if key[0] is None else F.col(order[0]).isNull() | (F.col(order[0]) < _literal(key, schema, order))
     return _key(order) < _literal(key, schema, order)
 
 
@@ -314,8 +327,10 @@ def running_total(
     inside = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(*before)
     ranked = bucketed.withColumn("_r", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
     # every range has a total; the outer join only spares a NULL test that would search the range again
-    joined = ranked.join(totals if by else F.broadcast(totals), [*by, "_b"], "left")
-    return joined.select(*df.columns, (F.col("_r") + F.col("_o")).cast(kind).alias(name))
+    a, b = ranked.alias("_ranked"), (totals if by else F.broadcast(totals)).alias("_totals")
+    same = reduce(lambda x, y: x & y, [F.col(f"_ranked.{c}").eqNullSafe(F.col(f"_totals.{c}")) for c in [*by, "_b"]])
+    joined = a.join(b, same, "left")
+    return joined.select(*[F.col(f"_ranked.`{c}`") for c in df.columns], (F.col("_ranked._r") + F.col("_totals._o")).cast(kind).alias(name))
 
 
 def dense_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "idx", **kw) -> DataFrame:

@@ -49,9 +49,7 @@ wins AS (SELECT s.{key}, s.s // {stride} AS chunk_id,
 
 
 def docs(spark, d):
-    """Documents with at least one token."""
-    some = table(spark, d, "documents").select("doc_id", "text").filter(F.col("text").rlike(r"\S"))
-    return spread(some, "doc_id")
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
 
 
 def tokens(spark, d, bang=False):
@@ -148,7 +146,10 @@ def tok_6(spark, d):
     return text.vocab_preview(full_vocab(spark, d))
 
 
-_ID_DIGEST = "SELECT doc_id, count(*)::INT AS n, md5(string_agg(id::VARCHAR, ',' ORDER BY pos)) AS digest FROM {} GROUP BY doc_id"
+#: a blank text has no ids, a NULL one no list of ids
+_ID_DIGEST = """SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN count(i.id)::INT END AS n,
+  CASE WHEN d.text IS NOT NULL THEN md5(coalesce(string_agg(i.id::VARCHAR, ',' ORDER BY pos), '')) END AS digest
+FROM documents d LEFT JOIN {} i ON d.doc_id = i.doc_id GROUP BY d.doc_id, d.text"""
 
 
 def _id_digest(df):
@@ -189,7 +190,8 @@ def tok_9(spark, d):
     f"""WITH {SQL_PART_VOCAB},
 words AS (SELECT doc_id, pos, v.token FROM ids JOIN vocab v USING (id)),
 plain AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM words GROUP BY doc_id)
-SELECT doc_id, regexp_replace(s, '\\s+([,.?!"()''])', '\\1', 'g') AS decoded FROM plain""",
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(regexp_replace(s, '\\s+([,.?!"()''])', '\\1', 'g'), '') END AS decoded
+FROM documents d LEFT JOIN plain p ON d.doc_id = p.doc_id""",
 )
 def tok_10(spark, d):
     vocab = part_vocab(spark, d)
@@ -200,7 +202,7 @@ def tok_10(spark, d):
 @query(
     "tok_11_concat_documents",
     """WITH o AS (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i FROM documents)
-SELECT lang, i // 128 AS piece, count(*) AS n_docs, md5(string_agg(CASE WHEN i > 0 THEN ' <|endoftext|> ' ELSE '' END || text, '' ORDER BY i)) AS digest
+SELECT lang, i // 128 AS piece, count(*) AS n_docs, md5(string_agg(CASE WHEN i > 0 THEN ' <|endoftext|> ' ELSE '' END || coalesce(text, ''), '' ORDER BY i)) AS digest
 FROM o GROUP BY 1, 2""",
 )
 def tok_11(spark, d):
@@ -233,9 +235,9 @@ def tok_11_stream(spark, d):
 @query(
     "tok_15_shift_pair",
     f"""WITH {SQL_PART_VOCAB}, {SQL_SIZES}
-SELECT s.doc_id, coalesce(string_agg(id::VARCHAR, ',' ORDER BY pos) FILTER (WHERE pos >= 50 AND pos < 60), '') AS x,
-  coalesce(string_agg(id::VARCHAR, ',' ORDER BY pos) FILTER (WHERE pos >= 51 AND pos < 61), '') AS y
-FROM sizes s JOIN ids USING (doc_id) GROUP BY 1""",
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(id::VARCHAR, ',' ORDER BY pos) FILTER (WHERE pos >= 50 AND pos < 60), '') END AS x,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(id::VARCHAR, ',' ORDER BY pos) FILTER (WHERE pos >= 51 AND pos < 61), '') END AS y
+FROM documents d LEFT JOIN ids i ON d.doc_id = i.doc_id GROUP BY d.doc_id, d.text""",
 )
 def tok_15(spark, d):
     pair = text.shift_pair(encoded(spark, d), 50, 10)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelearn.operators.text import encode, tokenize
+from framelearn.plans.scale import BROADCAST_BYTES, BROADCAST_ROWS, fits
 
 
 def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
@@ -20,15 +21,42 @@ def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
     return reader.load(path)
 
 
-def encode_stream(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", col: str = "text", bang: bool = False) -> DataFrame:
+def encode_stream(
+    docs: DataFrame,
+    vocab: DataFrame,
+    key: str = "doc_id",
+    col: str = "text",
+    bang: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Arriving documents to id arrays with a fixed vocabulary, unknown tokens as ``<|unk|>``.
 
     The vocabulary must be within the broadcast limits: the look-up then is a
-    projection and keeps no state.
+    projection and keeps no state. ``run_encoded`` takes a vocabulary of any size.
     """
+    if not fits(vocab, max_rows, max_bytes):
+        raise ValueError("the vocabulary is beyond a broadcast: use run_encoded, which joins it batch by batch")
     return encode(tokenize(docs.select(key, col), col, bang=bang), vocab, [key], on_unknown="unk").select(key, "ids")
 
 
+def run_encoded(
+    docs: DataFrame, vocab: DataFrame, path: str, checkpoint: str, key: str = "doc_id", col: str = "text", bang: bool = False, **limits
+) -> None:
+    """Encode what has arrived with the batch operator and stop; the vocabulary may be of any size.
+
+    Each micro-batch is written to a folder of its own, ``batch_id=<n>``, in
+    overwrite mode, so a batch that is run again after a failure leaves no row twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        ids = encode(tokenize(batch.select(key, col), col, bang=bang), vocab, [key], on_unknown="unk", **limits).select(key, "ids")
+        ids.write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+
+    writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def windowed_metrics(
     scored: DataFrame,
     metrics: Mapping[str, Column],

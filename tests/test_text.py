@@ -168,12 +168,11 @@ def test_training_stops_when_no_pair_is_left(spark):
     assert [(a, b) for _, a, b in bpe.bpe_train(words, 10)] == plain_bpe({"ab": 1}, 10)[0]
 
 
-@pytest.mark.parametrize("chain", [0, 64])
-def test_split_equals_training_result(spark, chain):
+def test_split_equals_training_result(spark):
     merges, words = plain_bpe(COUNTS, 25)
     table = bpe.merges_frame(spark, [(i, a, b) for i, (a, b) in enumerate(merges)])
     df = spark.createDataFrame([(w,) for w in COUNTS], "word string")
-    got = {r["word"]: r["parts"] for r in bpe.split_words(df, table, chain=chain).collect()}
+    got = {r["word"]: r["parts"] for r in bpe.split_words(df, table).collect()}
     assert got == words
 
 
