@@ -346,21 +346,27 @@ def lm_windows(df: DataFrame, length: int, stride: int, keys: Sequence[str] = ("
 
 
 def lm_windows_long(
-    df: DataFrame, length: int, stride: int, keys: Sequence[str], pos: str = "pos", value: str = "id"
+    df: DataFrame, length: int, stride: int, keys: Sequence[str], pos: str = "pos", value: str = "id", block: int = 65_536
 ) -> DataFrame:
-    """The same windows from the long form.
+    """The same windows from the long form, whose positions run from 0 without gaps.
 
-    Every token is sent to the windows it lies in, and a group is one window of
-    L+1 tokens, so a stream of any length spreads evenly. A window that is not
-    full is one that the range leaves out.
+    A stream is cut into blocks of ``block`` positions; each block also gets the
+    ``length`` tokens behind it and cuts the windows that start in it. A token
+    is sent at most twice, and a group is one block, however long the stream.
     """
-    first = F.greatest(F.lit(0), F.ceil((F.col(pos) - length) / F.lit(stride))).cast("long")
-    last = F.floor(F.col(pos) / F.lit(stride)).cast("long")
-    hit = F.when(first <= last, F.sequence(first, last))
-    sent = unnest(df, [*keys, pos, value], hit, "chunk_id")
-    full = sent.groupBy(*keys, "chunk_id").agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("w"))
-    full = full.filter(F.size("w") == length + 1).withColumn("w", F.transform("w", lambda p: p[value]))
-    return full.select(*keys, "chunk_id", *_pair(length))
+    block = max(block, length)
+    at = F.floor(F.col(pos) / F.lit(block)).cast("long")
+    # the block before needs the first ``length`` tokens of this one
+    into = F.when((F.col(pos) % block < length) & (at > 0), F.array(at - 1, at)).otherwise(F.array(at))
+    sent = unnest(df, [*keys, pos, value], into, "_b")
+    held = sent.groupBy(*keys, "_b").agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("_c"))
+    held = held.withColumn("_v", F.transform("_c", lambda c: c[value])).withColumn("_lo", F.col("_b") * block).drop("_c")
+    first = (F.ceil(F.col("_lo") / F.lit(stride)) * stride).cast("long")
+    last = F.least(F.col("_lo") + block - 1, F.col("_lo") + F.size("_v") - length - 1).cast("long")
+    starts = F.when(first <= last, F.sequence(first, last, F.lit(stride).cast("long")))
+    cut = unnest(held, [*keys, "_lo", "_v"], starts, "_s")
+    window = F.slice(F.col("_v"), (F.col("_s") - F.col("_lo") + 1).cast("int"), F.lit(length + 1)).alias("w")
+    return cut.select(*keys, F.floor(F.col("_s") / F.lit(stride)).cast("long").alias("chunk_id"), window).select(*keys, "chunk_id", *_pair(length))
 
 
 def lm_dataset(
@@ -393,12 +399,12 @@ def lm_dataset(
         tokens = tokenize(df.select(key, col), col, bang=bang).select(key, "tokens")
         docs, n_ids = encode(tokens, vocab, [key], on_unknown=on_unknown), tokens.select(key, F.size("tokens").alias("_n"))
     else:
-        docs = encoder(df.select(key, col))
+        docs = materialize(encoder(df.select(key, col)).select(key, "ids"))
         n_ids = docs.select(key, F.size("ids").alias("_n"))
     counts = materialize(n_ids.select(key, window_count(F.col("_n"), length, stride).alias("_n"))).filter("_n > 0")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    windows = _windows(docs.select(key, "ids"), length, stride, [key], "ids")
     if shuffle:
+        windows = _windows(docs.select(key, "ids"), length, stride, [key], "ids")
 
         def hashed(rows: DataFrame) -> DataFrame:
             return rows.withColumn("_h", order_hash(key, "chunk_id", seed=seed, epoch=epoch))
@@ -409,8 +415,9 @@ def lm_dataset(
         placed = dense_index(windows, order, name="idx", rows=total, hashed=True, keys_from=hashed(keys)).drop("_h")
     else:
         offsets = running_total(counts, [key], F.col("_n"), name="_o").select(key, "_o")
-        placed = lookup_join(windows, offsets, [key], "inner")
-        placed = placed.withColumn("idx", F.col("_o") + F.col("chunk_id")).drop("_o")
+        # the offset meets the document, one row, and its windows carry it along
+        numbered = lookup_join(docs.select(key, "ids"), offsets, [key], "inner")
+        placed = _windows(numbered, length, stride, [key, "_o"], "ids").withColumn("idx", F.col("_o") + F.col("chunk_id")).drop("_o")
     if drop_last:
         placed = placed.filter(F.col("idx") < total // batch_size * batch_size)
     batch_id = F.floor(F.col("idx") / batch_size).cast("long").alias("batch_id")

@@ -9,6 +9,7 @@ from framelearn.operators import tensors as T
 from framelearn.operators import text, vectors
 from framelearn.plans.registry import query, rnd, sql_rnd, table
 from framelearn.plans.scale import spread, unnest
+from framelearn.plans.text_queries import SQL_LONG
 from framelearn.sources import generators as G
 
 SQL_X = "x AS (SELECT vec_id AS i0, unnest(range(64))::BIGINT AS i1, unnest(embedding)::DOUBLE AS v FROM embeddings)"
@@ -350,8 +351,18 @@ def vec_5_blocks(spark, d):
     return _knn(spark, d, max_rows=0, block_rows=512)
 
 
-@query("vec_6_word_vectors")
+@query(
+    "vec_6_word_vectors",
+    f"""WITH {SQL_LONG},
+once AS (SELECT a.token AS a, b.token AS b, count(*) AS n FROM long a JOIN long b ON a.doc_id = b.doc_id AND b.pos - a.pos BETWEEN 1 AND 2 GROUP BY 1, 2),
+pairs AS (SELECT token, context, sum(n) AS n FROM (SELECT a AS token, b AS context, n FROM once UNION ALL SELECT b, a, n FROM once) GROUP BY 1, 2),
+sums AS (SELECT token, sum(n) AS s FROM pairs GROUP BY 1),
+info AS (SELECT p.token, greatest(ln(p.n * (SELECT sum(s) FROM sums)::DOUBLE / (a.s::DOUBLE * b.s::DOUBLE)), 0) AS i,
+  ('0x'||substr(md5(p.context||':7:0'), 1, 15))::BIGINT AS h FROM pairs p JOIN sums a ON p.token = a.token JOIN sums b ON p.context = b.token),
+cells AS (SELECT token, k, sum(i * (2 * ((h >> k) & 1) - 1)) AS v FROM info, (SELECT unnest(range(8)) AS k) GROUP BY 1, 2)
+SELECT token AS key, k::INT AS dim, {sql_rnd("v", 3)} AS value FROM cells""",
+)
 def vec_6(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    out = vectors.train_word_vectors(text.tokenize(docs), size=16, min_count=20, maxIter=1, numPartitions=4)
-    return out.select("key", F.size("vector").alias("dim"), C.norm("vector").alias("norm"))
+    out = vectors.word_vectors(text.tokenize(docs), size=8, window=2, seed=7)
+    return out.select("key", F.posexplode("vector").alias("dim", "value")).withColumn("value", rnd(F.col("value"), 3))

@@ -137,3 +137,20 @@ def test_stream_with_a_vocabulary_beyond_a_broadcast(spark, tmp_path):
         streams.run_encoded(stream, vocab, f"{tmp_path}/out{k}", f"{tmp_path}/check{k}", **limits)
         got = {r["doc_id"]: r["ids"] for r in spark.read.parquet(f"{tmp_path}/out{k}").collect()}
         assert got == {1: [0, 1], 2: [1, 3], 3: []}
+
+
+@pytest.mark.parametrize("length,stride,block", [(3, 1, 8), (5, 7, 5), (4, 4, 16), (6, 2, 3)])
+def test_windows_of_blocks_equal_windows_of_rows(spark, length, stride, block):
+    df = spark.createDataFrame([(k, list(range(100 * k, 100 * k + n))) for k, n in enumerate((0, 3, 7, 8, 9, 40, 41))], "doc_id long, ids array<long>")
+    long = df.select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    want = sorted(map(tuple, text.lm_windows(df, length, stride).collect()))
+    assert sorted(map(tuple, text.lm_windows_long(long, length, stride, ["doc_id"], block=block).collect())) == want
+
+
+def test_dataset_joins_offsets_to_documents(spark):
+    df = spark.createDataFrame([(k, "a b c d e f g h") for k in range(5)], "doc_id long, text string")
+    vocab = text.build_vocab(text.tokenize(df), specials=[text.END_OF_TEXT, text.UNKNOWN])
+    out = text.lm_dataset(df, vocab, length=2, stride=2, shuffle=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")  # windows are cut above the join
+    assert [r["idx"] for r in out.orderBy("idx").collect()] == list(range(12))
