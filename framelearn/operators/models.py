@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from framelearn.functions import columns as C
 from framelearn.operators.metrics import is_multiclass
 from framelearn.operators.tensors import row_function
-from framelearn.plans.scale import maybe_broadcast, settle, small_rows
+from framelearn.plans.scale import lookup_join, settle, small_rows
 from framelearn.sources.generators import grid
 
 PARAM_SCHEMA = "name string, storage_id string, shape array<int>, values array<double>"
@@ -115,7 +115,7 @@ def classify(scored: DataFrame, classes: DataFrame | None = None, logits: str =
     if classes is None:
         return out
     names = classes.select(F.col("label").alias("pred"), "class_name")
-    return out.join(maybe_broadcast(names), "pred", "left")
+    return lookup_join(out, names, ["pred"], "left")
 
 
 def evaluate(scored: DataFrame, model_name: str, loss: Column, metric: Column, engine: str = "spark") -> DataFrame:

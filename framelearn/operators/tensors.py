@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelearn.plans.scale import BROADCAST_BYTES, dense_index, fits, lookup_join, maybe_broadcast, small_rows
+from framelearn.plans.scale import BROADCAST_BYTES, dense_index, fits, lookup_join, small_rows
 
 
 def axes(df: DataFrame) -> list[str]:
@@ -341,4 +341,4 @@ def class_ids(df: DataFrame, col: str) -> DataFrame:
 
 def with_class_ids(df: DataFrame, col: str) -> DataFrame:
     ids = class_ids(df, col).withColumnRenamed("class_name", col)
-    return df.join(maybe_broadcast(ids), col)
+    return lookup_join(df, ids, [col], "inner")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from framelearn.functions import columns as C
 from framelearn.operators import batches, metrics
 from framelearn.plans.registry import query, rnd, sql_rnd, table
-from framelearn.plans.scale import dense_index, lookup_join, maybe_broadcast
+from framelearn.plans.scale import dense_index, lookup_join
 
 # --- stand-ins for scored rows -------------------------------------------
 
@@ -360,7 +360,7 @@ def p_13(spark, d):
 )
 def p_19(spark, d):
     classes = table(spark, d, "nation").select(F.col("n_nationkey").alias("label"), F.col("n_name").alias("class_name"))
-    return table(spark, d, "embeddings").select("vec_id", "label").join(maybe_broadcast(classes), "label", "left")
+    return lookup_join(table(spark, d, "embeddings").select("vec_id", "label"), classes, ["label"], "left")
 
 
 @query("p_23_every_nth", "SELECT event_id, event_type, value FROM events WHERE event_id % 100 = 0")

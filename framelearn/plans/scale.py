@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelearn.functions.columns import let
+from framelearn.session import materialize
 
 #: Largest side that is broadcast or brought to the driver.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: A key is hot when it holds this many rows and at least 1/HOT_PARTS of them,
-#: so there are never more than HOT_PARTS hot keys.
+#: A key is hot when it holds this many rows; there are never more than HOT_PARTS hot keys.
 HOT_ROWS = 1_000_000
 HOT_PARTS = 1024
 
@@ -98,12 +98,9 @@ def settle(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, hot_parts: int = HOT_PARTS):
-    """Keys holding ``hot_rows`` rows and 1/``hot_parts`` of all: at most ``hot_parts`` rows."""
-    total = df.count()
-    if total < hot_rows:
-        return []
-    bar = max(hot_rows, -(-total // hot_parts))
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= bar).select(*on).collect()
+    """The ``hot_parts`` most frequent keys among those holding ``hot_rows`` rows: one pass over the table."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
+    return counts.orderBy(F.desc("n")).limit(hot_parts).select(*on).collect()
 
 
 def lookup_join(
@@ -115,19 +112,23 @@ def lookup_join(
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
     hot_parts: int = HOT_PARTS,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, whose ``on`` columns are unique and not NULL.
 
     A small right side is broadcast. Beyond that both sides shuffle on the key,
     except the few hot keys: their right rows (one per key) are broadcast, so a
-    key that holds a third of the left side never meets in one task.
+    key that holds a third of the left side never meets in one task. ``hot`` may
+    name the hot keys when they are known; otherwise one pass counts them. With
+    hot keys the left side is kept, so that its two parts do not compute it again.
     """
     on = list(on)
     if fits(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    hot = hot_keys(left, on, hot_rows, hot_parts)
+    hot = hot_keys(left, on, hot_rows, hot_parts) if hot is None else list(hot)
     if not hot:
         return left.join(right, on, how)
+    left = materialize(left)
     schema = T.StructType([left.schema[c] for c in on])
     keys = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
     cold_part = left.join(keys, on, "left_anti").join(right, on, how)
