@@ -106,21 +106,22 @@ def loss_and_slope(z: np.ndarray, y: np.ndarray, loss: str) -> tuple[np.ndarray,
     raise ValueError(f"unknown loss {loss}")
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser, so that neighbouring numbers give unrelated bits."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+#: Modulus and multipliers of the dropout draw: products of two residues stay below 2**63, so SQL can repeat them.
+DRAW_MODULUS, DRAW_ROW, DRAW_UNIT = 2**31 - 1, 48_271, 69_621
+
+
+def draw_salt(layer: int, seed: int, step: int) -> int:
+    return ((seed * 1_000_003 + step) * 1_009 + layer) % DRAW_MODULUS
 
 
 def dropout_mask(rows: np.ndarray, units: int, layer: int, seed: int, step: int, rate: float) -> np.ndarray:
     """Kept units scaled by 1/(1-rate); fixed by row key, unit, layer, seed and step."""
-    with np.errstate(over="ignore"):
-        salt = _mix(np.array([(seed * 1_000_003 + step) * 1_009 + layer], dtype=np.uint64))
-        h = _mix(rows.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + salt)
-        h = _mix(h + np.arange(1, units + 1, dtype=np.uint64)[None, :])
-    keep = (h >> np.uint64(11)).astype(np.float64) / float(1 << 53) >= rate
-    return keep / (1.0 - rate)
+    p = DRAW_MODULUS
+    h = (rows.astype(np.int64) % p * DRAW_ROW)[:, None] + np.arange(1, units + 1, dtype=np.int64) * DRAW_UNIT
+    h = (h + draw_salt(layer, seed, step)) % p
+    for _ in range(3):
+        h = (h * h % p + DRAW_ROW * h + 11) % p
+    return (h / p >= rate) / (1.0 - rate)
 
 
 def _rate(dropout: float | Sequence[float], layer: int) -> float:

@@ -296,12 +296,24 @@ def _history(fit, *wanted):
     return kept.unionByName(sums).select("epoch", "metric", rnd(F.col("value")).alias("value"))
 
 
-def _forward_sql(tag, step, n_layers, x, y):
+def _mask_sql(name, source, layer, seed, step, rate):
+    """name(r, i, m): the dropout factor of each unit, drawn as ``training.dropout_mask`` draws it."""
+    p, a, b = training.DRAW_MODULUS, training.DRAW_ROW, training.DRAW_UNIT
+    h = f"SELECT r, i, (r::BIGINT % {p} * {a} + (i + 1) * {b} + {training.draw_salt(layer, seed, step)}) % {p} AS h FROM {source}"
+    for _ in range(3):
+        h = f"SELECT r, i, (h * h % {p} + {a} * h + 11) % {p} AS h FROM ({h})"
+    return f"{name} AS MATERIALIZED (SELECT r, i, (h::DOUBLE / {p} >= {rate}::DOUBLE)::INT / (1 - {rate}::DOUBLE) AS m FROM ({h}))"
+
+
+def _forward_sql(tag, step, n_layers, x, y, dropout=None, seed=0):
     """Activations a<tag>_k and outputs z<tag>_k of rows (x, y) with the weights of a step."""
     parts = [f"a{tag}_0 AS (SELECT r, j, v FROM {x} JOIN {y} USING (r) UNION ALL SELECT r, -1, 1 FROM {y})"]
     for k in range(n_layers):
         parts.append(f"z{tag}_{k} AS MATERIALIZED (SELECT r, i, sum(v * w) AS v FROM a{tag}_{k} JOIN w{step}_{k} USING (j) GROUP BY 1, 2)")
-        if k + 1 < n_layers:
+        if k + 1 < n_layers and dropout and dropout[k]:
+            parts.append(_mask_sql(f"k{tag}_{k}", f"z{tag}_{k}", k, seed, step, dropout[k]))
+            parts.append(f"a{tag}_{k + 1} AS (SELECT r, i AS j, greatest(v, 0) * m AS v FROM z{tag}_{k} JOIN k{tag}_{k} USING (r, i) UNION ALL SELECT r, -1, 1 FROM {y})")
+        elif k + 1 < n_layers:
             parts.append(f"a{tag}_{k + 1} AS (SELECT r, i AS j, greatest(v, 0) AS v FROM z{tag}_{k} UNION ALL SELECT r, -1, 1 FROM {y})")
     return parts
 
@@ -326,14 +338,17 @@ def _loss_sql(tag, loss, z, y):
     ]
 
 
-def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False, test=False, final=None):
+def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False, test=False, final=None, dropout=None, seed=0, plateau=None, also=(), extra=()):
     """The same training in SQL: relations for weights, activations and slopes per step.
 
     ``data`` defines dx(r, j, v) and dy(r, y), with ``test`` also tx and ty. Biases
     are weights at j = -1. With ``batches`` each epoch deals rows by seeded hash.
     ``final`` is a query over the last test outputs, zt(r, i, v), instead of the history.
+    ``dropout`` has a rate per hidden layer, ``plateau`` a rule for the learning
+    rate; ``also`` adds the metrics lr and train_f1, ``extra`` further rows over zt.
     """
     n_layers, parts, rows, step = len(sizes) - 1, [data], [], 0
+    parts.append(f"lr0 AS (SELECT {lr}::DOUBLE AS lr, 'inf'::DOUBLE AS best, 0 AS bad)")
     last = n_layers - 1
     for k, (n_in, n_out) in enumerate(zip(sizes, sizes[1:])):
         grid = f"(SELECT unnest(range({n_out})) AS i) a, (SELECT unnest(range(-1, {n_in})) AS j) b"
@@ -348,22 +363,23 @@ def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False, test=False,
         for b in range(count):
             s = step
             parts.append(f"y{s} AS (SELECT r, y FROM deal{epoch} WHERE b = {b})" if batches else f"y{s} AS (SELECT r, y FROM dy)")
-            parts += _forward_sql(s, s, n_layers, "dx", f"y{s}")
+            parts += _forward_sql(s, s, n_layers, "dx", f"y{s}", dropout, seed)
             parts += _loss_sql(s, loss, f"z{s}_{last}", f"y{s}")
             parts.append(f"d{s}_{last} AS (SELECT * FROM d{s})")
             for k in range(last, 0, -1):
+                kept, factor = (f" JOIN k{s}_{k - 1} m ON m.r = d.r AND m.i = w.j", " * any_value(m.m)") if dropout and dropout[k - 1] else ("", "")
                 parts.append(
-                    f"d{s}_{k - 1} AS MATERIALIZED (SELECT d.r, w.j AS i, sum(d.v * w.w) * (any_value(p.v) > 0)::INT AS v FROM d{s}_{k} d JOIN w{s}_{k} w USING (i) "
-                    f"JOIN z{s}_{k - 1} p ON p.r = d.r AND p.i = w.j GROUP BY 1, 2)"
+                    f"d{s}_{k - 1} AS MATERIALIZED (SELECT d.r, w.j AS i, sum(d.v * w.w) * (any_value(p.v) > 0)::INT{factor} AS v FROM d{s}_{k} d JOIN w{s}_{k} w USING (i) "
+                    f"JOIN z{s}_{k - 1} p ON p.r = d.r AND p.i = w.j{kept} GROUP BY 1, 2)"
                 )
             for k in range(n_layers):
                 parts.append(f"g{s}_{k} AS MATERIALIZED (SELECT i, j, sum(d.v * a.v) / (SELECT count(*) FROM y{s}) AS g FROM d{s}_{k} d JOIN a{s}_{k} a USING (r) GROUP BY 1, 2)")
                 if adam:
                     m, q = "(0.9::DOUBLE * m + 0.1::DOUBLE * g)", "(0.999::DOUBLE * q + 0.001::DOUBLE * g * g)"
                     move = f"{m} / (1 - power(0.9::DOUBLE, {s + 1})) / (sqrt({q} / (1 - power(0.999::DOUBLE, {s + 1}))) + 1e-8::DOUBLE)"
-                    new = f"w - {lr}::DOUBLE * {move} AS w, {m} AS m, {q} AS q"
+                    new = f"w - (SELECT lr FROM lr{epoch if plateau else 0}) * {move} AS w, {m} AS m, {q} AS q"
                 else:
-                    new = f"w - {lr}::DOUBLE * g AS w, m, q"
+                    new = f"w - (SELECT lr FROM lr{epoch if plateau else 0}) * g AS w, m, q"
                 parts.append(f"w{s + 1}_{k} AS MATERIALIZED (SELECT i, j, {new} FROM w{s}_{k} JOIN g{s}_{k} USING (i, j))")
             step += 1
         mine = " UNION ALL ".join(f"SELECT loss, hit FROM l{t}" for t in range(step - count, step))
@@ -375,9 +391,28 @@ def sql_fit(data, sizes, loss, lr, epochs, batches=None, adam=False, test=False,
         for kind, source in kinds:
             parts.append(f"h{kind}{epoch} AS (SELECT avg(loss) AS loss, 100 * avg(hit) AS acc FROM ({source}))")
             rows += [f"SELECT {epoch} AS epoch, '{kind}_{n}' AS metric, {sql_rnd(n)} AS value FROM h{kind}{epoch}" for n in ("loss", "acc")]
+        if "lr" in also:
+            rows.append(f"SELECT {epoch}, 'lr', {sql_rnd('lr')} FROM lr{epoch if plateau else 0}")
+        if "train_f1" in also:
+            guesses = " UNION ALL ".join(f"SELECT pred, y FROM t{t} JOIN y{t} USING (r)" for t in range(step - count, step))
+            per_class = "SELECT c, count(*) FILTER (WHERE pred = c AND y = c) AS tp, count(*) FILTER (WHERE pred = c) + count(*) FILTER (WHERE y = c) AS n"
+            parts.append(
+                f"f{epoch} AS (SELECT avg(2.0::DOUBLE * tp / n) AS f1 FROM ({per_class} FROM (SELECT unnest(range({sizes[-1]})) AS c), ({guesses}) GROUP BY c) WHERE n > 0)"
+            )
+            rows.append(f"SELECT {epoch}, 'train_f1', {sql_rnd('f1')} FROM f{epoch}")
+        if plateau:
+            better, worn = f"loss < best * (1 - {plateau.threshold}::DOUBLE)", f"bad + 1 > {plateau.patience}"
+            parts.append(
+                f"lr{epoch + 1} AS MATERIALIZED (SELECT CASE WHEN {better} OR NOT ({worn}) THEN lr ELSE lr * {plateau.factor}::DOUBLE END AS lr, "
+                f"CASE WHEN {better} THEN loss ELSE best END AS best, CASE WHEN {better} OR {worn} THEN 0 ELSE bad + 1 END AS bad "
+                f"FROM lr{epoch}, h{'test' if test else 'train'}{epoch})"
+            )
     if final:
         parts.append(f"zt AS (SELECT * FROM zt{epochs - 1}_{last})")
         return "WITH " + ",\n".join(parts) + "\n" + final
+    if extra:
+        parts.append(f"zt AS (SELECT * FROM zt{epochs - 1}_{last})")
+        rows += extra
     for k in range(n_layers):
         for n, cond in (("weight", "j >= 0"), ("bias", "j = -1")):
             rows.append(f"SELECT -1, 'layers.{k}.{n}', {sql_rnd('sum(w)')} FROM w{step}_{k} WHERE {cond}")
@@ -448,20 +483,34 @@ def ml_8_adam(spark, d):
     return _history(training.fit_mlp(vector_rows(spark, d), sizes, "ce", lr=0.001, epochs=3, optimizer="adam", init=_start(sizes)), *_LOSS)
 
 
-@query("ml_8_fit_options")
+def _strict_plateau():
+    return training.Plateau(factor=0.5, patience=0, threshold=0.5)
+
+
+@query(
+    "ml_8_fit_options",
+    sql_fit(_FIT_VECTORS, [64, 10, 10], "ce", 0.001, 4, adam=True, dropout=[0.2], seed=42, plateau=_strict_plateau(), also=("lr", "train_f1")),
+)
 def ml_8(spark, d):
     """Adam, dropout and a learning rate that halves on a plateau."""
-    plateau = training.Plateau(factor=0.5, patience=0, threshold=0.5)
+    sizes = [64, 10, 10]
     fit = training.fit_mlp(
-        vector_rows(spark, d), [64, 10, 10], "ce", lr=0.001, epochs=4, optimizer="adam", dropout=0.2, plateau=plateau, seed=42
+        vector_rows(spark, d), sizes, "ce", lr=0.001, epochs=4, optimizer="adam", dropout=0.2, plateau=_strict_plateau(), seed=42, init=_start(sizes)
     )
     return _history(fit, *_LOSS, "lr", "train_f1")
 
 
-@query("ml_19_history")
+@query(
+    "ml_19_history",
+    "SELECT 'timed' AS run, metric, count(*) AS n_epochs, min(value) AS least FROM ("
+    + sql_fit(_FIT_VECTORS, [64, 10], "ce", 0.1, 3, also=("lr", "train_f1"))
+    + ") WHERE epoch >= 0 GROUP BY metric",
+)
 def ml_19(spark, d):
-    fit = training.fit_mlp(vector_rows(spark, d), [64, 10], "ce", lr=0.1, epochs=3, run="timed")
-    return fit.history.groupBy("run", "metric").agg(F.count(F.lit(1)).alias("n_epochs"), F.min("value").alias("least"))
+    """The history without the seconds, which no run repeats."""
+    fit = training.fit_mlp(vector_rows(spark, d), [64, 10], "ce", lr=0.1, epochs=3, run="timed", init=_start([64, 10]))
+    kept = fit.history.filter("metric <> 'seconds'").withColumn("value", rnd(F.col("value")))
+    return kept.groupBy("run", "metric").agg(F.count(F.lit(1)).alias("n_epochs"), F.min("value").alias("least"))
 
 
 def class_params(spark, d):
@@ -875,15 +924,21 @@ def ml_18_r2(spark, d):
     return preds.agg(rnd(C.r2_score("pred", "y")).alias("r2"), F.count(F.lit(1)).alias("n_graphs"))
 
 
-@query("ml_18_graph_head_options")
+@query(
+    "ml_18_graph_head_options",
+    sql_fit(
+        _SQL_HEAD, [8, 8, 4, 1], "l1", 0.01, 4, adam=True, test=True, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau(), also=("lr",),
+        extra=[f"SELECT -1, 'test_r2', r2 FROM ({_SQL_R2})"],
+    ),
+)
 def ml_18_options(spark, d):
     """The head with dropout after its first layer and the plateau rule."""
     graphs, nodes, edges = conversation_graphs(spark, d)
     fit, preds = GR.fit_graph_head(
-        GR.pool_graphs(nodes, 4, graphs), graphs, [8, 4], lr=0.01, epochs=4, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau()
+        GR.pool_graphs(nodes, 4, graphs), graphs, [8, 4], lr=0.01, epochs=4, dropout=[0.2, 0.0], seed=42, plateau=training.Plateau(), init=_start([8, 8, 4, 1])
     )
-    r2 = preds.agg(C.r2_score("pred", "y").alias("value")).select(F.lit(-1).alias("epoch"), F.lit("test_r2").alias("metric"), "value")
-    return _history(fit, *_LOSS, "lr", "test_loss").unionByName(r2)
+    r2 = preds.agg(rnd(C.r2_score("pred", "y")).alias("value")).select(F.lit(-1).alias("epoch"), F.lit("test_r2").alias("metric"), "value")
+    return _history(fit, *_LOSS, "lr", "test_loss", "test_acc").unionByName(r2)
 
 
 # --- sources and sinks ----------------------------------------------------
