@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -61,6 +61,11 @@ def word_symbols(words: DataFrame) -> DataFrame:
     return words.withColumn("symbols", symbol_string(F.col("word")))
 
 
+def byte_symbols(words: DataFrame) -> DataFrame:
+    """``(word, freq)`` -> ``(word, freq, symbols)`` with the word's UTF-8 bytes in hexadecimal as symbols, no end mark."""
+    return words.withColumn("symbols", F.regexp_replace(F.hex("word"), "(..)", f"{_OPEN}$1{_CLOSE}"))
+
+
 def _pairs(symbols: Column, freq: Column) -> Column:
     def neighbours(s):
         last = F.size(s) - 1
@@ -120,18 +125,21 @@ def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tupl
     return taken
 
 
-def bpe_train(words: DataFrame, n_merges: int, fetch: int = 512, cut_every: int = 32) -> list[tuple[int, str, str]]:
+def bpe_train(
+    words: DataFrame, n_merges: int, fetch: int = 512, cut_every: int = 32, symbols: Callable[[DataFrame], DataFrame] = word_symbols
+) -> list[tuple[int, str, str]]:
     """Learn merges ``(rank, left, right)`` from ``(word, freq)``, most frequent pair first.
 
     Ties go to the smaller pair in code-point order. Pairs are counted once; after
     that a round adds only the changes in the words it touched. A round may take
     several merges that cannot influence each other, so there are fewer rounds
-    than merges. The counts are checkpointed each round, the words every
+    than merges. ``symbols`` cuts the words: into characters, or with
+    ``byte_symbols`` into bytes. The counts are checkpointed each round, the words every
     ``cut_every`` merges.
     """
     cores = words.sparkSession.sparkContext.defaultParallelism
     counted = words.groupBy("word").agg(F.sum("freq").alias("freq"))
-    current = materialize(word_symbols(counted).repartition(cores, "word"))
+    current = materialize(symbols(counted).repartition(cores, "word"))
     counts = materialize(pair_counts(current))
     merges: list[tuple[int, str, str]] = []
     pending = 0
@@ -287,6 +295,20 @@ def read_ranks(spark, path: str) -> DataFrame:
     return lines.select(F.unbase64(parts[0]).alias("token"), parts[1].cast("long").alias("rank"))
 
 
+def byte_ranks(spark, merges: Iterable[tuple[int, str, str]]) -> DataFrame:
+    """A rank table from merges of ``byte_symbols``: the 256 bytes, then each merged string once."""
+    ranks = {bytes([b]): b for b in range(256)}
+    for k, (_, left, right) in enumerate(merges):
+        ranks.setdefault(bytes.fromhex(left + right), 256 + k)
+    return spark.createDataFrame(list(ranks.items()), "token binary, rank long")
+
+
+def piece_counts(df: DataFrame, col: str = "text", pattern: str = PIECES) -> DataFrame:
+    """``(word, freq)``: the pieces of the texts with their counts."""
+    pieces = unnest(df, [], piece_array(F.col(col), pattern=pattern), "word")
+    return pieces.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+
+
 def piece_array(text: Column, specials: Sequence[str] = (), pattern: str = PIECES) -> Column:
     """Text cut by the pattern; the given special tokens are cut out whole first."""
     find = F.lit("(?U)" + pattern)

@@ -433,3 +433,66 @@ def tok_14(spark, d):
     ids = bpe.bpe_encode(tokens(spark, d), merges, vocab)
     back = bpe.bpe_decode(ids.select("doc_id", F.posexplode("ids").alias("pos", "id")), vocab)
     return back.select("doc_id", F.md5("text").alias("digest"))
+
+
+# --- byte-level pairs -----------------------------------------------------
+
+#: a word with the blank before it, or one white space character: no look-ahead, so that every engine can cut it
+_BYTE_PIECES = r" ?[^\s]+|\s"
+_BYTE_LONG = f"""pc AS (SELECT doc_id, regexp_extract_all(text, '{_BYTE_PIECES}') AS t FROM documents),
+long AS (SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS token FROM pc),
+w0 AS MATERIALIZED (SELECT token, count(*) AS n, regexp_replace(hex(encode(token)), '(..)', chr(2)||'\\1'||chr(3), 'g') AS s FROM long GROUP BY token)"""
+_BYTE_MERGED = " UNION ALL ".join(f"SELECT l || r AS sym, {256 + i} AS id FROM b{i}" for i in range(N_MERGES))
+_BYTE_IDS = f"""{_BYTE_LONG}, {_merge_ctes(N_MERGES)},
+parts AS (SELECT token, {_SPLIT.format('s')} AS a FROM w{N_MERGES}),
+merged AS (SELECT sym, min(id) AS id FROM ({_BYTE_MERGED}) GROUP BY 1),
+flat AS (SELECT doc_id, pos AS p, unnest(range(len(a))) AS j, unnest(a) AS sym FROM long JOIN parts USING (token)),
+ids AS MATERIALIZED (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p, j) - 1 AS pos, coalesce(m.id, ('0x' || f.sym)::BIGINT) AS id
+  FROM flat f LEFT JOIN merged m ON f.sym = m.sym)"""
+
+
+def byte_merges(spark, d):
+    return bpe.bpe_train(bpe.piece_counts(docs(spark, d), pattern=_BYTE_PIECES), N_MERGES, symbols=bpe.byte_symbols)
+
+
+def _byte_encoded(spark, d):
+    ranks = bpe.byte_ranks(spark, byte_merges(spark, d))
+    return bpe.encode_ranks(docs(spark, d), ranks, pattern=_BYTE_PIECES).select("doc_id", "ids"), ranks
+
+
+@query(
+    "tok_12_bpe_train_bytes",
+    f"WITH {_BYTE_LONG}, {_merge_ctes(N_MERGES)} " + " UNION ALL ".join(f'SELECT {i} AS rank, l AS "left", r AS "right" FROM b{i}' for i in range(N_MERGES)),
+)
+def tok_12_bytes(spark, d):
+    return bpe.merges_frame(spark, byte_merges(spark, d))
+
+
+@query("tok_13_bpe_bytes", f"WITH {_BYTE_IDS} SELECT doc_id, id, count(*) AS n FROM ids GROUP BY 1, 2")
+def tok_13_bytes(spark, d):
+    ids, _ = _byte_encoded(spark, d)
+    return unnest(ids, ["doc_id"], "ids", "id").groupBy("doc_id", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tok_14_bytes_round_trip", "SELECT doc_id, md5(text) AS digest FROM documents")
+def tok_14_bytes(spark, d):
+    """Text encoded by learned byte merges and decoded again is the text itself."""
+    ids, ranks = _byte_encoded(spark, d)
+    return bpe.decode_ranks(ids, ranks).select("doc_id", F.md5("text").alias("digest"))
+
+
+_BYTE_DATASET = f"""WITH {_BYTE_IDS}, {SQL_SIZES}, {sql_windows(64, 64)},
+placed AS (SELECT *, row_number() OVER (ORDER BY doc_id, chunk_id) - 1 AS idx, count(*) OVER () AS total FROM wins)
+SELECT doc_id, chunk_id, md5(input_ids) AS input_ids, md5(target_ids) AS target_ids, idx, idx // 8 AS batch_id
+FROM placed WHERE idx < total // 8 * 8"""
+
+
+@query("tok_18_lm_dataset_bytes", _BYTE_DATASET)
+def tok_18_bytes(spark, d):
+    ranks = bpe.byte_ranks(spark, byte_merges(spark, d))
+
+    def encoder(df):
+        return bpe.encode_ranks(df, ranks, pattern=_BYTE_PIECES)
+
+    out = text.lm_dataset(docs(spark, d), encoder=encoder, batch_size=8, length=64, stride=64, shuffle=False)
+    return _win_digest(out, "doc_id", "idx", "batch_id")
