@@ -15,8 +15,8 @@ from framelearn.session import materialize, shared_dir
 
 
 def workspace(spark: SparkSession, what: str) -> str:
-    """A new folder for one run below the folder that all executors share."""
-    return f"{shared_dir(spark).rstrip('/')}/framelearn-llm/{what}-{uuid.uuid4().hex}"
+    """A new folder for one run: below the folder that all executors share, in one named by the application."""
+    return f"{shared_dir(spark).rstrip('/')}/framelearn-llm/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:

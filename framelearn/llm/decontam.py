@@ -23,7 +23,7 @@ WINDOW = 8
 #: Items with fewer tokens cannot be told from ordinary text and are not searched for.
 MIN_TOKENS = 4
 #: Share of an item's windows that one alignment must cover.
-MIN_SHARE = 0.5
+MIN_SHARE = 0.3
 
 #: Words that are units when they follow a number.
 UNITS = (
