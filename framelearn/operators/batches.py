@@ -133,6 +133,11 @@ def assign_batches(
     return placed.withColumn("batch_id", F.floor(F.col("_idx") / size).cast("long")).drop("_idx")
 
 
+def nth_batch(df: DataFrame, key: Sequence[str], size: int, k: int) -> DataFrame:
+    """The k-th batch in key order with its ``batch_id``: a filter on the key, no row is numbered."""
+    return slice_rows(df, key, k * size, (k + 1) * size).withColumn("batch_id", F.lit(k).cast("long"))
+
+
 def batch(df: DataFrame, k: int) -> DataFrame:
     """The k-th batch of a table with batch numbers."""
     return df.filter(F.col("batch_id") == k)

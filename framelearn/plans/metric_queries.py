@@ -473,7 +473,7 @@ def ord_6(spark, d):
 )
 def ord_9(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return batches.batch(batches.assign_batches(rows, ["o_orderkey"], 32), 1)
+    return batches.nth_batch(rows, ["o_orderkey"], 32, 1)
 
 
 @query(

@@ -995,8 +995,7 @@ def src_15_16(spark, d):
 def src_17(spark, d):
     """The corpus written as text files, one folder per language, and read back by line."""
     where = f"{shared_dir(spark)}/text-{uuid.uuid4().hex}"
-    src = table(spark, d, "documents").select("lang", F.col("text").alias("value"))
-    src.write.partitionBy("lang").text(where)
+    writers.write_text(table(spark, d, "documents"), where, by=["lang"])
     lines = spark.read.schema("value string, lang string").text(where)
     return lines.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("n_chars"))
 

@@ -11,6 +11,7 @@ from framelearn.plans.registry import query, rnd, sql_rnd, table
 from framelearn.plans.scale import spread, unnest
 from framelearn.plans.text_queries import SQL_LONG
 from framelearn.sources import generators as G
+from framelearn.sources import readers
 
 SQL_X = "x AS (SELECT vec_id AS i0, unnest(range(64))::BIGINT AS i1, unnest(embedding)::DOUBLE AS v FROM embeddings)"
 
@@ -265,7 +266,7 @@ def src_14(spark, d):
 
 
 def word_vectors(spark, d):
-    return table(spark, d, "embeddings").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"))
+    return readers.read_vectors(spark, f"{d}/embeddings.parquet", "vec_id", "embedding")
 
 
 _NORM = "sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ def save_params(params: DataFrame, path: str) -> None:
     params.write.mode("overwrite").parquet(path)
 
 
-def write_text(df: DataFrame, path: str, col: str = "text") -> None:
-    """One line per line of text, in as many files as there are partitions."""
-    df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
+def write_text(df: DataFrame, path: str, col: str = "text", by: Sequence[str] = ()) -> None:
+    """One line per line of text, in as many files as there are partitions; a folder per value of ``by``."""
+    writer = df.select(F.col(col).cast("string").alias("value"), *by).write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).text(path)
 
 
 def save_graphs(graphs: DataFrame, nodes: DataFrame, edges: DataFrame, path: str) -> None:
