@@ -91,7 +91,42 @@ def op8_license_scan(spark, d):
     return license_scan.license_scan(table(spark, d, "documents"))
 
 
-@query("op10_benchmark_decontamination")
+def _tokens_sql(text: str) -> str:
+    """``decontam.marked_tokens`` in SQL without look-around: capitals are marked first, digit gaps closed twice."""
+    x = f"regexp_replace(coalesce({text}, ''), '[\\x00-\\x08]', ' ', 'g')"
+    for _ in range(2):
+        x = f"regexp_replace({x}, '([0-9])[.,]([0-9])', '\\1\\2', 'g')"
+    x = f"regexp_replace({x}, '(\\p{{Lu}})(\\p{{Ll}})', chr(4) || '\\1\\2', 'g')"
+    x = f"replace(regexp_replace({x}, '([\\p{{Ll}}0-9,;] )\\x04', '\\1' || chr(2), 'g'), chr(4), '')"
+    x = f"regexp_replace({x}, '([0-9]+)', ' ' || chr(1) || '\\1 ', 'g')"
+    units = "|".join(sorted(decontam.UNITS, key=len, reverse=True))
+    x = f"regexp_replace({x}, '(\\x01[0-9]+  ?)({units})([^\\p{{L}}0-9]|$)', '\\1' || chr(3) || '\\2\\3', 'g')"
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}0-9\\x01-\\x03]+'), lambda w: w NOT IN ('', chr(1), chr(2), chr(3)))"
+
+
+_KINDS = "(chr(1), chr(2), chr(3))"
+_TEMPLATE = f"list_transform(t, lambda w: CASE WHEN left(w, 1) IN {_KINDS} THEN left(w, 1) ELSE w END)"
+_RUN = "array_to_string(m[p + 1 : p + 8], ' ')"
+
+
+@query(
+    "op10_benchmark_decontamination",
+    f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_tokens_sql('text')} AS t FROM documents),
+items AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, {_tokens_sql('text')} AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+dw AS (SELECT r, p, {_RUN} AS w FROM (SELECT r, {_TEMPLATE} AS m, unnest(range(len(t) - 7)) AS p FROM docs)),
+iw AS MATERIALIZED (SELECT q, p, {_RUN} AS w FROM (SELECT q, {_TEMPLATE} AS m, unnest(range(len(t) - 7)) AS p FROM items)),
+sizes AS (SELECT q, count(*) AS n FROM iw GROUP BY q),
+aligned AS (SELECT r, q, dw.p - iw.p AS shift, count(DISTINCT iw.p) AS met, min(iw.p) AS lo, max(iw.p) + 8 AS hi FROM dw JOIN iw ON dw.w = iw.w GROUP BY 1, 2, 3),
+enough AS MATERIALIZED (SELECT a.*, met / n AS share FROM aligned a JOIN sizes USING (q) WHERE met / n >= 0.3),
+cells AS (SELECT e.r, e.q, e.shift, i.t AS it, d.t AS dt, unnest(range(lo, hi)) AS p FROM enough e JOIN items i USING (q) JOIN docs d USING (r)),
+slots AS (SELECT r, q, shift, it[p + 1] AS x, dt[p + shift + 1] AS y FROM cells WHERE left(it[p + 1], 1) IN {_KINDS}),
+fits AS (SELECT r, q, shift, count(*) AS n, count(*) FILTER (WHERE x <> y) AS changed,
+  count(DISTINCT x) = count(DISTINCT x || ' ' || y) AND count(DISTINCT y) = count(DISTINCT x || ' ' || y) AS agree FROM slots GROUP BY 1, 2, 3),
+best AS (SELECT r, q, max({{'share': share, 'less': -coalesce(changed, 0), 'n': coalesce(n, 0)}}) AS b
+  FROM enough LEFT JOIN fits USING (r, q, shift) WHERE coalesce(agree, true) GROUP BY 1, 2)
+SELECT doc_id, item_id, b.share AS share, b.n::BIGINT AS n_slots, (-b.less)::BIGINT AS n_changed, b.less = 0 AS verbatim
+FROM best JOIN docs USING (r) JOIN items USING (q)""",
+)
 def op10_benchmark_decontamination(spark, d):
     return decontam.benchmark_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -106,11 +141,43 @@ def op3_html_extraction(spark, d):
     return html_extract.extract(table(spark, d, "pages"))
 
 
-@query("op5_suffix_dedup")
+_WIDTH = 400
+
+
+@query(
+    "op5_suffix_dedup",
+    f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, unnest(range(len(h) // 2 - {_WIDTH - 1})) AS s, h FROM docs WHERE len(h) >= {2 * _WIDTH}),
+windows AS MATERIALIZED (SELECT r, s, md5(substr(h, 2 * s + 1, {2 * _WIDTH})) AS w FROM starts),
+often AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT r, s, coalesce(s - lag(s) OVER (PARTITION BY r ORDER BY s) > {_WIDTH}, true) AS fresh FROM windows JOIN often USING (w)),
+numbered AS (SELECT r, s, sum(fresh::INT) OVER (PARTITION BY r ORDER BY s) AS k FROM hit),
+spans AS (SELECT r, k, min(s) AS lo, max(s) + {_WIDTH} AS hi FROM numbered GROUP BY 1, 2),
+gaps AS (SELECT r, k, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY k), 0) AS since FROM spans),
+kept AS (SELECT r, sum(hi - lo) AS gone, count(*) AS n, max(hi) AS tail, string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY k) AS head
+  FROM gaps JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(from_hex(CASE WHEN n IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)""",
+)
 def op5_suffix_dedup(spark, d):
     return suffix_dedup.repeats_digest(table(spark, d, "documents"))
 
 
-@query("op1_ngram_jaccard_join")
+@query(
+    "op1_ngram_jaccard_join",
+    f"""WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+sized AS MATERIALIZED (SELECT doc_id, s, len(s) AS n, md5(array_to_string(s, chr(10))) AS k FROM sets),
+long AS (SELECT doc_id, unnest(s) AS g FROM sized),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM long a JOIN long b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b, x.k AS ka, y.k AS kb FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+ways AS MATERIALIZED (SELECT a, b, ka, kb FROM links UNION ALL SELECT b, a, kb, ka FROM links),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT w.b, reach.r FROM reach JOIN ways w ON w.a = reach.d),
+least AS (SELECT d, min(r) AS r FROM reach GROUP BY d),
+counts AS (SELECT a, count(DISTINCT kb) FILTER (WHERE ka <> kb) AS c FROM ways GROUP BY a)
+SELECT doc_id, n::BIGINT AS n_shingles, r AS component_id, coalesce(c, 0)::BIGINT AS n_links FROM sized JOIN least ON d = doc_id LEFT JOIN counts ON a = doc_id""",
+)
 def op1_ngram_jaccard_join(spark, d):
     return jaccard_join.jaccard_components(table(spark, d, "documents"), words=3, percent=90)
