@@ -352,6 +352,24 @@ def vec_5_blocks(spark, d):
     return _knn(spark, d, max_rows=0, block_rows=512)
 
 
+@query(
+    "vec_5_knn_cells",
+    f"""WITH {SQL_X}, nrm AS (SELECT i0, sqrt(sum(v * v)) AS n FROM x GROUP BY 1),
+u AS (SELECT x.i0, x.i1, v / n AS v FROM x JOIN nrm USING (i0) WHERE n > 0),
+c AS (SELECT i0, row_number() OVER (ORDER BY ('0x'||substr(md5(i0||':3:0'), 1, 15))::BIGINT, i0) - 1 AS c FROM (SELECT DISTINCT i0 FROM u)),
+near AS (SELECT u.i0, c.c, row_number() OVER (PARTITION BY u.i0 ORDER BY sum(u.v * w.v) DESC, c.c) AS place FROM c JOIN u w USING (i0) JOIN u ON u.i1 = w.i1 WHERE c.c < 16 GROUP BY 1, 2),
+ways AS (SELECT a.i0 AS query, b.i0 AS key FROM near a JOIN near b USING (c) WHERE a.place <= 12 AND b.place = 1 AND a.i0 <> b.i0),
+s AS (SELECT query, key, sum(a.v * b.v) AS similarity FROM ways JOIN u a ON a.i0 = query JOIN u b ON b.i0 = key AND b.i1 = a.i1 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, key) AS rank FROM s)
+SELECT query, key, {sql_rnd('similarity')} AS similarity, rank FROM r WHERE rank <= 5""",
+)
+def vec_5_cells(spark, d):
+    """Nearest neighbours among the vectors of the nearest cells."""
+    src = spread(word_vectors(spark, d), "key")
+    out = vectors.knn_cells(src, src, 5, cells=16, probes=12, seed=3)
+    return out.select("query", "key", rnd(F.col("similarity")).alias("similarity"), F.col("rank").cast("long").alias("rank"))
+
+
 @query(
     "vec_6_word_vectors",
     f"""WITH {SQL_LONG},

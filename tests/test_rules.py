@@ -154,3 +154,12 @@ def test_dataset_joins_offsets_to_documents(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Join")  # windows are cut above the join
     assert [r["idx"] for r in out.orderBy("idx").collect()] == list(range(12))
+
+
+def test_cells_find_the_neighbours(spark, sf_dir):
+    src = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"))
+    want = {(r["query"], r["key"]) for r in vectors.knn_join(src, src, 5).collect()}
+    for kw, least in (({"cells": 8, "probes": 8}, 1.0), ({"cells": 8, "probes": 8, "part_rows": 7}, 1.0), ({"cells": 8, "probes": 7}, 0.9)):
+        got = {(r["query"], r["key"]) for r in vectors.knn_cells(src, src, 5, **kw).collect()}
+        assert len(want & got) >= least * len(want)
+    assert vectors.knn_cells(src, src.limit(0), 5).collect() == []
