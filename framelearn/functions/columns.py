@@ -70,11 +70,6 @@ def cosine(a, b) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
-def scale_vec(v, factor: Column) -> Column:
-    bound = F.struct(as_col(v).alias("v"), factor.alias("f"))
-    return let(bound, lambda s: F.transform(s["v"], lambda x: x.cast("double") * s["f"]))
-
-
 def softmax(z) -> Column:
     def from_exp(e):
         return let(vec_sum(e), lambda s: F.transform(e, lambda x: x / s))

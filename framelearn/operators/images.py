@@ -193,10 +193,6 @@ def max_pool(pixels: DataFrame, height: int, width: int, size: int = 2, key: str
     return kept.groupBy(key, "c", *cell).agg(F.max("v").alias("v"))
 
 
-def relu_long(pixels: DataFrame) -> DataFrame:
-    return pixels.withColumn("v", F.greatest("v", F.lit(0.0)))
-
-
 # --- convolutional network ------------------------------------------------
 
 

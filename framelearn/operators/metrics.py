@@ -55,11 +55,6 @@ def param_count(params: DataFrame) -> DataFrame:
     return params.dropDuplicates(["storage_id"]).agg(F.sum(F.size("values")).cast("long").alias("n_params"))
 
 
-def metric_table(df: DataFrame, metrics: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Any number of metric columns in one pass."""
-    return df.groupBy(*by).agg(*[c.alias(name) for name, c in metrics.items()])
-
-
 # --- classification -------------------------------------------------------
 
 

@@ -51,10 +51,6 @@ def shape_of(t: DataFrame) -> tuple[int, ...]:
     return tuple(rank_and_shape(t).first()[1:])
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
 def item(t: DataFrame) -> DataFrame:
     """The single number of a one-element tensor; more elements are an error."""
     one = F.when(F.count("v") == 1, F.max("v")).otherwise(
@@ -296,10 +292,6 @@ def vector_sum(df: DataFrame, by: Sequence[str], col: str, dim: int, out: str =
     return df.groupBy(*by).agg(F.array(*sums).alias(out))
 
 
-def vector_max(df: DataFrame, by: Sequence[str], col: str, dim: int, out: str = "agg") -> DataFrame:
-    return df.groupBy(*by).agg(F.array(*[F.max(F.col(col)[k]) for k in range(dim)]).alias(out))
-
-
 def feature_stats(df: DataFrame, col: str, dim: int) -> tuple[list[float], list[float]]:
     """Mean and population variance of every vector position, in one pass."""
     cols = [F.avg(F.col(col)[k]) for k in range(dim)] + [F.var_pop(F.col(col)[k].cast("double")) for k in range(dim)]

@@ -51,10 +51,6 @@ def token_array(text: Column, bang: bool = False) -> Column:
     return F.array_remove(F.split(apart, _SPACES), "")
 
 
-def tokenize(df: DataFrame, col: str = "text", out: str = "tokens", bang: bool = False) -> DataFrame:
-    return df.withColumn(out, token_array(F.col(col), bang))
-
-
 def isolate_specials(text: Column, specials: Sequence[str]) -> Column:
     """Put spaces around special tokens so that they pass the tokeniser whole."""
     for s in specials:
@@ -62,6 +58,11 @@ def isolate_specials(text: Column, specials: Sequence[str]) -> Column:
     return text
 
 
+def tokenize(df: DataFrame, col: str = "text", out: str = "tokens", bang: bool = False, specials: Sequence[str] = ()) -> DataFrame:
+    """Add the token array; ``specials`` are cut out whole even where they touch a word."""
+    return df.withColumn(out, token_array(isolate_specials(F.col(col), specials), bang))
+
+
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens: str = "tokens", out: str = "token") -> DataFrame:
     return unnest(df, keys, tokens, out, "pos")
 

@@ -163,3 +163,8 @@ def test_cells_find_the_neighbours(spark, sf_dir):
         got = {(r["query"], r["key"]) for r in vectors.knn_cells(src, src, 5, **kw).collect()}
         assert len(want & got) >= least * len(want)
     assert vectors.knn_cells(src, src.limit(0), 5).collect() == []
+
+
+def test_special_tokens_glued_to_words(spark):
+    df = spark.createDataFrame([("end.<|endoftext|>Next<|endoftext|>",)], "text string")
+    assert text.tokenize(df, specials=[text.END_OF_TEXT]).first()["tokens"] == ["end", ".", text.END_OF_TEXT, "Next", text.END_OF_TEXT]
