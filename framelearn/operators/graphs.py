@@ -21,7 +21,7 @@ from framelearn.operators.batches import with_split
 from framelearn.operators.models import forward, layer_list, param_arrays
 from framelearn.operators.tensors import fit_stats, row_function, standardize, vector_sum
 from framelearn.operators.training import Fit, fit_mlp
-from framelearn.plans.scale import lookup_join, settle
+from framelearn.plans.scale import fits, hot_keys, lookup_join, settle
 from framelearn.session import materialize
 
 NODE = ["graph_id", "node_id"]
@@ -39,12 +39,24 @@ def graph_sizes(graphs: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFr
     return rows.agg(*[F.max(n).alias(n) for n in names])
 
 
-def endpoints(edges: DataFrame, nodes: DataFrame, cols: Sequence[str] = ("x", "pos"), **limits) -> DataFrame:
+def endpoint_plan(edges: DataFrame, nodes: DataFrame, **limits) -> dict:
+    """How the ends are joined, found once for all layers: whether the nodes fit a broadcast, else the hot ends.
+
+    ``nodes`` must be as wide as in the layers.
+    """
+    sizes = {k: v for k, v in limits.items() if k in ("max_rows", "max_bytes")}
+    bars = {k: v for k, v in limits.items() if k in ("hot_rows", "hot_parts")}
+    small = fits(nodes, **sizes)
+    return {"small": small, "hot": {end: [] if small else hot_keys(edges, ["graph_id", end], **bars) for end in ("src", "dst")}}
+
+
+def endpoints(edges: DataFrame, nodes: DataFrame, cols: Sequence[str] = ("x", "pos"), plan: dict | None = None, **limits) -> DataFrame:
     """Edges with the columns of both ends: ``<col>_j`` of the source, ``<col>_i`` of the target."""
     out = edges
     for end, mark in (("src", "j"), ("dst", "i")):
         side = nodes.select("graph_id", F.col("node_id").alias(end), *[F.col(c).alias(f"{c}_{mark}") for c in cols])
-        out = lookup_join(out, side, ["graph_id", end], "inner", **limits)
+        known = {"small": plan["small"], "hot": plan["hot"][end]} if plan else {}
+        out = lookup_join(out, side, ["graph_id", end], "inner", **limits, **known)
     return out
 
 
@@ -92,7 +104,7 @@ def norm_block(x: np.ndarray, p: Mapping[str, np.ndarray], prefix: str) -> np.nd
     return x @ p[f"{prefix}.1.weight"].T + p[f"{prefix}.1.bias"]
 
 
-def mp_layer(nodes: DataFrame, edges: DataFrame, params: Mapping[str, np.ndarray], prefix: str, **limits) -> DataFrame:
+def mp_layer(nodes: DataFrame, edges: DataFrame, params: Mapping[str, np.ndarray], prefix: str, plan: dict | None = None, **limits) -> DataFrame:
     """One round: message MLP on [x_i, x_j, attr, dist], sum per target, update MLP on [x, sum].
 
     ``edges`` must carry ``dist``. Returns the nodes with new ``x``.
@@ -101,7 +113,7 @@ def mp_layer(nodes: DataFrame, edges: DataFrame, params: Mapping[str, np.ndarray
     shared = nodes.sparkSession.sparkContext.broadcast(own)
     message = row_function(lambda x: norm_block(x, shared.value, f"{prefix}.msg"))
     update = row_function(lambda x: norm_block(x, shared.value, f"{prefix}.upd"))
-    ends = endpoints(edges, nodes, ["x"], **limits)
+    ends = endpoints(edges, nodes, ["x"], plan, **limits)
     ends = settle(ends, "_in", C.concat_vec("x_i", "x_j", F.col("attr").cast("array<double>"), F.array("dist")))
     sent = ends.select("graph_id", "dst", message("_in").alias("m"))
     dim = len(own[f"{prefix}.msg.1.bias"])
@@ -121,9 +133,10 @@ def embed_graphs(graphs: DataFrame, nodes: DataFrame, edges: DataFrame, params:
     start = row_function(lambda x: np.maximum(x @ project.value[0].T + project.value[1], 0.0))
     state = materialize(nodes.select("graph_id", "node_id", start("x").alias("x")))
     lengths = materialize(with_lengths(edges, nodes, **limits))
+    plan = endpoint_plan(lengths, state, **limits)
     layers = sorted({k.split(".")[0] for k in arrays if k.startswith("conv")}, key=lambda s: int(s[4:]))
     for name in layers:
-        state = mp_layer(state, lengths, arrays, name, **limits).withColumn("x", relu("x"))
+        state = mp_layer(state, lengths, arrays, name, plan, **limits).withColumn("x", relu("x"))
         state = materialize(state)
     return pool_graphs(state, len(arrays["proj.bias"]), graphs)
 

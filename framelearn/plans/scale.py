@@ -113,17 +113,19 @@ def lookup_join(
     hot_rows: int = HOT_ROWS,
     hot_parts: int = HOT_PARTS,
     hot: Sequence | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, whose ``on`` columns are unique and not NULL.
 
     A small right side is broadcast. Beyond that both sides shuffle on the key,
     except the few hot keys: their right rows (one per key) are broadcast, so a
     key that holds a third of the left side never meets in one task. ``hot`` may
-    name the hot keys when they are known; otherwise one pass counts them. With
+    name the hot keys when they are known; otherwise one pass counts them. ``small``
+    may say whether the right side fits a broadcast when that is known. With
     hot keys the left side is kept, so that its two parts do not compute it again.
     """
     on = list(on)
-    if fits(right, max_rows, max_bytes):
+    if fits(right, max_rows, max_bytes) if small is None else small:
         return left.join(F.broadcast(right), on, how)
     hot = hot_keys(left, on, hot_rows, hot_parts) if hot is None else list(hot)
     if not hot:
