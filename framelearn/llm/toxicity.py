@@ -40,7 +40,10 @@ FIT_ROWS = 20_000
 #: Of five parts by crc32(doc_id): 0 is held out, 1 fits the curve, 2-4 are counted.
 PARTS = 5
 #: Words whose ratio a Python worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+
+#: Words whose grams are hashed together.
+AT_A_TIME = 20_000
 
 #: ASCII digits become 0, other letters and everything outside ASCII stay, the rest are gaps.
 _SYMBOLS = bytes(0x30 if 0x30 <= c <= 0x39 else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -245,8 +248,8 @@ class Ratios:
 
     def learn(self, new: set[bytes]) -> None:
         words = list(new)
-        for k in range(0, len(words), 100_000):
-            part = words[k : k + 100_000]
+        for k in range(0, len(words), AT_A_TIME):
+            part = words[k : k + AT_A_TIME]
             self.words.update(zip(part, self.of(part).tolist()))
 
     def features(self, docs: list[list[bytes]], window: int) -> np.ndarray:
@@ -283,7 +286,7 @@ def _features(model: tuple, window: int):
             words = words_of(text.as_py())
             docs.append(words)
             size += len(words)
-            if size > 300_000:
+            if size > 5 * AT_A_TIME:
                 rows.append(cache[name].features(docs, window))
                 docs, size = [], 0
         if docs:
