@@ -59,6 +59,16 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def packed_rows(df: DataFrame) -> DataFrame:
+    """Each row as one struct, ``row``, beside which an operator may put columns of any name."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def unpacked(columns: list[str], **changed) -> list:
+    """The columns of ``row`` again, with ``changed`` ones in their place."""
+    return [(changed[c] if c in changed else F.col("row").getField(c)).alias(c) for c in columns]
+
+
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (node, root), root the smallest node of each component.
 

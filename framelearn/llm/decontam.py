@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
-from framelearn.llm.common import narrow
+from framelearn.llm.common import narrow, packed_rows, unpacked
 from framelearn.plans.scale import maybe_broadcast
 from framelearn.session import materialize
 
@@ -173,6 +173,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, **parameters) -> Data
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """``docs`` without the rows whose text holds an item; all columns and repeated rows stay."""
     found = contaminated(docs, benchmark, **parameters).select(F.col("text_hash.h1").alias("_x1"), F.col("text_hash.h2").alias("_x2")).distinct()
-    named = docs.withColumn("_h1", F.xxhash64("text")).withColumn("_h2", F.xxhash64(F.lit(1), F.col("text")))
-    found = maybe_broadcast(materialize(found))
-    return named.join(found, (F.col("_h1") == F.col("_x1")) & (F.col("_h2") == F.col("_x2")), "left_anti").select(*docs.columns)
+    text = F.col("row").getField("text")
+    named = packed_rows(docs).withColumn("h1", F.xxhash64(text)).withColumn("h2", F.xxhash64(F.lit(1), text))
+    kept = named.join(maybe_broadcast(materialize(found)), (F.col("h1") == F.col("_x1")) & (F.col("h2") == F.col("_x2")), "left_anti")
+    return kept.select(*unpacked(docs.columns))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelearn.llm.common import by_batch, discard, narrow, stored, workspace
+from framelearn.llm.common import by_batch, discard, narrow, packed_rows, stored, unpacked, workspace
 from framelearn.session import materialize
 
 #: ASCII white space, stripped from both ends of a key.
@@ -153,18 +153,18 @@ def drop_frequent_lines(
     min_chars: int = MIN_CHARS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
+    counted: bool = True,
 ) -> DataFrame:
-    """Every row of ``docs`` with its text cut, plus ``_n_lines`` and ``_n_dropped``.
+    """Every row of ``docs`` with its text cut, plus ``_n_lines`` and ``_n_dropped`` if ``counted``.
 
     A line's key is the line without ASCII white space at its ends, A-Z
     lower-cased. A key of at least ``min_chars`` code points that stands in at
     least ``min_docs`` rows loses all its lines in every row; the others stay,
     joined by a line feed. Each row counts as a document, repeated rows and ids
     included; ids are not read. A NULL or empty text is one empty line: NULL
-    becomes empty. An empty table gives an empty one. All columns are kept;
-    columns named ``_t``, ``_drop``, ``_n_lines`` or ``_n_dropped`` would be
-    replaced. Equal texts share their hash, so copies are counted row by row
-    but listed once.
+    becomes empty. An empty table gives an empty one. All columns are kept,
+    whatever their names. Equal texts share their hash, so copies are counted
+    row by row but listed once.
     """
     spark = docs.sparkSession
     folder = workspace(spark, "lines")
@@ -174,16 +174,17 @@ def drop_frequent_lines(
         runs.absorb(rows.filter(F.col("batch") == k).select("h"))
     frequent = materialize(runs.frequent())
     runs.close()
-    found = rows.select("t", "h", "at").join(frequent, "h", "left_semi").groupBy("t").agg(F.flatten(F.collect_set("at")).alias("_drop"))
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    joined = docs.withColumn(text, body).withColumn("_t", _text_hash(F.col(f"`{text}`"))).join(found.withColumnRenamed("t", "_t"), "_t", "left").drop("_t")
-    cut = _without(F.when(F.col("_drop").isNotNull(), F.col(f"`{text}`")), F.col("_drop"))
-    return (
-        joined.withColumn("_n_lines", (F.octet_length(f"`{text}`") - F.octet_length(F.replace(F.col(f"`{text}`"), F.lit("\n"), F.lit(""))) + 1).cast("long"))
-        .withColumn("_n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-        .withColumn(text, F.coalesce(cut, F.col(f"`{text}`")))
-        .drop("_drop")
-    )
+    found = rows.select("t", "h", "at").join(frequent, "h", "left_semi").groupBy("t").agg(F.flatten(F.collect_set("at")).alias("drop"))
+    body = F.coalesce(F.col("row").getField(text), F.lit(""))
+    # the row alone is shuffled; its text is taken out again behind the join
+    joined = packed_rows(docs).withColumn("t", _text_hash(body)).join(found, "t", "left").drop("t").withColumn("body", body)
+    cut = _without(F.when(F.col("drop").isNotNull(), F.col("body")), F.col("drop"))
+    kept = joined.withColumn("kept", F.coalesce(cut, F.col("body")))
+    counts = [
+        (F.octet_length("body") - F.octet_length(F.replace(F.col("body"), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("_n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("_n_dropped"),
+    ]
+    return kept.select(*unpacked(docs.columns, **{text: F.col("kept")}), *(counts if counted else []))
 
 
 def line_dedup(docs: DataFrame, **parameters) -> DataFrame:

@@ -68,6 +68,11 @@ def test_line_dedup(spark, batches, fanout):
 def test_line_dedup_keeps_columns_and_empty(spark):
     docs = frame(spark, [])
     assert line_dedup.line_dedup(docs).collect() == []
+    clash = docs.withColumns({c: F.lit("x") for c in ("row", "t", "body", "drop", "kept", "_n_lines")})
+    assert line_dedup.drop_frequent_lines(clash, counted=False).columns == clash.columns
+    one = frame(spark, [(k, "a\nb") for k in range(3)]).withColumn("row", F.lit("y"))
+    cut = line_dedup.drop_frequent_lines(one, min_docs=3, counted=False).collect()
+    assert [(r.text, r._t, r.row) for r in cut] == [("", "x", "y")] * 3
 
 
 # --- 9 toxicity -----------------------------------------------------------
