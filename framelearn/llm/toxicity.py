@@ -8,9 +8,11 @@ compared by the length-normalised log-likelihoods of the whole and of its most
 telling window of words; a logistic curve fitted on labelled rows that the
 counts have not seen turns both into a score.
 
-Counting and smoothing are joins and sums over grams. What travels to the
-scoring tasks is the log-likelihood ratio of each gram, hashed into a fixed
-number of cells, so its size does not grow with the corpus.
+Counting and smoothing are joins and sums over grams. Every gram keeps its own
+ratio, an unseen one gets that of its own context, so these tables grow with
+the corpus. They travel to the scoring tasks whole while they are measured to
+be small; beyond that each distinct word gets its ratio by joins, and the texts'
+words are joined with those.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelearn.llm.common import by_batch, narrow, worker_cache
-from framelearn.plans.scale import maybe_broadcast
+from framelearn.llm.common import by_batch, narrow, packed_rows, unpacked, worker_cache
+from framelearn.plans.scale import lookup_join, maybe_broadcast
 from framelearn.session import materialize
 
 #: Characters (bytes) of the longest gram, and the discount of every order.
 ORDER = 6
 DISCOUNT = 0.75
-#: Cells that the ratios are hashed into: the bound on what is sent to the tasks.
-CELLS = 1 << 22
+#: Grams and contexts whose ratios are sent to the tasks at most; more are joined.
+HELD_GRAMS = 4_000_000
 #: Words in a window.
 WINDOW = 8
 #: Labelled rows that the two curves' weights are fitted on at most.
@@ -89,32 +91,42 @@ def gram_cells(joined: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.n
     return _mixed(gram), _mixed(context)
 
 
+def _hashes(grams: list[bytes]) -> np.ndarray:
+    """The hashes of whole grams, as ``gram_cells`` gives them."""
+    found, mask, start, multiplier = [], (1 << 64) - 1, int(_FIRST), int(_MULTIPLIER)
+    for gram in grams:
+        h = start
+        for b in reversed(gram):
+            h = ((h ^ (b + 1)) * multiplier) & mask
+        found.append(h)
+    return _mixed(np.array(found, dtype=np.uint64))
+
+
 def _hash_alone(gram: bytes) -> int:
     """The hash of one gram, as ``gram_cells`` gives it."""
-    h, mask = int(_FIRST), (1 << 64) - 1
-    for b in reversed(gram):
-        h = ((h ^ (b + 1)) * int(_MULTIPLIER)) & mask
-    return int(_mixed(np.array([h], dtype=np.uint64))[0])
+    return int(_hashes([gram])[0])
 
 
 # --- counts ----------------------------------------------------------------
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    """(toxic or NULL, text) -> words with their counts in either class; words of unlabelled texts have none."""
+    counts: dict = {1: Counter(), 0: Counter(), None: Counter()}
 
     def flush():
-        for toxic, found in enumerate(counts):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array([toxic] * len(found), pa.int32()), pa.array(list(found.values()), pa.int64())],
-                names=["word", "toxic", "n"],
-            )
+        every = list(counts[1].keys() | counts[0].keys() | counts[None].keys())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(every, pa.binary()), pa.array([counts[1][w] for w in every], pa.int64()), pa.array([counts[0][w] for w in every], pa.int64())],
+            names=["word", "nt", "no"],
+        )
+        for found in counts.values():
             found.clear()
 
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             counts[toxic].update(words_of(text.as_py()))
-            if len(counts[0]) + len(counts[1]) > REMEMBERED:
+            if sum(map(len, counts.values())) > REMEMBERED:
                 yield from flush()
     yield from flush()
 
@@ -126,11 +138,12 @@ def _grams(order: int, top: bool):
         for batch in batches:
             if top:
                 counts: tuple[Counter, Counter] = (Counter(), Counter())
-                for word, toxic, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                for word, *both in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist()):
                     s = b" " + word + b" "
-                    mine = counts[toxic]
-                    for t in range(1, len(s)):
-                        mine[s[max(0, t - order + 1) : t + 1]] += n
+                    for mine, n in zip(counts, both):
+                        if n:
+                            for t in range(1, len(s)):
+                                mine[s[max(0, t - order + 1) : t + 1]] += n
                 every = list(counts[0].keys() | counts[1].keys())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(every, pa.binary()), pa.array([counts[1][g] for g in every], pa.int64()), pa.array([counts[0][g] for g in every], pa.int64())],
@@ -180,8 +193,12 @@ def shared_model(words: DataFrame, order: int, discount: float) -> DataFrame:
 
 
 def class_ratios(word_counts: DataFrame, order: int = ORDER, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
-    """(gram, ratio, n) and (context, ratio, n): log P(toxic) - log P(ordinary) of a seen gram, and of an unseen one by its context."""
-    grams = word_counts.select("word", "toxic", "n").mapInArrow(_grams(order, True), "gram binary, nt bigint, no bigint")
+    """(gram, ratio) and (context, ratio): log P(toxic) - log P(ordinary) of a seen gram, and of an unseen one by its context.
+
+    ``word_counts(word, nt, no)`` has a row for each distinct word.
+    """
+    word_counts = word_counts.filter("nt + no > 0")
+    grams = word_counts.select("word", "nt", "no").mapInArrow(_grams(order, True), "gram binary, nt bigint, no bigint")
     grams = grams.groupBy("gram").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")).withColumn("h", _head("gram"))
     grams = materialize(grams)
     context = grams.groupBy("h").agg(
@@ -189,62 +206,123 @@ def class_ratios(word_counts: DataFrame, order: int = ORDER, discount: float = D
     )
     share = {c: F.when(F.col(f"c{c}") > 0, discount * F.col(f"k{c}") / F.col(f"c{c}")).otherwise(1.0) for c in "to"}
     context = context.select("*", share["t"].alias("lt"), share["o"].alias("lo"))
-    low = shared_model(word_counts.select("word").distinct(), order, discount).withColumnRenamed("gram", "low")
+    low = shared_model(word_counts.select("word"), order, discount).withColumnRenamed("gram", "low")
     seen = grams.withColumn("low", _tail("gram")).join(context, "h").join(low, "low")
     chance = {
         c: F.when(F.col(f"c{c}") > 0, F.greatest(F.col(f"n{c}") - discount, F.lit(0.0)) / F.col(f"c{c}")).otherwise(0.0) + F.col(f"l{c}") * F.col("p") for c in "to"
     }
-    ratios = seen.select("gram", (F.log(chance["t"]) - F.log(chance["o"])).alias("ratio"), (F.col("nt") + F.col("no")).alias("n"))
-    defaults = context.select(F.col("h").alias("gram"), (F.log("lt") - F.log("lo")).alias("ratio"), (F.col("ct") + F.col("co")).alias("n"))
+    ratios = seen.select("gram", (F.log(chance["t"]) - F.log(chance["o"])).alias("ratio"))
+    defaults = context.select(F.col("h").alias("gram"), (F.log("lt") - F.log("lo")).alias("ratio"))
     return ratios, defaults
 
 
-def _cells(cells: int):
+def _named(name: str):
+    """Rows (gram, value) -> (64-bit hash, value)."""
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = [_hash_alone(g) & (cells - 1) for g in batch.column(0).to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), batch.column(1), batch.column(2)], names=["cell", "ratio", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column(0).to_pylist()).view(np.int64)), batch.column(1)], names=[name, batch.schema.names[1]])
 
     return by_batch(run)
 
 
-def hashed(ratios: DataFrame, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Cells in use and their ratio, weighted by counts where grams share one: at most ``cells`` numbers."""
-    rows = ratios.mapInArrow(_cells(cells), "cell bigint, ratio double, n bigint")
-    mean = rows.groupBy("cell").agg((F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("ratio"))
-    found = mean.toArrow()
-    order = np.argsort(found["cell"].to_numpy(), kind="stable")
-    return found["cell"].to_numpy()[order].astype(np.int32), found["ratio"].to_numpy()[order]
+def _joined_grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the words' grams and of their contexts, word by word, and how many each word has."""
+    joined = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+    blank = np.flatnonzero(joined == 0x20)
+    lengths = np.diff(blank)
+    # the blank behind a word ends it and starts the next one: it is read as the end here
+    starts = np.concatenate(([0], np.repeat(blank[:-1], lengths)))
+    gram, context = gram_cells(joined, starts, order)
+    return gram[1:], context[1:], lengths
+
+
+def _word_grams(order: int):
+    """Words -> (word, gram, context): the 64-bit hashes of the gram that ends at each byte of a word and at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, AT_A_TIME):
+                words = batch.column(0).slice(k, AT_A_TIME)
+                gram, context, lengths = _joined_grams(words.to_pylist(), order)
+                owner = words.take(pa.array(np.repeat(np.arange(len(words)), lengths)))
+                yield pa.RecordBatch.from_arrays([owner, pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))], names=["word", "gram", "context"])
+
+    return run
+
+
+def named(ratios: DataFrame, defaults: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, ratio) and (context, other) by the 64-bit hashes of grams and contexts."""
+    seen = ratios.select("gram", "ratio").mapInArrow(_named("gram"), "gram bigint, ratio double")
+    unseen = defaults.select("gram", F.col("ratio").alias("other")).mapInArrow(_named("context"), "context bigint, other double")
+    return materialize(seen), materialize(unseen)
+
+
+def word_ratios(words: DataFrame, seen: DataFrame, unseen: DataFrame, order: int = ORDER) -> DataFrame:
+    """(word, ratio) for each of the distinct ``words``: of its bytes and its end, given the bytes before.
+
+    ``seen`` and ``unseen`` as ``named`` gives them. A gram that the classes have
+    not seen has the ratio of its context, and 0 when that is unseen too.
+    """
+    grams = words.select("word").mapInArrow(_word_grams(order), "word binary, gram bigint, context bigint")
+    # joined by distinct gram: a context or gram that most words have is one row here
+    value = grams.select("gram", "context").distinct().join(seen, "gram", "left").join(unseen, "context", "left")
+    value = materialize(value.select("gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("value")))
+    found = lookup_join(grams.select("word", "gram"), value, ["gram"])
+    return found.groupBy("word").agg(F.sum("value").alias("ratio"))
 
 
 # --- scoring ---------------------------------------------------------------
 
 
+def held(seen: DataFrame, unseen: DataFrame, order: int, most: int = HELD_GRAMS) -> tuple | None:
+    """The sorted hashes of grams and of contexts, each with their ratios, and the order; None when there are more than ``most``."""
+    if seen.count() + unseen.count() > most:
+        return None
+    tables = []
+    for name, df in (("gram", seen), ("context", unseen)):
+        found = df.toArrow()
+        key, ratio = found[name].to_numpy().view(np.uint64), found[1].to_numpy()
+        at = np.argsort(key, kind="stable")
+        tables.append((key[at], ratio[at]))
+    return (*tables, order)
+
+
+def _summed(ratio: np.ndarray, size: np.ndarray, window: int) -> tuple[float, float, float]:
+    """Ratio per byte of a whole text, of its best window, and the log of its words."""
+    a, b = np.concatenate(([0.0], np.cumsum(ratio))), np.concatenate(([0.0], np.cumsum(size)))
+    w = min(window, len(ratio))
+    best = ((a[w:] - a[:-w]) / (b[w:] - b[:-w])).max()
+    return a[-1] / b[-1], best, np.log1p(len(ratio))
+
+
+def _looked_up(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> np.ndarray:
+    """The ratio of each key, NaN where there is none."""
+    known, ratio = table
+    if not len(known):
+        return np.full(len(key), np.nan)
+    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+    return np.where(known[at] == key, ratio[at], np.nan)
+
+
 class Ratios:
-    """The log-likelihood ratio of words, from the two hashed tables."""
+    """The log-likelihood ratio of words, from the tables of grams and contexts."""
 
-    def __init__(self, grams, contexts, cells: int, order: int):
-        self.cells, self.order = cells, order
-        self.gram, self.context = (self._table(*x) for x in (grams, contexts))
+    def __init__(self, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray], order: int):
+        self.grams, self.contexts, self.order = grams, contexts, order
         self.words: dict[bytes, float] = {}
 
-    def _table(self, at: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-        table = np.full(self.cells, np.nan, np.float32)
-        table[at] = ratio
-        return table
-
     def of(self, words: list[bytes]) -> np.ndarray:
         """The ratio of each word: of its bytes and its end, given the bytes before."""
-        joined = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
-        blank = np.flatnonzero(joined == 0x20)
-        lengths = np.diff(blank)
-        # the blank behind a word ends it and starts the next one: it is read as the end here
-        starts = np.concatenate(([0], np.repeat(blank[:-1], lengths)))
-        gram, context = gram_cells(joined, starts, self.order)
-        mask = np.uint64(self.cells - 1)
-        value = self.gram[(gram & mask).astype(np.int64)]
-        other = self.context[(context & mask).astype(np.int64)]
-        value = np.where(np.isnan(value), np.where(np.isnan(other), 0, other), value)
-        return np.add.reduceat(value, blank[:-1] + 1) if len(words) else np.zeros(0)
+        if not words:
+            return np.zeros(0)
+        gram, context, lengths = _joined_grams(words, self.order)
+        # most grams recur within a batch of words
+        distinct, first, back = np.unique(gram, return_index=True, return_inverse=True)
+        value = _looked_up(self.grams, distinct)
+        missing = np.flatnonzero(np.isnan(value))
+        other = _looked_up(self.contexts, context[first[missing]])
+        value[missing] = np.where(np.isnan(other), 0, other)
+        return np.add.reduceat(value[back], np.cumsum(lengths) - lengths)
 
     def learn(self, new: set[bytes]) -> None:
         words = list(new)
@@ -261,26 +339,21 @@ class Ratios:
         self.learn(new)
         out = np.zeros((len(docs), 3))
         for i, words in enumerate(docs):
-            if not words:
-                continue
-            ratio = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
-            size = np.fromiter(map(len, words), np.float64, len(words)) + 1
-            a, b = np.concatenate(([0.0], np.cumsum(ratio))), np.concatenate(([0.0], np.cumsum(size)))
-            w = min(window, len(words))
-            best = ((a[w:] - a[:-w]) / (b[w:] - b[:-w])).max()
-            out[i] = a[-1] / b[-1], best, np.log1p(len(words))
+            if words:
+                ratio = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
+                out[i] = _summed(ratio, np.fromiter(map(len, words), np.float64, len(words)) + 1, window)
         return out
 
 
-def _features(model: tuple, window: int):
+def _features(table: tuple, window: int):
     """Batches of (key columns ..., text) -> key columns and the features."""
-    grams, contexts, cells, order, name = model
+    name = f"{hash(tuple(x.tobytes() for part in table[:2] for x in part))}"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cache = worker_cache("ratios")
         if name not in cache:
             cache.clear()
-            cache[name] = Ratios(grams, contexts, cells, order)
+            cache[name] = Ratios(*table)
         rows, docs, size = [], [], 0
         for text in batch.column(batch.num_columns - 1):
             words = words_of(text.as_py())
@@ -298,6 +371,57 @@ def _features(model: tuple, window: int):
     return by_batch(run)
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h1, h2, text) -> (h1, h2, word, at): each distinct word of a text with its places."""
+    for batch in batches:
+        for h1, h2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            places: dict[bytes, list[int]] = {}
+            for k, word in enumerate(words_of(text.as_py())):
+                places.setdefault(word, []).append(k)
+            n = len(places)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h1] * n, pa.int64()), pa.array([h2] * n, pa.int64()), pa.array(list(places), pa.binary()), pa.array(list(places.values()), pa.list_(pa.int32()))],
+                names=["h1", "h2", "word", "at"],
+            )
+
+
+def joined_features(texts: DataFrame, words: DataFrame, window: int) -> DataFrame:
+    """(h1, h2, f0, f1, f2) for each different text with words of ``texts(h1, h2, text)``, by joins alone."""
+    spread = texts.select("h1", "h2", "text").mapInArrow(_places, "h1 bigint, h2 bigint, word binary, at array<int>")
+    spread = spread.groupBy("h1", "h2", "word").agg(F.first("at").alias("at"))  # of equal texts one
+    priced = lookup_join(spread, words, ["word"])
+    cells = F.struct(F.coalesce("ratio", F.lit(0.0)).alias("ratio"), F.length("word").alias("size"), "at")
+    per_text = priced.groupBy("h1", "h2").agg(F.collect_list(cells).alias("cells"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.zeros((batch.num_rows, 3))
+        for i, cell in enumerate(batch.column(2)):
+            times = cell.values.field("at").value_lengths().to_numpy()
+            at = cell.values.field("at").flatten().to_numpy()
+            ratio, size = np.zeros(len(at)), np.zeros(len(at))
+            ratio[at] = np.repeat(cell.values.field("ratio").to_numpy(), times)
+            size[at] = np.repeat(cell.values.field("size").to_numpy(), times) + 1
+            x[i] = _summed(ratio, size, window)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x[:, k]) for k in range(3)]], names=["h1", "h2", "f0", "f1", "f2"])
+
+    return materialize(per_text.mapInArrow(by_batch(run), "h1 bigint, h2 bigint, f0 double, f1 double, f2 double"))
+
+
+def _hashed_text(df: DataFrame, text) -> DataFrame:
+    return df.withColumn("h1", F.xxhash64(text)).withColumn("h2", F.xxhash64(F.lit(1), text))
+
+
+def _with_features(rows: DataFrame, keys: str, words: DataFrame | None, table: tuple | None, window: int) -> DataFrame:
+    """The key columns of ``rows(keys ..., text)``, given as a schema, and the features."""
+    if table is not None:
+        return rows.mapInArrow(_features(table, window), f"{keys}, f0 double, f1 double, f2 double")
+    rows = _hashed_text(rows, F.col("text"))
+    found = joined_features(rows, words, window)
+    names = [c for c in rows.columns if c not in ("text", "h1", "h2")]
+    some = lookup_join(rows.drop("text"), found, ["h1", "h2"])
+    return some.select(*names, *[F.coalesce(f"f{k}", F.lit(0.0)).alias(f"f{k}") for k in range(3)])
+
+
 def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     z = (x - mean) / scale
     return np.column_stack([np.ones(len(z)), z, z[:, 1] * z[:, 2]])
@@ -327,8 +451,8 @@ def _remainder(column: str) -> F.Column:
     return F.crc32(F.col(column).cast("string")) % PARTS
 
 
-def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = CELLS, window: int = WINDOW, fit_rows: int = FIT_ROWS):
-    """The scoring model, or None without labelled rows of both classes in the counted and the fitted parts.
+def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS):
+    """The words' ratios (None while the grams are held), the grams as ``held``, and the curve; None without labelled rows of both classes in the counted and the fitted parts.
 
     ``docs(doc_id, text)``, ``labels(doc_id, toxic)``. Labels of held-out rows
     are dropped before anything is counted. Several labels of one id count as
@@ -336,27 +460,36 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = C
     """
     known = narrow(labels, doc_id="doc_id", toxic="toxic").filter("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).withColumn("part", _remainder("doc_id")).filter("part <> 0")
-    rows = docs.join(maybe_broadcast(known), "doc_id").select("toxic", "text", "part", "doc_id")
-    counted = rows.filter("part > 1").select("toxic", "text").mapInArrow(_word_counts, "word binary, toxic int, n bigint")
-    counted = materialize(counted.groupBy("word", "toxic").agg(F.sum("n").alias("n")))
-    if counted.select("toxic").distinct().count() < 2:
-        return None
-    ratios, defaults = class_ratios(counted, order)
-    tables = hashed(ratios, cells), hashed(defaults, cells)
-    name = f"{hash((tables[0][0].tobytes(), tables[0][1].tobytes(), tables[1][1].tobytes()))}"
-    model = (*tables, cells, order, name)
     # the ids with the smallest hash, the same ones at every run; their texts are read where they lie
-    chosen = known.filter("part = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    some = docs.join(maybe_broadcast(materialize(chosen)), "doc_id").select("toxic", "text")
-    found = some.mapInArrow(_features(model, window), "toxic int, f0 double, f1 double, f2 double").toArrow()
+    chosen = materialize(known.filter("part = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    rows = docs.join(maybe_broadcast(known.filter("part > 1")), "doc_id").select("toxic", "text")
+    # every word of the corpus has a row, which joins with labels do not shuffle the texts for
+    rows = rows.unionByName(docs.select(F.lit(None).cast("int").alias("toxic"), "text"))
+    counted = rows.mapInArrow(_word_counts, "word binary, nt bigint, no bigint")
+    counted = materialize(counted.groupBy("word").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")))
+    if counted.agg((F.max("nt") > 0) & (F.max("no") > 0)).first()[0] is not True:
+        return None
+    seen, unseen = named(*class_ratios(counted, order))
+    table = held(seen, unseen, order, held_grams)
+    words = materialize(word_ratios(counted, seen, unseen, order)) if table is None else None
+    some = docs.join(maybe_broadcast(chosen), "doc_id").select("toxic", "text")
+    found = _with_features(some, "toxic int", words, table, window).toArrow()
     y = found["toxic"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return None
     x = np.column_stack([found[c].to_numpy() for c in ("f0", "f1", "f2")])
-    return model, fit_curve(x, y)
+    # summed in one order at every run
+    at = np.lexsort((*x.T, y))
+    return words, table, fit_curve(x[at], y[at])
+
+
+def _logit(curve: tuple[np.ndarray, np.ndarray, np.ndarray]) -> F.Column:
+    mean, scale, w = curve
+    z = [(F.col(f"f{k}") - float(mean[k])) / float(scale[k]) for k in range(3)]
+    return F.lit(float(w[0])) + sum(float(w[k + 1]) * z[k] for k in range(3)) + float(w[4]) * z[1] * z[2]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = CELLS, window: int = WINDOW, fit_rows: int = FIT_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs(doc_id, text)``.
 
     ``held_out`` says that crc32 of the id as text is a multiple of 5 (false for
@@ -367,29 +500,34 @@ def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int
     not read.
     """
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    trained = train(rows, labels, order, cells, window, fit_rows)
+    trained = train(rows, labels, order, window, fit_rows, held_grams)
     rows = rows.select("doc_id", F.coalesce(_remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "text")
     if trained is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    model, (mean, scale, w) = trained
-    found = rows.mapInArrow(_features(model, window), "doc_id bigint, held_out boolean, f0 double, f1 double, f2 double")
-    z = [(F.col(f"f{k}") - float(mean[k])) / float(scale[k]) for k in range(3)]
-    logit = F.lit(float(w[0])) + sum(float(w[k + 1]) * z[k] for k in range(3)) + float(w[4]) * z[1] * z[2]
-    score = 1 / (1 + F.exp(-logit))
+    words, table, curve = trained
+    found = _with_features(rows, "doc_id bigint, held_out boolean", words, table, window)
+    score = 1 / (1 + F.exp(-_logit(curve)))
     return found.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells: int = CELLS, window: int = WINDOW, fit_rows: int = FIT_ROWS) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS) -> DataFrame:
     """``docs`` without the rows predicted as toxic; all columns and repeated rows stay, unread labels as in ``toxicity``.
 
-    A row is kept or not by its own text, in place: nothing is joined back.
+    While the grams' ratios are few enough to be sent, a row is kept or not by
+    its own text, in place; beyond that rows look their text's features up.
     """
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    trained = train(rows, labels, order, cells, window, fit_rows)
+    trained = train(rows, labels, order, window, fit_rows, held_grams)
     if trained is None:
         return docs
-    model, (mean, scale, w) = trained
-    score = _features(model, window)
+    words, table, curve = trained
+    if table is None:
+        named = _hashed_text(packed_rows(docs), F.col("row").getField("text"))
+        found = joined_features(_hashed_text(rows, F.col("text")), words, window)
+        zero = [F.coalesce(f"f{k}", F.lit(0.0)).alias(f"f{k}") for k in range(3)]
+        kept = lookup_join(named, found, ["h1", "h2"]).select("row", *zero).filter(_logit(curve) < 0)
+        return kept.select(*unpacked(docs.columns))
+    score = _features(table, window)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,6 +535,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, cells:
             text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
             for found in score(iter([text])):
                 x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
-                yield batch.filter(pa.array(_design(x, mean, scale) @ w < 0))
+                yield batch.filter(pa.array(_design(x, *curve[:2]) @ curve[2] < 0))
 
     return docs.mapInArrow(run, docs.schema)

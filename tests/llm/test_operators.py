@@ -134,6 +134,39 @@ def test_gram_hashes_agree():
         assert int(context[t]) == toxicity._hash_alone(text[s:t])
 
 
+def test_word_ratios_are_exact(spark):
+    """Each word's ratio is the sum over its own grams; an unseen gram has its context's, whatever else was counted."""
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9))).encode() for _ in range(3000)})
+    counts = [(w, r.randrange(3), r.randrange(1, 3)) for w in words[::2]] + [(w, 0, 0) for w in words[1::2]]
+    counted = spark.createDataFrame([(bytearray(w), t, o) for w, t, o in counts], "word binary, nt long, no long")
+    ratios, defaults = (x.cache() for x in toxicity.class_ratios(counted, 4))
+    seen, unseen = ({bytes(r["gram"]): r["ratio"] for r in x.collect()} for x in (ratios, defaults))
+    tables = toxicity.named(ratios, defaults)
+    got = {bytes(r["word"]): r["ratio"] for r in toxicity.word_ratios(counted, *tables, 4).collect()}
+    sent = dict(zip(words, toxicity.Ratios(*toxicity.held(*tables, 4)).of(words)))
+    assert got.keys() == set(words)
+    missing = 0
+    for w in words:
+        s, want = b" " + w + b" ", 0.0
+        for t in range(1, len(s)):
+            gram = s[max(0, t - 3) : t + 1]
+            missing += gram not in seen
+            want += seen.get(gram, unseen.get(gram[:-1], 0.0))
+        assert abs(got[w] - want) < 1e-9 and abs(sent[w] - want) < 1e-9
+    assert missing > 100
+
+
+def test_toxicity_joined_equals_held(spark):
+    rows, labels = labelled(150, 9)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = frame(spark, [*rows, *EDGE, rows[0]])
+    a, b = (toxicity.toxicity(docs, known, held_grams=n).collect() for n in (10**6, 10))
+    assert [(x[0], x[1], x[3]) for x in sorted(a, key=repr)] == [(x[0], x[1], x[3]) for x in sorted(b, key=repr)]
+    assert np.allclose(sorted(x.score for x in a), sorted(x.score for x in b), atol=1e-6)
+    assert rows_of(toxicity.without_toxic(docs, known, held_grams=10)) == rows_of(toxicity.without_toxic(docs, known))
+
+
 # --- 4 packing ------------------------------------------------------------
 
 
