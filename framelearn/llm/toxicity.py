@@ -1,7 +1,8 @@
 """Toxicity by two class-conditional Kneser-Ney models over the characters of words.
 
 The top order has absolute-discounted counts of its own for each class; all
-lower orders are Kneser-Ney continuation counts shared by both, so a rare
+lower orders are Kneser-Ney continuation counts shared by both, gathered from
+the words of all texts, labelled or not, so a rare
 expression that neither class has seen scores alike under both, and one that
 only a class has seen tells them apart no more than its counts allow. A text is
 compared by the length-normalised log-likelihoods of the whole and of its most
@@ -39,7 +40,7 @@ HELD_GRAMS = 4_000_000
 WINDOW = 8
 #: Labelled rows that the two curves' weights are fitted on at most.
 FIT_ROWS = 20_000
-#: Of five parts by crc32(doc_id): 0 is held out, 1 fits the curve, 2-4 are counted.
+#: Of five parts by crc32(doc_id): 0 is held out; of part 1 come the rows that fit the curve, all others are counted.
 PARTS = 5
 #: Words whose ratio a Python worker remembers at a time.
 REMEMBERED = 200_000
@@ -195,10 +196,10 @@ def shared_model(words: DataFrame, order: int, discount: float) -> DataFrame:
 def class_ratios(word_counts: DataFrame, order: int = ORDER, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
     """(gram, ratio) and (context, ratio): log P(toxic) - log P(ordinary) of a seen gram, and of an unseen one by its context.
 
-    ``word_counts(word, nt, no)`` has a row for each distinct word.
+    ``word_counts(word, nt, no)`` has a row for each distinct word; words that
+    no class has counted take part in the shared lower orders.
     """
-    word_counts = word_counts.filter("nt + no > 0")
-    grams = word_counts.select("word", "nt", "no").mapInArrow(_grams(order, True), "gram binary, nt bigint, no bigint")
+    grams = word_counts.filter("nt + no > 0").select("word", "nt", "no").mapInArrow(_grams(order, True), "gram binary, nt bigint, no bigint")
     grams = grams.groupBy("gram").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")).withColumn("h", _head("gram"))
     grams = materialize(grams)
     context = grams.groupBy("h").agg(
@@ -462,7 +463,9 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int =
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).withColumn("part", _remainder("doc_id")).filter("part <> 0")
     # the ids with the smallest hash, the same ones at every run; their texts are read where they lie
     chosen = materialize(known.filter("part = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    rows = docs.join(maybe_broadcast(known.filter("part > 1")), "doc_id").select("toxic", "text")
+    # every labelled row that does not fit the curve is counted
+    counted = known.join(maybe_broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+    rows = docs.join(maybe_broadcast(counted), "doc_id").select("toxic", "text")
     # every word of the corpus has a row, which joins with labels do not shuffle the texts for
     rows = rows.unionByName(docs.select(F.lit(None).cast("int").alias("toxic"), "text"))
     counted = rows.mapInArrow(_word_counts, "word binary, nt bigint, no bigint")

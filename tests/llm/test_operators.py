@@ -157,6 +157,27 @@ def test_word_ratios_are_exact(spark):
     assert missing > 100
 
 
+def test_toxicity_counts_all_rows(spark, monkeypatch):
+    """Labelled rows of part 1 beyond those that fit the curve are counted, and the words of unlabelled texts shape the lower orders."""
+    rows, labels = labelled(300, 11)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = frame(spark, [*rows, (5000, "zyzzyva")])
+    taken = []
+    whole = toxicity.class_ratios
+    monkeypatch.setattr(toxicity, "class_ratios", lambda counts, order: taken.append(counts) or whole(counts, order))
+    toxicity.toxicity(docs, known, fit_rows=20).count()
+    got = {bytes(r["word"]): (r["nt"], r["no"]) for r in taken[0].collect()}
+    text, toxic = dict(rows), dict(labels)
+    part = {k: zlib.crc32(str(k).encode()) % 5 for k in text}
+    first = sorted((k for k in text if part[k] == 1), key={r[0]: r[1] for r in known.select("doc_id", F.xxhash64("doc_id")).collect()}.get)[:20]
+    counted = [k for k in text if part[k] and k not in first]
+    want = [Counter(w for k in counted if toxic[k] == c for w in toxicity.words_of(text[k])) for c in (1, 0)]
+    every = {w for t in text.values() for w in toxicity.words_of(t)} | {b"zyzzyva"}
+    assert got == {w: (want[0][w], want[1][w]) for w in every}
+    shared = {bytes(r["gram"]) for r in toxicity.shared_model(taken[0].select("word"), 6, 0.75).collect()}
+    assert b"zyzz" in shared
+
+
 def test_toxicity_joined_equals_held(spark):
     rows, labels = labelled(150, 9)
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
