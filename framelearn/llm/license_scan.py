@@ -1,8 +1,10 @@
 """License scan: phrases counted exactly, and an exact containment join of text blocks with license templates.
 
-A block is a run of at most ``2m`` words of one line that starts at a multiple
-of ``m``, ``m`` being the longest template's length, so every run of ``m``
-words lies in one block. A template of ``t`` distinct words is found in a block
+A block is a run of at most ``2m`` words of one paragraph that starts at a
+multiple of ``m``, ``m`` being the longest template's length, so every run of
+``m`` words lies in one block, also one that is wrapped over several lines.
+Lines without words end a paragraph, and so does a line of one word with room
+for the next. Each line's own blocks are read too. A template of ``t`` distinct words is found in a block
 when at least ``ceil(threshold * t)`` of them stand in it.
 
 Words are ordered by their frequency in the whole corpus, rare first. A block
@@ -137,10 +139,33 @@ class Templates:
         return found
 
 
-def blocks_of(text: str, step: int) -> Iterator[list[bytes]]:
-    """Runs of at most ``2 * step`` words of one line, starting at every multiple of ``step``."""
+def _paragraphs(text: str) -> Iterator[list[bytes]]:
+    """The words of each line, and those of each run of several lines that belong together.
+
+    A line without words ends such a run, and so does a line of one word that
+    had room for the next line's first one: a heading or an entry of a list.
+    """
+    run: list[bytes] = []
+    n, only, size = 0, False, 0
     for line in text.split("\n"):
         words = words_of(line)
+        shown = line.strip()
+        first = len(words[0].decode(errors="replace")) if words else 0
+        if n and (not words or only and size + 1 + first <= len(shown)):
+            if n > 1:
+                yield run
+            run, n = [], 0
+        if words:
+            yield words
+            run.extend(words)
+            n, only, size = n + 1, len(words) == 1, len(shown)
+    if n > 1:
+        yield run
+
+
+def blocks_of(text: str, step: int) -> Iterator[list[bytes]]:
+    """Runs of at most ``2 * step`` words, starting at every multiple of ``step`` of a line or of lines that belong together."""
+    for words in _paragraphs(text):
         for s in range(0, max(1, len(words) - step), step):
             yield words[s : s + 2 * step]
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -269,6 +270,22 @@ def test_license_scan(spark):
     assert got[22].labels == "" and got[22].score == 0 and got[25].labels == "" and got[24].n_base == 1
 
 
+def test_license_wrapped_statements(spark):
+    """Every statement is found wherever its lines are broken; a blank line parts statements."""
+    statements = [(label, t) for label, ts in sorted(license_scan.TEMPLATES.items()) for t in ts if label != "all-rights"]
+    rows, want = [], {}
+    for k, (label, t) in enumerate(statements):
+        for j, (width, prefix, end) in enumerate([(72, "", "\n"), (30, " * ", "\r\n"), (18, "# ", "\n")]):
+            lines = textwrap.wrap(f"{prose(9, k)} {t} {prose(9, j)}", width)
+            rows.append((100 * k + j, end.join(prefix + line for line in lines)))
+            want[100 * k + j] = label
+    words = license_scan.TEMPLATES["bsd"][0].split()
+    rows.append((9000, " ".join(words[:10]) + "\n\n" + " ".join(words[10:])))
+    want[9000] = ""
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.license_scan(frame(spark, rows)).collect()}
+    assert all(want[d] in got[d][0].split(",") and got[d][1] == (1.0 if want[d] else 0.0) for d in want), got
+
+
 def test_license_containment_is_exact():
     """The filters lose no block that reaches the threshold."""
     r = random.Random(4)
