@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,6 +40,12 @@ _ASIDE_NAMES = frozenset(
     "header masthead footer foot sidebar side aside related recommended widget cookie cookies consent notice gdpr alert popup modal newsletter subscribe signup login "
     "share sharing social comment comments respond reply replies discussion disqus pagination pager toolbar tags copyright legal search form skip".split()
 )
+#: Of these, what never holds the article: adverts, comments, other articles, notices laid over the page.
+_SHUT_TAGS = _ASIDE_TAGS - {"header", "form", "fieldset"}
+_SHUT_NAMES = frozenset(
+    "ad ads advert advertisement adverts advertising banner sponsor sponsored promo promotion related recommended comment comments respond reply replies discussion "
+    "disqus cookie cookies consent gdpr popup modal".split()
+)
 _ARTICLE_NAMES = frozenset("article content main post story entry body text maincontent articlebody".split())
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -53,6 +60,8 @@ class Block:
     region: int  # 1 article, -1 aside, 0 unnamed
     words: int = 0
     density: float = 0.0
+    wrappers: tuple[int, ...] = ()  # places of the asides around it that could be wrappers
+    shut: bool = False
 
 
 @dataclass
@@ -61,22 +70,51 @@ class _Open:
     region: int
     linked: bool
     kind: int = field(default=4)
+    shut: bool = False  # nothing inside is the article
+    form: bool = False  # an aside only by form elements
+    wrappers: tuple[int, ...] = ()
 
 
-def _region(tag: str, attributes: str, outer: int) -> int:
-    """The region an element opens; an aside inside an article is an aside, an article inside an aside stays one."""
-    if tag in _ASIDE_TAGS:
-        # a header inside an article holds its title
-        return outer if tag == "header" and outer == 1 else -1
+def _opened(tag: str, attributes: str, top: _Open, at: int, ignored: frozenset[int], linked: bool, kind: int) -> _Open:
+    """The element that a tag at place ``at`` opens inside ``top``, with its region.
+
+    An aside inside an article is an aside. An article stays one inside what can
+    be a wrapper: a form, or for ``main`` any element that is no advert, comment
+    or the like. Asides at the ``ignored`` places have turned out to be wrappers.
+    """
+    new = _Open(tag, top.region, linked, kind, top.shut, top.form, top.wrappers)
+    if top.shut or at in ignored:
+        return new
     named = set()
     for key, value in _ATTRIBUTE.findall(attributes):
         if key.lower() in ("class", "id", "role", "itemprop"):
             named.update(w.lower() for w in _NAME_WORDS.findall(value))
-    if named & _ASIDE_NAMES and tag not in ("body", "html", "article", "main"):
-        return -1
-    if outer == 0 and (tag in _ARTICLE_TAGS or named & _ARTICLE_NAMES and tag not in ("body", "html")):
-        return 1
-    return outer
+    aside = named & _ASIDE_NAMES if tag not in ("body", "html", "article", "main") else set()
+    if tag in _SHUT_TAGS or aside & _SHUT_NAMES:
+        new.region, new.shut = -1, True
+    elif tag in _ASIDE_TAGS or aside:
+        # a header inside an article holds its title
+        if top.region == 1 and tag not in ("form", "fieldset") and aside <= {"header"}:
+            return new
+        new.form = not aside and tag in ("form", "fieldset") and (top.region >= 0 or top.form)
+        new.region, new.wrappers = -1, (*top.wrappers, at)
+    elif tag == "main" or (top.region == 0 or top.form) and (tag in _ARTICLE_TAGS or named & _ARTICLE_NAMES and tag not in ("body", "html")):
+        new.region, new.form = 1, False
+    return new
+
+
+def _wrappers(found: list[Block]) -> frozenset[int]:
+    """Places of asides that hold the page: more than half of its unlinked text, and no article is named outside them."""
+    total, inside, article = 0, Counter(), Counter()
+    for b in found:
+        if not b.shut:
+            free = len(b.text) - b.linked
+            total += free
+            for at in b.wrappers:
+                inside[at] += free
+                article[at] += b.region == 1
+    named = sum(b.region == 1 for b in found)
+    return frozenset(at for at, free in inside.items() if 2 * free > total and article[at] == named)
 
 
 _KINDS = {"p": 0, "blockquote": 0, "pre": 0, "li": 2, "dt": 2, "dd": 2, "td": 3, "th": 3} | {f"h{k}": 1 for k in range(1, 7)}
@@ -86,8 +124,15 @@ _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td"
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order; references decoded, white space one blank, empty ones left out."""
+    found = _blocks(page)
+    ignored = _wrappers(found)
+    return _blocks(page, ignored) if ignored else found
+
+
+def _blocks(page: str, ignored: frozenset[int] = frozenset()) -> list[Block]:
     found: list[Block] = []
     stack: list[_Open] = [_Open("", 0, False)]
+    deeper: Counter = Counter()  # open elements that are not kept track of; all lie inside the deepest one
     parts: list[str] = []
     linked = 0
 
@@ -97,7 +142,7 @@ def blocks(page: str) -> list[Block]:
             text = _WHITE.sub(" ", "".join(parts)).strip()
             if text:
                 top = next((o for o in reversed(stack) if o.tag not in _INLINE), stack[0])
-                found.append(Block(text, min(linked, len(text)), top.kind, stack[-1].region))
+                found.append(Block(text, min(linked, len(text)), top.kind, stack[-1].region, wrappers=stack[-1].wrappers, shut=stack[-1].shut))
             parts.clear()
         linked = 0
 
@@ -114,6 +159,7 @@ def blocks(page: str) -> list[Block]:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in tags:
                 del stack[k:]
+                deeper.clear()
                 return
             if stack[k].tag in within:
                 return
@@ -149,8 +195,11 @@ def blocks(page: str) -> list[Block]:
         if closing:
             if tag not in _INLINE:
                 flush()
-                if tag == "p" and not any(o.tag == "p" for o in stack):
+                if tag == "p" and not deeper[tag] and not any(o.tag == "p" for o in stack):
                     continue
+            if deeper[tag] > 0:
+                deeper[tag] -= 1
+                continue
             close((tag,), frozenset(("table", "ul", "ol", "dl")) if tag in ("li", "dt", "dd", "td", "th") else frozenset())
             continue
         attributes = inside[len(tag) :]
@@ -165,7 +214,9 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
             elif tag not in _VOID and len(stack) < DEEPEST:
                 top = stack[-1]
-                stack.append(_Open(tag, _region(tag, attributes, top.region), top.linked or tag == "a", top.kind))
+                stack.append(_opened(tag, attributes, top, lt, ignored, top.linked or tag == "a", top.kind))
+            elif tag not in _VOID:
+                deeper[tag] += 1
             continue
         flush()
         # a block ends an open paragraph and its formatting
@@ -175,7 +226,9 @@ def blocks(page: str) -> list[Block]:
             close(_CLOSED_BY[tag], frozenset(("ul", "ol", "dl", "table", "select")))
         if tag not in _VOID and len(stack) < DEEPEST:
             top = stack[-1]
-            stack.append(_Open(tag, _region(tag, attributes, top.region), top.linked, _KINDS.get(tag, 4)))
+            stack.append(_opened(tag, attributes, top, lt, ignored, top.linked, _KINDS.get(tag, 4)))
+        elif tag not in _VOID:
+            deeper[tag] += 1
     flush()
     for b in found:
         b.words = b.text.count(" ") + 1

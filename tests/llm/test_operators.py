@@ -328,6 +328,27 @@ def test_html_extraction(spark):
     assert html_extract.extract(pages.limit(0)).collect() == []
 
 
+def test_html_wrappers_keep_the_article():
+    tree = html_extract.train()
+    body = "".join(f"<p>{prose(30, k)}</p>" for k in range(3))
+    text = "\n".join(prose(30, k) for k in range(3))
+    mail = "<form><p>your mail</p></form><div class='comments'><article><p>first</p></article></div>"
+    for page in (
+        f"<form id='aspnetForm'><article>{body}</article>{mail}</form>",
+        f"<form id='aspnetForm'><div>{body}</div></form>",
+        f"<div class='layout with-sidebar'><div class='content'>{body}</div><div class='sidebar'><p>more</p></div></div>",
+        f"<div id='page-header-social'><main>{body}</main>{mail}</div>",
+        f"<div class='with-sidebar'><article>{body}</article></div><nav><p>{prose(300, 1)}</p></nav>",
+    ):
+        assert html_extract.main_text(page, tree) == text, page
+    titled = f"<article><div class='entry-header'><h1>T</h1></div>{body}<div class='share'><p>tell</p></div></article>"
+    assert html_extract.main_text(titled, tree) == "T\n" + text
+    short = f"<article><p>{prose(9, 4)}</p></article><div class='sidebar'>{body}</div>"
+    assert html_extract.main_text(short, tree) == prose(9, 4)
+    deep = "<div class='nav'>" + "<div>" * 600 + "x" + "</div>" * 600 + "<p>menu</p></div>" + f"<article>{body}</article>"
+    assert html_extract.main_text(deep, tree) == text
+
+
 def test_tree_learns_its_table():
     x, y = html_extract._training_table()
     assert (html_extract.decide(html_extract.train(), x) == y).mean() >= 0.95
