@@ -569,6 +569,28 @@ def test_jaccard_components(spark, words, percent, monkeypatch):
     assert rows_of(jaccard_join.jaccard_components(frame(spark, rows), words, percent)) == want
 
 
+def test_jaccard_blocks_hold_few_tokens(spark, monkeypatch):
+    """A group of few sets with many tokens is cut too, and its links stay."""
+    monkeypatch.setattr(jaccard_join, "GROUP_TOKENS", 4000)
+    groups = spark.createDataFrame([(k, 1, 1000 + k) for k in range(40)], "sid long, grp long, n long")
+    places = jaccard_join._placed(groups, 90).collect()
+    size = {}
+    for r in places:
+        size[r.left_block, r.right_block] = size.get((r.left_block, r.right_block), 0) + 1000 + r.sid
+    assert len(size) > 1 and max(size.values()) <= 4000 + 2 * 1040
+    met = {pair for block in size for pair in _pairs_of(places, block)}
+    assert met == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+    monkeypatch.setattr(jaccard_join, "GROUP_TOKENS", 100)
+    rows = near_copies(4, 6)
+    assert rows_of(jaccard_join.jaccard_components(frame(spark, rows), 3, 90)) == brute_components(rows, 3, 90)
+
+
+def _pairs_of(places, block):
+    sides = [{r.sid for r in places if (r.left_block, r.right_block) == block and r.side == k} for k in (0, 1)]
+    others = sides[1] or sides[0]
+    return {(min(a, b), max(a, b)) for a in sides[0] for b in others if a != b}
+
+
 def test_jaccard_keeps_one(spark):
     rows = near_copies(1, groups=6) + EDGE
     components_ = brute_components(rows, 5, 80)
