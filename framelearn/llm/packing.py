@@ -31,8 +31,6 @@ from framelearn.plans.scale import order_hash, running_total
 
 CAPACITY = 1024
 END_ID = 2
-#: Exchanges tried by the local search; it only stops the search for better plans.
-MAX_MOVES = 2000
 
 PIECES = T.StructType(
     [
@@ -222,13 +220,16 @@ def _swap(bins: tuple[int, ...], out: tuple[int, ...], into: tuple[int, ...]) ->
     return tuple(sorted([*rest.elements(), *into], reverse=True))
 
 
-def local_search(plan: list[tuple[tuple[int, ...], int]], capacity: int, max_moves: int = MAX_MOVES) -> list[tuple[tuple[int, ...], int]]:
-    """Exchange pieces between underfull bins until the least number of bins is reached or nothing gains."""
+def local_search(plan: list[tuple[tuple[int, ...], int]], capacity: int, max_moves: int | None = None) -> list[tuple[tuple[int, ...], int]]:
+    """Exchange pieces between underfull bins until the least number of bins is reached or nothing gains.
+
+    Every exchange raises the sum of squared fills, so the search ends by itself; ``max_moves`` may stop it earlier.
+    """
     bins = Counter(dict(plan))
     least = -(-sum(sum(p) * n for p, n in plan) // capacity)
     moves = 0
     stuck: set[tuple] = set()
-    while moves < max_moves and sum(bins.values()) > least:
+    while (max_moves is None or moves < max_moves) and sum(bins.values()) > least:
         under = sorted((p for p, n in bins.items() if n and sum(p) < capacity), key=lambda p: (sum(p), p))
         moved = False
         for b in under:  # the emptiest bins give
@@ -257,7 +258,7 @@ def local_search(plan: list[tuple[tuple[int, ...], int]], capacity: int, max_mov
     return sorted(bins.items(), reverse=True)
 
 
-def packing_plan(counts: dict[int, int], capacity: int = CAPACITY, max_moves: int = MAX_MOVES) -> list[tuple[tuple[int, ...], int]]:
+def packing_plan(counts: dict[int, int], capacity: int = CAPACITY, max_moves: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     return local_search(best_fit(counts, capacity), capacity, max_moves)
 
 
@@ -279,7 +280,7 @@ def _places(plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:
 _RANK_BITS = 48
 
 
-def place(pieces: DataFrame, capacity: int = CAPACITY, max_moves: int = MAX_MOVES) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = CAPACITY, max_moves: int | None = None) -> DataFrame:
     """Add sequence_id (0..) and offset to ``pieces(doc_id, piece, length, ids_crc32, ...)``.
 
     The pieces are read twice: to count lengths and to place them. Ranks follow
@@ -303,7 +304,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, max_moves: int = MAX_MOVE
     return ranked.mapInArrow(by_batch(run), schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, max_moves: int = MAX_MOVES, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, max_moves: int | None = None, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Every row is a document, whatever its id (NULL and repeated ids included);

@@ -240,6 +240,13 @@ def test_local_search_empties_bins():
             assert sum((Counter({x: c * n for x, c in Counter(b).items()}) for b, n in plan), Counter()) == Counter(counts)
 
 
+def test_local_search_goes_on_to_the_end():
+    """More than 2000 exchanges are made when they gain."""
+    pieces = [1000 + k for k in range(2010)]
+    [(bins, n)] = packing.local_search([((x,), 1) for x in pieces], sum(pieces))
+    assert n == 1 and sorted(bins) == pieces
+
+
 # --- 8 license scan -------------------------------------------------------
 
 
