@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from framelearn.llm import chat, decontam, fingerprints, html_extract, jaccard_join, license_scan, line_dedup, packing, suffix_dedup, toxicity
+from pyspark.sql import functions as F
+
+from framelearn.llm import (
+    chat,
+    collocations,
+    decontam,
+    fingerprints,
+    html_extract,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    packing,
+    permutation_index,
+    suffix_dedup,
+    toxicity,
+    vector_codes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -181,3 +196,69 @@ SELECT doc_id, n::BIGINT AS n_shingles, r AS component_id, coalesce(c, 0)::BIGIN
 )
 def op1_ngram_jaccard_join(spark, d):
     return jaccard_join.jaccard_components(table(spark, d, "documents"), words=3, percent=90)
+
+
+@query(
+    "op11_phrase_collocations",
+    f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (SELECT lang, o, array_to_string(w[i : i + o - 1], ' ') AS g FROM (SELECT lang, w, o, unnest(range(1, len(w) + 2 - o)) AS i FROM (SELECT lang, w, unnest([1, 2, 3]) AS o FROM words))),
+f AS MATERIALIZED (SELECT lang, o, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+c AS MATERIALIZED (SELECT lang, o, g, f AS a, string_split(g, ' ') AS s FROM f WHERE o > 1),
+cuts AS (SELECT *, array_to_string(s[1 : k], ' ') AS lg, array_to_string(s[k + 1 :], ' ') AS rg FROM (SELECT *, unnest(range(1, o)) AS k FROM c)),
+scored AS (SELECT c.lang, c.o, c.g, c.a, min({{'score': ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT, 'k': k, 'l': x.f, 'r': y.f}}) AS m
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.lg AND x.o = k JOIN f y ON y.lang = c.lang AND y.g = c.rg AND y.o = c.o - k GROUP BY ALL),
+held AS (SELECT lang, g, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(s[1:2], ' '), array_to_string(s[2:3], ' ')]) AS g FROM c WHERE o = 3) GROUP BY ALL),
+stay AS (SELECT s.* FROM scored s LEFT JOIN held h ON h.lang = s.lang AND h.g = s.g AND s.o = 2 WHERE coalesce(100 * most < 50 * a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY m.score DESC, a DESC, g) AS rank FROM stay)
+SELECT lang, rank, g AS phrase, a, m.l AS l, m.r AS r, n, m.score AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+)
+def op11_phrase_collocations(spark, d):
+    return collocations.phrase_collocations(table(spark, d, "documents"))
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Rounds of assignment and means, as relations on integers."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT r, p, min({{'d': list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e}}) AS m
+  FROM parts JOIN b{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT p, e, i, sum(x)::BIGINT AS t, count(*) AS n FROM (SELECT p, m.e AS e, unnest(s) AS x, unnest(range(len(s))) AS i FROM a{k} JOIN parts USING (r, p)) GROUP BY ALL),
+n{k} AS (SELECT p, e, list((t - ((t % n) + n) % n) // n ORDER BY i)::BIGINT[] AS c FROM m{k} GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n.c, b.c) AS c FROM b{k} b LEFT JOIN n{k} n USING (p, e))""")
+    return ",\n".join(steps)
+
+
+@query(
+    "op12_vector_codes",
+    f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+  list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_FINITE}),
+parts AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS s FROM (SELECT r, v, unnest(range(4)) AS p FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, s AS c FROM parts WHERE r <= 256),
+{_lloyd_sql(4)},
+coded AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b4) AS codebooks_sha256
+FROM coded JOIN kept USING (r)""",
+)
+def op12_vector_codes(spark, d):
+    return vector_codes.codes_digest(table(spark, d, "embeddings"))
+
+
+@query(
+    "op13_permutation_index",
+    f"""WITH kept AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE {_FINITE} AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(list_zip(c.v, q.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda x, y: x + y)) AS score
+  FROM kept q JOIN kept c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10""",
+)
+def op13_permutation_index(spark, d):
+    vectors = table(spark, d, "embeddings")
+    found = permutation_index.permutation_search(vectors.filter("vec_id % 100 = 0"), vectors)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score")
