@@ -8,6 +8,7 @@ words. Words are counted before anything else: the corpus is read once.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from framelearn.functions.columns import let
 from framelearn.operators.text import collect_positions, decode_arrays, encode_by_dictionary
 from framelearn.plans.scale import lookup_join, settle, small_rows, unnest
-from framelearn.session import materialize
+from framelearn.session import discard, materialize, scratch
 
 #: Fixed value: the mark for the end of a word.
 END_OF_WORD = "</w>"
@@ -109,13 +110,9 @@ def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tupl
     for place, (left, right, n) in enumerate(ranked):
         if len(taken) == limit or left in used or right in used:
             break
-        ties = []
-        for other in ranked[place + 1 :]:
-            if other[2] < n:
-                break
-            ties.append(other)
-        # the fetched list may end inside a run of equal counts: then later ties are unknown
-        cut_short = bool(ties) and ties[-1] == ranked[-1]
+        ties = itertools.takewhile(lambda other: other[2] == n, ranked[place + 1 :])
+        # a list that ends among pairs of this count may lack some of them
+        cut_short = ranked[-1][2] == n
         if taken and (cut_short or any(t[0] in used or t[1] in used for t in ties)):
             break
         taken.append((left, right))
@@ -125,8 +122,154 @@ def safe_prefix(ranked: Sequence[tuple[str, str, int]], limit: int) -> list[tupl
     return taken
 
 
+class PairIndex:
+    """An inverted index from pairs of neighbouring symbols to the words that hold them.
+
+    It is a log of runs, Parquet tables of postings ``(h, left, right, word, version,
+    freq, symbols, gain)``, each sorted by ``h``, a hash of the pair, so that a scan for
+    few pairs reads few pages. ``gain`` is what a posting adds to the pair's count: counts
+    are sums over all runs. A word that changes appends postings under its next
+    version, without symbols for its old pairs and with its new symbols for its
+    new ones. Older postings stay behind and are told by their version, until
+    ``fan`` runs of a level are merged into one of the next level; the last level takes
+    in the first run too and leaves out what is no longer true.
+    """
+
+    SCHEMA = "h long, left string, right string, word string, version int, freq long, symbols string, gain long"
+    DELTA, MERGED, FIRST = 0, 1, 2
+
+    def __init__(self, words: DataFrame, fan: int = 8):
+        self.spark, self.fan, self.made = words.sparkSession, fan, 0
+        self.folder = scratch(self.spark, "pairs")
+        self.runs: list[tuple[int, str]] = []
+        self._append(words.select("word", "freq", F.lit(0).alias("version"), F.lit(None).cast("string").alias("old"), F.col("symbols").alias("new")), self.FIRST)
+
+    def _write(self, postings: DataFrame, level: int) -> str:
+        path = f"{self.folder}/{self.made}"
+        self.made += 1
+        postings.sortWithinPartitions("h").write.parquet(path)
+        self.runs.append((level, path))
+        return path
+
+    def _append(self, words: DataFrame, level: int) -> DataFrame:
+        """A run from words with their symbols before and after a change."""
+        freq = F.col("freq")
+
+        def marked(symbols: Column, weight: Column, live: bool) -> Column:
+            return F.when(symbols.isNotNull(), F.transform(_pairs(symbols, weight), lambda p: F.struct(p.alias("p"), F.lit(live).alias("live"))))
+
+        both = F.flatten(F.filter(F.array(marked(F.col("old"), -freq, False), marked(F.col("new"), freq, True)), lambda x: x.isNotNull()))
+        long = unnest(words, ["word", "version", "freq", "new"], both, "e")
+        pair = [F.col("e.p.left").alias("left"), F.col("e.p.right").alias("right")]
+        found = long.select(
+            F.xxhash64("e.p.left", "e.p.right").alias("h"), *pair, "word", "version", "freq", F.when(F.col("e.live"), F.col("new")).alias("symbols"), F.col("e.p.n").alias("gain")
+        )
+        return self._read(self._write(found, level))
+
+    def _read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(*paths)
+
+    def _every(self) -> DataFrame:
+        return self._read(*[path for _, path in self.runs])
+
+    def counts(self) -> DataFrame:
+        """``(left, right, n)`` of all pairs: a pass over the postings."""
+        return _sum_pairs(self._every().select("left", "right", F.col("gain").alias("n"))).filter("n > 0")
+
+    def holding(self, merges: Sequence[tuple[str, str]]) -> DataFrame:
+        """``(word, version, freq, symbols)`` of the words that hold one of the pairs now."""
+        same = [(F.col("h") == F.xxhash64(F.lit(a), F.lit(b))) & (F.col("left") == a) & (F.col("right") == b) for a, b in merges]
+        rows = self._every().filter(reduce(lambda x, y: x | y, same))
+        last = F.max(F.struct("version", F.col("symbols").isNotNull().alias("live"), "symbols", "freq")).alias("m")
+        return rows.groupBy("word").agg(last).filter("m.live").select("word", "m.version", "m.freq", "m.symbols")
+
+    def merge(self, merges: Sequence[tuple[str, str]]) -> DataFrame:
+        """Merge the pairs in the words that hold them; the postings that this added."""
+        new = reduce(lambda s, m: merge_expr(s, *m), merges, F.col("symbols"))
+        touched = self.holding(merges).select("word", "freq", (F.col("version") + 1).alias("version"), F.col("symbols").alias("old"), new.alias("new"))
+        return self._append(touched, self.DELTA)
+
+    def compact(self) -> None:
+        """Merge runs of a level once there are ``fan`` of them."""
+        for level in (self.DELTA, self.MERGED):
+            own = [path for at, path in self.runs if at == level]
+            if len(own) < self.fan:
+                continue
+            whole = level == self.MERGED
+            taken = [path for at, path in self.runs if whole or at == level]
+            last = F.max(F.struct("version", F.col("symbols").isNotNull().alias("live"), "symbols", "freq")).alias("m")
+            rows = self._read(*taken).groupBy("h", "left", "right", "word").agg(last, F.sum("gain").alias("gain"))
+            rows = (rows.filter("m.live") if whole else rows).select("h", "left", "right", "word", "m.version", "m.freq", "m.symbols", "gain")
+            self._write(rows, self.FIRST if whole else self.MERGED)
+            self.runs = [run for run in self.runs if run[1] not in taken]
+            for path in taken:
+                discard(self.spark, path)
+
+    def close(self) -> None:
+        discard(self.spark, self.folder)
+
+
+def _order(pair: tuple[str, str], n: int) -> tuple:
+    return (-n, *pair)
+
+
+def _train_by_index(index: PairIndex, merges: list, n_merges: int, fetch: int, limit: int, trace: list | None) -> None:
+    """Go on merging by the index.
+
+    The driver holds the counts of the first ``fetch`` pairs in merging order, and of
+    new pairs that come before the last of these. All other pairs come later, for
+    counts of old pairs only fall; so the list is the true order down to that last
+    place, and is fetched again when it is used up. A symbol that is spelled like an
+    earlier one may raise old pairs: then it is fetched again at once.
+    """
+    spark = index.spark
+    known: dict[tuple[str, str], int] = {}
+    bar: tuple | None = None
+    seen = {END_OF_WORD} | {a + b for _, a, b in merges}
+    while len(merges) < n_merges:
+        ranked = sorted(_order(p, n) for p, n in known.items())
+        ranked = [(a, b, -n) for n, a, b in ranked if bar is None or (n, a, b) <= bar]
+        if not ranked:
+            rows = index.counts().orderBy(F.desc("n"), "left", "right").limit(fetch).collect()
+            if not rows:
+                return
+            known = {(r[0], r[1]): r[2] for r in rows}
+            bar = _order((rows[-1][0], rows[-1][1]), rows[-1][2]) if len(rows) == fetch else None
+            continue
+        batch = safe_prefix(ranked, min(n_merges - len(merges), limit))
+        done = len(merges)
+        merges.extend((done + i, a, b) for i, (a, b) in enumerate(batch))
+        if len(merges) == n_merges and trace is None:
+            return
+        run = index.merge(batch)
+        if trace is not None:
+            trace.append({"merges": batch, "words": run.select("word").distinct().count(), "postings": run.count()})
+        spelled = [a + b for a, b in batch]
+        if seen & set(spelled):
+            known, bar = {}, None
+        else:
+            held = spark.createDataFrame([(*p, True) for p in known], "left string, right string, held boolean")
+            changes = _sum_pairs(run.select("left", "right", F.col("gain").alias("n"))).filter("n <> 0")
+            wanted = changes.join(F.broadcast(held), ["left", "right"], "left").filter(F.col("held") | (F.col("n") >= (1 if bar is None else -bar[0])))
+            for row in wanted.collect():
+                pair = (row["left"], row["right"])
+                if pair in known or bar is None or _order(pair, row["n"]) <= bar:
+                    known[pair] = known.get(pair, 0) + row["n"]
+                    if known[pair] <= 0:
+                        del known[pair]
+        seen.update(spelled)
+        index.compact()
+
+
 def bpe_train(
-    words: DataFrame, n_merges: int, fetch: int = 512, cut_every: int = 32, symbols: Callable[[DataFrame], DataFrame] = word_symbols
+    words: DataFrame,
+    n_merges: int,
+    fetch: int = 512,
+    cut_every: int = 32,
+    symbols: Callable[[DataFrame], DataFrame] = word_symbols,
+    index_from: int = 64,
+    fan: int = 8,
+    trace: list | None = None,
 ) -> list[tuple[int, str, str]]:
     """Learn merges ``(rank, left, right)`` from ``(word, freq)``, most frequent pair first.
 
@@ -134,29 +277,44 @@ def bpe_train(
     that a round adds only the changes in the words it touched. A round may take
     several merges that cannot influence each other, so there are fewer rounds
     than merges. ``symbols`` cuts the words: into characters, or with
-    ``byte_symbols`` into bytes. The counts are checkpointed each round, the words every
-    ``cut_every`` merges.
+    ``byte_symbols`` into bytes.
+
+    The first ``index_from`` merges, whose pairs most words hold, pass over all words;
+    the counts are checkpointed each round, the words every ``cut_every`` merges. From
+    then on a ``PairIndex`` finds the words that hold a pair, and a round reads and
+    writes postings of these words only. ``trace`` gets, for each round, its merges
+    and how many words it read.
     """
     cores = words.sparkSession.sparkContext.defaultParallelism
     counted = words.groupBy("word").agg(F.sum("freq").alias("freq"))
     current = materialize(symbols(counted).repartition(cores, "word"))
-    counts = materialize(pair_counts(current))
     merges: list[tuple[int, str, str]] = []
-    pending = 0
-    while len(merges) < n_merges:
+    if index_from > 0:
+        counts = materialize(pair_counts(current))
+    pending, total = 0, current.count() if trace is not None else 0
+    while len(merges) < min(n_merges, index_from):
         top = counts.orderBy(F.desc("n"), "left", "right").limit(fetch).collect()
-        batch = safe_prefix([(r[0], r[1], r[2]) for r in top], min(n_merges - len(merges), cut_every))
+        batch = safe_prefix([(r[0], r[1], r[2]) for r in top], min(min(n_merges, index_from) - len(merges), cut_every))
         if not batch:
-            break
+            return merges
         done = len(merges)
         merges.extend((done + i, a, b) for i, (a, b) in enumerate(batch))
+        if trace is not None:
+            trace.append({"merges": batch, "words": total})
         if len(merges) < n_merges:
-            changes = _count_changes(current, batch)
-            counts = materialize(_sum_pairs(counts.unionByName(changes)).filter("n > 0"))
+            if len(merges) < index_from:
+                changes = _count_changes(current, batch)
+                counts = materialize(_sum_pairs(counts.unionByName(changes)).filter("n > 0"))
             current = current.withColumn("symbols", reduce(lambda s, m: merge_expr(s, *m), batch, F.col("symbols")))
             pending += len(batch)
             if pending >= cut_every:
                 current, pending = materialize(current), 0
+    if len(merges) < n_merges:
+        index = PairIndex(current, fan)
+        try:
+            _train_by_index(index, merges, n_merges, max(fetch, 1), cut_every, trace)
+        finally:
+            index.close()
     return merges
 
 
@@ -251,7 +409,6 @@ def bpe_encode(
     df: DataFrame,
     merges: DataFrame,
     vocab: DataFrame,
-    keys: Sequence[str] = ("doc_id",),
     tokens: str = "tokens",
     specials: Sequence[str] = (),
     **limits,
@@ -267,7 +424,7 @@ def bpe_encode(
     missing = F.raise_error(F.concat(F.lit("symbol not in vocabulary: "), "token")).cast("long")
     numbered = numbered.withColumn("id", F.coalesce("id", missing))
     dictionary = materialize(collect_positions(numbered, ["word"], "id", "ids").withColumnRenamed("word", "token"))
-    return encode_by_dictionary(df, dictionary, keys, tokens, **limits)
+    return encode_by_dictionary(df, dictionary, tokens, **limits)
 
 
 def bpe_decode(ids_long: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",), specials=()) -> DataFrame:
@@ -327,7 +484,6 @@ def piece_array(text: Column, specials: Sequence[str] = (), pattern: str = PIECE
 def encode_ranks(
     df: DataFrame,
     ranks: DataFrame,
-    keys: Sequence[str] = ("doc_id",),
     col: str = "text",
     out: str = "ids",
     specials: dict[str, int] | None = None,
@@ -366,21 +522,21 @@ def encode_ranks(
     if specials:
         extra = df.sparkSession.createDataFrame([(t, [i]) for t, i in specials.items()], "token string, ids array<long>")
         dictionary = dictionary.unionByName(extra)
-    return encode_by_dictionary(pieces, materialize(dictionary), keys, "_pieces", out, **limits).drop("_pieces")
+    return encode_by_dictionary(pieces, materialize(dictionary), "_pieces", out, **limits).drop("_pieces")
 
 
 def decode_ranks(
     df: DataFrame,
     ranks: DataFrame,
-    keys: Sequence[str] = ("doc_id",),
     ids: str = "ids",
     out: str = "text",
     specials: dict[str, int] | None = None,
+    **limits,
 ) -> DataFrame:
     """Ids back to text: token bytes strung together, bad UTF-8 replaced."""
     table = ranks.select(F.col("rank").alias("id"), F.hex("token").alias("token"))
     if specials:
         rows = [(i, t.encode().hex().upper()) for t, i in specials.items()]
         table = table.unionByName(df.sparkSession.createDataFrame(rows, "id long, token string"))
-    found = decode_arrays(df, table, keys, ids, "_t")
+    found = decode_arrays(df, table, ids, "_t", **limits)
     return found.withColumn(out, F.make_valid_utf8(F.unhex(F.array_join("_t", "")).cast("string"))).drop("_t")

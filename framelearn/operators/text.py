@@ -148,7 +148,7 @@ def encode_long(
     if on_unknown == "unk":
         found = F.coalesce("id", F.lit(_unknown_id(vocab, unk)))
     else:
-        found = F.coalesce("id", F.raise_error(F.concat(F.lit("token not in vocabulary: "), "token")).cast("long"))
+        found = F.coalesce("id", F.raise_error(F.concat(F.lit("token not in vocabulary: "), F.coalesce("token", F.lit("NULL")))).cast("long"))
     return joined.withColumn("id", found)
 
 
@@ -159,10 +159,30 @@ def _unknown_id(vocab: DataFrame, unk: str) -> int:
     return row[0]
 
 
+#: Columns that stand for an array's content.
+_CONTENT = ["_k1", "_k2"]
+
+
+def _by_content(df: DataFrame, col: str, out: str, element: str, convert: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Add ``out``: what ``convert`` makes of each distinct array of ``col``, worked out once in long form.
+
+    ``convert`` gets ``(_k1, _k2, pos, element)`` and returns ``(_k1, _k2, out)``. Rows find
+    their result by two hashes of their array's content, never by keys of their own, which
+    may repeat or be NULL. A NULL array stays NULL and an empty one empty; an array that
+    many rows hold is joined by broadcast.
+    """
+    marked = F.transform(col, lambda x: F.struct(x.isNull().alias("n"), x.alias("v")))
+    keyed = df.withColumn("_k1", F.xxhash64(F.size(col), marked)).withColumn("_k2", F.xxhash64(F.lit(1), marked, F.size(col)))
+    once = keyed.filter(F.size(col) > 0).select(*_CONTENT, col).dropDuplicates(_CONTENT)
+    arrays = materialize(convert(explode_tokens(once, _CONTENT, col, element)))
+    joined = lookup_join(keyed, arrays, _CONTENT, "left", small=False)
+    empty = F.when(F.size(col) == 0, F.array().cast(arrays.schema[out].dataType))
+    return joined.select(*df.columns, F.coalesce(out, empty).alias(out))
+
+
 def encode(
     df: DataFrame,
     vocab: DataFrame,
-    keys: Sequence[str] = ("doc_id",),
     tokens: str = "tokens",
     out: str = "ids",
     on_unknown: str = "error",
@@ -170,10 +190,11 @@ def encode(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Token arrays to id arrays.
+    """Token arrays to id arrays, row by row.
 
     A vocabulary within the limits is looked up in place, without a shuffle. A
-    larger one is joined in long form and put back together per document.
+    larger one is joined in long form, each distinct array once. Rows come out the
+    same either way, whatever their keys.
     """
     if fits(vocab, max_rows, max_bytes):
         words, ids = _arrow_pair(vocab, "token", "id")
@@ -182,17 +203,17 @@ def encode(
             fill = F.lit(_unknown_id(vocab, unk))
             return df.withColumn(out, F.transform(found, lambda i: F.coalesce(i, fill)))
         return df.withColumn("_f", found).withColumn(out, _strict(F.col("_f"), "token not in vocabulary")).drop("_f")
-    long = explode_tokens(df, keys, tokens)
-    ids = encode_long(long, vocab, on_unknown, unk, max_rows=max_rows, max_bytes=max_bytes)
-    arrays = collect_positions(ids, keys, "id", out)
-    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<long>"))
-    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
+
+    def convert(long: DataFrame) -> DataFrame:
+        ids = encode_long(long, vocab, on_unknown, unk, max_rows=max_rows, max_bytes=max_bytes)
+        return collect_positions(ids, _CONTENT, "id", out)
+
+    return _by_content(df, tokens, out, "token", convert)
 
 
 def encode_by_dictionary(
     df: DataFrame,
     dictionary: DataFrame,
-    keys: Sequence[str],
     tokens: str = "tokens",
     out: str = "ids",
     max_rows: int = BROADCAST_ROWS,
@@ -208,12 +229,13 @@ def encode_by_dictionary(
         found = _lookup_udf(df.sparkSession, words, lists, "array<array<long>>")(F.col(tokens))
         known = df.withColumn("_f", found).withColumn("_f", _strict(F.col("_f"), "token not in dictionary"))
         return known.withColumn(out, F.flatten("_f")).drop("_f")
-    long = lookup_join(explode_tokens(df, keys, tokens), dictionary, ["token"], "left", max_rows=0)
-    missing = F.raise_error(F.concat(F.lit("token not in dictionary: "), "token")).cast("array<long>")
-    long = long.withColumn("ids", F.coalesce("ids", missing))
-    arrays = collect_positions(long, keys, "ids", "_f").select(*keys, F.flatten("_f").alias(out))
-    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<long>"))
-    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
+    missing = F.raise_error(F.concat(F.lit("token not in dictionary: "), F.coalesce("token", F.lit("NULL")))).cast("array<long>")
+
+    def convert(long: DataFrame) -> DataFrame:
+        found = lookup_join(long, dictionary, ["token"], "left", max_rows=0).withColumn("ids", F.coalesce("ids", missing))
+        return collect_positions(found, _CONTENT, "ids", "_f").select(*_CONTENT, F.flatten("_f").alias(out))
+
+    return _by_content(df, tokens, out, "token", convert)
 
 
 def tidy_text(text: Column) -> Column:
@@ -224,34 +246,32 @@ def tidy_text(text: Column) -> Column:
 def decode_arrays(
     df: DataFrame,
     vocab: DataFrame,
-    keys: Sequence[str],
     ids: str = "ids",
     out: str = "tokens",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Id arrays to token arrays; an id outside the vocabulary is an error."""
+    """Id arrays to token arrays, row by row; an id outside the vocabulary is an error."""
     if fits(vocab, max_rows, max_bytes):
         numbers, words = _arrow_pair(vocab, "id", "token")
         found = _lookup_udf(df.sparkSession, numbers, words, "array<string>")(F.col(ids))
         return df.withColumn("_f", found).withColumn(out, _strict(F.col("_f"), "id not in vocabulary")).drop("_f")
-    long = decode_long(explode_tokens(df, keys, ids, "id"), vocab, max_rows=max_rows, max_bytes=max_bytes)
-    arrays = collect_positions(long, keys, "token", out)
-    empty = F.when(F.col(ids).isNotNull(), F.array().cast("array<string>"))
-    return df.join(arrays, list(keys), "left").withColumn(out, F.coalesce(out, empty))
 
+    def convert(long: DataFrame) -> DataFrame:
+        return collect_positions(decode_long(long, vocab, max_rows=max_rows, max_bytes=max_bytes), _CONTENT, "token", out)
 
-def decode(
-    df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",), ids: str = "ids", out: str = "decoded", **limits
-) -> DataFrame:
+    return _by_content(df, ids, out, "id", convert)
+
+
+def decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "decoded", **limits) -> DataFrame:
     """Id arrays back to text, joined with spaces and tidied."""
-    words = decode_arrays(df, vocab, keys, ids, "_t", **limits)
+    words = decode_arrays(df, vocab, ids, "_t", **limits)
     return words.withColumn(out, tidy_text(F.array_join("_t", " "))).drop("_t")
 
 
 def decode_long(ids_long: DataFrame, vocab: DataFrame, **limits) -> DataFrame:
     joined = lookup_join(ids_long, vocab.select("id", "token"), ["id"], "left", **limits)
-    missing = F.raise_error(F.concat(F.lit("id not in vocabulary: "), F.col("id").cast("string"))).cast("string")
+    missing = F.raise_error(F.concat(F.lit("id not in vocabulary: "), F.coalesce(F.col("id").cast("string"), F.lit("NULL")))).cast("string")
     return joined.withColumn("token", F.coalesce("token", missing))
 
 
@@ -398,7 +418,7 @@ def lm_dataset(
         if vocab is None:
             raise ValueError("give a vocabulary or an encoder")
         tokens = tokenize(df.select(key, col), col, bang=bang).select(key, "tokens")
-        docs, n_ids = encode(tokens, vocab, [key], on_unknown=on_unknown), tokens.select(key, F.size("tokens").alias("_n"))
+        docs, n_ids = encode(tokens, vocab, on_unknown=on_unknown), tokens.select(key, F.size("tokens").alias("_n"))
     else:
         docs = materialize(encoder(df.select(key, col)).select(key, "ids"))
         n_ids = docs.select(key, F.size("ids").alias("_n"))

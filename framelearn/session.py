@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,14 @@ def materialize(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder for one run of a job, in the shared folder, below one named by the application."""
+    return f"{shared_dir(spark).rstrip('/')}/framelearn/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch`` named, through Hadoop's file systems."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

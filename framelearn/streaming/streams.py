@@ -37,7 +37,7 @@ def encode_stream(
     """
     if not fits(vocab, max_rows, max_bytes):
         raise ValueError("the vocabulary is beyond a broadcast: use run_encoded, which joins it batch by batch")
-    return encode(tokenize(docs.select(key, col), col, bang=bang), vocab, [key], on_unknown="unk").select(key, "ids")
+    return encode(tokenize(docs.select(key, col), col, bang=bang), vocab, on_unknown="unk").select(key, "ids")
 
 
 def run_encoded(
@@ -50,7 +50,7 @@ def run_encoded(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        ids = encode(tokenize(batch.select(key, col), col, bang=bang), vocab, [key], on_unknown="unk", **limits).select(key, "ids")
+        ids = encode(tokenize(batch.select(key, col), col, bang=bang), vocab, on_unknown="unk", **limits).select(key, "ids")
         ids.write.mode("overwrite").parquet(f"{path}/batch_id={number}")
 
     writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -65,6 +65,33 @@ def test_encode_and_decode(spark, docs, limits):
         assert back[i] == re.sub(r"\s+([,.?!\"()'])", r"\1", " ".join(names[v] for v in values))
 
 
+REPEATED = [(1, ["a", "b"]), (1, ["b"]), (None, ["a"]), (None, ["a"]), (2, None), (2, []), (3, ["b", "?", "a"]), (3, ["?"]), (3, [None, "a"]), (3, ["a", None])]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_repeated_and_null_keys_keep_their_own_ids(spark, limits):
+    rows = spark.createDataFrame(REPEATED, "doc_id long, tokens array<string>").repartition(3)
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), (text.UNKNOWN, 2)], "token string, id long")
+    table = {"a": 0, "b": 1}
+
+    def sorted_rows(pairs):
+        return sorted(((k, v) for k, v in pairs), key=repr)
+
+    ids = text.encode(rows, vocab, on_unknown="unk", **limits)
+    assert ids.columns == ["doc_id", "tokens", "ids"]
+    want = [(k, None if t is None else [table.get(x, 2) for x in t]) for k, t in REPEATED]
+    assert sorted_rows((r["doc_id"], r["ids"]) for r in ids.collect()) == sorted_rows(want)
+    back = text.decode_arrays(ids.drop("tokens"), vocab, "ids", "tokens", **limits)
+    names = ["a", "b", text.UNKNOWN]
+    assert sorted_rows((r["doc_id"], r["tokens"]) for r in back.collect()) == sorted_rows((k, None if v is None else [names[i] for i in v]) for k, v in want)
+    lists = spark.createDataFrame([("a", [7]), ("b", [8, 9]), ("?", [])], "token string, ids array<long>")
+    known = rows.filter("tokens is null or not exists(tokens, x -> x is null)")
+    strung = text.encode_by_dictionary(known, lists, **limits).collect()
+    each = {"a": [7], "b": [8, 9], "?": []}
+    want = [(k, None if t is None else [i for x in t for i in each[x]]) for k, t in REPEATED if t is None or None not in t]
+    assert sorted_rows((r["doc_id"], r["ids"]) for r in strung) == sorted_rows(want)
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
 def test_strict_encode_raises_on_unknown(spark, docs, limits):
     vocab = text.build_vocab(text.tokenize(docs.filter("doc_id = 0")))
@@ -163,9 +190,33 @@ def test_training_takes_the_same_merges_as_one_at_a_time(spark, cut_every):
     assert [r for r, _, _ in got] == list(range(len(got)))
 
 
-def test_training_stops_when_no_pair_is_left(spark):
+@pytest.mark.parametrize("n", [0, 10])
+def test_training_stops_when_no_pair_is_left(spark, n):
     words = spark.createDataFrame([("ab", 1)], "word string, freq long")
-    assert [(a, b) for _, a, b in bpe.bpe_train(words, 10)] == plain_bpe({"ab": 1}, 10)[0]
+    assert [(a, b) for _, a, b in bpe.bpe_train(words, 10, index_from=n)] == plain_bpe({"ab": 1}, 10)[0]
+    assert bpe.bpe_train(words.filter("freq > 1"), 10, index_from=n) == []
+
+
+@pytest.mark.parametrize("kw", [{"index_from": 0, "fetch": 6, "fan": 2}, {"index_from": 5, "fetch": 512, "cut_every": 2}])
+def test_index_takes_the_same_merges_and_reads_only_the_words_they_touch(spark, kw):
+    # "a" + "bc" and "ab" + "c" spell the same symbol
+    counts = {**COUNTS, "abc": 4, "bc": 9, "abcab": 2, "xabcx": 5, "ab": 8}
+    words = spark.createDataFrame(list(counts.items()), "word string, freq long")
+    n = 22 if kw["index_from"] else 34
+    want, _ = plain_bpe(counts, n)
+    trace = []
+    got = bpe.bpe_train(words, n, trace=trace, **kw)
+    assert [(a, b) for _, a, b in got] == want
+    state = {w: [*w, bpe.END_OF_WORD] for w in counts}
+    read = 0
+    for step in trace:
+        touched = {w for w, s in state.items() if any((a, b) in set(zip(s, s[1:])) for a, b in step["merges"])}
+        if "postings" in step:
+            assert step["words"] == len(touched)
+            read += step["words"]
+        for a, b in step["merges"]:
+            state = {w: bpe.merge_symbols(s, lambda x, y, p=(a, b): 0 if (x, y) == p else None) for w, s in state.items()}
+    assert 0 < read < 0.5 * len(trace) * len(counts)
 
 
 def test_split_equals_training_result(spark):
