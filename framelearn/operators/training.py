@@ -1,15 +1,21 @@
 """Gradient descent over tables.
 
-One step is one Spark job: every partition adds up the gradient of its own rows,
-the partial gradients are summed in groups, and the driver adds a few vectors of
-the model's size and updates the weights. Rows never leave the executors; the
-training table is cached for the length of the fit.
+A step over all rows is one Spark job: every partition adds up the gradient of its own
+rows, the partial gradients are summed in groups, and the driver adds a few vectors
+of the model's size and updates the weights. Steps over mini-batches share jobs: either a
+task takes all steps of a range of batches and hands the weights on to the next, or
+the tasks of a barrier stage hold a share of every batch, exchange their partial
+gradients after each one and take the same step each. Rows never leave the
+executors; the training table is cached for the length of the fit.
 """
 
 from __future__ import annotations
 
+import base64
+import copy
+import pickle
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,9 +25,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelearn.operators.batches import assign_batches
+from framelearn.operators.batches import shuffle_rows
 from framelearn.operators.models import layer_list, mlp_arrays, params_frame
 from framelearn.operators.tensors import rows_matrix
+from framelearn.session import discard, scratch
 
 HISTORY = "run string, epoch int, metric string, value double"
 
@@ -218,6 +225,61 @@ def summed_gradient(data: DataFrame, layers, loss: str, groups: int = 64, **kw)
     return total[:size] / n, total[size:-3], total[-3] / n, total[-2] / n, int(n)
 
 
+#: Rows of the range of batches that one task takes in turn.
+RELAY_ROWS = 1_000_000
+
+
+def batch_steps(dealt: DataFrame, numbers: range, flat: np.ndarray, layers, opt, loss: str, step: int, together: bool, **kw) -> tuple:
+    """The steps of the batches ``numbers`` over ``(batch_id, features, label, row)``, as one job.
+
+    Each partition is sorted by batch. ``together`` makes them the tasks of a barrier stage,
+    each of which holds a row at least; otherwise there is one partition.
+    Returns the new weights, the step count, and the summed rows, loss, right rows
+    and class counts; ``opt`` takes over its new state. A lost task repeats the job
+    from its first weights, which gives the same result.
+    """
+    shared = dealt.sparkSession.sparkContext.broadcast((flat, layers, opt))
+    n_in, size = layers[0][0].shape[1], len(flat)
+    width = size + (3 * len(layers[-1][1]) if loss == "ce" else 0) + 3
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import BarrierTaskContext, TaskContext
+
+        context = BarrierTaskContext.get() if together else TaskContext.get()
+        flat, layers, opt = shared.value
+        opt = copy.copy(opt)
+        ks, x, y, rows = np.zeros(0, np.int64), np.zeros((0, n_in)), np.zeros(0), np.zeros(0, np.int64)
+        sums, more, taken = np.zeros(width - size), True, step
+        for k in numbers:
+            while more and (not len(ks) or ks[-1] <= k):
+                batch = next(batches, None)
+                more = batch is not None
+                if more and batch.num_rows:
+                    got = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("batch_id", "label", "row")]
+                    ks, y, rows = (np.concatenate(both) for both in zip((ks, y, rows), got))
+                    x = np.concatenate([x, rows_matrix(batch.column("features"), n_in)])
+            cut = int(np.searchsorted(ks, k, "right"))
+            partial = np.zeros(width)
+            if cut:
+                g, counts, value, right = gradient(x[:cut], y[:cut], rows[:cut], _unflatten(flat, layers), loss, step=taken, **kw)
+                partial = np.concatenate([g, counts, [value, right, cut]])
+            ks, x, y, rows = ks[cut:], x[cut:], y[cut:], rows[cut:]
+            if together:
+                parts = context.allGather(base64.b64encode(partial.tobytes()).decode())
+                partial = np.sum([np.frombuffer(base64.b64decode(p)) for p in parts], axis=0)
+            if partial[-1]:
+                flat, taken, sums = opt.step(flat, partial[:size] / partial[-1]), taken + 1, sums + partial[size:]
+        if context.partitionId() == 0:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((flat, vars(opt), taken, sums))], pa.binary())], names=["state"])
+
+    (row,) = dealt.mapInArrow(steps, "state binary", barrier=together).collect()
+    shared.unpersist()
+    flat, held, step, sums = pickle.loads(row["state"])
+    for name, value in held.items():
+        setattr(opt, name, value)
+    return flat, step, int(sums[-1]), sums[-3], sums[-2], sums[:-3]
+
+
 @dataclass
 class Sgd:
     lr: float
@@ -294,14 +356,26 @@ def fit_mlp(
     test: DataFrame | None = None,
     every: int = 1,
     run: str = "mlp",
+    how: str = "relay",
+    workers: int = 8,
+    relay_rows: int = RELAY_ROWS,
 ) -> Fit:
     """Train a stack of linear layers with ReLU between them.
 
     ``loss`` is ``bce`` (one logit, labels 0/1), ``ce`` (class logits), ``l1`` or
     ``mse``. Without ``batch_size`` a step uses all rows; with it, rows are
-    shuffled by a seeded hash each epoch and a step filters one batch from the
-    cached table, which is laid out by batch.
+    shuffled by a seeded hash each epoch, and ``how`` says who takes the steps:
+
+    * ``relay``: one task after the other, each all steps of ``relay_rows`` rows, for small
+      batches, whose steps follow each other too fast to be shared;
+    * ``barrier``: ``workers`` tasks together (at most as many as cores), one job per epoch,
+      for batches worth sharing: Spark's exchange waits a second per step;
+    * ``steps``: a job per step, where batches are large and barrier stages cannot run.
+
+    All three take the same steps; jobs per epoch do not depend on the batch size in the first two.
     """
+    if how not in ("relay", "barrier", "steps"):
+        raise ValueError(f"unknown way {how}")
     layers = layer_list(init if init is not None else mlp_arrays(sizes, seed))
     opt = {"sgd": Sgd, "adam": Adam}[optimizer](lr)
     flat, rows, step, started = _flatten(layers), [], 0, time.time()
@@ -310,14 +384,37 @@ def fit_mlp(
     options = {"relu": relu, "dropout": dropout, "seed": seed}
     try:
         total_rows = data.count() if batch_size else 0
+        tasks = min(workers, df.sparkSession.sparkContext.defaultParallelism, total_rows)
         for epoch in range(epochs):
-            if batch_size:
-                dealt = assign_batches(data, ["row"], batch_size, shuffle=True, seed=seed, epoch=epoch)
-                dealt = dealt.repartitionByRange("batch_id").persist(StorageLevel.MEMORY_AND_DISK)
-                blocks = (dealt.filter(F.col("batch_id") == k) for k in range(-(-total_rows // batch_size)))
-            else:
-                dealt, blocks = None, [data]
+            dealt, blocks = None, [] if batch_size else [data]
             seen, value_sum, right_sum, counts = 0, 0.0, 0.0, 0.0
+            if batch_size:
+                n_batches = -(-total_rows // batch_size)
+                placed = shuffle_rows(data, ["row"], seed, epoch, name="_idx", rows=total_rows)
+                placed = placed.withColumn("batch_id", F.floor(F.col("_idx") / batch_size).cast("long"))
+                if how == "barrier":
+                    spread = placed.repartitionById(tasks, (F.col("_idx") % tasks).cast("int")).sortWithinPartitions("_idx")
+                    ranges = [(spread, range(n_batches))]
+                elif how == "relay":
+                    each = max(1, relay_rows // batch_size)
+                    folder = scratch(df.sparkSession, "batches")
+                    placed = placed.withColumn("_part", F.floor(F.col("batch_id") / each).cast("int"))
+                    placed.repartition("_part").write.partitionBy("_part").parquet(folder)
+                    # the folder's name gives the part, so a range reads its own files only
+                    kept = df.sparkSession.read.schema(placed.schema).parquet(folder)
+                    ranges = [
+                        (kept.filter(F.col("_part") == k // each).coalesce(1).sortWithinPartitions("_idx"), range(k, min(k + each, n_batches)))
+                        for k in range(0, n_batches, each)
+                    ]
+                else:
+                    dealt = placed.drop("_idx").repartitionByRange("batch_id").persist(StorageLevel.MEMORY_AND_DISK)
+                    blocks = (dealt.filter(F.col("batch_id") == k) for k in range(n_batches))
+                for own, numbers in [] if how == "steps" else ranges:
+                    own = own.select("batch_id", "features", "label", "row")
+                    flat, step, n, value, right, hits = batch_steps(own, numbers, flat, layers, opt, loss, step, how == "barrier", **options)
+                    seen, value_sum, right_sum, counts = seen + n, value_sum + value, right_sum + right, counts + hits
+                if how == "relay":
+                    discard(df.sparkSession, folder)
             for block in blocks:
                 grad, hits, value, right, n = summed_gradient(block, _unflatten(flat, layers), loss, step=step, **options)
                 if n == 0:

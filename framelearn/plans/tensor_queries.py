@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from framelearn.functions import columns as C
 from framelearn.operators import tensors as T
-from framelearn.operators import text, vectors
+from framelearn.operators import text, vector_lists, vectors
 from framelearn.plans.registry import query, rnd, sql_rnd, table
 from framelearn.plans.scale import spread, unnest
 from framelearn.plans.text_queries import SQL_LONG
@@ -370,6 +370,14 @@ def vec_5_cells(spark, d):
     return out.select("query", "key", rnd(F.col("similarity")).alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
+@query("vec_5_knn_lists", _SQL_KNN)
+def vec_5_lists(spark, d):
+    """Nearest neighbours by codes, the 125 best reranked: on the given vectors no neighbour is lost."""
+    src = spread(word_vectors(spark, d), "key")
+    out = vector_lists.knn_lists(src, src, 5, cells=16, probes=16, rerank=125, seed=3)
+    return out.select("query", "key", rnd(F.col("similarity")).alias("similarity"), F.col("rank").cast("long").alias("rank"))
+
+
 @query(
     "vec_6_word_vectors",
     f"""WITH {SQL_LONG},

@@ -408,6 +408,16 @@ def tok_12(spark, d):
     return bpe.merges_frame(spark, bpe.bpe_train(word_counts(spark, d), N_MERGES))
 
 
+@query(
+    "tok_12_bpe_train_indexed",
+    f"WITH {_WORDS}, {_merge_ctes(N_MERGES)} "
+    + " UNION ALL ".join(f'SELECT {i} AS rank, l AS "left", r AS "right" FROM b{i}' for i in range(N_MERGES)),
+)
+def tok_12_indexed(spark, d):
+    """The way of later merges from the third merge on: only words that hold a pair are read."""
+    return bpe.merges_frame(spark, bpe.bpe_train(word_counts(spark, d), N_MERGES, index_from=2))
+
+
 @query(
     "tok_13_bpe_encode",
     f"""WITH {_WORDS}, {_merge_ctes(N_MERGES)},

@@ -316,3 +316,41 @@ def test_small_side_limits_hold_for_parameters(spark):
     big = models.params_frame(spark, {"w": np.zeros((30, 30))})
     with pytest.raises(ValueError):
         scale.small_rows(big, "the parameter table", max_bytes=1000)
+
+
+@pytest.mark.parametrize("kw", [{"optimizer": "sgd", "lr": 0.1}, {"optimizer": "adam", "lr": 0.01, "dropout": 0.3}])
+def test_ways_to_take_batches_give_the_same_weights(spark, kw):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(v) for v in rng.normal(size=5)], int(rng.integers(0, 3))) for i in range(57)] + [(99, None, 1), (98, [1.0] * 5, None)]
+    df = spark.createDataFrame(rows, "row_id long, features array<double>, label int").repartition(3)
+
+    def fitted(**more):
+        return training.fit_mlp(df, [5, 6, 3], "ce", seed=4, epochs=2, batch_size=15, **kw, **more)
+
+    plain = fitted(how="steps")
+    for more in ({}, {"relay_rows": 16}, {"how": "barrier", "workers": 3}):
+        fit = fitted(**more)
+        for name, values in plain.arrays.items():
+            assert np.abs(values - fit.arrays[name]).max() < 1e-12
+        a, b = ({(r.epoch, r.metric): r.value for r in f.history.collect() if r.metric != "seconds"} for f in (plain, fit))
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    with pytest.raises(ValueError, match="unknown way"):
+        fitted(how="together")
+
+
+def test_jobs_of_an_epoch_do_not_depend_on_the_number_of_batches(spark):
+    df = spark.createDataFrame([(k, [k / 40.0], k % 2) for k in range(40)], "row_id long, features array<double>, label int")
+    context = spark.sparkContext
+
+    def jobs(**more):
+        context.setJobGroup(f"fit {more}", "fit")
+        training.fit_mlp(df, [1, 2], "ce", **more)
+        found = len(context.statusTracker().getJobIdsForGroup(f"fit {more}"))
+        context.setJobGroup("other", "")
+        return found
+
+    for how in ("relay", "barrier"):
+        one = jobs(how=how, epochs=1, batch_size=40)
+        many = jobs(how=how, epochs=1, batch_size=10 if how == "barrier" else 1)
+        assert one == many
+        assert jobs(how=how, epochs=3, batch_size=40) - jobs(how=how, epochs=2, batch_size=20) == jobs(how=how, epochs=2, batch_size=40) - one

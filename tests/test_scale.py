@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from framelearn.operators import batches, metrics, tensors, vectors
+from framelearn.operators import batches, metrics, tensors, vector_lists, vectors
 from framelearn.plans import scale
 from framelearn.session import materialize, shared_dir
 
@@ -184,6 +184,37 @@ def test_nearest_neighbours_equal_brute_force(vecs, kw):
         assert len({k for k, _ in got[q].values()}) == 4
 
 
+@pytest.mark.parametrize("kw", [{}, {"part_rows": 7}])
+def test_lists_with_all_cells_and_codes_equal_the_exact_join(spark, vecs, kw):
+    found = vector_lists.knn_lists(vecs, vecs, 4, cells=5, parts=4, probes=5, rerank=1000, **kw).collect()
+    exact = vectors.knn_join(vecs, vecs, 4).collect()
+
+    def shown(rows):
+        return sorted((r["query"], r["rank"], round(r["similarity"], 9)) for r in rows)
+
+    assert shown(found) == shown(exact)
+    named = vecs.withColumn("key", F.col("key").cast("string"))
+    assert vector_lists.knn_lists(named.limit(3), named, 2, cells=3, probes=3, **kw).count() == 6
+    empty = vecs.filter("key = 999")
+    assert vector_lists.knn_lists(vecs, empty, 3).collect() == [] == vector_lists.knn_lists(empty, vecs, 3, cells=4).collect()
+
+
+@pytest.mark.parametrize("clustered,probes,rerank", [(True, 4, 60), (False, 16, 200)])
+def test_lists_recall_while_few_vectors_are_read(spark, clustered, probes, rerank):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    base = r.normal(size=(2000, 24)) if not clustered else r.normal(size=(40, 24))[r.integers(0, 40, 2000)] + 0.3 * r.normal(size=(2000, 24))
+    vecs = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(base)], "key long, vector array<double>")
+    asked = vecs.filter("key % 20 = 0")
+    lists = vector_lists.build_lists(vecs, cells=16, parts=12, sample_rows=1000)
+    assert {x["key"] for x in lists.codes.collect()} == set(range(2000))
+    found = vector_lists.search_lists(asked, lists, 10, probes=probes, rerank=rerank)
+    exact = vectors.knn_join(asked, vecs, 10)
+    share = exact.select("query", "key").intersect(found.select("query", "key")).count() / exact.count()
+    assert share >= 0.9 and rerank <= 0.25 * 2000
+
+
 def test_similarity_of_a_zero_vector_is_null(spark, vecs):
     pairs = spark.createDataFrame([(0, 999), (0, 0)], "a long, b long")
     got = {r["b"]: r["similarity"] for r in vectors.similarity(vecs, pairs).collect()}
