@@ -274,8 +274,8 @@ def _blocks(rows: DataFrame, width: int, parts: int, scale: int) -> DataFrame:
     return rows.mapInArrow(build, f"ids array<{ids}>, labels array<{labels}>, trees array<{_TREE}>")
 
 
-def _trees(row: dict, each: int) -> list[Tree]:
-    return [Tree.thawed(held, each) for held in row["trees"]]
+def _trees(held: pa.Scalar, each: int) -> list[Tree]:
+    return [Tree.thawed(tree, each) for tree in held.as_py()]
 
 
 def _round(blocks: DataFrame, books, each: int) -> dict[tuple[int, int], tuple[int, list[int]]]:
@@ -283,9 +283,10 @@ def _round(blocks: DataFrame, books, each: int) -> dict[tuple[int, int], tuple[i
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict = {}
+        held = [codebook(b) for b in books.value]
         for batch in batches:
             for k in range(batch.num_rows):
-                for part, (tree, book) in enumerate(zip(_trees({"trees": batch["trees"][k].as_py()}, each), books.value)):
+                for part, (tree, book) in enumerate(zip(_trees(batch["trees"][k], each), held)):
                     _, sums, counts, _ = assign(tree, book)
                     for entry in np.flatnonzero(counts).tolist():
                         had = found.get((part, entry), (0, [0] * each))
@@ -340,7 +341,7 @@ def vector_codes(
     blocks = stored(_blocks(rows, width, parts, scale), f"{folder}/blocks")
 
     def sent():
-        return spark.sparkContext.broadcast([codebook(_entries(b, each)) for b in books])
+        return spark.sparkContext.broadcast([_entries(b, each) for b in books])
 
     for _ in range(rounds):
         shared = sent()
@@ -350,12 +351,13 @@ def vector_codes(
     shared = sent()
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [codebook(b) for b in shared.value]
         for batch in batches:
             for k in range(batch.num_rows):
                 own = {c: batch[c][k] for c in ("ids", "labels")}
                 n = len(own["ids"])
                 codes, error = np.zeros((n, parts), np.int32), np.zeros(n, object)
-                for part, (tree, book) in enumerate(zip(_trees({"trees": batch["trees"][k].as_py()}, each), shared.value)):
+                for part, (tree, book) in enumerate(zip(_trees(batch["trees"][k], each), held)):
                     found, _, _, _ = assign(tree, book)
                     codes[tree.order, part] = found
                     error[tree.order] += _squared(tree.rows, book.entries[found]).astype(object)
