@@ -257,6 +257,34 @@ def test_message_layer_paths_agree(spark, odd_graphs):
     assert run(False) == run(True) == run(False, max_rows=0) == run(True, **HOT)
 
 
+def test_graph_blocks_equal_joined_layers(spark, odd_graphs):
+    from framelearn.plans.model_queries import bias, weight
+
+    graphs, nodes, edges = odd_graphs
+    arrays = {"proj.weight": weight(9, 2, 2), "proj.bias": bias(9, 2)}
+    for conv in ("conv1", "conv2"):
+        for part, at, n_in in (("msg", 0, 6), ("upd", 2, 4)):
+            base = f"{conv}.{part}"
+            for k, n in ((0, n_in), (1, 2)):
+                arrays[f"{base}.{k}.weight"], arrays[f"{base}.{k}.bias"] = weight(at + k, 2, n), bias(at + k, 2)
+            for name, v in (("mean", 0.1), ("var", 1.5), ("gamma", 1.0), ("beta", 0.2)):
+                arrays[f"{base}.norm.{name}"] = np.full(2, v)
+    params = models.params_frame(spark, arrays)
+    stray = edges.unionByName(edges.limit(1).withColumn("dst", F.lit(12345).cast(edges.schema["dst"].dataType)))
+
+    def run(e, **kw):
+        return {r["graph_id"]: [round(v, 9) for v in r["emb"]] for r in GR.embed_graphs(graphs, nodes, e, params, **kw).collect()}
+
+    want = run(edges, graph_rows=0)
+    assert set(want) == {1, 2, 3, 4} and want[4] == [0.0] * 4 and any(want[1])
+    assert run(edges) == run(stray) == run(stray, block_rows=1) == run(edges, graph_rows=5) == want
+    none = GR.embed_graphs(graphs.limit(0), nodes.limit(0), edges.limit(0), params)
+    assert none.collect() == []
+    # one shuffle of nodes and of edges, however many layers there are
+    plan = GR.embed_blocks(nodes, edges, arrays, 10, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 # --- files and streams ----------------------------------------------------
 
 
