@@ -1,8 +1,8 @@
 """Images as rows: ``(img_id, channels, height, width, pixels)``, pixels in C, H, W order.
 
-Two forms of the same work: a long table of pixels, where convolution and pooling
-are a join with the kernel and a grouped aggregate, and one Arrow pass over whole
-images, which is the form for volume. Both give the same numbers.
+Two forms of the same work: a long table of pixels, which is convolved by blocks of
+tiles and pooled by a grouped aggregate, for images of any size; and one Arrow pass
+over whole images, which is the form for many small ones. Both give the same numbers.
 """
 
 from __future__ import annotations
@@ -11,13 +11,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelearn.functions.columns import let
 from framelearn.operators.models import param_arrays
 from framelearn.operators.tensors import rows_matrix
-from framelearn.plans.scale import maybe_broadcast, settle, small_rows, unnest
+from framelearn.plans.scale import settle, small_rows, unnest
 
 #: Weights of red, green and blue in a grey value (ITU-R 601).
 GREY = (0.299, 0.587, 0.114)
@@ -160,30 +161,100 @@ def kernel_frame(spark: SparkSession, weight: np.ndarray, bias: np.ndarray | Non
     return spark.createDataFrame(rows, "co int, c int, ky int, kx int, w double, b double")
 
 
+def kernel_array(kernel: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Weights (out, in, kh, kw), biases, and the numbers of the output channels, of a kernel whose size is checked."""
+    rows = small_rows(kernel, "the kernel")
+    outs = sorted({r["co"] for r in rows})
+    shape = [max(r[c] for r in rows) + 1 for c in ("c", "ky", "kx")]
+    weight, bias = np.zeros((len(outs), *shape)), np.zeros(len(outs))
+    place = {co: k for k, co in enumerate(outs)}
+    for r in rows:
+        weight[place[r["co"]], r["c"], r["ky"], r["kx"]] += r["w"]
+        bias[place[r["co"]]] = r["b"]
+    return weight, bias, outs
+
+
 def conv2d(
-    pixels: DataFrame, kernel: DataFrame, height: int, width: int, stride: int = 1, padding: int = 0, key: str = "img_id"
+    pixels: DataFrame,
+    kernel: DataFrame,
+    height: int,
+    width: int,
+    stride: int = 1,
+    padding: int = 0,
+    key: str = "img_id",
+    tile_cells: int = 1 << 20,
+    block_rows: int = 500_000,
 ) -> DataFrame:
-    """Convolution of long pixels: an equi-join with the kernel on the channel and one sum.
+    """Convolution of long pixels ``(img_id, c, y, x, v)`` to long pixels.
 
     Cells outside the image count as zero, and so do pixels without a row. All
-    images have this height and width; an image has every output cell, with the
-    bias alone where only padding is met.
+    images have this height and width; an image with any pixel has every output
+    cell, with the bias alone where only padding is met.
+
+    An image is cut into tiles of output rows whose input has at most some ``tile_cells``
+    cells; a pixel row in reach of two tiles, the halo, goes to both. Pixels are shuffled
+    once, by blocks of tiles, and each block is convolved by numpy. An image of any
+    size spreads over tasks, and a pixel is sent as often as it has tiles, never once per weight.
     """
-    k = kernel.agg(F.max("ky"), F.max("kx")).first()
-    out_h, out_w = ((n + 2 * padding - m - 1) // stride + 1 for n, m in ((height, k[0]), (width, k[1])))
-    hit = pixels.join(maybe_broadcast(kernel), "c")
-    top, left = F.col("y") + padding - F.col("ky"), F.col("x") + padding - F.col("kx")
-    hit = hit.withColumn("oy", F.floor(top / stride).cast("int")).withColumn("ox", F.floor(left / stride).cast("int"))
-    inside = (top % stride == 0) & (left % stride == 0) & F.col("oy").between(0, out_h - 1) & F.col("ox").between(0, out_w - 1)
-    met = hit.filter(inside).select(key, "co", "oy", "ox", (F.col("v") * F.col("w")).alias("v"))
-    # the output channels are a small part of a kernel that the driver measured above
-    biases = [F.struct(F.lit(r["co"]).alias("co"), F.lit(r["b"]).alias("b")) for r in small_rows(kernel.select("co", "b").distinct(), "the biases")]
-    cells = pixels.select(key).distinct().withColumn("_o", F.explode(F.array(*biases)))
-    cells = cells.withColumn("oy", F.explode(F.sequence(F.lit(0), F.lit(out_h - 1)))).withColumn("ox", F.explode(F.sequence(F.lit(0), F.lit(out_w - 1))))
-    every = met.unionByName(cells.select(key, F.col("_o.co").alias("co"), "oy", "ox", F.col("_o.b").alias("v")))
-    return every.groupBy(key, "co", "oy", "ox").agg(F.sum("v").alias("v")).select(
-        key, F.col("co").alias("c"), F.col("oy").alias("y"), F.col("ox").alias("x"), "v"
-    )
+    weight, bias, outs = kernel_array(kernel)
+    channels, kh, kw = weight.shape[1:]
+    out_h, out_w = ((n + 2 * padding - m) // stride + 1 for n, m in ((height, kh), (width, kw)))
+    kind = pixels.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, c int, y int, x int, v double"
+    if out_h < 1 or out_w < 1:
+        return pixels.sparkSession.createDataFrame([], schema)
+    wide = width + 2 * padding
+    tile = int(min(out_h, max(1, (tile_cells // (channels * wide) - kh) // stride + 1)))
+    tiles, deep = -(-out_h // tile), (tile - 1) * stride + kh
+    sent = pixels.select(F.col(key).alias("k"), "c", "y", "x", F.col("v").cast("double").alias("v"))
+    if tiles == 1:
+        sent = sent.withColumn("t", F.lit(0))
+    else:
+        last = F.greatest(F.lit(0), F.least(F.lit(out_h - 1), F.floor((F.col("y") + padding) / stride)))
+        first = F.least(last, F.greatest(F.lit(0), F.ceil((F.col("y") + padding - kh + 1) / F.lit(stride))))
+        reach = F.sequence(F.floor(first / tile).cast("int"), F.floor(last / tile).cast("int"))
+        # every tile of an image is there, also where it has no pixels
+        bare = sent.select("k").distinct().select("k", *[F.lit(None).cast(sent.schema[c].dataType).alias(c) for c in ("c", "y", "x", "v")])
+        bare = bare.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+        sent = sent.withColumn("t", F.explode(reach)).unionByName(bare)
+    cores = pixels.sparkSession.sparkContext.defaultParallelism
+    rows = pixels.count()
+    blocks = max(1, -(-rows // block_rows), min(cores, rows // 1000))
+    shared = pixels.sparkSession.sparkContext.broadcast((weight, bias, np.array(outs, np.int32)))
+
+    def convolve(group):
+        weight, bias, outs = shared.value
+        names = group["k"].combine_chunks().dictionary_encode(null_encoding="encode")
+        c, y, x, t = (pc.fill_null(group[n], -1).to_numpy().astype(np.int64) for n in ("c", "y", "x", "t"))
+        v = pc.fill_null(group["v"], 0.0).to_numpy()
+        which, place = np.unique(np.asarray(names.indices) * tiles + t, return_inverse=True)
+        local = y + padding - t * tile * stride
+        inside = (c >= 0) & (c < channels) & (x >= 0) & (x < width) & (y >= 0) & (y < height) & (local >= 0) & (local < deep)
+        cell = ((place * channels + c) * deep + local) * wide + x + padding
+        order = np.argsort(cell, kind="stable")
+        order = order[inside[order]]
+        cell, v = cell[order], v[order]
+        size, parts = channels * deep * wide, []
+        step = max(1, tile_cells // size)
+        for at in range(0, len(which), step):
+            own = which[at : at + step]
+            lo, hi = np.searchsorted(cell, [at * size, (at + len(own)) * size])
+            flat = np.bincount(cell[lo:hi] - at * size, weights=v[lo:hi], minlength=len(own) * size)
+            views = np.lib.stride_tricks.sliding_window_view(flat.reshape(len(own), channels, deep, wide), (kh, kw), axis=(2, 3))[:, :, ::stride, ::stride]
+            made = np.einsum("nchwij,ocij->nohw", views, weight, optimize=True) + bias[None, :, None, None]
+            n, o, h, w = made.shape
+            top = own % tiles * tile
+            oy = np.broadcast_to(top[:, None, None, None] + np.arange(h)[None, None, :, None], made.shape)
+            real = (oy < out_h).reshape(-1)
+            image = np.broadcast_to((own // tiles)[:, None, None, None], made.shape).reshape(-1)[real]
+            out = np.broadcast_to(outs[None, :, None, None], made.shape).reshape(-1)[real]
+            ox = np.broadcast_to(np.arange(w), made.shape).reshape(-1)[real]
+            columns = [names.dictionary.take(pa.array(image)), pa.array(out), pa.array(oy.reshape(-1)[real].astype(np.int32)), pa.array(ox.astype(np.int32)), pa.array(made.reshape(-1)[real])]
+            parts.append(pa.table(columns, names=[key, "c", "y", "x", "v"]))
+        return pa.concat_tables(parts)
+
+    dealt = sent.withColumn("_b", F.pmod(F.xxhash64("k", "t"), F.lit(blocks)))
+    return dealt.groupBy("_b").applyInArrow(convolve, schema)
 
 
 def max_pool(pixels: DataFrame, height: int, width: int, size: int = 2, key: str = "img_id") -> DataFrame:

@@ -202,6 +202,29 @@ def test_convolution_and_pool_on_odd_sizes(spark, stride, pad):
         assert np.allclose(IM._conv(img[None], w, b)[0], want)
 
 
+@pytest.mark.parametrize("stride,pad", [(1, 1), (2, 1), (3, 0)])
+def test_convolution_by_tiles_with_halo(spark, stride, pad):
+    rng = np.random.RandomState(4)
+    w, b = rng.randn(2, 2, 3, 2), rng.randn(2)
+    imgs = {name: rng.randn(2, 23, 5) for name in ("a", "b", None)}
+    imgs["c"] = np.zeros((2, 23, 5))
+    imgs["c"][1, 22, 4] = 3.0  # an image with one pixel only has every output cell too
+    rows = [(k, int(c), int(y), int(x), float(v)) for k, img in imgs.items() for (c, y, x), v in np.ndenumerate(img) if k != "c" or v]
+    rows += [("a", 7, 0, 0, 1.0), ("a", 0, 99, 0, 1.0), ("a", 0, 0, 0, None)]
+    px = spark.createDataFrame(rows, "img_id string, c int, y int, x int, v double").repartition(3)
+    for kw in ({}, {"tile_cells": 1}, {"tile_cells": 90, "block_rows": 50}):
+        got = {}
+        for r in IM.conv2d(px, IM.kernel_frame(spark, w, b), 23, 5, stride, pad, **kw).collect():
+            assert got.setdefault(r["img_id"], {}).setdefault((r["c"], r["y"], r["x"]), r["v"]) == r["v"]
+        assert set(got) == set(imgs)
+        for k, img in imgs.items():
+            wide = np.pad(img, ((0, 0), (pad, pad), (pad, pad)))
+            oh, ow = (23 + 2 * pad - 3) // stride + 1, (5 + 2 * pad - 2) // stride + 1
+            want = {(o, y, x): (wide[:, y * stride : y * stride + 3, x * stride : x * stride + 2] * w[o]).sum() + b[o] for o, y, x in np.ndindex(2, oh, ow)}
+            assert got[k].keys() == want.keys() and all(abs(got[k][c] - want[c]) < 1e-9 for c in want)
+    assert IM.conv2d(px, IM.kernel_frame(spark, w, b), 2, 1).collect() == []
+
+
 # --- graphs ---------------------------------------------------------------
 
 
