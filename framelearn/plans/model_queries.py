@@ -19,7 +19,7 @@ from framelearn.plans.scale import dense_index, lookup_join, spread, unnest
 from framelearn.plans.tensor_queries import _CIRCLE, SQL_X, circles, sql_gauss
 from framelearn.plans.text_queries import SQL_PART_VOCAB, _ID_DIGEST, _id_digest, part_vocab
 from framelearn.session import shared_dir
-from framelearn.sources import readers, writers
+from framelearn.sources import files, readers, writers
 from framelearn.streaming import streams
 
 # --- weights by rule ------------------------------------------------------
@@ -952,6 +952,37 @@ def src_2(spark, d):
     return tensors.with_class_ids(table(spark, d, "documents").select("doc_id", "source"), "source")
 
 
+_PICTURE = "list_transform(embedding[1:48], lambda x: floor(least(255.0::DOUBLE, greatest(0.0::DOUBLE, (x::DOUBLE + 0.5) * 255)))::BIGINT)"
+
+
+@query(
+    "src_3_decode",
+    f"""WITH p AS (SELECT vec_id, 'class_' || label AS class_name, {_PICTURE} AS d FROM embeddings),
+c AS (SELECT class_name, (row_number() OVER (ORDER BY class_name) - 1)::INT AS label FROM (SELECT DISTINCT class_name FROM p))
+SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, class_name, label, 4 AS height, 4 AS width, 3 AS channels,
+  list_sum(d)::BIGINT AS total, list_sum(list_transform(range(1, 49), lambda i: i * d[i]))::BIGINT AS weighted FROM p JOIN c USING (class_name)""",
+)
+def src_3(spark, d):
+    """Vectors written as a folder of pictures, which is read and decoded again."""
+    where = f"{shared_dir(spark)}/pictures-{uuid.uuid4().hex}"
+    byte = F.transform(F.slice("embedding", 1, 48), lambda x: F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), (x.cast("double") + 0.5) * 255))).cast("int"))
+    src = table(spark, d, "embeddings").select(
+        F.concat_ws("/", F.when(F.col("vec_id") % 5 == 0, "test").otherwise("train"), F.concat(F.lit("class_"), "label"), F.concat("vec_id", F.lit(".png"))).alias("name"),
+        byte.alias("data"),
+        *[F.lit(n).alias(c) for n, c in ((4, "height"), (4, "width"), (3, "channels"))],
+    )
+    files.write_files(IM.encode_png(src), where)
+    read = readers.decode_rgb(readers.read_image_folder(spark, where))
+    cells = F.zip_with("data", F.sequence(F.lit(1), F.size("data")), lambda v, i: v * i)
+    total = [F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x) for c in (F.col("data"), cells)]
+    return read.select(
+        F.regexp_extract("path", r"([0-9]+)\.png$", 1).cast("long").alias("vec_id"),
+        *("split", "class_name", "label", "height", "width", "channels"),
+        total[0].alias("total"),
+        total[1].alias("weighted"),
+    )
+
+
 @query(
     "src_4_labelled_split",
     "SELECT label, count(*) AS n, min(vec_id) AS first_id FROM embeddings WHERE vec_id % 5 = 0 GROUP BY 1",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framelearn.operators import bpe, text
 from framelearn.plans.registry import query, table
 from framelearn.plans.scale import lookup_join, spread, unnest
+from framelearn.session import shared_dir
+from framelearn.sources import files, readers
 
 # --- shared SQL -----------------------------------------------------------
 
@@ -82,9 +86,11 @@ def joined(col):
 
 @query("src_1_corpus_preview", "SELECT doc_id, length(text)::INT AS n_chars, left(text, 99) AS head FROM documents")
 def src_1(spark, d):
-    return docs(spark, d).select(
-        "doc_id", F.length("text").alias("n_chars"), F.substring("text", 1, 99).alias("head")
-    )
+    """Documents written as one text file each, and read back whole."""
+    where = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    files.write_files(docs(spark, d).withColumn("name", F.concat("doc_id", F.lit(".txt"))), where, content="text")
+    head = readers.corpus_preview(readers.read_corpus(spark, where))
+    return head.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "n_chars", "head")
 
 
 # --- tokens ---------------------------------------------------------------

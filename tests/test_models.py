@@ -10,7 +10,7 @@ from framelearn.operators import graphs as GR
 from framelearn.operators import images as IM
 from framelearn.operators import models, training
 from framelearn.plans import scale
-from framelearn.sources import readers, writers
+from framelearn.sources import files, readers, writers
 from framelearn.sources.generators import blobs, line_data, row_ids
 from framelearn.streaming import streams
 
@@ -143,6 +143,25 @@ def test_image_folder(spark, folder):
         assert r["split"] == r["path"].split("/")[-3]
 
 
+def test_pictures_written_and_read_again(spark, tmp_path):
+    rng = np.random.RandomState(1)
+    made = {f"train/c{k % 2}/{k}.png": rng.randint(0, 256, (3 + k, 2, n)) for k, n in enumerate((1, 3, 3, 4))}
+    rows = [(name, *img.shape, img.reshape(-1).tolist()) for name, img in made.items()] + [("train/c0/none.png", None, None, None, None)]
+    df = spark.createDataFrame(rows, "name string, height int, width int, channels int, data array<int>").repartition(2)
+    for _ in range(2):  # writing again leaves the same files
+        files.write_files(IM.encode_png(df), str(tmp_path))
+    got = {"/".join(r["path"].split("/")[-3:]): r for r in readers.decode_rgb(readers.read_image_folder(spark, str(tmp_path))).collect()}
+    assert set(got) == set(made)  # Spark's readers leave out files without a byte
+    for name, img in made.items():
+        r = got[name]
+        assert (r["height"], r["width"], r["channels"]) == img.shape and r["data"] == img.reshape(-1).tolist()
+        assert (r["split"], r["class_name"], r["label"]) == ("train", name[6:8], int(name[7]))
+    text = spark.createDataFrame([("a/b.txt", "é\n"), ("c.txt", None), ("d.txt", "")], "name string, content string")
+    files.write_files(text, f"file://{tmp_path}/texts")
+    assert (tmp_path / "texts/a/b.txt").read_text() == "é\n" and (tmp_path / "texts/c.txt").read_bytes() == b""
+    assert sorted(p.name for p in (tmp_path / "texts").rglob("*") if p.is_file() and p.suffix == ".txt") == ["b.txt", "c.txt", "d.txt"]
+
+
 def test_image_steps(spark, folder):
     root, made = folder
     df = IM.to_tensor(readers.decode_rgb(readers.read_image_folder(spark, str(root))))
