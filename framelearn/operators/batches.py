@@ -7,11 +7,13 @@ key ranges only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framelearn.functions.columns import let
 from framelearn.plans.scale import below, dense_index, key_at_rank, order_hash
 
 
@@ -133,6 +135,66 @@ def assign_batches(
     return placed.withColumn("batch_id", F.floor(F.col("_idx") / size).cast("long")).drop("_idx")
 
 
+# --- shuffles without a sort ------------------------------------------------
+
+#: Modulus and multiplier of the keyed permutation's mixing; products of two residues stay below 2**63.
+MIX_MODULUS, MIX_FACTOR = 2**31 - 1, 48_271
+
+#: Rounds of one pass, and the most passes of a place that leaves the table's positions.
+ROUNDS, WALKS = 4, 16
+
+
+def permutation_plan(n: int, seed: int, epoch: int) -> tuple[int, int, list[tuple[int, int]], int]:
+    """Sides ``a`` and ``b`` of the grid that the positions lie in, keys of the rounds, and passes."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    b = max(1, -(-n // a))
+    keys = [tuple((seed * 1_000_003 + epoch * 7_919 + 2 * k + side + 1) * 69_621 % MIX_MODULUS for side in (0, 1)) for k in range(ROUNDS)]
+    return a, b, keys, min(WALKS, a * b - n + 1)
+
+
+def permuted(pos: Column, n: int, seed: int = 0, epoch: int = 0) -> Column:
+    """A keyed permutation of the positions 0..n-1: arithmetic on one row, no sort and no shuffle.
+
+    A position is a cell of an a x b grid with few cells more than ``n``. Each round
+    turns the row by a mixture of the column and the column by one of the row,
+    which is one to one; a place beyond the last position goes through again. Among
+    the fewer than sqrt(n) + 1 such cells 16 passes in a row do not happen in practice; if they did, it is an error.
+    """
+    a, b, keys, walks = permutation_plan(n, seed, epoch)
+
+    def mixed(x: Column, key: Column) -> Column:
+        h = (x % MIX_MODULUS * MIX_FACTOR + key) % MIX_MODULUS
+        for _ in range(2):
+            h = (h * h % MIX_MODULUS + h * MIX_FACTOR + 11) % MIX_MODULUS
+        return h
+
+    rounds = F.array(*[F.struct(F.lit(x).cast("long").alias("x"), F.lit(y).cast("long").alias("y")) for x, y in keys])
+
+    def once(v: Column) -> Column:
+        def turned(s: Column, k: Column) -> Column:
+            left = (s["l"] + mixed(s["r"], k["x"])) % a
+            return let(left, lambda x: F.struct(x.alias("l"), ((s["r"] + mixed(x, k["y"])) % b).alias("r")))
+
+        start = F.struct((v % a).alias("l"), F.floor(v / a).cast("long").alias("r"))
+        return F.aggregate(rounds, start, turned, lambda s: s["r"] * a + s["l"])
+
+    found = once(pos.cast("long"))
+    if walks > 1:
+        found = F.aggregate(F.sequence(F.lit(2), F.lit(walks)), found, lambda v, _: F.when(v >= n, once(v)).otherwise(v))
+    return let(found, lambda v: F.when(v >= n, F.raise_error(F.lit("the permutation left its positions")).cast("long")).otherwise(v))
+
+
+def permuted_batches(placed: DataFrame, pos: str, n: int, size: int, seed: int = 0, epoch: int = 0, drop_last: bool = False) -> DataFrame:
+    """Add ``idx`` and ``batch_id`` of an epoch to rows numbered once, 0..n-1, in ``pos``: a projection.
+
+    ``dense_index`` numbers the rows, once for all epochs.
+    """
+    dealt = placed.withColumn("idx", permuted(F.col(pos), n, seed, epoch))
+    if drop_last:
+        dealt = dealt.filter(F.col("idx") < n // size * size)
+    return dealt.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
+
+
 def nth_batch(df: DataFrame, key: Sequence[str], size: int, k: int) -> DataFrame:
     """The k-th batch in key order with its ``batch_id``: a filter on the key, no row is numbered."""
     return slice_rows(df, key, k * size, (k + 1) * size).withColumn("batch_id", F.lit(k).cast("long"))

@@ -50,6 +50,33 @@ def is_multiclass(df: DataFrame, label: str) -> DataFrame:
     return distinct.withColumn("multiclass", F.col("n_classes") > 2)
 
 
+def distinct_error(lg_k: int = 14) -> float:
+    """Standard error of ``estimated_distinct``, as a share, with 2^lg_k registers."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
+def distinct_sketches(df: DataFrame, col: str, by: Sequence[str] = (), lg_k: int = 14) -> DataFrame:
+    """``(by, sketch)``: a mergeable sketch of the distinct values of each group, a few kilobytes whatever their number.
+
+    Values are sketched as text, so that all types count alike; NULL is no value.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.col(col).cast("string"), F.lit(lg_k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of larger groups from those of their parts, which equal those of a pass over all rows."""
+    return sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_distinct(sketches: DataFrame) -> DataFrame:
+    """Replace ``sketch`` by ``n_distinct``, near the true number: mostly within twice ``distinct_error``, as a share.
+
+    A sketch that was never united would be estimated from its history as well; united
+    with itself it gives what its registers tell, the same however it was put together.
+    """
+    return sketches.withColumn("n_distinct", F.hll_sketch_estimate(F.hll_union("sketch", "sketch"))).drop("sketch")
+
+
 def param_count(params: DataFrame) -> DataFrame:
     """Numbers in a parameter table; storage shared by two names counts once."""
     return params.dropDuplicates(["storage_id"]).agg(F.sum(F.size("values")).cast("long").alias("n_params"))

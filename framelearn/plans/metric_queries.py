@@ -117,6 +117,22 @@ def a_7(spark, d):
     return metrics.is_multiclass(table(spark, d, "embeddings"), "label")
 
 
+@query(
+    "a_7_distinct_estimate",
+    "SELECT l_linestatus, count(DISTINCT l_orderkey) AS n_exact, true AS near, true AS merged FROM lineitem GROUP BY 1",
+)
+def a_7_estimate(spark, d):
+    """Distinct orders per line status by sketches of its parts, held against the exact number and a whole pass."""
+    rows, by = table(spark, d, "lineitem"), ["l_linestatus"]
+    parts = metrics.distinct_sketches(rows, "l_orderkey", ["l_linestatus", "l_returnflag"])
+    merged = metrics.estimated_distinct(metrics.merge_sketches(parts, by))
+    whole = metrics.estimated_distinct(metrics.distinct_sketches(rows, "l_orderkey", by)).withColumnRenamed("n_distinct", "n_whole")
+    exact = rows.select("l_linestatus", "l_orderkey").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_exact"))
+    both = exact.join(merged, by).join(whole, by)
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 4 * metrics.distinct_error() * F.col("n_exact")
+    return both.select(*by, "n_exact", near.alias("near"), (F.col("n_distinct") == F.col("n_whole")).alias("merged"))
+
+
 @query("a_7_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
 def a_7_distinct(spark, d):
     return table(spark, d, "lineitem").select("l_returnflag", "l_linestatus").distinct()
@@ -467,6 +483,50 @@ def ord_6(spark, d):
     return batches.shuffle_rows(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], seed=42, epoch=3)
 
 
+def _permuted_sql(seed: int, epoch: int) -> str:
+    """``batches.permuted`` for ``pos`` of ``placed``, of n rows: passes of rounds on a grid, as relations."""
+    p, f = batches.MIX_MODULUS, batches.MIX_FACTOR
+    keys = batches.permutation_plan(1, seed, epoch)[2]
+
+    def mixed(x, key):
+        h = f"(({x}) % {p} * {f} + {key}) % {p}"
+        return h, f"(h * h % {p} + h * {f} + 11) % {p}"
+
+    steps, at = [], "g0"
+    for walk in range(batches.WALKS):
+        steps.append(f"s{walk}_0 AS (SELECT *, v AS was, v % a AS l, v // a AS r FROM {at})")
+        last = f"s{walk}_0"
+        for k, (x, y) in enumerate(keys):
+            for side, (own, other, size, key) in enumerate((("l", "r", "a", x), ("r", "l", "b", y))):
+                first, again = mixed(other, key)
+                name = f"s{walk}_{k}_{side}"
+                steps.append(
+                    f"{name} AS (SELECT * EXCLUDE (h, {own}), ({own} + h) % {size} AS {own} FROM (SELECT * REPLACE ({again} AS h) FROM (SELECT * REPLACE ({again} AS h) FROM (SELECT *, {first} AS h FROM {last}))))"
+                )
+                last = name
+        at = f"g{walk + 1}"
+        # the first pass is for all rows, the others for places beyond the last position
+        again = "true" if walk == 0 else "was >= n"
+        steps.append(f"{at} AS (SELECT * EXCLUDE (v, was, l, r), CASE WHEN {again} THEN r * a + l ELSE was END AS v FROM {last})")
+    return ",\n".join(steps), at
+
+
+_STEPS, _LAST = _permuted_sql(42, 3)
+_PERMUTED = f"""WITH placed AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+side AS (SELECT *, floor(sqrt(n - 1))::BIGINT + 1 AS a FROM placed),
+g0 AS (SELECT *, (n + a - 1) // a AS b, pos AS v FROM side),
+{_STEPS}
+SELECT o_orderkey, v::BIGINT AS idx, (v // 64)::BIGINT AS batch_id FROM {_LAST}"""
+
+
+@query("ord_6_shuffle_permuted", _PERMUTED)
+def ord_6_permuted(spark, d):
+    """An epoch's shuffled batches by arithmetic on positions that were numbered once."""
+    rows = table(spark, d, "orders").select("o_orderkey")
+    placed = dense_index(rows, ["o_orderkey"], name="pos")
+    return batches.permuted_batches(placed, "pos", rows.count(), 64, seed=42, epoch=3).drop("pos")
+
+
 @query(
     "ord_9_second_batch",
     "WITH r AS (SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 32 AS batch_id FROM orders) SELECT * FROM r WHERE batch_id = 1",

@@ -149,6 +149,32 @@ def test_batches(spark, drop_last):
     assert sorted((r["i"], r["batch_id"]) for r in got) == [(i, i // 5) for i in range(20 if drop_last else 23)]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 17, 1000, 4099])
+def test_keyed_permutation_is_one_to_one(spark, n):
+    df = spark.range(n)
+    one, two, again = ([r[0] for r in df.repartition(k + 1).select("id", batches.permuted(F.col("id"), n, 7, e).alias("v")).orderBy("id").select("v").collect()] for k, e in enumerate((0, 1, 0)))
+    assert sorted(one) == sorted(two) == list(range(n)) and one == again
+    if n >= 1000:
+        assert one != two and one != list(range(n))
+        # neighbours come apart, and no place is favoured
+        assert sum(abs(a - b) < n / 100 for a, b in zip(one, one[1:])) < 0.05 * n
+        assert abs(sum(v for v in one[: n // 2]) / (n // 2) - n / 2) < 0.05 * n
+    dealt = batches.permuted_batches(df, "id", n, 4, seed=7, drop_last=True)
+    sizes = [r["count"] for r in dealt.groupBy("batch_id").count().collect()]
+    assert sizes == [4] * (n // 4)
+    assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sketches_merge_to_a_whole_pass(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 2).alias("h"), F.when(F.col("id") % 10 > 0, F.col("id") % 7001).alias("v"))
+    whole = metrics.distinct_sketches(df, "v", ["g"])
+    merged = metrics.merge_sketches(metrics.distinct_sketches(df, "v", ["g", "h"]), ["g"])
+    a, b = ({r["g"]: r["n_distinct"] for r in metrics.estimated_distinct(x).collect()} for x in (whole, merged))
+    exact = {r["g"]: r["n"] for r in df.groupBy("g").agg(F.count_distinct("v").alias("n")).collect()}
+    assert a == b and all(abs(a[g] - exact[g]) <= 4 * metrics.distinct_error() * exact[g] for g in exact)
+    assert metrics.estimated_distinct(metrics.distinct_sketches(df.limit(0), "v")).first()[0] == 0
+
+
 def test_same_seed_same_sample(spark):
     df = spark.range(100).withColumnRenamed("id", "i")
     a = {r["i"] for r in batches.sample_n(df, ["i"], 7, seed=1).collect()}
