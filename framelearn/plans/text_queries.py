@@ -86,11 +86,14 @@ def joined(col):
 
 @query("src_1_corpus_preview", "SELECT doc_id, length(text)::INT AS n_chars, left(text, 99) AS head FROM documents")
 def src_1(spark, d):
-    """Documents written as one text file each, and read back whole."""
+    """Documents written as one text file each, and read back whole; a file without a byte is not read, so the list of documents says which are empty."""
     where = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
     files.write_files(docs(spark, d).withColumn("name", F.concat("doc_id", F.lit(".txt"))), where, content="text")
     head = readers.corpus_preview(readers.read_corpus(spark, where))
-    return head.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "n_chars", "head")
+    read = head.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "n_chars", "head")
+    listed = docs(spark, d).select("doc_id", F.col("text").isNotNull().alias("_given"))
+    found = listed.join(read, "doc_id", "left")
+    return found.select("doc_id", *[F.when(F.col("_given"), F.coalesce(c, F.lit(empty))).alias(c) for c, empty in (("n_chars", 0), ("head", ""))])
 
 
 # --- tokens ---------------------------------------------------------------
