@@ -185,8 +185,8 @@ def permutation_search(
     key: str = "vec_id",
     vector: str = "embedding",
     pivots: int = 256,
-    prefix: int = 64,
-    share: float = 0.25,
+    prefix: int = 128,
+    share: float = 0.35,
     at_least: int = 500,
     seed: int = 0,
     query_bytes: int = BROADCAST_BYTES,
