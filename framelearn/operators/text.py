@@ -285,16 +285,23 @@ def concat_documents(
     col: str = "text",
     sep: str = SEPARATOR,
     max_docs: int = 1024,
+    max_bytes: int = 64 * 1024 * 1024,
     **kw,
 ) -> DataFrame:
-    """Texts of a group joined in order, as pieces of at most ``max_docs`` documents.
+    """Texts of a group joined in order, as pieces of at most ``max_docs`` documents and about ``max_bytes``.
 
     Reading a group's pieces in order gives the joined string letter for letter
     (later pieces begin with the separator), while no task holds a whole group.
-    A NULL text is joined as an empty one.
+    A NULL text is joined as an empty one. A piece ends with the document that
+    fills its ``max_bytes`` of UTF-8, so it is longer by less than one document;
+    ``piece`` numbers rise in order and leave gaps where one document fills
+    several pieces.
     """
     placed = dense_index(df.select(*by, *order, col), order, by, name="_i", **kw)
-    placed = placed.withColumn("piece", F.floor(F.col("_i") / max_docs))
+    sizes = F.octet_length(F.coalesce(F.col(col), F.lit(""))) + len(sep.encode())
+    placed = running_total(placed, order, sizes, by, name="_bytes", **kw)
+    # both parts only ever rise, so their sum tells apart what either of them does
+    placed = placed.withColumn("piece", F.floor(F.col("_i") / max_docs) + F.floor(F.col("_bytes") / max_bytes)).drop("_bytes")
     body = F.concat(F.when(F.col("_i") > 0, F.lit(sep)).otherwise(F.lit("")), F.coalesce(F.col(col), F.lit("")))
     parts = F.array_sort(F.collect_list(F.struct("_i", body.alias("t"))))
     return placed.groupBy(*by, "piece").agg(

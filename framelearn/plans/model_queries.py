@@ -1061,3 +1061,27 @@ def st_2(spark, d):
     streams.run_available(out, where, where + "-state")
     done = spark.read.parquet(where)
     return done.select(F.col("start").cast("timestamp_ntz").alias("start"), "n_rows", rnd(F.col("loss")).alias("loss"), rnd(F.col("acc")).alias("acc"))
+
+
+@query(
+    "st_2_running_metrics",
+    f"""WITH e AS (SELECT (event_id // 1250)::BIGINT AS epoch, (event_id % 1250) // 25 AS batch_id, abs(value - 50) AS loss, ((value > 50) = (event_type = 'purchase'))::INT AS hit FROM events),
+b AS (SELECT epoch, batch_id, count(*) AS n_rows, avg(loss) AS loss, avg(hit) AS hit FROM e GROUP BY 1, 2 HAVING count(*) = 25)
+SELECT epoch, batch_id::BIGINT AS batch_id, n_rows, {sql_rnd('loss', 9)} AS loss, {sql_rnd('avg(loss) OVER w', 9)} AS running_loss, {sql_rnd('avg(hit) OVER w', 9)} AS running_hit
+FROM b WINDOW w AS (PARTITION BY epoch ORDER BY batch_id ROWS UNBOUNDED PRECEDING)""",
+)
+def st_2_running(spark, d):
+    """Loss and accuracy up to the current batch while events arrive; the unfinished last batch stays open.
+
+    With 25 rows a batch and 50 batches an epoch no mean lies half way between two numbers of nine places.
+    """
+    where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    streams.use_state_store(spark)
+    events = streams.file_stream(spark, d, table(spark, d, "events").schema, "events.parquet")
+    scored = events.select(
+        "ts", F.floor(F.col("event_id") / 1250).alias("epoch"), F.floor(F.col("event_id") % 1250 / 25).alias("batch_id"),
+        F.abs(F.col("value") - 50).alias("loss"), ((F.col("value") > 50) == (F.col("event_type") == "purchase")).cast("int").alias("hit"),
+    )
+    streams.run_available(streams.running_metrics(scored, ["loss", "hit"], 25), where, where + "-state")
+    done = spark.read.parquet(where)
+    return done.select("epoch", "batch_id", "n_rows", *[rnd(F.col(c), 9).alias(c) for c in ("loss", "running_loss", "running_hit")])

@@ -220,6 +220,20 @@ def tok_11(spark, d):
     return out.select("lang", "piece", "n_docs", F.md5("joined").alias("digest"))
 
 
+@query(
+    "tok_11_concat_documents_by_bytes",
+    """WITH o AS (SELECT lang, text, row_number() OVER w - 1 AS i, coalesce(sum(octet_length(encode(coalesce(text, ''))) + 15) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM documents WINDOW w AS (PARTITION BY lang ORDER BY doc_id))
+SELECT lang, (i // 128 + b // 100000)::BIGINT AS piece, count(*) AS n_docs, md5(string_agg(CASE WHEN i > 0 THEN ' <|endoftext|> ' ELSE '' END || coalesce(text, ''), '' ORDER BY i)) AS digest
+FROM o GROUP BY 1, 2""",
+)
+def tok_11_bytes(spark, d):
+    """Pieces of at most 128 documents that end with the document that fills 100,000 bytes."""
+    src = table(spark, d, "documents").select("lang", "doc_id", "text")
+    out = text.concat_documents(src, ["lang"], ["doc_id"], max_docs=128, max_bytes=100_000, rows_per_bucket=200_000)
+    return out.select("lang", "piece", "n_docs", F.md5("joined").alias("digest"))
+
+
 _SQL_STREAM = f"""toks AS (SELECT lang, doc_id, {sql_tokens('text')} AS t FROM documents),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM toks),
 parts AS (SELECT lang, i, CASE WHEN i = 1 THEN t ELSE list_concat(['<|endoftext|>'], t) END AS t FROM numbered),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framelearn.functions import columns as C
 from framelearn.operators import graphs as GR
 from framelearn.operators import images as IM
-from framelearn.operators import models, training
+from framelearn.operators import metrics, models, training
 from framelearn.plans import scale
 from framelearn.sources import files, readers, writers
 from framelearn.sources.generators import blobs, line_data, row_ids
@@ -373,6 +373,41 @@ def test_late_rows_are_dropped_and_a_restart_goes_on(spark, tmp_path):
     assert run() == {0: (2, 2.0), 2: (2, 6.0)}
 
 
+def test_running_metrics_of_a_stream_are_those_of_the_table(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    streams.use_state_store(spark)
+    # two epochs of 3 batches of 4 rows and a short one; a NULL value, a batch without values, rows without a place
+    rows = [("2024-01-01 00:00:00", e, i // 4, None if i == 1 or i // 4 == 2 else float(i + 10 * e)) for e in (0, 1) for i in range(14)]
+    rows = [(str(np.datetime64(t) + np.timedelta64(60 * i, "s")).replace("T", " "), *r) for i, (t, *r) in enumerate(rows)]
+    lost = [("2024-01-01 00:00:00", None, 0, 1.0), ("2024-01-01 00:00:00", 0, None, 1.0), (None, 0, 0, 1.0)]
+
+    def frame(part):
+        return spark.createDataFrame(part, "ts string, epoch int, batch_id long, v double").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def arrive(part):
+        frame(part).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        stream = streams.file_stream(spark, src, "ts timestamp, epoch int, batch_id long, v double")
+        streams.run_available(streams.running_metrics(stream, ["v"], 4, delay="1 hour"), out, state)
+        return {tuple(r) for r in spark.read.parquet(out).collect()}
+
+    want = {
+        tuple(r)
+        for r in metrics.running_metric(metrics.batch_metrics(frame(rows), {"v": F.col("v")}), "v").select("epoch", "batch_id", "n_rows", "v", "running").collect()
+    }
+    assert len(want) == 8
+    # the second batch arrives before the first: nothing comes out before its turn
+    arrive(rows[4:8] + rows[14:20] + lost)
+    assert run() == {r for r in want if r[:2] == (1, 0)}
+    arrive(rows[:4] + rows[8:14] + rows[20:])
+    assert run() == {r for r in want if r[1] < 3}  # both short batches wait for the watermark
+    arrive([("2024-01-01 02:00:00", 7, 0, 1.0)])
+    assert run() == want
+    arrive([("2024-01-01 03:00:00", 7, 0, 1.0), ("2024-01-01 03:00:00", 0, 1, 99.0)])  # a batch that is out takes no more rows
+    assert {r for r in run() if r[0] != 7} == want
+
+
 def test_activations(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0],), ([-1000.0, 0.0, 1000.0],)], "z array<double>")
     rows = df.select(C.softmax("z").alias("p"), C.argmax("z").alias("a"), C.logsumexp("z").alias("l")).collect()

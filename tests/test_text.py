@@ -146,6 +146,22 @@ def test_joined_pieces_and_stream(spark):
         assert [r["token"] for r in mine] == split_plain(text.SEPARATOR.join(t for h, _, t in rows if h == g))
 
 
+def test_joined_pieces_end_by_bytes(spark):
+    sizes = [10, 0, 45, 3, 3, 200, 0, 1]  # NULL and empty texts, one longer than several pieces
+    rows = [("a", i, None if n == 0 else "ä" * (n // 2) + "x" * (n % 2)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "g string, i long, text string")
+    sep = len(text.SEPARATOR)
+    for buckets in (2, 100):
+        got = text.concat_documents(df, ["g"], ["i"], max_bytes=60, rows_per_bucket=buckets).orderBy("piece").collect()
+        assert "".join(r["joined"] for r in got) == text.SEPARATOR.join(t or "" for _, _, t in rows)
+        assert all(len(r["joined"].encode()) < 60 + max(sizes) + sep for r in got) and sum(r["n_docs"] for r in got) == len(rows)
+        assert [r["piece"] for r in got] == sorted({r["piece"] for r in got}) and len(got) > 3
+    # ten-megabyte texts: a piece stays under its bound and one document
+    big = spark.range(6).select(F.lit("a").alias("g"), F.col("id").alias("i"), F.repeat(F.lit("word and "), 1_165_085).alias("text"))
+    sizes = [r["n"] for r in text.concat_documents(big, ["g"], ["i"], max_bytes=16 << 20).select(F.octet_length("joined").alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) < (16 << 20) + 10_485_765 + 2 * sep
+
+
 # --- byte pairs -----------------------------------------------------------
 
 
