@@ -393,3 +393,10 @@ def vec_6(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     out = vectors.word_vectors(text.tokenize(docs), size=8, window=2, seed=7)
     return out.select("key", F.posexplode("vector").alias("dim", "value")).withColumn("value", rnd(F.col("value"), 3))
+
+
+@query("vec_6_word_vectors_low_rank")
+def vec_6_low_rank(spark, d):
+    """Leading eigenvectors of the information table; held against numpy in the tests, as SQL has no such iteration."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return vectors.word_vectors_low_rank(text.tokenize(docs), size=16, more=8, rounds=4, seed=7)

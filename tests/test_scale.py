@@ -1,10 +1,11 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framelearn.operators import batches, metrics, tensors, vector_lists, vectors
+from framelearn.operators import batches, metrics, tensors, text, vector_lists, vectors
 from framelearn.plans import scale
 from framelearn.session import materialize, shared_dir
 
@@ -330,3 +331,74 @@ def test_checkpoints_go_to_the_shared_folder(spark):
     assert shared_dir(spark) == shared_dir(spark)
     df = materialize(spark.range(5))
     assert df.count() == 5 and "Scan ExistingRDD" in plan(df)
+
+
+def _information(token_lists, window=2):
+    """Names and the dense table of positive pointwise mutual information, by plain counting."""
+    names = sorted({t for ts in token_lists for t in ts})
+    place = {t: i for i, t in enumerate(names)}
+    n = np.zeros((len(names), len(names)))
+    for ts in token_lists:
+        for i in range(len(ts)):
+            for j in range(i + 1, min(len(ts), i + window + 1)):
+                n[place[ts[i]], place[ts[j]]] += 1
+                n[place[ts[j]], place[ts[i]]] += 1
+    s = n.sum(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return names, np.where(n > 0, np.maximum(np.log(n * s.sum() / np.outer(s, s)), 0), 0)
+
+
+def _filled(found, names, size):
+    vectors_by_key = {r["key"]: r["vector"] for r in found.collect()}
+    return np.array([vectors_by_key.get(t, [0.0] * size) for t in names])
+
+
+def _nearest(x, k=5):
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    scores = x @ x.T
+    np.fill_diagonal(scores, -2)
+    return np.argsort(-scores, axis=1, kind="stable")[:, :k]
+
+
+def test_low_rank_vectors_span_the_leading_eigenvectors(spark):
+    rng = random.Random(4)
+    lists = [[f"{topic}{min(rng.randrange(12), rng.randrange(12))}" for _ in range(40)] for topic in "abcdef" for _ in range(12)]
+    lists += [[], ["alone"], ["a0", "b0", "c0", "d0"]]
+    names, table = _information(lists)
+    values, directions = np.linalg.eigh(table)
+    lead = np.argsort(-np.abs(values))[:6]
+    tokens = spark.createDataFrame([(ts,) for ts in lists] + [(None,)], "tokens array<string>")
+    for kw in ({}, {"max_rows": 0, "hot_rows": 30, "hot_parts": 4}):
+        got = vectors.word_vectors_low_rank(tokens, size=6, more=14, rounds=6, seed=2, **kw)
+        x = _filled(got, names, 6)
+        want = directions[:, lead] @ np.diag(np.abs(values[lead])) @ directions[:, lead].T
+        assert np.abs(x @ x.T - want).max() < 1e-4 * np.abs(values).max()
+        assert np.allclose((x * x).sum(axis=0), np.abs(values[lead]), rtol=1e-4)
+
+
+def test_low_rank_vectors_of_few_tokens(spark):
+    few = spark.createDataFrame([(["x", "y"],), (["x", "y", "x"],)], "tokens array<string>")
+    got = {r["key"]: r["vector"] for r in vectors.word_vectors_low_rank(few, size=4, more=2, rounds=2).collect()}
+    names, table = _information([["x", "y"], ["x", "y", "x"]])
+    x = np.array([got[t] for t in names])
+    values, directions = np.linalg.eigh(table)
+    assert x.shape == (2, 4) and np.allclose(x @ x.T, directions @ np.diag(np.abs(values)) @ directions.T, atol=1e-9)
+    assert vectors.word_vectors_low_rank(few.limit(0), size=4, more=2, rounds=2).collect() == []
+    with pytest.raises(ValueError):
+        vectors.word_vectors_low_rank(few, size=60, more=8)
+
+
+def test_low_rank_neighbours_are_nearer_than_projected_ones(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("lang = 'en' and n_chars < 1500 and doc_id < 60").select("doc_id", "text")
+    tokens = materialize(text.tokenize(docs))
+    names, table = _information([r["tokens"] or [] for r in tokens.select("tokens").collect()])
+    want = _nearest(table)
+
+    def overlap(found):
+        got = _nearest(_filled(found, names, 16))
+        return np.mean([len(set(a) & set(b)) for a, b in zip(got, want)]) / 5
+
+    low = overlap(vectors.word_vectors_low_rank(tokens, size=16, more=8, rounds=4, seed=7))
+    projected = overlap(vectors.word_vectors(tokens, size=16, seed=7))
+    print(f"neighbours kept by rank 16: {low:.3f}, by projection: {projected:.3f}, of {len(names)} words")
+    assert low > 1.5 * projected
