@@ -474,6 +474,30 @@ def test_decontamination(spark):
     assert decontam.benchmark_leaks(frame(spark, []), items).collect() == []
 
 
+def test_reparameterised_items(spark):
+    f = prose(40, 4)
+    first = "yesterday the farmer Maria Lopez sold 5 red baskets and 5 blue baskets to her neighbour Karl, while old Ann Lee Park from New York carried 30 kg of corn home to Maria Lopez by cart"
+    second = "on most days the two brothers Tom and Sam walk 14 miles to reach the small village school in the hills"
+    rows = [
+        # names of other lengths, three of them; equal numbers of the item with different ones; both
+        (1, f"{f} {first.replace('Maria Lopez', 'Eva').replace('Ann Lee Park', 'Bo').replace('New York', 'Paris')} {f}"),
+        (2, f"{f} {first.replace('5 red', '8 red')} {f}"),
+        (3, f"{f} {first.replace('5 red', '6 red').replace('5 blue', '9 blue').replace('Karl', 'Jan Berg')} {f}"),
+        (4, f"{f} {second.replace(' Tom', chr(10) + 'Peter').replace('14', '20')} {f}"),
+        (5, f"{f} {second} {f}"),
+        # every value of its own
+        (6, f"{f} {first.replace('5 blue', '7 blue').replace('home to Maria Lopez', 'home to Zoe').replace('neighbour Karl', 'neighbour Zoe')} {f}"),
+        (7, f"{f} the farmer sold baskets and her neighbour carried corn home by cart {f}"),
+    ]
+    items = spark.createDataFrame([(1, first), (2, second)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.benchmark_leaks(frame(spark, rows), items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
+    assert all(got[k].share == 1.0 for k in got)
+    assert got[(5, 2)].verbatim and [got[k].n_changed for k in [(1, 1), (2, 1), (3, 1), (4, 2)]] == [4, 1, 3, 2]
+    strict = decontam.benchmark_leaks(frame(spark, rows), items, max_broken=1.0)
+    assert {(r.doc_id, r.item_id) for r in strict.collect()} == set(got) | {(6, 1)}
+
+
 # --- 5 suffix dedup -------------------------------------------------------
 
 
