@@ -356,6 +356,60 @@ def test_html_wrappers_keep_the_article():
     assert html_extract.main_text(deep, tree) == text
 
 
+def _features_used(node):
+    return set() if node.feature < 0 else {html_extract.FEATURES[node.feature]} | _features_used(node.low) | _features_used(node.high)
+
+
+def test_tree_reads_density_and_neighbours():
+    used = _features_used(html_extract.train())
+    assert "density" in used and used & {"density_before", "density_after"} and used & {"words_before", "words_after"}
+
+
+def test_html_pages_without_named_regions():
+    """Held-out pages: pieces marked 1 are article text, 0 are not; each holds one block."""
+    link = "<a href='/x'>{}</a>".format
+    menu = [(f"<li>{link(w)}</li>", 0) for w in ("Home", "News of today", "About us")]
+    cells = [(f"<td>{w}</td>", 1) for w in ("Oak", "12 m", "Ash", "9 m")]
+    held_out = [
+        [*menu, (f"<h1>{prose(7, 1)}</h1>", 1), (f"<p>{prose(52, 2)}</p>", 1), ("<li>Milk</li>", 1), ("<li>Two eggs</li>", 1), (f"<p>{prose(31, 3)}</p>", 1), ("<p>Copyright 2024 Some House</p>", 0)],
+        [(f"<p>{link('Home')}</p>", 0), (f"<p>{link('Archive')}</p>", 0), (f"<h2>{prose(5, 9)}</h2>", 1), (f"<p>{prose(44, 4)}</p>", 1), *cells, (f"<p>{prose(37, 5)}</p>", 1)],
+        [("<p>We use cookies to improve this page. Accept all.</p>", 0), (f"<div>{prose(41, 6)}</div>", 1), ("<div>He left.</div>", 1), (f"<div>{prose(29, 7)}</div>", 1), (f"<div>{link('Next page')}</div>", 0)],
+        [(f"<div>{link('One')}</div>", 0), (f"<div>{link('Two')}</div>", 0), (f"<h1>{prose(4, 8)}</h1>", 1), *[(f"<p>{prose(n, n)}</p>", 1) for n in (63, 4, 19, 88)], ("<h3>More</h3>", 0), *menu * 2],
+        [(f"<p>{prose(35, 1)}</p>", 1), (f"<p>{link(prose(9, 2))}</p>", 1), (f"<p>{prose(48, 3)}</p>", 1), (f"<div>{link('Log in')} {link('Sign up')}</div>", 0)],
+        [(f"<td>{link('Start')}</td>", 0), (f"<td>{link('Shop')}</td>", 0), (f"<td>{prose(95, 3)}</td>", 1), ("<td>All rights reserved. Privacy policy</td>", 0)],
+        [(f"<div>{prose(n, n)}</div>", 1) for n in (3, 6, 2, 14, 5)],
+        [(f"<p>{prose(120, 2)} {link('a source')} {prose(60, 4)}</p>", 1)],
+    ]
+    tree = html_extract.train()
+    right = total = 0
+    for page in held_out:
+        found = html_extract.blocks("".join(piece for piece, _ in page))
+        assert len(found) == len(page)
+        right += (html_extract.decide(tree, html_extract.features(found)) == [label for _, label in page]).sum()
+        total += len(page)
+    assert total >= 50 and right / total >= 0.95, (right, total)
+
+
+def test_html_names_are_hints():
+    tree = html_extract.train()
+    body, more = prose(30, 1), prose(24, 2)
+    for wrap in ("<article>{}</article>", "<main>{}</main>", "<div class='content'>{}</div>"):
+        for name in ("id='side-effects'", "class='search-algorithms'", "id='legalAspects'", "class='tags-in-use'"):
+            page = wrap.format(f"<p>{body}</p><section {name}><h2>Head</h2><p>{more}</p><ul><li>nausea</li><li>thirst</li></ul></section>")
+            assert html_extract.main_text(page, tree) == f"{body}\nHead\n{more}\nnausea\nthirst", page
+        for name in ("share-buttons", "related-posts", "site-footer", "comment-list", "cookie_notice", "adsBox", "navbar"):
+            page = wrap.format(f"<p>{body}</p><div class='{name}'><p>{more}</p></div><p>{body}</p>")
+            assert html_extract.main_text(page, tree) == f"{body}\n{body}", page
+    # in a named article without such names no figure speaks against a block
+    rng = np.random.default_rng(3)
+    n = 20_000
+    x = np.column_stack([rng.integers(1, 200, n), rng.random(n).round(1), rng.integers(0, 5, n), np.ones(n), rng.integers(0, 99, n), rng.random(n).round(1), rng.integers(0, 99, n), rng.random(n).round(1), rng.integers(1, 90, n), np.zeros(n), rng.integers(0, 4, n)])
+    assert html_extract.decide(tree, x).all()
+    # phrases, links and short ends of a named article are its text
+    page = f"<article><p>{body}</p><p>Copyright and cookies</p><p><a href='/'>all of it</a></p><p>See the newsletter.</p></article>"
+    assert html_extract.main_text(page, tree) == f"{body}\nCopyright and cookies\nall of it\nSee the newsletter."
+
+
 def test_tree_learns_its_table():
     x, y = html_extract._training_table()
     assert (html_extract.decide(html_extract.train(), x) == y).mean() >= 0.95
