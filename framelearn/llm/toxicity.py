@@ -4,10 +4,12 @@ The top order has absolute-discounted counts of its own for each class; all
 lower orders are Kneser-Ney continuation counts shared by both, gathered from
 the words of all texts, labelled or not, so a rare
 expression that neither class has seen scores alike under both, and one that
-only a class has seen tells them apart no more than its counts allow. A text is
-compared by the length-normalised log-likelihoods of the whole and of its most
-telling window of words; a logistic curve fitted on labelled rows that the
-counts have not seen turns both into a score.
+only a class has seen tells them apart no more than its counts allow. Above them
+stand whole words, counted by the texts they occur in, with an absolute discount
+of several texts; what is taken off goes to counts shared by both classes. A
+text is compared by the length-normalised log-likelihoods of the whole and of
+its most telling window of words and by its most telling word; a logistic curve
+fitted on labelled rows that the counts have not seen turns them into a score.
 
 Counting and smoothing are joins and sums over grams. Every gram keeps its own
 ratio, an unseen one gets that of its own context, so these tables grow with
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +37,10 @@ from framelearn.session import materialize
 #: Characters (bytes) of the longest gram, and the discount of every order.
 ORDER = 6
 DISCOUNT = 0.75
+#: Texts taken off the count of every whole word: copies and chance put a word into a few texts of one class.
+TEXTS_OFF = 4.0
+#: Figures of a text that the curve weighs.
+FIGURES = 4
 #: Grams and contexts whose ratios are sent to the tasks at most; more are joined.
 HELD_GRAMS = 4_000_000
 #: Words in a window.
@@ -111,23 +118,28 @@ def _hash_alone(gram: bytes) -> int:
 # --- counts ----------------------------------------------------------------
 
 
+COUNTS = ("nt", "no", "dt", "dn", "da")
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic or NULL, text) -> words with their counts in either class; words of unlabelled texts have none."""
-    counts: dict = {1: Counter(), 0: Counter(), None: Counter()}
+    """(toxic or NULL, text) -> words, their counts in either class, and the texts they stand in: toxic, ordinary, given without a label."""
+    counts: dict = {1: Counter(), 0: Counter()}
+    texts: dict = {1: Counter(), 0: Counter(), None: Counter()}
 
     def flush():
-        every = list(counts[1].keys() | counts[0].keys() | counts[None].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(every, pa.binary()), pa.array([counts[1][w] for w in every], pa.int64()), pa.array([counts[0][w] for w in every], pa.int64())],
-            names=["word", "nt", "no"],
-        )
-        for found in counts.values():
-            found.clear()
+        every = list(texts[1].keys() | texts[0].keys() | texts[None].keys())
+        found = (counts[1], counts[0], texts[1], texts[0], texts[None])
+        yield pa.RecordBatch.from_arrays([pa.array(every, pa.binary()), *[pa.array([c[w] for w in every], pa.int64()) for c in found]], names=["word", *COUNTS])
+        for c in found:
+            c.clear()
 
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts[toxic].update(words_of(text.as_py()))
-            if sum(map(len, counts.values())) > REMEMBERED:
+            words = words_of(text.as_py())
+            if toxic is not None:
+                counts[toxic].update(words)
+            texts[toxic].update(set(words))
+            if sum(map(len, texts.values())) > REMEMBERED:
                 yield from flush()
     yield from flush()
 
@@ -217,6 +229,21 @@ def class_ratios(word_counts: DataFrame, order: int = ORDER, discount: float = D
     return ratios, defaults
 
 
+def telling_words(word_counts: DataFrame, off: float = TEXTS_OFF) -> tuple[DataFrame, float]:
+    """(word, told) of the words of labelled texts, and the value of all others: log P(word | toxic) - log P(word | ordinary).
+
+    ``word_counts(word, dt, dn, da)``: toxic, ordinary and all texts with the
+    word. Up to ``off`` texts of each count are shared out by the counts of all
+    texts, labelled or not.
+    """
+    least = {c: F.sum(F.least(F.col(c).cast("double"), F.lit(float(off)))) for c in ("dt", "dn")}
+    sums = word_counts.agg(*[F.sum(c).cast("double").alias(c) for c in ("dt", "dn", "da")], *[least[c].alias(f"off_{c}") for c in least]).first()
+    shared = F.greatest(F.col("da"), F.lit(1)) / F.lit(sums["da"] or 1.0)
+    chance = [(F.greatest(F.col(c) - off, F.lit(0.0)) + sums[f"off_{c}"] * shared) / sums[c] for c in ("dt", "dn")]
+    other = float(np.log(sums["off_dt"] / sums["dt"]) - np.log(sums["off_dn"] / sums["dn"]))
+    return word_counts.filter("dt + dn > 0").select("word", (F.log(chance[0]) - F.log(chance[1])).alias("told")), other
+
+
 def _named(name: str):
     """Rows (gram, value) -> (64-bit hash, value)."""
 
@@ -275,17 +302,23 @@ def word_ratios(words: DataFrame, seen: DataFrame, unseen: DataFrame, order: int
 # --- scoring ---------------------------------------------------------------
 
 
-def held(seen: DataFrame, unseen: DataFrame, order: int, most: int = HELD_GRAMS) -> tuple | None:
-    """The sorted hashes of grams and of contexts, each with their ratios, and the order; None when there are more than ``most``."""
-    if seen.count() + unseen.count() > most:
+def held(seen: DataFrame, unseen: DataFrame, order: int, most: int = HELD_GRAMS, told: DataFrame | None = None, other: float = 0.0) -> tuple | None:
+    """The sorted hashes of grams, contexts and telling words, each with their ratios, and what else ``Ratios`` takes; None when there are more than ``most``."""
+    if seen.count() + unseen.count() + (told.count() if told is not None else 0) > most:
         return None
-    tables = []
-    for name, df in (("gram", seen), ("context", unseen)):
-        found = df.toArrow()
-        key, ratio = found[name].to_numpy().view(np.uint64), found[1].to_numpy()
+
+    def table(key: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.argsort(key, kind="stable")
-        tables.append((key[at], ratio[at]))
-    return (*tables, order)
+        return key[at], ratio[at]
+
+    grams, contexts = (df.toArrow() for df in (seen, unseen))
+    tables = [table(found[0].to_numpy().view(np.uint64), found[1].to_numpy()) for found in (grams, contexts)]
+    words = told.toArrow() if told is not None else pa.table({"word": pa.array([], pa.binary()), "told": pa.array([], pa.float64())})
+    return (*tables, order, table(_word_keys(words["word"].to_pylist()), words["told"].to_numpy()), other)
+
+
+def _word_keys(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def _summed(ratio: np.ndarray, size: np.ndarray, window: int) -> tuple[float, float, float]:
@@ -306,11 +339,19 @@ def _looked_up(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> np.ndar
 
 
 class Ratios:
-    """The log-likelihood ratio of words, from the tables of grams and contexts."""
-
-    def __init__(self, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray], order: int):
-        self.grams, self.contexts, self.order = grams, contexts, order
+    """The log-likelihood ratio of words, from the tables of grams and contexts, and how telling they are as a whole."""
+
+    def __init__(
+        self,
+        grams: tuple[np.ndarray, np.ndarray],
+        contexts: tuple[np.ndarray, np.ndarray],
+        order: int,
+        told: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0)),
+        other: float = 0.0,
+    ):
+        self.grams, self.contexts, self.order, self.known, self.other = grams, contexts, order, told, other
         self.words: dict[bytes, float] = {}
+        self.told: dict[bytes, float] = {}
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """The ratio of each word: of its bytes and its end, given the bytes before."""
@@ -330,25 +371,33 @@ class Ratios:
         for k in range(0, len(words), AT_A_TIME):
             part = words[k : k + AT_A_TIME]
             self.words.update(zip(part, self.of(part).tolist()))
+            told = _looked_up(self.known, _word_keys(part))
+            self.told.update(zip(part, np.where(np.isnan(told), self.other, told).tolist()))
 
     def features(self, docs: list[list[bytes]], window: int) -> np.ndarray:
-        """For each text: ratio per byte of the whole, of its best window, and the log of its words."""
+        """For each text: ratio per byte of the whole, of its best window, the log of its words, and its most telling word."""
         new = set().union(*docs) - self.words.keys()
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
+            self.told.clear()
             new = set().union(*docs)
         self.learn(new)
-        out = np.zeros((len(docs), 3))
+        out = np.zeros((len(docs), FIGURES))
         for i, words in enumerate(docs):
             if words:
                 ratio = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
-                out[i] = _summed(ratio, np.fromiter(map(len, words), np.float64, len(words)) + 1, window)
+                out[i, :3] = _summed(ratio, np.fromiter(map(len, words), np.float64, len(words)) + 1, window)
+                out[i, 3] = max(map(self.told.__getitem__, words))
         return out
 
 
+_FIGURES = [f"f{k}" for k in range(FIGURES)]
+_FIGURES_TYPE = ", ".join(f"{f} double" for f in _FIGURES)
+
+
 def _features(table: tuple, window: int):
     """Batches of (key columns ..., text) -> key columns and the features."""
-    name = f"{hash(tuple(x.tobytes() for part in table[:2] for x in part))}"
+    name = f"{hash(tuple(x.tobytes() for part in (table[0], table[1], table[3]) for x in part))}"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cache = worker_cache("ratios")
@@ -365,9 +414,9 @@ def _features(table: tuple, window: int):
                 docs, size = [], 0
         if docs:
             rows.append(cache[name].features(docs, window))
-        x = np.concatenate(rows) if rows else np.zeros((0, 3))
+        x = np.concatenate(rows) if rows else np.zeros((0, FIGURES))
         keys = [batch.column(i) for i in range(batch.num_columns - 1)]
-        return pa.RecordBatch.from_arrays([*keys, *[pa.array(x[:, k]) for k in range(3)]], names=[*batch.schema.names[:-1], "f0", "f1", "f2"])
+        return pa.RecordBatch.from_arrays([*keys, *[pa.array(x[:, k]) for k in range(FIGURES)]], names=[*batch.schema.names[:-1], *_FIGURES])
 
     return by_batch(run)
 
@@ -375,37 +424,50 @@ def _features(table: tuple, window: int):
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h1, h2, text) -> (h1, h2, word, at): each distinct word of a text with its places."""
     for batch in batches:
+        keys: tuple[list[int], list[int]] = ([], [])
+        words: list[bytes] = []
+        places: list[list[int]] = []
+
+        def flush():
+            arrays = [*[pa.array(k, pa.int64()) for k in keys], pa.array(words, pa.binary()), pa.array(places, pa.list_(pa.int32()))]
+            return pa.RecordBatch.from_arrays(arrays, names=["h1", "h2", "word", "at"])
+
         for h1, h2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            places: dict[bytes, list[int]] = {}
+            found: dict[bytes, list[int]] = {}
             for k, word in enumerate(words_of(text.as_py())):
-                places.setdefault(word, []).append(k)
-            n = len(places)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h1] * n, pa.int64()), pa.array([h2] * n, pa.int64()), pa.array(list(places), pa.binary()), pa.array(list(places.values()), pa.list_(pa.int32()))],
-                names=["h1", "h2", "word", "at"],
-            )
+                found.setdefault(word, []).append(k)
+            keys[0].extend([h1] * len(found))
+            keys[1].extend([h2] * len(found))
+            words.extend(found)
+            places.extend(found.values())
+            if len(words) > AT_A_TIME:
+                yield flush()
+                for part in (*keys, words, places):
+                    part.clear()
+        yield flush()
 
 
 def joined_features(texts: DataFrame, words: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, f0, f1, f2) for each different text with words of ``texts(h1, h2, text)``, by joins alone."""
+    """(h1, h2, f0, f1, f2, f3) for each different text with words of ``texts(h1, h2, text)``, by joins alone."""
     spread = texts.select("h1", "h2", "text").mapInArrow(_places, "h1 bigint, h2 bigint, word binary, at array<int>")
     spread = spread.groupBy("h1", "h2", "word").agg(F.first("at").alias("at"))  # of equal texts one
     priced = lookup_join(spread, words, ["word"])
-    cells = F.struct(F.coalesce("ratio", F.lit(0.0)).alias("ratio"), F.length("word").alias("size"), "at")
+    cells = F.struct(F.coalesce("ratio", F.lit(0.0)).alias("ratio"), F.length("word").alias("size"), "at", F.coalesce("told", F.lit(0.0)).alias("told"))
     per_text = priced.groupBy("h1", "h2").agg(F.collect_list(cells).alias("cells"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.zeros((batch.num_rows, 3))
+        x = np.zeros((batch.num_rows, FIGURES))
         for i, cell in enumerate(batch.column(2)):
             times = cell.values.field("at").value_lengths().to_numpy()
             at = cell.values.field("at").flatten().to_numpy()
             ratio, size = np.zeros(len(at)), np.zeros(len(at))
             ratio[at] = np.repeat(cell.values.field("ratio").to_numpy(), times)
             size[at] = np.repeat(cell.values.field("size").to_numpy(), times) + 1
-            x[i] = _summed(ratio, size, window)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x[:, k]) for k in range(3)]], names=["h1", "h2", "f0", "f1", "f2"])
+            x[i, :3] = _summed(ratio, size, window)
+            x[i, 3] = cell.values.field("told").to_numpy().max()
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x[:, k]) for k in range(FIGURES)]], names=["h1", "h2", *_FIGURES])
 
-    return materialize(per_text.mapInArrow(by_batch(run), "h1 bigint, h2 bigint, f0 double, f1 double, f2 double"))
+    return materialize(per_text.mapInArrow(by_batch(run), f"h1 bigint, h2 bigint, {_FIGURES_TYPE}"))
 
 
 def _hashed_text(df: DataFrame, text) -> DataFrame:
@@ -415,12 +477,12 @@ def _hashed_text(df: DataFrame, text) -> DataFrame:
 def _with_features(rows: DataFrame, keys: str, words: DataFrame | None, table: tuple | None, window: int) -> DataFrame:
     """The key columns of ``rows(keys ..., text)``, given as a schema, and the features."""
     if table is not None:
-        return rows.mapInArrow(_features(table, window), f"{keys}, f0 double, f1 double, f2 double")
+        return rows.mapInArrow(_features(table, window), f"{keys}, {_FIGURES_TYPE}")
     rows = _hashed_text(rows, F.col("text"))
     found = joined_features(rows, words, window)
     names = [c for c in rows.columns if c not in ("text", "h1", "h2")]
     some = lookup_join(rows.drop("text"), found, ["h1", "h2"])
-    return some.select(*names, *[F.coalesce(f"f{k}", F.lit(0.0)).alias(f"f{k}") for k in range(3)])
+    return some.select(*names, *[F.coalesce(f, F.lit(0.0)).alias(f) for f in _FIGURES])
 
 
 def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -468,19 +530,23 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int =
     rows = docs.join(maybe_broadcast(counted), "doc_id").select("toxic", "text")
     # every word of the corpus has a row, which joins with labels do not shuffle the texts for
     rows = rows.unionByName(docs.select(F.lit(None).cast("int").alias("toxic"), "text"))
-    counted = rows.mapInArrow(_word_counts, "word binary, nt bigint, no bigint")
-    counted = materialize(counted.groupBy("word").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no")))
+    counted = rows.mapInArrow(_word_counts, "word binary, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    counted = materialize(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS]))
     if counted.agg((F.max("nt") > 0) & (F.max("no") > 0)).first()[0] is not True:
         return None
     seen, unseen = named(*class_ratios(counted, order))
-    table = held(seen, unseen, order, held_grams)
-    words = materialize(word_ratios(counted, seen, unseen, order)) if table is None else None
+    told, other = telling_words(counted)
+    table = held(seen, unseen, order, held_grams, told, other)
+    words = None
+    if table is None:
+        words = word_ratios(counted, seen, unseen, order).join(told, "word", "left")
+        words = materialize(words.withColumn("told", F.coalesce("told", F.lit(other))))
     some = docs.join(maybe_broadcast(chosen), "doc_id").select("toxic", "text")
     found = _with_features(some, "toxic int", words, table, window).toArrow()
     y = found["toxic"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return None
-    x = np.column_stack([found[c].to_numpy() for c in ("f0", "f1", "f2")])
+    x = np.column_stack([found[c].to_numpy() for c in _FIGURES])
     # summed in one order at every run
     at = np.lexsort((*x.T, y))
     return words, table, fit_curve(x[at], y[at])
@@ -488,8 +554,8 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int =
 
 def _logit(curve: tuple[np.ndarray, np.ndarray, np.ndarray]) -> F.Column:
     mean, scale, w = curve
-    z = [(F.col(f"f{k}") - float(mean[k])) / float(scale[k]) for k in range(3)]
-    return F.lit(float(w[0])) + sum(float(w[k + 1]) * z[k] for k in range(3)) + float(w[4]) * z[1] * z[2]
+    z = [(F.col(f"f{k}") - float(mean[k])) / float(scale[k]) for k in range(FIGURES)]
+    return F.lit(float(w[0])) + sum(float(w[k + 1]) * z[k] for k in range(FIGURES)) + float(w[FIGURES + 1]) * z[1] * z[2]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS) -> DataFrame:
@@ -527,7 +593,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window
     if table is None:
         named = _hashed_text(packed_rows(docs), F.col("row").getField("text"))
         found = joined_features(_hashed_text(rows, F.col("text")), words, window)
-        zero = [F.coalesce(f"f{k}", F.lit(0.0)).alias(f"f{k}") for k in range(3)]
+        zero = [F.coalesce(f, F.lit(0.0)).alias(f) for f in _FIGURES]
         kept = lookup_join(named, found, ["h1", "h2"]).select("row", *zero).filter(_logit(curve) < 0)
         return kept.select(*unpacked(docs.columns))
     score = _features(table, window)
@@ -537,7 +603,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window
         for batch in batches:
             text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
             for found in score(iter([text])):
-                x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
+                x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(FIGURES)])
                 yield batch.filter(pa.array(_design(x, *curve[:2]) @ curve[2] < 0))
 
     return docs.mapInArrow(run, docs.schema)

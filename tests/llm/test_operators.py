@@ -1,6 +1,7 @@
 """Each numbered operator on small fixtures: brute force, and NULLs, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -158,6 +159,27 @@ def test_word_ratios_are_exact(spark):
     assert missing > 100
 
 
+def test_telling_words_against_plain_counts(spark):
+    """Words by the texts they stand in: counted anew from the texts, discounted and smoothed by hand."""
+    r = random.Random(4)
+    vocabulary = ["".join(r.choice("abcdef") for _ in range(r.randrange(1, 4))) for _ in range(60)]
+    texts = [(r.choice([1, 0, 0, None]), " ".join(r.choices(vocabulary, k=r.randrange(0, 12)))) for _ in range(150)]
+    rows = spark.createDataFrame(texts, "toxic int, text string").repartition(3)
+    counted = rows.mapInArrow(toxicity._word_counts, "word binary, " + ", ".join(f"{c} long" for c in toxicity.COUNTS))
+    told, other = toxicity.telling_words(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in toxicity.COUNTS]), 2.0)
+    got = {bytes(x["word"]).decode(): x["told"] for x in told.collect()}
+    n = {c: Counter(w for t, text in texts if t == c for w in set(text.split())) for c in (1, 0, None)}
+    total = {c: sum(n[c].values()) for c in n}
+    left = {c: sum(min(2.0, k) for k in n[c].values()) for c in (1, 0)}
+
+    def chance(word, c):
+        return max(n[c][word] - 2.0, 0.0) / total[c] + left[c] / total[c] * max(n[None][word], 1) / total[None]
+
+    assert got.keys() == n[1].keys() | n[0].keys()
+    assert all(abs(got[w] - math.log(chance(w, 1) / chance(w, 0))) < 1e-9 for w in got)
+    assert abs(other - math.log(left[1] / total[1] * total[0] / left[0])) < 1e-9
+
+
 def test_toxicity_counts_all_rows(spark, monkeypatch):
     """Labelled rows of part 1 beyond those that fit the curve are counted, and the words of unlabelled texts shape the lower orders."""
     rows, labels = labelled(300, 11)
