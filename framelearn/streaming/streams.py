@@ -60,6 +60,19 @@ def run_encoded(
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def encode_available(
+    docs: DataFrame, vocab: DataFrame, path: str, checkpoint: str, key: str = "doc_id", col: str = "text", bang: bool = False,
+    max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
+) -> None:
+    """Encode what has arrived into a Parquet folder and stop: in place by ``encode_stream`` while the
+    vocabulary is within the limits, else batch by batch by ``run_encoded``."""
+    limits = {"max_rows": max_rows, "max_bytes": max_bytes}
+    if fits(vocab, **limits):
+        run_available(encode_stream(docs, vocab, key, col, bang, **limits), path, checkpoint)
+    else:
+        run_encoded(docs, vocab, path, checkpoint, key, col, bang, **limits)
+
+
 def windowed_metrics(
     scored: DataFrame,
     metrics: Mapping[str, Column],

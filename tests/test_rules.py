@@ -168,3 +168,21 @@ def test_cells_find_the_neighbours(spark, sf_dir):
 def test_special_tokens_glued_to_words(spark):
     df = spark.createDataFrame([("end.<|endoftext|>Next<|endoftext|>",)], "text string")
     assert text.tokenize(df, specials=[text.END_OF_TEXT]).first()["tokens"] == ["end", ".", text.END_OF_TEXT, "Next", text.END_OF_TEXT]
+
+
+def test_available_documents_with_a_vocabulary_of_any_size(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (2, "b zzz"), (3, "")], "doc_id long, text string")
+    docs.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    vocab = text.build_vocab(text.tokenize(docs.filter("doc_id = 1")), specials=[text.END_OF_TEXT, text.UNKNOWN])
+    stream = streams.file_stream(spark, f"{tmp_path}/documents.parquet", docs.schema)
+    for k, limits in enumerate(({"max_rows": 0}, {})):
+        streams.encode_available(stream, vocab, f"{tmp_path}/out{k}", f"{tmp_path}/check{k}", **limits)
+        got = {r["doc_id"]: r["ids"] for r in spark.read.parquet(f"{tmp_path}/out{k}").collect()}
+        assert got == {1: [0, 1], 2: [1, 3], 3: []}
+
+
+def test_reshape_of_rows_that_do_not_fill_the_last_slab(spark, tmp_path):
+    rows = [(i, [float(64 * i + j) for j in range(64)]) for i in range(6)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["tn_2_reshape"](spark, str(tmp_path)).collect()}
+    assert got == {(f // 256, f // 16 % 16, f % 16, float(f)) for f in range(6 * 64)}
