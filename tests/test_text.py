@@ -260,6 +260,40 @@ def test_byte_pair_round_trip_with_specials(spark, docs, limits):
     }
 
 
+def test_decode_of_arrays_equals_decode_of_rows(spark):
+    rows = [(1, [0, 2, 3]), (2, [1, 3]), (2, [4, 0, 3, 3]), (3, []), (4, None), (None, [3])]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<long>")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("ab", 2), (bpe.END_OF_WORD, 3), ("!", 4)], "token string, id long")
+    want = bpe.bpe_decode(df.select("doc_id", F.posexplode("ids").alias("pos", "id")), vocab, specials=["!"])
+    got = bpe.bpe_decode(df, vocab, specials=["!"], ids="ids")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 3
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join"), df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_byte_pairs_are_encoded_without_a_shuffle(spark, docs):
+    docs = docs.localCheckpoint()
+    merges = bpe.merges_frame(spark, [(0, "t", "h"), (1, "th", "e")])
+    tokens = text.tokenize(docs).select("doc_id", "tokens")
+    vocab = bpe.symbol_vocab(merges, bpe.bpe_encode_long(text.explode_tokens(tokens, ["doc_id"]), merges))
+    ranks = bpe.byte_ranks(spark, [(0, "74", "68")])
+    for made in (bpe.bpe_encode(tokens, merges, vocab), bpe.bpe_encode_long(text.explode_tokens(tokens, ["doc_id"]), merges), bpe.encode_ranks(docs, ranks)):
+        assert exchanges(made) == (0, 0)
+
+
+def test_a_large_vocabulary_meets_the_words_of_a_chunk_once(spark):
+    """Copies of a document are not spread out word by word."""
+    df = spark.createDataFrame([(i, ["a", "b", "a", None]) for i in range(300)], "doc_id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), (text.UNKNOWN, 2)], "token string, id long")
+    for chunk in (10, 1_000_000):
+        found = text._look_up(df, "tokens", "f", vocab, "token", "id", 0, 0, chunk)
+        assert sorted(tuple(r) for r in found.select("doc_id", "f").collect()) == [(i, [0, 1, 0, None]) for i in range(300)]
+    plan = text.encode(df, vocab, on_unknown="unk", max_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
 def test_rank_file_equals_the_library(spark, tmp_path):
     tiktoken = pytest.importorskip("tiktoken")
     import base64
