@@ -273,6 +273,15 @@ def exchanges(df):
     return df._jdf.queryExecution().optimizedPlan().toString().count("Join"), df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
 
+def test_joined_documents_are_numbered_in_one_pass(spark):
+    rows = [("en", i, "x" * (7 * i % 50)) for i in range(40)]
+    df = spark.createDataFrame(rows, "lang string, doc_id long, text string").localCheckpoint()
+    out = text.concat_documents(df, ["lang"], ["doc_id"], max_docs=8, max_bytes=300)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Window ") == 1
+    pieces = [r["joined"] for r in out.orderBy("piece").collect()]
+    assert "".join(pieces) == text.SEPARATOR.join(t for _, _, t in rows) and len(pieces) > 5
+
+
 def test_byte_pairs_are_encoded_without_a_shuffle(spark, docs):
     docs = docs.localCheckpoint()
     merges = bpe.merges_frame(spark, [(0, "t", "h"), (1, "th", "e")])
