@@ -1038,8 +1038,7 @@ def src_17(spark, d):
 def st_1(spark, d):
     """Documents arriving as files give the rows of the batch job."""
     where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    schema = table(spark, d, "documents").schema
-    docs = streams.file_stream(spark, f"{d}/documents.parquet", schema)
+    docs = streams.table_stream(spark, d, "documents.parquet")
     streams.encode_available(docs, part_vocab(spark, d), where, where + "-state")
     return _id_digest(spark.read.schema("doc_id long, ids array<long>").parquet(where))
 
@@ -1053,7 +1052,7 @@ WHERE start + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '10 m
 def st_2(spark, d):
     """Hourly loss and accuracy; the hours the watermark has not passed stay open."""
     where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    events = streams.file_stream(spark, f"{d}/events.parquet", table(spark, d, "events").schema)
+    events = streams.table_stream(spark, d, "events.parquet")
     scored = events.select(
         "ts", F.abs(F.col("value") - 50).alias("loss"), ((F.col("value") > 50) == (F.col("event_type") == "purchase")).cast("int").alias("hit")
     )
@@ -1077,7 +1076,7 @@ def st_2_running(spark, d):
     """
     where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     streams.use_state_store(spark)
-    events = streams.file_stream(spark, f"{d}/events.parquet", table(spark, d, "events").schema)
+    events = streams.table_stream(spark, d, "events.parquet")
     scored = events.select(
         "ts", F.floor(F.col("event_id") / 1250).alias("epoch"), F.floor(F.col("event_id") % 1250 / 25).alias("batch_id"),
         F.abs(F.col("value") - 50).alias("loss"), ((F.col("value") > 50) == (F.col("event_type") == "purchase")).cast("int").alias("hit"),

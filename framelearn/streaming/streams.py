@@ -24,6 +24,14 @@ def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
     return reader.load(path)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A Parquet table of a folder as a stream, be it one file or a folder of files."""
+    table = spark.read.parquet(f"{folder}/{name}")
+    if [f.rsplit("/", 1)[-1] for f in table.inputFiles()] == [name]:
+        return file_stream(spark, folder, table.schema, name)
+    return file_stream(spark, f"{folder}/{name}", table.schema)
+
+
 def encode_stream(
     docs: DataFrame,
     vocab: DataFrame,

@@ -174,7 +174,7 @@ def test_available_documents_with_a_vocabulary_of_any_size(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, "b zzz"), (3, "")], "doc_id long, text string")
     docs.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
     vocab = text.build_vocab(text.tokenize(docs.filter("doc_id = 1")), specials=[text.END_OF_TEXT, text.UNKNOWN])
-    stream = streams.file_stream(spark, f"{tmp_path}/documents.parquet", docs.schema)
+    stream = streams.table_stream(spark, str(tmp_path), "documents.parquet")
     for k, limits in enumerate(({"max_rows": 0}, {})):
         streams.encode_available(stream, vocab, f"{tmp_path}/out{k}", f"{tmp_path}/check{k}", **limits)
         got = {r["doc_id"]: r["ids"] for r in spark.read.parquet(f"{tmp_path}/out{k}").collect()}
