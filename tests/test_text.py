@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framelearn.operators import bpe, text
+from framelearn.plans import scale
 
 PATTERN = r"""([,.:;?_"()']|--|\s)"""
 TEXTS = [
@@ -303,6 +304,35 @@ def test_a_large_vocabulary_meets_the_words_of_a_chunk_once(spark):
     assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
 
 
+def test_long_look_ups_keep_rows_in_chunks_and_do_not_shuffle_them(spark):
+    rows = [(k, p, t) for k in (1, 1, None, 2) for p, t in enumerate(["a", "b", None, "?", "a"])]
+    df = spark.createDataFrame(rows, "doc_id long, pos int, token string").repartition(3)
+    right = spark.createDataFrame([(0, "a", "x"), (None, "b", None), (5, "c", "z")], "id long, token string, mark string")
+    for how in ("left", "inner"):
+        want = df.join(right, ["token"], how)
+        got = scale.lookup_join(df, right, ["token"], how, kept=False, max_rows=0)
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "anti" not in plan.lower()
+    empty = scale.lookup_join(df.filter("pos > 9"), right, ["token"], "left", kept=False, max_rows=0)
+    assert empty.columns == ["token", "doc_id", "pos", "id", "mark"] and not empty.collect()
+
+
+def test_chunks_hold_rows_once_and_leave_other_columns_alone(spark):
+    rows = [(i, [f"w{i % 7}", None, "a"] if i % 5 else None, {"k": i}, b"\x00") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, more map<string,int>, raw binary").repartition(3)
+    lookup = spark.createDataFrame([(f"w{i}", [i]) for i in range(5)], "token string, ids array<long>")
+    for chunk, size in ((10, 1 << 30), (10**6, 1), (10**6, 1 << 30)):
+        found = scale.chunk_lookup(df, "tokens", "f", lookup, "token", "ids", chunk, size)
+        assert found.columns == [*df.columns, "f"]
+        want = [(*r, None if r[1] is None else [[r[0] % 7] if r[0] % 7 < 5 else None, None, None]) for r in rows]
+        assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[0]) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # rows travel packed: their own columns meet no shuffle
+    assert "RepartitionByExpression" not in plan
+
+
 def test_rank_file_equals_the_library(spark, tmp_path):
     tiktoken = pytest.importorskip("tiktoken")
     import base64
