@@ -402,3 +402,13 @@ def test_low_rank_neighbours_are_nearer_than_projected_ones(spark, sf_dir):
     projected = overlap(vectors.word_vectors(tokens, size=16, seed=7))
     print(f"neighbours kept by rank 16: {low:.3f}, by projection: {projected:.3f}, of {len(names)} words")
     assert low > 1.5 * projected
+
+
+def test_running_total_of_groups_shuffles_rows_once(spark):
+    rows = [(None if i % 3 == 0 else i % 3, i, 1 + i % 4) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, k int, n long")
+    out = scale.running_total(df, ["k"], F.col("n"), ["g"], name="o", rows_per_bucket=30)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = {k: sum(n for h, j, n in rows if h == g and j < k) for g, k, _ in rows}
+    assert {r["k"]: r["o"] for r in out.collect()} == want
