@@ -597,13 +597,13 @@ def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window
         kept = lookup_join(named, found, ["h1", "h2"]).select("row", *zero).filter(_logit(curve) < 0)
         return kept.select(*unpacked(docs.columns))
     score = _features(table, window)
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
-            for found in score(iter([text])):
-                x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(FIGURES)])
-                yield batch.filter(pa.array(_design(x, *curve[:2]) @ curve[2] < 0))
+    @F.arrow_udf("boolean")
+    def stays(text: pa.Array) -> pa.Array:
+        found = next(score(iter([pa.RecordBatch.from_arrays([text], names=["text"])])))
+        x = np.column_stack([found.column(k).to_numpy(zero_copy_only=False) for k in range(FIGURES)])
+        pa.default_memory_pool().release_unused()
+        return pa.array(_design(x, *curve[:2]) @ curve[2] < 0)
 
-    return docs.mapInArrow(run, docs.schema)
+    # only texts go to the Python workers and only a flag comes back: the rows stay where they are
+    return docs.filter(stays(F.col("text")))

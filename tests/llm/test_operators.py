@@ -211,6 +211,19 @@ def test_toxicity_joined_equals_held(spark):
     assert rows_of(toxicity.without_toxic(docs, known, held_grams=10)) == rows_of(toxicity.without_toxic(docs, known))
 
 
+def test_toxicity_filters_in_place(spark):
+    rows, labels = labelled(150, 9)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    given = [*rows, *[(1000 + k, t) for k, (_, t) in enumerate(EDGE)], rows[0]]
+    docs = frame(spark, given).withColumn("more", F.create_map(F.lit("a"), "doc_id"))
+    kept = toxicity.without_toxic(docs, known)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # the rows are not sent to Python and back for a flag
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    score = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, known).collect()}
+    assert sorted((r.doc_id, r.text or "", r.more["a"]) for r in kept.collect()) == sorted((k, t or "", k) for k, t in given if not score[k])
+
+
 # --- 4 packing ------------------------------------------------------------
 
 
