@@ -689,6 +689,17 @@ def test_jaccard_components(spark, words, percent, monkeypatch):
     assert rows_of(jaccard_join.jaccard_components(frame(spark, rows), words, percent)) == want
 
 
+def test_jaccard_shuffles_tokens_once(spark, monkeypatch):
+    sets = spark.createDataFrame([(k, 9, 3, [t + k // 2 for t in range(6)], [70]) for k in (*range(30), 3)], "sid long, n long, slack long, counted array<long>, late array<long>")
+    seen = []
+    monkeypatch.setattr(jaccard_join, "keep", lambda df, *how: seen.append(df) or df)
+    assert jaccard_join.candidate_groups(sets, 90).count() == 30
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    # by token for counts and rows at once, then by set; the late tokens' exchange names all columns
+    assert plan.count("Exchange hashpartitioning(token") == 1 and plan.count("Exchange hashpartitioning(") == 3
+    assert "Join" not in plan
+
+
 def test_jaccard_blocks_hold_few_tokens(spark, monkeypatch):
     """A group of few sets with many tokens is cut too, and its links stay."""
     monkeypatch.setattr(jaccard_join, "GROUP_TOKENS", 4000)
