@@ -13,7 +13,6 @@ look up their place. No piece passes through the driver.
 from __future__ import annotations
 
 import array
-import hashlib
 import json
 import sys
 import zlib
@@ -21,11 +20,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelearn.llm.common import by_batch, narrow, stored, worker_cache, workspace
+from framelearn.llm.common import by_batch, narrow, stored, workspace
 from framelearn.operators.bpe import PIECES as PIECE_PATTERN
 from framelearn.plans.scale import order_hash, running_total
 
@@ -107,15 +106,16 @@ class TextEncoder:
         return _little(self.single(text))
 
 
-def _pieces(file: bytes, capacity: int, end_id: int, with_ids: bool):
-    name = hashlib.sha256(file).hexdigest()
+def _pieces(spark: SparkSession, file: bytes, capacity: int, end_id: int, with_ids: bool):
+    shared = spark.sparkContext.broadcast({"file": file})
     end = _little([end_id])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cache = worker_cache("encoders")
-        if name not in cache:
-            cache[name] = TextEncoder(file)
-        encode = cache[name]
+        # a worker keeps the encoder with the broadcast value, until it gets a task of another job
+        cache = shared.value
+        if "encoder" not in cache:
+            cache["encoder"] = TextEncoder(cache.pop("file"))
+        encode = cache["encoder"]
         doc, piece, start, length, crc, ids = [], [], [], [], [], []
         for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             raw = encode(text.as_py() or "") + end
@@ -150,7 +150,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     with open(tokenizer, "rb") as f:
         file = f.read()
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(_pieces(file, capacity, end_id, with_ids), PIECES_WITH_IDS if with_ids else PIECES)
+    return rows.mapInArrow(_pieces(rows.sparkSession, file, capacity, end_id, with_ids), PIECES_WITH_IDS if with_ids else PIECES)
 
 
 # --- the plan --------------------------------------------------------------

@@ -26,11 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelearn.llm.common import by_batch, narrow, packed_rows, unpacked, worker_cache
+from framelearn.llm.common import by_batch, narrow, packed_rows, unpacked
 from framelearn.plans.scale import lookup_join, maybe_broadcast
 from framelearn.session import materialize
 
@@ -395,25 +395,25 @@ _FIGURES = [f"f{k}" for k in range(FIGURES)]
 _FIGURES_TYPE = ", ".join(f"{f} double" for f in _FIGURES)
 
 
-def _features(table: tuple, window: int):
+def _features(spark: SparkSession, table: tuple, window: int):
     """Batches of (key columns ..., text) -> key columns and the features."""
-    name = f"{hash(tuple(x.tobytes() for part in (table[0], table[1], table[3]) for x in part))}"
+    shared = spark.sparkContext.broadcast({"table": table})
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cache = worker_cache("ratios")
-        if name not in cache:
-            cache.clear()
-            cache[name] = Ratios(*table)
+        # a worker keeps them with the broadcast value, until it gets a task of another job
+        cache = shared.value
+        if "ratios" not in cache:
+            cache["ratios"] = Ratios(*cache.pop("table"))
         rows, docs, size = [], [], 0
         for text in batch.column(batch.num_columns - 1):
             words = words_of(text.as_py())
             docs.append(words)
             size += len(words)
             if size > 5 * AT_A_TIME:
-                rows.append(cache[name].features(docs, window))
+                rows.append(cache["ratios"].features(docs, window))
                 docs, size = [], 0
         if docs:
-            rows.append(cache[name].features(docs, window))
+            rows.append(cache["ratios"].features(docs, window))
         x = np.concatenate(rows) if rows else np.zeros((0, FIGURES))
         keys = [batch.column(i) for i in range(batch.num_columns - 1)]
         return pa.RecordBatch.from_arrays([*keys, *[pa.array(x[:, k]) for k in range(FIGURES)]], names=[*batch.schema.names[:-1], *_FIGURES])
@@ -477,7 +477,7 @@ def _hashed_text(df: DataFrame, text) -> DataFrame:
 def _with_features(rows: DataFrame, keys: str, words: DataFrame | None, table: tuple | None, window: int) -> DataFrame:
     """The key columns of ``rows(keys ..., text)``, given as a schema, and the features."""
     if table is not None:
-        return rows.mapInArrow(_features(table, window), f"{keys}, {_FIGURES_TYPE}")
+        return rows.mapInArrow(_features(rows.sparkSession, table, window), f"{keys}, {_FIGURES_TYPE}")
     rows = _hashed_text(rows, F.col("text"))
     found = joined_features(rows, words, window)
     names = [c for c in rows.columns if c not in ("text", "h1", "h2")]
@@ -596,7 +596,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window
         zero = [F.coalesce(f, F.lit(0.0)).alias(f) for f in _FIGURES]
         kept = lookup_join(named, found, ["h1", "h2"]).select("row", *zero).filter(_logit(curve) < 0)
         return kept.select(*unpacked(docs.columns))
-    score = _features(table, window)
+    score = _features(docs.sparkSession, table, window)
 
     @F.arrow_udf("boolean")
     def stays(text: pa.Array) -> pa.Array:

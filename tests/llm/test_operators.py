@@ -211,6 +211,31 @@ def test_toxicity_joined_equals_held(spark):
     assert rows_of(toxicity.without_toxic(docs, known, held_grams=10)) == rows_of(toxicity.without_toxic(docs, known))
 
 
+def left_in_workers(spark, kind):
+    """How many objects of a class, by its name, the Python workers still hold when they run another job's tasks."""
+
+    def count(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        gc.collect()
+        yield pa.RecordBatch.from_arrays([pa.array([sum(type(x).__name__ == kind for x in gc.get_objects())])], names=["n"])
+
+    return spark.range(0, 64, 1, 32).mapInArrow(count, "n long").agg(F.sum("n")).first()[0]
+
+
+def test_workers_let_go_of_models(spark):
+    rows, labels = labelled(150, 9)
+    docs = frame(spark, rows)
+    assert toxicity.without_toxic(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).count()
+    assert left_in_workers(spark, "Ratios") == 0
+    assert packing.token_pieces(docs, tokenizer_file()).count()
+    assert left_in_workers(spark, "TextEncoder") == 0
+
+
 def test_toxicity_filters_in_place(spark):
     rows, labels = labelled(150, 9)
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
