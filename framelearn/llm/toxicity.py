@@ -13,20 +13,24 @@ fitted on labelled rows that the counts have not seen turns them into a score.
 
 Counting and smoothing are joins and sums over grams. Every gram keeps its own
 ratio, an unseen one gets that of its own context, so these tables grow with
-the corpus. They travel to the scoring tasks whole while they are measured to
-be small; beyond that each distinct word gets its ratio by joins, and the texts'
-words are joined with those.
+the corpus. They travel to the scoring tasks, whole while they are measured to
+be small and else in parts, of which a task holds one at a time; its texts stay
+where they are. Beyond a number of parts each distinct word gets its ratio by
+joins, and the texts' words are joined with those.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +45,9 @@ DISCOUNT = 0.75
 TEXTS_OFF = 4.0
 #: Figures of a text that the curve weighs.
 FIGURES = 4
-#: Grams and contexts whose ratios are sent to the tasks at most; more are joined.
+#: Grams, contexts and words whose ratios a task holds at a time; more are sent in so many parts at most, and still more are joined.
 HELD_GRAMS = 4_000_000
+HELD_PARTS = 16
 #: Words in a window.
 WINDOW = 8
 #: Labelled rows that the two curves' weights are fitted on at most.
@@ -59,6 +64,8 @@ AT_A_TIME = 20_000
 _SYMBOLS = bytes(0x30 if 0x30 <= c <= 0x39 else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = np.uint64(0xD6E8FEB86659FD93)
+#: A table without rows.
+_NOTHING = (np.zeros(0, np.uint64), np.zeros(0))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -302,23 +309,53 @@ def word_ratios(words: DataFrame, seen: DataFrame, unseen: DataFrame, order: int
 # --- scoring ---------------------------------------------------------------
 
 
+def _word_keys(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (word, told) -> (64-bit hash, told)."""
+    return pa.RecordBatch.from_arrays([pa.array(_word_keys(batch.column(0).to_pylist()).view(np.int64)), batch.column(1)], names=["word", "told"])
+
+
+def _collected(seen: DataFrame, unseen: DataFrame, order: int, told: DataFrame | None, other: float) -> tuple:
+    def table(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        found = df.toArrow()
+        key, ratio = found[0].to_numpy().view(np.uint64), found[1].to_numpy()
+        at = np.argsort(key, kind="stable")
+        return key[at], ratio[at]
+
+    words = _NOTHING if told is None else table(told.select("word", "told").mapInArrow(by_batch(_keyed), "word bigint, told double"))
+    return table(seen), table(unseen), order, words, other
+
+
 def held(seen: DataFrame, unseen: DataFrame, order: int, most: int = HELD_GRAMS, told: DataFrame | None = None, other: float = 0.0) -> tuple | None:
     """The sorted hashes of grams, contexts and telling words, each with their ratios, and what else ``Ratios`` takes; None when there are more than ``most``."""
     if seen.count() + unseen.count() + (told.count() if told is not None else 0) > most:
         return None
+    return _collected(seen, unseen, order, told, other)
 
-    def table(key: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.argsort(key, kind="stable")
-        return key[at], ratio[at]
 
-    grams, contexts = (df.toArrow() for df in (seen, unseen))
-    tables = [table(found[0].to_numpy().view(np.uint64), found[1].to_numpy()) for found in (grams, contexts)]
-    words = told.toArrow() if told is not None else pa.table({"word": pa.array([], pa.binary()), "told": pa.array([], pa.float64())})
-    return (*tables, order, table(_word_keys(words["word"].to_pylist()), words["told"].to_numpy()), other)
+def sent(seen: DataFrame, unseen: DataFrame, order: int, most: int, told: DataFrame, other: float) -> list[Broadcast] | None:
+    """Broadcasts of what ``held`` gives: one for the workers to keep, or else one for each part of about ``most`` rows; None beyond ``HELD_PARTS``."""
+    tables = (seen, unseen, told)
+    parts = -(-sum(df.count() for df in tables) // max(most, 1))
+    if parts > HELD_PARTS:
+        return None
+    context = seen.sparkSession.sparkContext
+    if parts <= 1:
+        return [context.broadcast({"table": _collected(seen, unseen, order, told, other)})]
+    # what a worker keeps has no rows of the tables; a part is gone from the driver before the next one comes
+    found = [context.broadcast({"table": (_NOTHING, _NOTHING, order, _NOTHING, other)})]
+    for k in range(parts):
+        mine = [df.filter(F.pmod(F.xxhash64(df.columns[0]), F.lit(parts)) == k) for df in tables]
+        found.append(context.broadcast(_collected(*mine[:2], order, mine[2], other)))
+    return found
 
 
-def _word_keys(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _read(part: Broadcast) -> tuple:
+    """The value of a broadcast, which goes with its last use; ``value`` would stay as long as the worker has tasks of the job."""
+    return part.load_from_path(part._path) if getattr(part, "_path", None) else part.value
 
 
 def _summed(ratio: np.ndarray, size: np.ndarray, window: int) -> tuple[float, float, float]:
@@ -329,65 +366,90 @@ def _summed(ratio: np.ndarray, size: np.ndarray, window: int) -> tuple[float, fl
     return a[-1] / b[-1], best, np.log1p(len(ratio))
 
 
-def _looked_up(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> np.ndarray:
-    """The ratio of each key, NaN where there is none."""
+def _look_up(table: tuple[np.ndarray, np.ndarray], key: np.ndarray, out: np.ndarray) -> None:
+    """Put the ratio of each key of the table into its place."""
     known, ratio = table
-    if not len(known):
-        return np.full(len(key), np.nan)
-    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-    return np.where(known[at] == key, ratio[at], np.nan)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        there = known[at] == key
+        out[there] = ratio[at[there]]
+
+
+class _Numbers(dict):
+    """Words and their numbers; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 class Ratios:
-    """The log-likelihood ratio of words, from the tables of grams and contexts, and how telling they are as a whole."""
+    """The log-likelihood ratio of words, from the tables of grams and contexts, and how telling they are as a whole.
+
+    ``more`` are functions that read further parts of the tables, given as ``held``
+    gives them. They are read in turn, once for all new words of some texts.
+    """
 
     def __init__(
         self,
         grams: tuple[np.ndarray, np.ndarray],
         contexts: tuple[np.ndarray, np.ndarray],
         order: int,
-        told: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0)),
+        told: tuple[np.ndarray, np.ndarray] = _NOTHING,
         other: float = 0.0,
+        more: Sequence[Callable[[], tuple]] = (),
     ):
-        self.grams, self.contexts, self.order, self.known, self.other = grams, contexts, order, told, other
-        self.words: dict[bytes, float] = {}
-        self.told: dict[bytes, float] = {}
+        self.own, self.order, self.other, self.more = (grams, contexts, order, told, other), order, other, more
+        self.forget()
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """The ratio of each word: of its bytes and its end, given the bytes before."""
-        if not words:
-            return np.zeros(0)
-        gram, context, lengths = _joined_grams(words, self.order)
-        # most grams recur within a batch of words
-        distinct, first, back = np.unique(gram, return_index=True, return_inverse=True)
-        value = _looked_up(self.grams, distinct)
-        missing = np.flatnonzero(np.isnan(value))
-        other = _looked_up(self.contexts, context[first[missing]])
-        value[missing] = np.where(np.isnan(other), 0, other)
-        return np.add.reduceat(value[back], np.cumsum(lengths) - lengths)
-
-    def learn(self, new: set[bytes]) -> None:
-        words = list(new)
+    def forget(self) -> None:
+        self.numbers = _Numbers()
+        # by the number of a word: its ratio, how telling it is, and its bytes with the blank behind them
+        self.ratio, self.told, self.size = np.zeros(0), np.zeros(0), np.zeros(0)
+
+    def numbered(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
+
+    def found(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ratio of each word (of its bytes and its end, given the bytes before), and how telling it is."""
+        keys, told, pieces = _word_keys(words), np.full(len(words), self.other), []
         for k in range(0, len(words), AT_A_TIME):
-            part = words[k : k + AT_A_TIME]
-            self.words.update(zip(part, self.of(part).tolist()))
-            told = _looked_up(self.known, _word_keys(part))
-            self.told.update(zip(part, np.where(np.isnan(told), self.other, told).tolist()))
-
-    def features(self, docs: list[list[bytes]], window: int) -> np.ndarray:
-        """For each text: ratio per byte of the whole, of its best window, the log of its words, and its most telling word."""
-        new = set().union(*docs) - self.words.keys()
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            self.told.clear()
-            new = set().union(*docs)
-        self.learn(new)
+            gram, context, lengths = _joined_grams(words[k : k + AT_A_TIME], self.order)
+            # most grams recur within a batch of words
+            distinct, first, back = np.unique(gram, return_index=True, return_inverse=True)
+            pieces.append((distinct, context[first], np.full(len(distinct), np.nan), np.zeros(len(distinct)), back.astype(np.int32), np.cumsum(lengths) - lengths))
+        for part in (lambda: self.own, *self.more):
+            grams, contexts, _, known, _ = part()
+            for distinct, context, value, unseen, _, _ in pieces:
+                _look_up(grams, distinct, value)
+                # the context of a gram without a ratio so far; one that a later part has does not need it
+                missing = np.flatnonzero(np.isnan(value))
+                other = unseen[missing]
+                _look_up(contexts, context[missing], other)
+                unseen[missing] = other
+            _look_up(known, keys, told)
+        ratios = [np.add.reduceat(np.where(np.isnan(value), unseen, value)[back], cuts) for _, _, value, unseen, back, cuts in pieces]
+        return np.concatenate([*ratios, np.zeros(0)]), told
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The ratio of each word."""
+        return self.found(words)[0]
+
+    def learn(self) -> None:
+        """Look up the words that were numbered since."""
+        new = list(islice(self.numbers, len(self.ratio), None))
+        if new:
+            size = np.fromiter(map(len, new), np.float64, len(new)) + 1
+            self.ratio, self.told, self.size = map(np.concatenate, zip((self.ratio, self.told, self.size), (*self.found(new), size)))
+
+    def features(self, docs: list[np.ndarray], window: int) -> np.ndarray:
+        """For each text, given by its words' numbers: ratio per byte of the whole, of its best window, the log of its words, and its most telling word."""
+        self.learn()
         out = np.zeros((len(docs), FIGURES))
-        for i, words in enumerate(docs):
-            if words:
-                ratio = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
-                out[i, :3] = _summed(ratio, np.fromiter(map(len, words), np.float64, len(words)) + 1, window)
-                out[i, 3] = max(map(self.told.__getitem__, words))
+        for i, at in enumerate(docs):
+            if len(at):
+                out[i, :3] = _summed(self.ratio[at], self.size[at], window)
+                out[i, 3] = self.told[at].max()
         return out
 
 
@@ -395,25 +457,25 @@ _FIGURES = [f"f{k}" for k in range(FIGURES)]
 _FIGURES_TYPE = ", ".join(f"{f} double" for f in _FIGURES)
 
 
-def _features(spark: SparkSession, table: tuple, window: int):
-    """Batches of (key columns ..., text) -> key columns and the features."""
-    shared = spark.sparkContext.broadcast({"table": table})
+def _features(shared: list[Broadcast], window: int):
+    """Batches of (key columns ..., text) -> key columns and the features; ``shared`` as ``sent`` gives it."""
+    kept, *parts = shared
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         # a worker keeps them with the broadcast value, until it gets a task of another job
-        cache = shared.value
+        cache = kept.value
         if "ratios" not in cache:
-            cache["ratios"] = Ratios(*cache.pop("table"))
-        rows, docs, size = [], [], 0
+            cache["ratios"] = Ratios(*cache.pop("table"), more=[partial(_read, p) for p in parts])
+        ratios = cache["ratios"]
+        rows, docs = [], []
         for text in batch.column(batch.num_columns - 1):
-            words = words_of(text.as_py())
-            docs.append(words)
-            size += len(words)
-            if size > 5 * AT_A_TIME:
-                rows.append(cache["ratios"].features(docs, window))
-                docs, size = [], 0
+            docs.append(ratios.numbered(words_of(text.as_py())))
+            if len(ratios.numbers) > REMEMBERED:
+                rows.append(ratios.features(docs, window))
+                ratios.forget()
+                docs = []
         if docs:
-            rows.append(cache["ratios"].features(docs, window))
+            rows.append(ratios.features(docs, window))
         x = np.concatenate(rows) if rows else np.zeros((0, FIGURES))
         keys = [batch.column(i) for i in range(batch.num_columns - 1)]
         return pa.RecordBatch.from_arrays([*keys, *[pa.array(x[:, k]) for k in range(FIGURES)]], names=[*batch.schema.names[:-1], *_FIGURES])
@@ -474,10 +536,10 @@ def _hashed_text(df: DataFrame, text) -> DataFrame:
     return df.withColumn("h1", F.xxhash64(text)).withColumn("h2", F.xxhash64(F.lit(1), text))
 
 
-def _with_features(rows: DataFrame, keys: str, words: DataFrame | None, table: tuple | None, window: int) -> DataFrame:
+def _with_features(rows: DataFrame, keys: str, words: DataFrame | None, shared: list[Broadcast] | None, window: int) -> DataFrame:
     """The key columns of ``rows(keys ..., text)``, given as a schema, and the features."""
-    if table is not None:
-        return rows.mapInArrow(_features(rows.sparkSession, table, window), f"{keys}, {_FIGURES_TYPE}")
+    if shared is not None:
+        return rows.mapInArrow(_features(shared, window), f"{keys}, {_FIGURES_TYPE}")
     rows = _hashed_text(rows, F.col("text"))
     found = joined_features(rows, words, window)
     names = [c for c in rows.columns if c not in ("text", "h1", "h2")]
@@ -515,7 +577,7 @@ def _remainder(column: str) -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS):
-    """The words' ratios (None while the grams are held), the grams as ``held``, and the curve; None without labelled rows of both classes in the counted and the fitted parts.
+    """The words' ratios (None while the grams are sent), the grams as ``sent``, and the curve; None without labelled rows of both classes in the counted and the fitted parts.
 
     ``docs(doc_id, text)``, ``labels(doc_id, toxic)``. Labels of held-out rows
     are dropped before anything is counted. Several labels of one id count as
@@ -536,20 +598,20 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int =
         return None
     seen, unseen = named(*class_ratios(counted, order))
     told, other = telling_words(counted)
-    table = held(seen, unseen, order, held_grams, told, other)
+    shared = sent(seen, unseen, order, held_grams, told, other)
     words = None
-    if table is None:
+    if shared is None:
         words = word_ratios(counted, seen, unseen, order).join(told, "word", "left")
         words = materialize(words.withColumn("told", F.coalesce("told", F.lit(other))))
     some = docs.join(maybe_broadcast(chosen), "doc_id").select("toxic", "text")
-    found = _with_features(some, "toxic int", words, table, window).toArrow()
+    found = _with_features(some, "toxic int", words, shared, window).toArrow()
     y = found["toxic"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return None
     x = np.column_stack([found[c].to_numpy() for c in _FIGURES])
     # summed in one order at every run
     at = np.lexsort((*x.T, y))
-    return words, table, fit_curve(x[at], y[at])
+    return words, shared, fit_curve(x[at], y[at])
 
 
 def _logit(curve: tuple[np.ndarray, np.ndarray, np.ndarray]) -> F.Column:
@@ -573,8 +635,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int
     rows = rows.select("doc_id", F.coalesce(_remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "text")
     if trained is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    words, table, curve = trained
-    found = _with_features(rows, "doc_id bigint, held_out boolean", words, table, window)
+    words, shared, curve = trained
+    found = _with_features(rows, "doc_id bigint, held_out boolean", words, shared, window)
     score = 1 / (1 + F.exp(-_logit(curve)))
     return found.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -582,21 +644,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int
 def without_toxic(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int = WINDOW, fit_rows: int = FIT_ROWS, held_grams: int = HELD_GRAMS) -> DataFrame:
     """``docs`` without the rows predicted as toxic; all columns and repeated rows stay, unread labels as in ``toxicity``.
 
-    While the grams' ratios are few enough to be sent, a row is kept or not by
+    While the grams' ratios are few enough to be sent, in parts or whole, a row is kept or not by
     its own text, in place; beyond that rows look their text's features up.
     """
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
     trained = train(rows, labels, order, window, fit_rows, held_grams)
     if trained is None:
         return docs
-    words, table, curve = trained
-    if table is None:
+    words, shared, curve = trained
+    if shared is None:
         named = _hashed_text(packed_rows(docs), F.col("row").getField("text"))
         found = joined_features(_hashed_text(rows, F.col("text")), words, window)
         zero = [F.coalesce(f, F.lit(0.0)).alias(f) for f in _FIGURES]
         kept = lookup_join(named, found, ["h1", "h2"]).select("row", *zero).filter(_logit(curve) < 0)
         return kept.select(*unpacked(docs.columns))
-    score = _features(docs.sparkSession, table, window)
+    score = _features(shared, window)
 
     @F.arrow_udf("boolean")
     def stays(text: pa.Array) -> pa.Array:

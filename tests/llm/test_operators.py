@@ -211,6 +211,30 @@ def test_toxicity_joined_equals_held(spark):
     assert rows_of(toxicity.without_toxic(docs, known, held_grams=10)) == rows_of(toxicity.without_toxic(docs, known))
 
 
+def test_toxicity_in_parts_equals_whole(spark, monkeypatch):
+    """Tables beyond what a task holds at a time are sent in parts: the same figures to the bit, and no text is joined."""
+    rows, labels = labelled(150, 9)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = frame(spark, [*rows, *EDGE, rows[0]])
+    whole, kept = rows_of(toxicity.toxicity(docs, known)), rows_of(toxicity.without_toxic(docs, known))
+    monkeypatch.delattr(toxicity, "joined_features")
+    counts = []
+    sent = toxicity.sent
+    monkeypatch.setattr(toxicity, "HELD_PARTS", 40)
+    monkeypatch.setattr(toxicity, "REMEMBERED", 50)
+    monkeypatch.setattr(toxicity, "AT_A_TIME", 20)
+    monkeypatch.setattr(toxicity, "sent", lambda *a: counts.append(sent(*a)) or counts[-1])
+    assert rows_of(toxicity.toxicity(docs, known, held_grams=300)) == whole
+    assert rows_of(toxicity.without_toxic(docs, known, held_grams=300)) == kept
+    assert all(len(c) > 2 for c in counts)
+    # of equal words in any order, and of none
+    tables = [c.value for c in counts[0][1:]]
+    ratios = toxicity.Ratios(*counts[0][0].value["table"], more=[lambda t=t: t for t in tables])
+    words = toxicity.words_of(LONG)[:90]
+    assert np.array_equal(ratios.of(words), np.concatenate([ratios.of([w]) for w in words])) and len(ratios.of([])) == 0
+    assert sum(len(t[3][0]) for t in tables) and all(len(t[k][0]) for t in tables for k in (0, 1))
+
+
 def left_in_workers(spark, kind):
     """How many objects of a class, by its name, the Python workers still hold when they run another job's tasks."""
 
