@@ -749,6 +749,28 @@ def test_jaccard_shuffles_tokens_once(spark, monkeypatch):
     assert "Join" not in plan
 
 
+def test_jaccard_texts_are_not_shuffled(spark, monkeypatch):
+    """Names of texts beyond one broadcast go in two; whole and cut groups alike."""
+    rows = near_copies(1, groups=6)
+    docs = frame(spark, rows)
+    want = brute_components(rows, 3, 80)
+    kept = rows_of(jaccard_join.one_of_each(docs, 3, 80).select("doc_id", "text"))
+    monkeypatch.setattr(jaccard_join, "GROUP_SETS", 4)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+    sets = jaccard_join.described(docs, 3, 80, jaccard_join.workspace(spark, "test"))
+    placed = jaccard_join._placed(jaccard_join.candidate_groups(sets.filter("n > 0"), 80), 80)
+    whole = {bool(r[0]) for r in placed.select(F.col("left_block") < 0).distinct().collect()}
+    most = max(r["count"] for r in placed.select("sid", F.col("left_block") < 0).distinct().groupBy(F.col("(left_block < 0)")).count().collect())
+    assert most > 1
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", -(-most // 2))
+    members = jaccard_join._wanted_sets(docs, sets, placed, 3)
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and plan.count("Scan ExistingRDD") > len(whole)
+    assert {(r["sid"], r["task"], r["left_block"], r["side"]) for r in members.collect()} == {(r["sid"], r["task"], r["left_block"], r["side"]) for r in placed.collect()}
+    assert rows_of(jaccard_join.jaccard_components(docs, 3, 80)) == want
+    assert rows_of(jaccard_join.one_of_each(docs, 3, 80).select("doc_id", "text")) == kept
+
+
 def test_jaccard_blocks_hold_few_tokens(spark, monkeypatch):
     """A group of few sets with many tokens is cut too, and its links stay."""
     monkeypatch.setattr(jaccard_join, "GROUP_TOKENS", 4000)
