@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -211,6 +213,19 @@ def test_nearest_neighbours_equal_brute_force(vecs, kw):
         assert len({k for k, _ in got[q].values()}) == 4
 
 
+def test_blocks_meet_in_groups(vecs):
+    """A vector is sent to each group of blocks, not to each block, with the same neighbours; groups are of bounded size and every core has some."""
+    want = sorted(tuple(r) for r in vectors.knn_join(vecs, vecs, 4).select("query", F.round("similarity", 9), "rank").collect())
+    # pairs of blocks meet in whichever of many tasks
+    vecs.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for size, block, groups in ((1 << 25, 1, 14), (1 << 25, 16, 5), (0, 16, 5)):
+        out = vectors.knn_join(vecs, vecs, 4, max_rows=0, block_rows=block, group_bytes=size)
+        sent = [int(n) for n in re.findall(r"explode\(sequence\(cast\(0 as bigint\), cast\((\d+)", out._jdf.queryExecution().analyzed().toString())]
+        assert sent and all(n < groups * 2 for n in sent), sent
+        assert sorted(tuple(r) for r in out.select("query", F.round("similarity", 9), "rank").collect()) == want
+    vecs.sparkSession.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("kw", [{}, {"part_rows": 7}])
 def test_lists_with_all_cells_and_codes_equal_the_exact_join(spark, vecs, kw):
     found = vector_lists.knn_lists(vecs, vecs, 4, cells=5, parts=4, probes=5, rerank=1000, **kw).collect()
