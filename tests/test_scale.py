@@ -226,6 +226,20 @@ def test_blocks_meet_in_groups(vecs):
     vecs.sparkSession.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_pairs_are_counted_once(spark):
+    """Both rows of a pair come from one, also beside NULL and for a token beside itself, and are not shuffled again."""
+    lists = [["b", "a", "b", "b"], ["a", None, "b"], [None, "a", None], ["c"], []]
+    tokens = spark.createDataFrame([(ts,) for ts in lists], "tokens array<string>")
+    want = Counter()
+    for ts in lists:
+        for i, a in enumerate(ts):
+            for b in ts[i + 1 : i + 3]:
+                want[a, b] += 1
+                want[b, a] += 1
+    out = vectors.neighbour_counts(tokens)
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    assert {(r["token"], r["context"]): r["n"] for r in out.collect()} == want and out.count() == len(want)
+
 @pytest.mark.parametrize("kw", [{}, {"part_rows": 7}])
 def test_lists_with_all_cells_and_codes_equal_the_exact_join(spark, vecs, kw):
     found = vector_lists.knn_lists(vecs, vecs, 4, cells=5, parts=4, probes=5, rerank=1000, **kw).collect()
